@@ -1,0 +1,66 @@
+"""Reuse of a frame, and comparing ways to prepare an input for the same analysis."""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Callable, Mapping
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def reused(df: DataFrame) -> DataFrame:
+    """Keep a frame for several actions; blocks that do not fit memory go to disk."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fingerprint(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Row count and an order-independent checksum, with doubles rounded to ``digits``."""
+    columns = [
+        F.round(f.name, digits).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    return df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum"),
+    )
+
+
+def timed(run: Callable[[], DataFrame]) -> tuple[DataFrame, float]:
+    """Result of ``run`` and the seconds its whole computation takes."""
+    start = time.perf_counter()
+    result = run()
+    result.write.format("noop").mode("overwrite").save()
+    return result, time.perf_counter() - start
+
+
+def compare_strategies(
+    spark: SparkSession,
+    df: DataFrame,
+    analysis: Callable[..., DataFrame],
+    strategies: Mapping[str, Callable[[DataFrame], DataFrame]],
+    *args,
+    **kwargs,
+) -> DataFrame:
+    """The same analysis over the input as each strategy prepares it.
+
+    One row per strategy: seconds, row count, checksum. All strategies must
+    give the same rows, otherwise the comparison is void and an error is
+    raised.
+    """
+    rows = []
+    for name, strategy in strategies.items():
+        prepared = strategy(df)
+        try:
+            result, seconds = timed(lambda: analysis(prepared, *args, **kwargs))
+            count, checksum = fingerprint(result).first()
+        finally:
+            if prepared.is_cached and not df.is_cached:
+                prepared.unpersist()
+        rows.append((name, seconds, count, checksum))
+    if len({row[2:] for row in rows}) > 1:
+        raise ValueError(f"strategies differ in their results: {rows}")
+    return spark.createDataFrame(
+        rows, "strategy string, seconds double, row_count bigint, checksum decimal(38,0)"
+    )
