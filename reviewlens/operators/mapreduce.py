@@ -11,6 +11,35 @@ from pyspark.sql.types import StructType
 
 SALTS = 64
 
+Frames = Iterator[pd.DataFrame]
+
+
+def _sorted_merge(keys: Sequence[str], columns: Sequence[str], reduce_fn) -> Callable[[Frames], Frames]:
+    """Reduce a task's batches, which come sorted by key.
+
+    All keys of a batch are reduced in one call. Only its last key may go on in
+    the next batch, so only that key's state is carried over: memory stays at
+    one batch however many rows or keys a task has.
+    """
+
+    def merge(batches: Frames) -> Frames:
+        carried = None
+        for batch in batches:
+            rows = batch[list(columns)]
+            if carried is not None:
+                rows = pd.concat([carried, rows], ignore_index=True)
+            last = rows[list(keys)].iloc[-1]
+            state = reduce_fn(rows)
+            own = state[list(keys)]
+            open_key = (own.eq(last) | (own.isna() & last.isna())).all(axis=1)
+            carried = state[open_key]
+            if not open_key.all():
+                yield state[~open_key]
+        if carried is not None:
+            yield carried
+
+    return merge
+
 
 def map_reduce(
     df: DataFrame,
@@ -19,48 +48,38 @@ def map_reduce(
     reduce_fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     reducers: int | None = None,
-    salts: int = SALTS,
+    salts: int | None = SALTS,
 ) -> DataFrame:
     """``map_fn`` turns a batch of rows into rows of ``schema``; ``reduce_fn`` merges those.
 
-    ``reduce_fn`` gets rows of ``schema`` and returns fewer rows of the same
-    schema, one per key; it must be associative and commutative, since it runs
-    three times: inside each map batch, per (key, salt), and per key. The salt
-    is the map task's number, which does not change when a task is retried, so
-    a key that holds a third of all rows is spread over ``salts`` groups and
-    its last group has at most that many rows. ``reducers`` sets how many
+    ``reduce_fn`` gets rows of ``schema`` for many keys and returns one row of
+    the same schema per key. It must be associative and commutative, since it
+    runs on each map batch, then per (key, salt), then per key. The salt is
+    the map task's number, which does not change when a task is retried: a key
+    that holds a third of all rows is spread over ``salts`` sorted runs, and at
+    most that many rows of it meet in the last step. ``salts=None`` leaves the
+    middle step out, for keys known to be even. ``reducers`` sets how many
     tasks the last step has; without it adaptive execution decides.
     """
 
-    def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mapped(batches: Frames) -> Frames:
         for batch in batches:
             yield reduce_fn(map_fn(batch))
 
-    def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = None
-        for batch in batches:
-            rows = batch if state is None else pd.concat([state, batch], ignore_index=True)
-            state = reduce_fn(rows)
-        if state is not None:
-            yield state
-
     combined = df.mapInPandas(mapped, schema)
-    columns = combined.columns
-    salted = combined.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-
-    def merged_salted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return merged(batch[columns] for batch in batches)
-
-    # Type hints are what tells Spark to feed a group as an iterator of batches.
-    partial = salted.groupBy(*keys, "_salt").applyInPandas(merged_salted, combined.schema)
-    if reducers:
-        partial = partial.repartition(reducers, *keys)
-    return partial.groupBy(*keys).applyInPandas(merged, combined.schema)
+    result = combined.schema
+    merge = _sorted_merge(keys, combined.columns, reduce_fn)
+    if salts:
+        salted = combined.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        runs = salted.repartition(*keys, "_salt").sortWithinPartitions(*keys)
+        combined = runs.mapInPandas(merge, result)
+    spread = combined.repartition(reducers, *keys) if reducers else combined.repartition(*keys)
+    return spread.sortWithinPartitions(*keys).mapInPandas(merge, result)
 
 
 def _piped(lines: DataFrame, command: str) -> DataFrame:
     """Each task's lines through one external command, as text in and text out."""
-    quoted = command.replace("\\", "\\\\").replace("'", "\\'")
+    quoted = command.replace("\\", "\\\\").replace("'", "\\'").replace("{", "{{").replace("}", "}}")
     return lines.sparkSession.sql(
         f"""
         SELECT TRANSFORM (line)

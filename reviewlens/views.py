@@ -53,3 +53,81 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
     joined = _reviews_by_part(spark, folder).join(parts, "part")
     return joined.select(F.col("part").cast("string").alias("product_id"), *joined.columns[1:])
+
+
+def review_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews as untyped text events, some with a bad rating, a blank id or a blank category."""
+    number = F.col("l_linenumber")
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("part"), "p_type")
+    rows = table(spark, folder, "lineitem").withColumn("part", F.col("l_partkey")).join(parts, "part")
+    return rows.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
+        F.when(number == 6, F.lit("  ")).otherwise(F.col("part").cast("string")).alias("product_id"),
+        F.col("l_suppkey").cast("string").alias("user_id"),
+        F.when(number == 7, F.lit("bad"))
+        .otherwise(F.format_string(" %.1f", _rating()))
+        .alias("rating"),
+        F.when(number == 5, F.lit("")).otherwise(F.concat(F.lit(" "), "p_type")).alias("category"),
+    )
+
+
+def text_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Processed products whose texts are whole documents; unlabelled ones have no rating.
+
+    Which text field is filled depends on the language, so that every step of
+    the length cascade occurs.
+    """
+    documents = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    lang, text = F.col("lang"), F.col("text")
+    rating = F.lit(1) + F.pmod(F.col("n_chars"), F.lit(41)) / F.lit(10.0)
+    return documents.join(labels, "doc_id", "left").select(
+        F.col("doc_id").cast("string").alias("product_id"),
+        F.when(lang != "es", F.concat_ws(" ", "source", "lang")).alias("title"),
+        F.when(F.col("quality").isNotNull(), rating).alias("rating"),
+        F.col("n_chars").alias("rating_number"),
+        F.when(lang == "en", text).when(lang == "fr", F.lit("")).alias("description"),
+        F.when(lang == "fr", text).alias("features"),
+        F.length(text).alias("review_length"),
+        F.col("source").alias("category"),
+        lang.alias("dataset"),
+    )
+
+
+def raw_products(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw metadata with arrays, a published average and a details text."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    available = F.date_add(F.lit("2015-01-01").cast("date"), F.pmod(key, F.lit(3000)).cast("int"))
+    shown = F.when(size <= 35, F.date_format(available, "MMMM d, yyyy")).when(
+        size <= 42, F.date_format(available, "d MMMM yyyy")
+    )
+    return table(spark, folder, "part").select(
+        F.concat(F.lit("A"), key.cast("string")).alias("parent_asin"),
+        F.col("p_name").alias("title"),
+        (F.lit(1) + F.pmod(size, F.lit(41)) / F.lit(10.0)).alias("average_rating"),
+        F.pmod(key, F.lit(97)).alias("rating_number"),
+        F.col("p_retailprice").cast("string").alias("price"),
+        F.col("p_type").alias("main_category"),
+        F.col("p_brand").alias("store"),
+        F.array("p_name", F.lit(None), "p_brand").alias("description"),
+        F.array("p_type").alias("features"),
+        F.array("p_type", "p_brand").alias("categories"),
+        F.concat(F.lit('{"Date First Available": "'), shown, F.lit('", "Rank": 1}')).alias("details"),
+    )
+
+
+def raw_products_plain(spark: SparkSession, folder: str) -> DataFrame:
+    """Another raw shape: ``asin`` and ``overall``, plain strings, its own category."""
+    return table(spark, folder, "part").select(
+        F.concat(F.lit("B"), F.col("p_partkey").cast("string")).alias("asin"),
+        F.col("p_name").alias("title"),
+        (F.col("p_size") / F.lit(10.0)).alias("overall"),
+        F.col("p_retailprice").alias("price"),
+        F.col("p_type").alias("description"),
+        F.col("p_brand").alias("category"),
+    )
+
+
+def raw_products_bare(spark: SparkSession, folder: str) -> DataFrame:
+    """A raw shape with neither id nor rating."""
+    return table(spark, folder, "part").select(F.col("p_name").alias("title"), F.col("p_brand").alias("store"))
