@@ -128,7 +128,37 @@ def basic_stats(spark, folder):
     f"with {REVIEWS} select category, {STATS_6} from (select category, {STATS} from reviews group by category)",
 )
 def basic_stats_by_category(spark, folder):
-    return stats.basic_stats(views.reviews(spark, folder), by=["category"])
+    counts = stats.rating_counts(views.reviews(spark, folder), by=["category"])
+    return stats.basic_stats(counts, ["category"])
+
+
+@query(
+    "exact_quantiles",
+    """select l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 6) as q1,
+              round(quantile_cont(l_extendedprice, 0.5), 6) as median,
+              round(quantile_cont(l_extendedprice, 0.75), 6) as q3
+       from lineitem group by l_returnflag""",
+)
+def exact_quantiles(spark, folder):
+    """Quartiles of a column with about as many distinct values as rows."""
+    items = views.table(spark, folder, "lineitem")
+    counts = stats.rating_counts(items, "l_extendedprice", ["l_returnflag"])
+    return stats.exact_quantiles(counts, by=["l_returnflag"], band=10.0)
+
+
+@query(
+    "exact_quantiles_overall",
+    f"""with {RATINGS}
+    select round(quantile_cont(rating, 0.25), 6) as q1, round(quantile_cont(rating, 0.5), 6) as median,
+           round(quantile_cont(rating, 0.75), 6) as q3 from ratings""",
+)
+def exact_quantiles_overall(spark, folder):
+    return stats.exact_quantiles(stats.rating_counts(views.ratings(spark, folder)))
+
+
+@query("approx_stats")
+def approx_stats(spark, folder):
+    return stats.approx_stats(views.ratings(spark, folder))
 
 
 # A bucket of width 0.5 is five tenths wide.
@@ -263,6 +293,6 @@ def chart_stars(spark, folder):
 def chart_box(spark, folder):
     from pyspark.sql import functions as F
 
-    box = charts.box_chart(stats.basic_stats(views.ratings(spark, folder)))
+    box = charts.box_chart(stats.rating_distribution(views.ratings(spark, folder))["basic_stats"])
     text = F.array_join(F.transform("box", lambda x: F.format_string("%.2f", x)), ",")
     return box.withColumn("box", text)

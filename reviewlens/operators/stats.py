@@ -1,4 +1,9 @@
-"""Distribution of ratings: summary statistics, histogram, stars."""
+"""Distribution of ratings: summary statistics, histogram, stars.
+
+The input is reduced to one row per distinct rating first, inside the map
+tasks and then across them. On a star scale that leaves a few dozen rows, from
+which everything else follows.
+"""
 
 from __future__ import annotations
 
@@ -9,59 +14,132 @@ from pyspark.sql import functions as F
 
 from reviewlens.functions import half_step, percent, star
 
-QUARTILES = (0.25, 0.5, 0.75)
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
+# Deviations are taken from a point inside the rating scale: squares of large
+# offsets would drown the spread.
+CENTRE = 3.0
+
+# Finest band in which ``exact_quantiles`` orders single values.
+BAND = 0.0001
 
-def stats_columns(rating: str = "rating", approx: bool = False, accuracy: int = 10_000) -> list[Column]:
-    """Aggregates of the summary row, all computed in the same pass."""
-    if approx:
-        quartiles = F.percentile_approx(rating, list(QUARTILES), accuracy)
-    else:
-        quartiles = F.percentile(rating, list(QUARTILES))
-    return [
-        F.count(rating).alias("count"),
-        F.min(rating).alias("min"),
-        F.max(rating).alias("max"),
-        F.avg(rating).alias("mean"),
-        F.stddev_samp(rating).alias("stddev"),
-        F.var_samp(rating).alias("variance"),
-        quartiles.alias("quartiles"),
-    ]
-
-
-def with_quartiles(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    q = F.col("quartiles")
-    return stats.select(
-        *by,
-        "count",
-        "min",
-        q[0].alias("q1"),
-        q[1].alias("median"),
-        q[2].alias("q3"),
-        "max",
-        "mean",
-        "stddev",
-        "variance",
-        (q[2] - q[0]).alias("iqr"),
-    )
 
+def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct rating."""
+    present = df.filter(F.col(rating).isNotNull())
+    return present.groupBy(*by, F.col(rating).alias("rating")).agg(F.count("*").alias("count"))
 
-def basic_stats(
-    df: DataFrame, rating: str = "rating", by: Sequence[str] = (), approx: bool = False
+
+def exact_quantiles(
+    counts: DataFrame,
+    probabilities: dict[str, float] = QUARTILES,
+    by: Sequence[str] = (),
+    band: float = BAND,
 ) -> DataFrame:
-    """One row: count, five-number summary, mean, spread.
+    """Interpolated quantiles of any number of distinct values, without gathering them.
+
+    Counts per band of values tell which bands hold the wanted positions; only
+    the values of those bands are put in order, each band on its own. What one
+    task sees is the list of bands of a group, or the values of one band.
+    """
+    banded = counts.withColumn("_band", F.floor(F.col("rating") / F.lit(band)))
+    along = Window.partitionBy(*by).orderBy("_band")
+    bands = (
+        banded.groupBy(*by, "_band")
+        .agg(F.sum("count").alias("_n"))
+        .withColumn("_below", F.sum("_n").over(along) - F.col("_n"))
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
+    )
+    positions = F.array(
+        *[
+            F.struct(F.lit(name).alias("_name"), (F.lit(p) * (F.col("_total") - 1)).alias("_position"))
+            for name, p in probabilities.items()
+        ]
+    )
+    ends = F.explode(F.array(F.floor("_position"), F.ceil("_position"))).alias("_index")
+    wanted = (
+        bands.select(*by, "_band", "_n", "_below", F.inline(positions))
+        .select(*by, "_band", "_n", "_below", "_name", "_position", ends)
+        .distinct()
+        .filter((F.col("_index") >= F.col("_below")) & (F.col("_index") < F.col("_below") + F.col("_n")))
+    )
+    inside = Window.partitionBy(*by, "_band").orderBy("rating")
+    chosen = banded.join(wanted.select(*by, "_band").distinct(), [*by, "_band"], "left_semi")
+    ordered = chosen.withColumn("_before", F.sum("count").over(inside) - F.col("count"))
+    index = F.col("_index") - F.col("_below")
+    found = ordered.join(wanted, [*by, "_band"]).filter(
+        (index >= F.col("_before")) & (index < F.col("_before") + F.col("count"))
+    )
+    at = found.groupBy(*by, "_name").agg(
+        F.min_by("rating", "_index").alias("_low"),
+        F.max_by("rating", "_index").alias("_high"),
+        F.max(F.col("_position") - F.floor("_position")).alias("_share"),
+    )
+    value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")
+    return at.groupBy(*by).agg(
+        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in probabilities]
+    )
+
+
+def basic_stats(counts: DataFrame, by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
+    """One row from rating counts: count, five-number summary, mean, spread.
 
-    Exact interpolated quartiles keep one counter per distinct rating, which a
-    star scale bounds. For a column with unbounded distinct values use
-    ``exact_quantiles``, or ``approx=True`` for a sketch of fixed size.
+    The quartiles keep one counter per distinct rating. A star scale bounds
+    those; for values without such a bound take ``exact_quantiles``.
     """
-    return with_quartiles(df.groupBy(*by).agg(*stats_columns(rating, approx)), by)
+    rating, times = F.col("rating"), F.col("count")
+    deviation = rating - F.lit(centre)
+    n = F.col("count")
+    spread = F.col("_squares") - F.col("_deviation") * F.col("_deviation") / n
+    quartiles = F.array(*[F.lit(p) for p in QUARTILES.values()])
+    return (
+        counts.groupBy(*by)
+        .agg(
+            F.sum(times).alias("count"),
+            F.min(rating).alias("min"),
+            F.max(rating).alias("max"),
+            F.sum(deviation * times).alias("_deviation"),
+            F.sum(deviation * deviation * times).alias("_squares"),
+            F.percentile(rating, quartiles, times).alias("_q"),
+        )
+        .withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES)})
+        .withColumn("mean", F.lit(centre) + F.col("_deviation") / n)
+        .withColumn("variance", F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
+        .select(
+            *by,
+            "count",
+            "min",
+            "q1",
+            "median",
+            "q3",
+            "max",
+            "mean",
+            F.sqrt("variance").alias("stddev"),
+            "variance",
+            (F.col("q3") - F.col("q1")).alias("iqr"),
+        )
+    )
 
 
-def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct rating: the base of histogram and stars."""
-    present = df.filter(F.col(rating).isNotNull())
-    return present.groupBy(*by, F.col(rating).alias("rating")).agg(F.count("*").alias("count"))
+def approx_stats(
+    df: DataFrame, rating: str = "rating", by: Sequence[str] = (), accuracy: int = 10_000
+) -> DataFrame:
+    """The same row straight from the input, with quartiles from a sketch of fixed size."""
+    sketch = F.percentile_approx(rating, list(QUARTILES.values()), accuracy)
+    row = df.groupBy(*by).agg(
+        F.count(rating).alias("count"),
+        F.min(rating).alias("min"),
+        F.max(rating).alias("max"),
+        F.avg(rating).alias("mean"),
+        F.stddev_samp(rating).alias("stddev"),
+        F.var_samp(rating).alias("variance"),
+        sketch.alias("_q"),
+    )
+    return (
+        row.withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES)})
+        .withColumn("iqr", F.col("q3") - F.col("q1"))
+        .drop("_q")
+    )
 
 
 def _distribution(counts: DataFrame, bucket: Column, name: str, by: Sequence[str]) -> DataFrame:
@@ -79,11 +157,11 @@ def star_distribution(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def rating_distribution(
-    df: DataFrame, rating: str = "rating", by: Sequence[str] = (), approx: bool = False
+    df: DataFrame, rating: str = "rating", by: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
     counts = rating_counts(df, rating, by)
     return {
         "histogram": histogram(counts, by),
         "star_distribution": star_distribution(counts, by),
-        "basic_stats": basic_stats(df, rating, by, approx),
+        "basic_stats": basic_stats(counts, by),
     }

@@ -1,9 +1,9 @@
 """Analysis bundles over one dataset, several, or all combined.
 
-The bundle reads the reviews twice at most: once into a summary with a row per
-(dataset, month, length bucket, rating), written to the shared folder, from
-which trends, bias and distribution tables derive; and once for the moments
-(quartiles, spread, correlation) that cannot be merged from it.
+The bundle reads the reviews once, into a summary with a row per (dataset,
+month, length bucket, rating) that is written to the shared folder. Trends,
+bias and distribution results of every dataset, and of all combined, derive
+from that table. On a rating scale it stays small whatever the input's size.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, safe_corr, star
+from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, star
 from reviewlens.operators import bias, stats, trends
-from reviewlens.operators.ratings import merge_partials, partial_ratings
+from reviewlens.operators.ratings import merge_partials
 from reviewlens.session import written
 from reviewlens.sinks import correlation_line, stats_lines, write_lines, write_results
 
@@ -24,6 +24,9 @@ log = logging.getLogger(__name__)
 
 COMBINED = "all_categories"
 
+# Lengths enter the correlation as deviations from a typical length.
+LENGTH_CENTRE = 500
+
 
 def review_summary(
     df: DataFrame,
@@ -34,15 +37,25 @@ def review_summary(
     edges: Sequence[int] = LENGTH_EDGES,
     labels: Sequence[str] = LENGTH_LABELS,
 ) -> DataFrame:
-    """Partial state at the grain all mergeable results share."""
+    """Partial state at the grain that all results share."""
+    deviation = (F.col(length_col) - F.lit(LENGTH_CENTRE)).cast("double")
     present = df.filter(F.col(rating_col).isNotNull()).select(
         *by,
         F.year(date_col).alias("year"),
         F.month(date_col).alias("month"),
         length_bucket(F.col(length_col), edges, labels).alias("length_bucket"),
         F.col(rating_col).alias("rating"),
+        F.col(length_col).alias("length"),
+        deviation.alias("deviation"),
+    )
+    return present.groupBy(*by, "year", "month", "length_bucket", "rating").agg(
+        F.sum("rating").alias("rating_sum"),
+        F.count("*").alias("review_count"),
+        F.min("length").alias("min_length"),
+        F.max("length").alias("max_length"),
+        F.sum("deviation").alias("length_deviation"),
+        F.sum(F.col("deviation") * F.col("deviation")).alias("length_squares"),
     )
-    return partial_ratings(present, [*by, "year", "month", "length_bucket", "rating"])
 
 
 def with_combined(summary: DataFrame, dataset_col: str, name: str = COMBINED) -> DataFrame:
@@ -51,6 +64,32 @@ def with_combined(summary: DataFrame, dataset_col: str, name: str = COMBINED) ->
     return summary.select(both, *[c for c in summary.columns if c != dataset_col])
 
 
+def summary_correlation(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pearson correlation of length and rating; null where either is constant."""
+    n = F.col("n")
+    rating = F.col("rating") - F.lit(stats.CENTRE)
+    sums = (
+        summary.filter(F.col("length_bucket").isNotNull())
+        .groupBy(*by)
+        .agg(
+            F.sum("review_count").alias("n"),
+            F.sum("length_deviation").alias("x"),
+            F.sum("length_squares").alias("xx"),
+            F.sum(rating * F.col("review_count")).alias("y"),
+            F.sum(rating * rating * F.col("review_count")).alias("yy"),
+            F.sum(rating * F.col("length_deviation")).alias("xy"),
+            (
+                (F.min("min_length") < F.max("max_length")) & (F.min("rating") < F.max("rating"))
+            ).alias("varied"),
+        )
+    )
+    spread_x = F.col("xx") - F.col("x") * F.col("x") / n
+    spread_y = F.col("yy") - F.col("y") * F.col("y") / n
+    shared = F.col("xy") - F.col("x") * F.col("y") / n
+    correlation = F.when(F.col("varied"), F.try_divide(shared, F.sqrt(spread_x) * F.sqrt(spread_y)))
+    return sums.select(*by, correlation.alias("correlation"))
+
+
 def from_summary(summary: DataFrame, by: Sequence[str] = ()) -> dict[str, dict[str, DataFrame]]:
     months = merge_partials(summary.filter(F.col("year").isNotNull()), [*by, "year", "month"])
     lengths = merge_partials(
@@ -69,39 +108,16 @@ def from_summary(summary: DataFrame, by: Sequence[str] = ()) -> dict[str, dict[s
         "bias": {
             "bucket_stats": bias.bucket_stats(lengths, by),
             "rating_pivot": bias.rating_pivot(lengths, by),
+            "correlation": summary_correlation(summary, by),
         },
         "stats": {
             "histogram": stats.histogram(counts, by),
             "star_distribution": stats.star_distribution(counts, by),
+            "basic_stats": stats.basic_stats(counts, by),
         },
     }
 
 
-def review_moments(
-    df: DataFrame,
-    dataset_col: str | None = None,
-    combined: str | None = None,
-    length_col: str = "review_length",
-    rating_col: str = "rating",
-    approx: bool = False,
-) -> DataFrame:
-    """Summary statistics and length correlation in one scan, per dataset and combined."""
-    measures = [
-        *stats.stats_columns(rating_col, approx),
-        safe_corr(F.col(length_col), F.col(rating_col)).alias("correlation"),
-    ]
-    if dataset_col is None:
-        return df.agg(*measures)
-    if combined is None:
-        return df.groupBy(dataset_col).agg(*measures)
-    dataset = F.col(dataset_col)
-    grouped = df.groupingSets([[dataset], []], dataset).agg(
-        F.grouping(dataset).alias("_all"), *measures
-    )
-    name = F.when(F.col("_all") == 1, F.lit(combined)).otherwise(dataset)
-    return grouped.withColumn(dataset_col, name).drop("_all")
-
-
 def analyze(
     df: DataFrame,
     dataset_col: str | None = None,
@@ -109,27 +125,19 @@ def analyze(
     date_col: str = "timestamp",
     length_col: str = "review_length",
     rating_col: str = "rating",
-    approx: bool = False,
 ) -> dict[str, dict[str, DataFrame]]:
     """Trend, bias and distribution results, keyed by analysis and result name.
 
-    With ``dataset_col`` every frame has a row set per dataset; ``combined``
-    adds one over all of them. The summary and the moments are written once
-    before the results are derived, so no result scans the reviews again.
+    With ``dataset_col`` every frame has rows per dataset; ``combined`` adds
+    those of all datasets together under that name.
     """
+    if combined and not dataset_col:
+        raise ValueError("a combined result needs a dataset column")
     by = [dataset_col] if dataset_col else []
     summary = written(review_summary(df, by, date_col, length_col, rating_col), "summary")
-    moments = written(
-        review_moments(df, dataset_col, combined, length_col, rating_col, approx), "moments"
-    )
     if combined:
-        if not dataset_col:
-            raise ValueError("a combined result needs a dataset column")
         summary = with_combined(summary, dataset_col, combined)
-    results = from_summary(summary, by)
-    results["bias"]["correlation"] = moments.select(*by, "correlation")
-    results["stats"]["basic_stats"] = stats.with_quartiles(moments, by)
-    return results
+    return from_summary(summary, by)
 
 
 def save_analysis(
