@@ -64,11 +64,13 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     category is dropped whole. All fields stay text: see ``split_events``.
     """
     schema = StructType([*EVENT_TEXT.fields, StructField(_CORRUPT, StringType())])
+    # A parser that skips unused fields does not notice that a row is short.
     rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
@@ -76,11 +78,12 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_aggregate_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated ``key, mean, count`` lines of a finished aggregation."""
+    """Tab-separated ``key, mean, count`` lines; lines of any other shape are skipped."""
     return (
         spark.read.schema(AGGREGATE_LINE)
         .option("sep", "\t")
         .option("mode", "DROPMALFORMED")
+        .option("columnPruning", False)
         .csv(path)
     )
 
