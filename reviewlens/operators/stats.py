@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import half_step, percent, star
+from reviewlens.operators.joins import same_group_join
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -64,10 +65,10 @@ def exact_quantiles(
         .filter((F.col("_index") >= F.col("_below")) & (F.col("_index") < F.col("_below") + F.col("_n")))
     )
     inside = Window.partitionBy(*by, "_band").orderBy("rating")
-    chosen = banded.join(wanted.select(*by, "_band").distinct(), [*by, "_band"], "left_semi")
+    chosen = same_group_join(banded, wanted.select(*by, "_band").distinct(), [*by, "_band"], "left_semi")
     ordered = chosen.withColumn("_before", F.sum("count").over(inside) - F.col("count"))
     index = F.col("_index") - F.col("_below")
-    found = ordered.join(wanted, [*by, "_band"]).filter(
+    found = same_group_join(ordered, wanted, [*by, "_band"]).filter(
         (index >= F.col("_before")) & (index < F.col("_before") + F.col("count"))
     )
     at = found.groupBy(*by, "_name").agg(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.operators.joins import same_group_join
 from reviewlens.operators.prepare import CATEGORY, PRODUCT
 
 # Section titles in report order.
@@ -38,20 +39,18 @@ def popularity_order() -> list[Column]:
 
 
 def ranked(
-    tagged: DataFrame, item_type: str, order: Sequence[Column], top: int | None, by: Sequence[str] = ()
+    tagged: DataFrame, item_type: str, order: Sequence[Column], top: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """One numbered list per ``by`` group; ``top=None`` lists all.
+    """The best ``top`` items of each ``by`` group, numbered.
 
-    Works on aggregated rows. With a limit each task keeps only its own best
-    rows before anything is shuffled.
+    Works on aggregated rows; each task keeps only its own best ones before
+    anything is shuffled.
     """
     items = tagged.filter(F.col("item_type") == item_type).select(*by, *_COLUMNS)
-    if top is not None and not by:
+    if not by:
         items = items.orderBy(*order).limit(top)
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    numbered = items.withColumn("rank", rank)
-    if top is not None:
-        numbered = numbered.filter(F.col("rank") <= top)
+    numbered = items.withColumn("rank", rank).filter(F.col("rank") <= top)
     return numbered.select(*by, "rank", *_COLUMNS)
 
 
@@ -63,43 +62,66 @@ def top_products_by_popularity(tagged, top=TOP, min_reviews=MIN_REVIEWS, by=())
     return ranked(minimum_support(tagged, min_reviews), PRODUCT, popularity_order(), top, by)
 
 
-def categories_by_rating(tagged, by=()) -> DataFrame:
-    return ranked(tagged, CATEGORY, rating_order(), None, by)
-
-
-def categories_by_popularity(tagged, by=()) -> DataFrame:
-    return ranked(tagged, CATEGORY, popularity_order(), None, by)
-
-
-def _two_lists(items: DataFrame, first_section: int, by: Sequence[str]) -> DataFrame:
-    """Every item under a rating and a popularity section, ranked in one window.
+def _listed(items: DataFrame, sections: Sequence[int], by: Sequence[str]) -> DataFrame:
+    """Every item once per section; odd sections go by rating, even ones by popularity.
 
     ``score`` is the section's main measure. Equal scores go by descending key
-    in the rating list and by ascending key in the popularity list.
+    in a rating list and by ascending key in a popularity list.
     """
-    def entry(section: int, score: Column, descending: Column, ascending: Column) -> Column:
+    key, none = F.col("item_key"), F.lit(None)
+
+    def entry(section: int) -> Column:
+        by_rating = section % 2 == 1
         return F.struct(
             F.lit(section).alias("section_no"),
-            score.cast("double").alias("score"),
-            descending.cast("string").alias("last_key_first"),
-            ascending.cast("string").alias("first_key_first"),
+            F.col("avg_rating" if by_rating else "review_count").cast("double").alias("score"),
+            (key if by_rating else none).cast("string").alias("last_key_first"),
+            (none if by_rating else key).cast("string").alias("first_key_first"),
         )
 
-    key, none = F.col("item_key"), F.lit(None)
-    listed = items.select(
-        *by,
-        *_COLUMNS,
-        F.inline(
-            F.array(
-                entry(first_section, F.col("avg_rating"), key, none),
-                entry(first_section + 1, F.col("review_count"), none, key),
-            )
-        ),
-    )
-    window = Window.partitionBy(*by, "section_no").orderBy(
-        F.desc("score"), F.desc("last_key_first"), F.asc("first_key_first")
+    return items.select(*by, *_COLUMNS, F.inline(F.array(*[entry(section) for section in sections])))
+
+
+def _list_order() -> list[Column]:
+    return [F.desc("score"), F.desc("last_key_first"), F.asc("first_key_first")]
+
+
+def _top_of_lists(listed: DataFrame, by: Sequence[str], top: int) -> DataFrame:
+    window = Window.partitionBy(*by, "section_no").orderBy(*_list_order())
+    return listed.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= top)
+
+
+def _whole_lists(listed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Number complete lists without putting a list into one task.
+
+    Scores fall into bands: hundredths of a rating, powers of two of a count.
+    An item's rank is the size of all higher bands plus its place in its own,
+    so one task orders one band, and only band sizes are added up in order.
+    """
+    keys = [*by, "section_no", "_band"]
+    band = F.when(F.col("section_no") % 2 == 1, F.round(F.col("score") * 100)).otherwise(
+        F.floor(F.log2("score"))
     )
-    return listed.withColumn("rank", F.row_number().over(window))
+    banded = listed.withColumn("_band", band.cast("bigint"))
+    higher = Window.partitionBy(*by, "section_no").orderBy(F.desc("_band"))
+    sizes = banded.groupBy(*keys).agg(F.count("*").alias("_size"))
+    above = sizes.select(*keys, (F.sum("_size").over(higher) - F.col("_size")).alias("_above"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_list_order()))
+    placed = same_group_join(banded.withColumn("_place", place), above, keys)
+    return placed.withColumn("rank", (F.col("_above") + F.col("_place")).cast("int"))
+
+
+def _whole_list(tagged: DataFrame, section: int, by: Sequence[str]) -> DataFrame:
+    categories = tagged.filter(F.col("item_type") == CATEGORY)
+    return _whole_lists(_listed(categories, [section], by), by).select(*by, "rank", *_COLUMNS)
+
+
+def categories_by_rating(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return _whole_list(tagged, 3, by)
+
+
+def categories_by_popularity(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return _whole_list(tagged, 4, by)
 
 
 def top_analysis(
@@ -107,11 +129,11 @@ def top_analysis(
 ) -> DataFrame:
     """All four lists as one table, keyed by ``section_no`` and ``rank``."""
     supported = minimum_support(tagged, min_reviews)
-    products = _two_lists(supported.filter(F.col("item_type") == PRODUCT), 1, by)
-    categories = _two_lists(supported.filter(F.col("item_type") == CATEGORY), 3, by)
+    products = _listed(supported.filter(F.col("item_type") == PRODUCT), [1, 2], by)
+    categories = _listed(supported.filter(F.col("item_type") == CATEGORY), [3, 4], by)
     titles = F.array(*[F.lit(title) for title in SECTIONS])
     return (
-        products.filter(F.col("rank") <= top)
-        .unionByName(categories)
+        _top_of_lists(products, by, top)
+        .unionByName(_whole_lists(categories, by), allowMissingColumns=True)
         .select(*by, "section_no", titles[F.col("section_no") - 1].alias("section"), "rank", *_COLUMNS)
     )

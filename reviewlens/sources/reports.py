@@ -11,27 +11,34 @@ from reviewlens.operators.topk import SECTIONS
 def read_report(spark: SparkSession, path: str, sections: list[str] | None = None) -> DataFrame:
     """Ranked rows of a report with the section each one stands in.
 
-    A report is a short text whose meaning depends on line order, so each file
-    is one row until its lines are numbered. A line belongs to the last title
-    at or above it; only lines that start with a digit and have the four
-    fields of a ranked row count.
+    A line belongs to the last title above it. Titles are few: they become
+    spans of line positions, to which each line is matched where it is read.
+    Only lines that start with a digit and have the four fields of a ranked
+    row count.
     """
-    lines = spark.read.text(path, wholetext=True).select(
+    position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
-        F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"),
+        position.alias("position"),
+        F.btrim("value", F.lit("\r")).alias("line"),
     )
-    title = F.when(F.btrim("line").isin(*SECTIONS), F.btrim("line"))
-    in_order = Window.partitionBy("file").orderBy("pos")
+    in_order = Window.partitionBy("file").orderBy("start")
+    spans = (
+        lines.filter(F.btrim("line").isin(*SECTIONS))
+        .select("file", F.btrim("line").alias("section"), F.col("position").alias("start"))
+        .withColumn("end", F.lead("start").over(in_order))
+    )
+    if sections:
+        spans = spans.filter(F.col("section").isin(*sections))
     fields = F.split("line", "\t")
-    rows = (
-        lines.withColumn("section", F.last(title, ignorenulls=True).over(in_order))
-        .filter(F.col("line").rlike(r"^[0-9]") & (F.size(fields) >= 4) & F.col("section").isNotNull())
-        .select(
-            "section",
-            fields[0].try_cast("int").alias("rank"),
-            fields[1].alias("item_key"),
-            fields[2].try_cast("double").alias("avg_rating"),
-            fields[3].try_cast("bigint").alias("review_count"),
-        )
+    rows = lines.filter(F.col("line").rlike(r"^[0-9]") & (F.size(fields) >= 4))
+    inside = (F.col("position") > F.col("start")) & (
+        F.col("end").isNull() | (F.col("position") < F.col("end"))
+    )
+    return rows.join(spans, "file").filter(inside).select(
+        "section",
+        fields[0].try_cast("int").alias("rank"),
+        fields[1].alias("item_key"),
+        fields[2].try_cast("double").alias("avg_rating"),
+        fields[3].try_cast("bigint").alias("review_count"),
     )
-    return rows.filter(F.col("section").isin(*sections)) if sections else rows

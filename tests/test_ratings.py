@@ -212,3 +212,24 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark, hot):
     assert counts["PRODUCT", "hot"] == int(n * hot) and counts["CATEGORY", "c"] == n
     plan = ratings.product_ratings(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_lists_keep_rows_without_a_dataset(spark):
+    df = spark.createDataFrame(
+        [(None, "p", 4.0, "c"), ("d", "q", 3.0, "c"), (None, "r", 2.0, "e")],
+        "dataset string, product_id string, rating double, category string",
+    )
+    lists = top_lists(df, min_reviews=1, by=["dataset"]).filter("section_no = 3").collect()
+    assert sorted((str(r.dataset), r.rank, r.item_key) for r in lists) == [("None", 1, "c"), ("None", 2, "e"), ("d", 1, "c")]
+
+
+def test_whole_lists_are_numbered_over_many_bands(spark):
+    data = [("CATEGORY", f"c{i}", 1 + i % 401 / 100, i * i % 977 + 1) for i in range(3000)]
+    tagged = spark.createDataFrame(
+        data, "item_type string, item_key string, avg_rating double, review_count bigint"
+    )
+    by_rating = sorted(data, key=lambda x: (x[2], x[1]), reverse=True)
+    assert [r.item_key for r in topk.categories_by_rating(tagged).orderBy("rank").collect()] == [x[1] for x in by_rating]
+    by_popularity = sorted(data, key=lambda x: (-x[3], x[1]))
+    ranks = topk.categories_by_popularity(tagged).orderBy("rank").collect()
+    assert [(r.rank, r.item_key) for r in ranks] == [(i, x[1]) for i, x in enumerate(by_popularity, 1)]
