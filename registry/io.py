@@ -72,8 +72,10 @@ def roundtrip_tsv(spark, folder):
 
 @query(
     "roundtrip_gzjson",
-    """select vec_id, label, len(embedding) as dimensions,
-              round(list_sum(list_transform(embedding, lambda x: x::double)), 6) as total from embeddings""",
+    """select vec_id, label, cast(len(embedding) as int) as dimensions,
+              cast(list_sum(list_transform(embedding, lambda x: cast(floor(x::double * 1000000) as bigint)))
+                as bigint) as total
+       from embeddings""",
 )
 def roundtrip_gzjson(spark, folder):
     """Array columns through gz JSON Lines."""
@@ -81,7 +83,8 @@ def roundtrip_gzjson(spark, folder):
     path = scratch_path(spark, "gzjson")
     write_json(source, path, "gzip")
     back = spark.read.schema(source.schema).json(path)
-    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    millionths = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000000))
+    total = F.aggregate(millionths, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return back.select("vec_id", "label", F.size("embedding").alias("dimensions"), total.alias("total"))
 
 

@@ -13,12 +13,16 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(px, py), F.stddev_pop(px) * F.stddev_pop(py))
 
 
+# Bands from the outside in. An edge belongs to its outer band.
+BELOW = {"Strong Negative": -0.5, "Moderate Negative": -0.3}
+ABOVE = {"Strong Positive": 0.5, "Moderate Positive": 0.3}
+BETWEEN = "Weak/No Correlation"
+
+
 def correlation_band(value: Column) -> Column:
-    return (
-        F.when(value.isNull(), "undefined")
-        .when(value <= -0.5, "Strong Negative")
-        .when(value <= -0.3, "Moderate Negative")
-        .when(value < 0.3, "Weak/No Correlation")
-        .when(value < 0.5, "Moderate Positive")
-        .otherwise("Strong Positive")
-    )
+    band = F.when(value.isNull(), "undefined")
+    for label, edge in BELOW.items():
+        band = band.when(value <= edge, label)
+    for label, edge in ABOVE.items():
+        band = band.when(value >= edge, label)
+    return band.otherwise(BETWEEN)

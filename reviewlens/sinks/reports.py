@@ -1,4 +1,4 @@
-"""Text reports: top lists, statistics, correlation. All are a few lines long."""
+"""Text reports: top lists, statistics, correlation."""
 
 from __future__ import annotations
 
@@ -47,7 +47,7 @@ def report_lines(top: DataFrame) -> DataFrame:
             F.col("review_count").cast("string"),
         ).alias("value"),
     )
-    return rows.unionByName(fixed_lines).orderBy("section_no", "line_no")
+    return rows.unionByName(fixed_lines)
 
 
 def stats_lines(basic_stats: DataFrame) -> DataFrame:
@@ -67,7 +67,10 @@ def correlation_line(correlation: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """A report as one text file in line order. For reports only: it runs as one task."""
+    """A report as text in line order.
+
+    A short report is one file; a long one spans several, whose names sort in
+    the order of its lines.
+    """
     order = [c for c in lines.columns if c != "value"]
-    ordered = lines.repartition(1).sortWithinPartitions(*order)
-    ordered.select("value").write.mode("overwrite").text(path)
+    lines.orderBy(*order).select("value").write.mode("overwrite").text(path)

@@ -11,21 +11,22 @@ from reviewlens.operators.topk import SECTIONS
 def read_report(spark: SparkSession, path: str, sections: list[str] | None = None) -> DataFrame:
     """Ranked rows of a report with the section each one stands in.
 
-    A line belongs to the last title above it. Titles are few: they become
-    spans of line positions, to which each line is matched where it is read.
-    Only lines that start with a digit and have the four fields of a ranked
-    row count.
+    A line belongs to the last title above it in its folder, whose files are
+    taken in name order. Titles are few: they become spans of line positions,
+    to which each line is matched where it is read. Only lines that start with
+    a digit and have the four fields of a ranked row count.
     """
-    position = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    meta = F.col("_metadata")
+    position = F.struct(meta["file_name"], meta["file_block_start"], F.monotonically_increasing_id())
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.regexp_extract(meta["file_path"], "^(.*)/", 1).alias("folder"),
         position.alias("position"),
         F.btrim("value", F.lit("\r")).alias("line"),
     )
-    in_order = Window.partitionBy("file").orderBy("start")
+    in_order = Window.partitionBy("folder").orderBy("start")
     spans = (
         lines.filter(F.btrim("line").isin(*SECTIONS))
-        .select("file", F.btrim("line").alias("section"), F.col("position").alias("start"))
+        .select("folder", F.btrim("line").alias("section"), F.col("position").alias("start"))
         .withColumn("end", F.lead("start").over(in_order))
     )
     if sections:
@@ -35,7 +36,7 @@ def read_report(spark: SparkSession, path: str, sections: list[str] | None = Non
     inside = (F.col("position") > F.col("start")) & (
         F.col("end").isNull() | (F.col("position") < F.col("end"))
     )
-    return rows.join(spans, "file").filter(inside).select(
+    return rows.join(spans, "folder").filter(inside).select(
         "section",
         fields[0].try_cast("int").alias("rank"),
         fields[1].alias("item_key"),

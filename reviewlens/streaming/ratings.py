@@ -37,14 +37,19 @@ def rating_updates(
     rating_col: str = "rating",
     lateness: str = "1 day",
 ) -> DataFrame:
-    """Partial state per key and day, updated as events arrive; later ones are dropped."""
-    timed = events.withColumn("_ts", F.col(time_col).cast("timestamp")).withWatermark("_ts", lateness)
+    """Partial state per key and day, updated as events arrive; later ones are dropped.
+
+    Windows start at midnight UTC. Times are moved there and back by the
+    session's zone, so that a day is a calendar day of the data in any zone.
+    """
+    zone = F.current_timezone()
+    shown = F.from_utc_timestamp(F.col(time_col).cast("timestamp"), zone)
+    timed = events.withColumn("_ts", shown).withWatermark("_ts", lateness)
     daily = timed.groupBy(*keys, F.window("_ts", "1 day").alias("_window")).agg(
         F.sum(rating_col).alias("rating_sum"), F.count(rating_col).alias("review_count")
     )
-    return daily.select(
-        *keys, F.col("_window.start").cast("date").alias(DAY), "rating_sum", "review_count"
-    )
+    day = F.to_utc_timestamp(F.col("_window.start"), zone).cast("date").alias(DAY)
+    return daily.select(*keys, day, "rating_sum", "review_count")
 
 
 def stream_ratings(updates: DataFrame, output: str, checkpoint: str) -> StreamingQuery:

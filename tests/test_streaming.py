@@ -56,3 +56,14 @@ def test_rows_behind_the_watermark_are_dropped(spark, folder, rows):
     folder("c", [("p", 1.0, "2024-01-01T00:00:00"), ("p", 2.0, "2024-01-10T12:00:00")])
     days = daily_ratings(run(spark, folder.path)).selectExpr("string(day) day", "review_count")
     assert rows(days) == [("2024-01-10", 3)]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_days_are_calendar_days_in_any_zone(spark, folder, rows, zone):
+    folder("a", [("p", 4.0, "2024-01-01T00:30:00"), ("p", 2.0, "2024-01-01T23:30:00"), ("p", 1.0, "2024-01-02T01:00:00")])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        days = daily_ratings(run(spark, folder.path)).selectExpr("string(day) day", "review_count")
+        assert rows(days) == [("2024-01-01", 2), ("2024-01-02", 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
