@@ -14,6 +14,7 @@ from reviewlens.operators.quality import validation_report, validation_rollup
 from reviewlens.operators.topk import MIN_REVIEWS, TOP
 from reviewlens.plans.analysis import COMBINED, analyze, save_analysis
 from reviewlens.plans.datasets import prepare, preprocess, union_all
+from reviewlens.plans.scripts import run_scripts
 from reviewlens.plans.top_lists import integrated_report, top_job, top_lists
 from reviewlens.session import build_session
 from reviewlens.sinks import export, write_json, write_parquet
@@ -85,6 +86,14 @@ def run_analyze(spark, args):
     return errors
 
 
+def run_mapreduce(spark, args):
+    """Mapper and reducer scripts over each input's text lines."""
+    for name, path in args.inputs:
+        run_scripts(
+            spark, args.mapper, args.reducer, path, f"{args.output}/{name}", args.combiner, args.partitions
+        ).show(truncate=False)
+
+
 def run_profile(spark, args):
     for _, path in args.inputs:
         json_profile(spark, path).show(truncate=False)
@@ -102,6 +111,7 @@ JOBS = {
     "convert": run_convert,
     "top": run_top,
     "analyze": run_analyze,
+    "mapreduce": run_mapreduce,
     "profile": run_profile,
     "inventory": run_inventory,
 }
@@ -112,7 +122,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("inputs", nargs="+", type=_named, metavar="NAME=PATH")
     parser.add_argument("--output", help="folder to write to")
-    parser.add_argument("--partitions", type=int, help="spread rows read from gz files over this many tasks")
+    parser.add_argument("--partitions", type=int, help="tasks for rows read from gz files, or reducers")
+    parser.add_argument("--mapper", help="script for mapreduce")
+    parser.add_argument("--reducer", help="script for mapreduce")
+    parser.add_argument("--combiner", help="script for mapreduce, same line format in and out")
     parser.add_argument("--pairs", action="store_true", help="inputs are tab-separated rating pairs")
     parser.add_argument("--top", type=int, default=TOP)
     parser.add_argument("--min-reviews", type=int, default=MIN_REVIEWS)
@@ -122,6 +135,8 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     args = parser.parse_args(argv)
     if args.job not in ("profile", "inventory") and not args.output:
         parser.error("--output is needed")
+    if args.job == "mapreduce" and not (args.mapper and args.reducer):
+        parser.error("--mapper and --reducer are needed")
     outcome = JOBS[args.job](spark or build_session(), args)
     if outcome:
         print(outcome)

@@ -55,6 +55,30 @@ def test_profile_and_inventory_print(spark, raw, capsys):
     assert "object_lines" in shown and "raw.json" in shown
 
 
+def test_scripts_as_mapper_and_reducer(spark, tmp_path, capsys):
+    (tmp_path / "words_map.py").write_text(
+        "import sys\nfor line in sys.stdin:\n    for w in line.split():\n        print(w + '\\t1')\n"
+    )
+    (tmp_path / "words_reduce.py").write_text(
+        "import sys, itertools\n"
+        "pairs = (line.rstrip('\\n').split('\\t') for line in sys.stdin)\n"
+        "for word, group in itertools.groupby(pairs, lambda p: p[0]):\n"
+        "    print(word + '\\t' + str(sum(int(n) for _, n in group)))\n"
+    )
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.txt").write_text("a b a\nc a\n" * 10)
+    scripts = ["--mapper", f"{tmp_path}/words_map.py", "--reducer", f"{tmp_path}/words_reduce.py"]
+    inputs = [f"words={tmp_path}/in", "--output", f"{tmp_path}/out"]
+    for extra in ([], ["--combiner", f"{tmp_path}/words_reduce.py", "--partitions", "2"]):
+        main(["mapreduce", *inputs, *scripts, *extra], spark)
+        counted = sorted(r.value for r in spark.read.text(f"{tmp_path}/out/words").collect())
+        assert counted == ["a\t90", "b\t30", "c\t30"]
+    assert "output_lines" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["mapreduce", *inputs], spark)
+
+
 def test_arguments_are_checked(spark, raw):
     with pytest.raises(SystemExit):
         main(["top", f"x={raw}"], spark)
