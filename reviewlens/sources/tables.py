@@ -61,7 +61,7 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Review events from CSV with a header, columns taken by position.
 
     Longer rows keep their first five fields; a row too short to have a
-    category is dropped whole. All fields stay text: see ``split_events``.
+    category is dropped whole. All fields stay text: see ``good_events``.
     """
     schema = StructType([*EVENT_TEXT.fields, StructField(_CORRUPT, StringType())])
     # A parser that skips unused fields does not notice that a row is short.
@@ -74,7 +74,11 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
-    return rows.filter(F.col("category").isNotNull() | F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    # Only rows of an unexpected width keep their text; commas in quotes do not count.
+    unquoted = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*"', "")
+    wide_enough = F.size(F.split(unquoted, ",")) >= len(EVENT_TEXT)
+    kept = F.col("category").isNotNull() | F.col(_CORRUPT).isNull() | wide_enough
+    return rows.filter(kept).drop(_CORRUPT)
 
 
 def read_aggregate_lines(spark: SparkSession, path: str) -> DataFrame:

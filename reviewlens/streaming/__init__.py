@@ -1,4 +1,5 @@
 from reviewlens.streaming.ratings import (
+    compact,
     latest_state,
     rating_updates,
     read_stream,
@@ -6,4 +7,4 @@ from reviewlens.streaming.ratings import (
     stream_ratings,
 )
 
-__all__ = ["latest_state", "rating_updates", "read_stream", "run_available", "stream_ratings"]
+__all__ = ["compact", "latest_state", "rating_updates", "read_stream", "run_available", "stream_ratings"]

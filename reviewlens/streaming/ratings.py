@@ -71,14 +71,47 @@ def run_available(updates: DataFrame, output: str, checkpoint: str) -> None:
     stream_ratings(updates, output, checkpoint).awaitTermination()
 
 
-def latest_state(spark: SparkSession, output: str, keys: Sequence[str]) -> DataFrame:
-    """Newest partial state per key and day of everything written so far."""
-    state = F.struct("rating_sum", "review_count")
-    changes = spark.read.parquet(output)
+def _newest(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    state = F.struct("rating_sum", "review_count", "batch")
     newest = changes.groupBy(*keys, DAY).agg(F.max_by(state, "batch").alias("state"))
     return newest.select(*keys, DAY, "state.*")
 
 
+def _changes(spark: SparkSession, output: str, base: str | None) -> DataFrame:
+    """All changes, or a compacted table and the changes of later batches only."""
+    changes = spark.read.parquet(output)
+    if base is None:
+        return changes
+    compacted = spark.read.parquet(base)
+    last = compacted.agg(F.max("compacted_to")).first()[0]
+    later = changes if last is None else changes.filter(F.col("batch") > last)
+    return later.unionByName(compacted.drop("compacted_to"))
+
+
+def latest_state(
+    spark: SparkSession, output: str, keys: Sequence[str], base: str | None = None
+) -> DataFrame:
+    """Newest partial state per key and day of everything written so far.
+
+    With ``base``, a table from ``compact``, the batch folders it covers are
+    not read again.
+    """
+    return _newest(_changes(spark, output, base), keys).drop("batch")
+
+
+def compact(
+    spark: SparkSession, output: str, keys: Sequence[str], target: str, base: str | None = None
+) -> None:
+    """Write the newest state to ``target``, so that readers need not go through old batches.
+
+    ``base`` is an earlier compacted table to start from; ``target`` must be
+    another folder. Batch folders up to the compacted one may then be removed.
+    """
+    last = spark.read.parquet(output).agg(F.max("batch")).first()[0]
+    newest = _newest(_changes(spark, output, base).filter(F.col("batch") <= last), keys)
+    newest.withColumn("compacted_to", F.lit(last)).write.mode("overwrite").parquet(target)
+
+
 def daily_ratings(state: DataFrame) -> DataFrame:
     return finish(state)
 

@@ -9,10 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the test tables; its schema is taken from a file footer once per application."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _rating() -> Column:
@@ -65,7 +74,7 @@ def review_events(spark: SparkSession, folder: str) -> DataFrame:
         F.when(number == 6, F.lit("  ")).otherwise(F.col("part").cast("string")).alias("product_id"),
         F.col("l_suppkey").cast("string").alias("user_id"),
         F.when(number == 7, F.lit("bad"))
-        .otherwise(F.format_string(" %.1f", _rating()))
+        .otherwise(F.concat(F.lit(" "), _rating().cast("string")))
         .alias("rating"),
         F.when(number == 5, F.lit("")).otherwise(F.concat(F.lit(" "), "p_type")).alias("category"),
     )

@@ -28,6 +28,8 @@ r5,,u5, 2.5 ,c2
 r6,"p,6",u6,3,c1,extra
 r7,p7,u7,1.0,
 r8,p8,u8,nan,c1
+r9,p9,u9,2.0,,extra
+r10,"p,10","u,10",4.0
 """
 SHOWN = ("item_type", "item_key", "avg_rating", "review_count")
 
@@ -84,6 +86,7 @@ def test_bad_rows_are_dropped_whole(spark, tmp_path, rows):
         ("PRODUCT", "p,6", 3.0, 1),
         ("PRODUCT", "p1", 4.5, 1),
         ("PRODUCT", "p7", 1.0, 1),
+        ("PRODUCT", "p9", 2.0, 1),
     ]
 
 

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
+from reviewlens.streaming import compact, latest_state, rating_updates, read_stream, run_available
 from reviewlens.streaming.ratings import daily_ratings, monthly_ratings
 
 SCHEMA = "product_id string, rating double, ts timestamp_ntz"
@@ -67,3 +67,18 @@ def test_days_are_calendar_days_in_any_zone(spark, folder, rows, zone):
         assert rows(days) == [("2024-01-01", 2), ("2024-01-02", 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_compacted_state_equals_the_whole_history(spark, folder, rows):
+    folder("a", [("p", 4.0, "2024-01-01T10:00:00"), ("q", 3.0, "2024-01-01T10:00:00")])
+    run(spark, folder.path)
+    output, base, second = (str(folder.path / name) for name in ("out", "base", "second"))
+    compact(spark, output, ["product_id"], base)
+    folder("b", [("p", 2.0, "2024-01-01T12:00:00"), ("p", 5.0, "2024-01-02T00:00:00")])
+    whole = rows(run(spark, folder.path))
+    assert rows(latest_state(spark, output, ["product_id"], base)) == whole
+    compact(spark, output, ["product_id"], second, base)
+    later = latest_state(spark, output, ["product_id"], second)
+    assert rows(later) == whole
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan
