@@ -13,6 +13,7 @@ from reviewlens.functions.lengths import (
 from reviewlens.functions.ratings import (
     finite,
     half_step,
+    is_rating,
     parse_rating,
     percent,
     star,
@@ -21,6 +22,7 @@ from reviewlens.functions.ratings import (
 from reviewlens.functions.text import (
     clean_key,
     fixed,
+    has_text,
     joined_text,
     name_from_path,
     one_line,
@@ -38,6 +40,8 @@ __all__ = [
     "first_positive_length",
     "fixed",
     "half_step",
+    "has_text",
+    "is_rating",
     "joined_text",
     "length_bucket",
     "month_start",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DECIMAL_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_DECIMAL_NUMBER = r"^[ \t\r\n]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\r\n]*$"
 
 
 def finite(value: Column) -> Column:
@@ -13,10 +13,20 @@ def finite(value: Column) -> Column:
     return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
+def _number(text: Column) -> Column:
+    """A cast alone would take ``nan``, ``4.5f`` and hexadecimal numbers too."""
+    return F.when(text.rlike(_DECIMAL_NUMBER), F.btrim(text, F.lit(" \t\r\n")).try_cast("double"))
+
+
 def parse_rating(text: Column) -> Column:
     """Text to a finite double; anything that is no plain decimal number is null."""
-    trimmed = F.btrim(text, F.lit(" \t\r\n"))
-    return finite(F.when(trimmed.rlike(_DECIMAL_NUMBER), trimmed.try_cast("double")))
+    infinity = F.lit(float("inf"))
+    return F.nullif(F.nullif(_number(text), infinity), -infinity)
+
+
+def is_rating(text: Column) -> Column:
+    """Whether ``parse_rating`` gives a value; as a filter it reads the text once."""
+    return F.coalesce(F.abs(_number(text)) < F.lit(float("inf")), F.lit(False))
 
 
 def two_decimals(mean: Column) -> Column:

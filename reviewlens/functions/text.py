@@ -14,6 +14,11 @@ def clean_key(key: Column) -> Column:
     return F.nullif(F.btrim(key, F.lit(_BLANKS)), F.lit(""))
 
 
+def has_text(key: Column) -> Column:
+    """Whether ``clean_key`` gives a value."""
+    return F.coalesce(F.btrim(key, F.lit(_BLANKS)) != "", F.lit(False))
+
+
 def one_line(text: Column) -> Column:
     """Tabs and line breaks replaced, so that the text fits one delimited field."""
     return F.translate(text, "\t\n", "  ")

@@ -11,6 +11,8 @@ from reviewlens.functions import (
     clean_key,
     first_available_date,
     first_positive_length,
+    has_text,
+    is_rating,
     joined_text,
     one_line,
     parse_rating,
@@ -83,26 +85,37 @@ def length_extract(
     return measured.filter(F.col("review_length") > 0)
 
 
-def checked_events(events: DataFrame) -> DataFrame:
-    """Text events with parsed rating, cleaned keys and a ``reason`` where a row is bad."""
-    checked = require(events, "product_id", "rating", "category").select(
-        clean_key(F.col("product_id")).alias("product_id"),
-        parse_rating(F.col("rating")).alias("rating"),
-        clean_key(F.col("category")).alias("category"),
-        F.col("rating").alias("rating_text"),
-    )
-    reason = F.when(F.col("rating").isNull(), F.lit("rating is not a number")).when(
-        F.col("product_id").isNull() & F.col("category").isNull(), F.lit("no key")
-    )
-    return checked.withColumn("reason", reason)
+def _has_key() -> Column:
+    return has_text(F.col("product_id")) | has_text(F.col("category"))
 
 
 def good_events(events: DataFrame) -> DataFrame:
-    return checked_events(events).filter(F.col("reason").isNull()).drop("reason", "rating_text")
+    """Text events with a number for a rating and a key, typed and trimmed."""
+    text = F.col("rating")
+    return (
+        require(events, "product_id", "rating", "category")
+        .filter(is_rating(text) & _has_key())
+        .select(
+            clean_key(F.col("product_id")).alias("product_id"),
+            parse_rating(text).alias("rating"),
+            clean_key(F.col("category")).alias("category"),
+        )
+    )
 
 
 def rejected_events(events: DataFrame) -> DataFrame:
-    return checked_events(events).filter(F.col("reason").isNotNull()).drop("rating")
+    """The other events, each with the reason why."""
+    text = F.col("rating")
+    return (
+        require(events, "product_id", "rating", "category")
+        .filter(~is_rating(text) | ~_has_key())
+        .select(
+            clean_key(F.col("product_id")).alias("product_id"),
+            text.alias("rating_text"),
+            clean_key(F.col("category")).alias("category"),
+            F.when(is_rating(text), "no key").otherwise("rating is not a number").alias("reason"),
+        )
+    )
 
 
 def dual_keys(df: DataFrame, carry: Sequence[str] = ("rating",)) -> DataFrame:

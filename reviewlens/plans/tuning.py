@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping
 
@@ -15,18 +16,35 @@ def reused(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def fingerprint(df: DataFrame, digits: int = 6) -> list[Column]:
-    """Aggregates: row count and an order-independent checksum, doubles rounded to ``digits``."""
-    columns = [
-        F.round(f.name, digits).alias(f.name) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
-        for f in df.schema.fields
-    ]
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Aggregates that tell two results apart whatever the order of their rows.
+
+    Row count; a checksum of all columns but doubles; and the sum of the
+    doubles, each weighted by its row's and column's hash so that values
+    swapped between rows or columns show. Sums of doubles depend on the order
+    of adding, so that last number is to be compared with a tolerance.
+    """
+    inexact = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    exact = [F.lit(0), *[F.col(c) for c in df.columns if c not in inexact]]
+    weighted = F.lit(0.0)
+    for name in inexact:
+        weight = F.lit(1) + F.pmod(F.xxhash64(F.lit(name), *exact), F.lit(1000)) / F.lit(1000.0)
+        weighted = weighted + F.coalesce(F.col(name).cast("double"), F.lit(-1.0)) * weight
     return [
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum"),
+        F.sum(F.xxhash64(*exact).cast("decimal(38,0)")).alias("checksum"),
+        F.sum(weighted).alias("weighted_sum"),
     ]
 
 
+def same_result(a: Mapping, b: Mapping) -> bool:
+    return (
+        a["row_count"] == b["row_count"]
+        and a["checksum"] == b["checksum"]
+        and math.isclose(a["weighted_sum"] or 0.0, b["weighted_sum"] or 0.0, rel_tol=1e-9, abs_tol=1e-9)
+    )
+
+
 def timed(run: Callable[[], DataFrame]) -> tuple[DataFrame, float, dict]:
     """Result of ``run``, the seconds its whole computation takes, and its fingerprint.
 
@@ -50,11 +68,11 @@ def compare_strategies(
 ) -> DataFrame:
     """The same analysis over the input as each strategy prepares it.
 
-    One row per strategy: seconds, row count, checksum. All strategies must
-    give the same rows, otherwise the comparison is void and an error is
-    raised.
+    One row per strategy: seconds, row count, checksum, weighted sum of the
+    doubles. All strategies must give the same rows, otherwise the comparison
+    is void and an error is raised.
     """
-    rows = []
+    rows, first = [], None
     for name, strategy in strategies.items():
         prepared = strategy(df)
         try:
@@ -62,9 +80,11 @@ def compare_strategies(
         finally:
             if prepared.is_cached and not df.is_cached:
                 prepared.unpersist()
-        rows.append((name, seconds, seen["row_count"], seen["checksum"]))
-    if len({row[2:] for row in rows}) > 1:
-        raise ValueError(f"strategies differ in their results: {rows}")
+        first = first or seen
+        if not same_result(first, seen):
+            raise ValueError(f"strategies differ in their results: {name} gives {seen}, not {first}")
+        rows.append((name, seconds, seen["row_count"], seen["checksum"], seen["weighted_sum"]))
     return spark.createDataFrame(
-        rows, "strategy string, seconds double, row_count bigint, checksum decimal(38,0)"
+        rows,
+        "strategy string, seconds double, row_count bigint, checksum decimal(38,0), weighted_sum double",
     )

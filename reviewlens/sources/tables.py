@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from reviewlens.functions import finite, name_from_path, one_line, parse_rating
+from reviewlens.functions import finite, is_rating, name_from_path, one_line, parse_rating
 from reviewlens.operators.prepare import with_category
 from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR, RAW_PRODUCT
 
@@ -101,12 +101,9 @@ def read_json_pairs(
     """JSON Lines to rating pairs: both fields must be there, bad lines are skipped."""
     schema = StructType([StructField(id_field, StringType()), StructField(rating_field, StringType())])
     lines = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    return (
-        lines.select(
-            one_line(F.col(id_field)).alias("product_id"),
-            parse_rating(F.col(rating_field)).alias("rating"),
-        )
-        .filter(F.col("product_id").isNotNull() & F.col("rating").isNotNull())
+    return lines.filter(F.col(id_field).isNotNull() & is_rating(F.col(rating_field))).select(
+        one_line(F.col(id_field)).alias("product_id"),
+        parse_rating(F.col(rating_field)).alias("rating"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.operators import mapreduce
 from reviewlens.operators.ratings import product_ratings
-from reviewlens.plans.tuning import compare_strategies, fingerprint, reused
+from reviewlens.plans.tuning import compare_strategies, fingerprint, reused, same_result
 from reviewlens.session import scratch_path, shared_folder, written
 
 WORDS = "the quick brown the lazy dog the end".split()
@@ -81,7 +81,30 @@ def test_strategies_that_change_the_result_are_refused(spark):
 
 def test_fingerprint_ignores_order(spark):
     df = pairs(spark)
-    assert df.agg(*fingerprint(df)).first() == df.repartition(5).agg(*fingerprint(df)).first()
+    whole, shuffled = (d.agg(*fingerprint(df)).first().asDict() for d in (df, df.repartition(5)))
+    assert same_result(whole, shuffled)
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        "update",  # another value
+        "swap",  # two rows' values exchanged
+        "null",
+    ],
+)
+def test_fingerprint_sees_changes(spark, change):
+    before = [("a", 1.0, 5.0), ("b", 2.0, 5.0)]
+    after = {
+        "update": [("a", 1.0, 5.0), ("b", 2.001, 5.0)],
+        "swap": [("a", 2.0, 5.0), ("b", 1.0, 5.0)],
+        "null": [("a", None, 5.0), ("b", 2.0, 5.0)],
+    }[change]
+    one, other = (
+        df.agg(*fingerprint(df)).first().asDict()
+        for df in (spark.createDataFrame(rows, "k string, x double, y double") for rows in (before, after))
+    )
+    assert not same_result(one, other)
 
 
 def test_intermediates_go_to_the_shared_folder(spark):
