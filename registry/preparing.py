@@ -90,6 +90,20 @@ def length_extract(spark, folder):
     return prepare.length_extract(views.text_products(spark, folder))
 
 
+@query(
+    "field_lengths",
+    f"""with {TEXT_PRODUCTS}
+    select product_id, cast(coalesce(length(description), 0) as int) as description_length,
+           cast(coalesce(length(features), 0) as int) as features_length,
+           cast(coalesce(length(title), 0) as int) as title_length, cast(0 as int) as summary_length
+    from text_products""",
+)
+def field_lengths(spark, folder):
+    """Every text's length, and 0 for a column that is not there."""
+    measured = prepare.field_lengths(views.text_products(spark, folder), [*prepare.TEXTS, "summary"])
+    return measured.select("product_id", *[f"{t}_length" for t in [*prepare.TEXTS, "summary"]])
+
+
 EVENTS = """events_text as (
   select case when l_linenumber = 6 then null else cast(l_partkey as varchar) end as product_id,
          case when l_linenumber = 7 then null

@@ -10,7 +10,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlens.operators import prepare as steps
-from reviewlens.operators.quality import validation_report, validation_rollup
+from reviewlens.operators.quality import (
+    category_frequency,
+    rating_frequency,
+    validation_report,
+    validation_rollup,
+)
 from reviewlens.operators.topk import MIN_REVIEWS, TOP
 from reviewlens.plans.analysis import COMBINED, analyze, save_analysis
 from reviewlens.plans.datasets import prepare, preprocess, union_all
@@ -25,6 +30,8 @@ from reviewlens.sources import (
     read_processed,
     read_rating_pairs,
 )
+from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
+from reviewlens.streaming.ratings import daily_ratings
 
 
 def _named(text: str) -> tuple[str, str]:
@@ -46,7 +53,12 @@ def run_preprocess(spark, args):
 
 
 def run_validate(spark, args):
-    report = validation_report(_processed(spark, args), expected=[name for name, _ in args.inputs])
+    """Validation report as JSON; frequency tables and the roll-up on the console."""
+    processed = _processed(spark, args)
+    rating_frequency(processed, ["dataset"]).show(truncate=False)
+    if "category" in processed.columns:
+        category_frequency(processed).show(truncate=False)
+    report = validation_report(processed, expected=[name for name, _ in args.inputs])
     write_json(report, args.output)
     validation_rollup(spark.read.schema(report.schema).json(args.output)).show(truncate=False)
 
@@ -94,6 +106,22 @@ def run_mapreduce(spark, args):
         ).show(truncate=False)
 
 
+def run_sample(spark, args):
+    """A repeatable sample of at most 1000 rows as JSON."""
+    write_json(steps.row_sample(_processed(spark, args)), args.output)
+
+
+def run_stream(spark, args):
+    """Means and counts per product and day of all files that came since the last run."""
+    for name, path in args.inputs:
+        changes = f"{args.output}/{name}/changes"
+        events = read_stream(spark, path, spark.read.parquet(path).schema)
+        updates = rating_updates(events, ["product_id"], args.date, args.rating)
+        run_available(updates, changes, f"{args.output}/{name}/checkpoint")
+        state = daily_ratings(latest_state(spark, changes, ["product_id"]))
+        write_parquet(state, f"{args.output}/{name}/daily")
+
+
 def run_profile(spark, args):
     for _, path in args.inputs:
         json_profile(spark, path).show(truncate=False)
@@ -112,6 +140,8 @@ JOBS = {
     "top": run_top,
     "analyze": run_analyze,
     "mapreduce": run_mapreduce,
+    "sample": run_sample,
+    "stream": run_stream,
     "profile": run_profile,
     "inventory": run_inventory,
 }

@@ -16,6 +16,7 @@ from reviewlens.functions import (
     joined_text,
     one_line,
     parse_rating,
+    text_length,
 )
 from reviewlens.schemas import PROCESSED
 
@@ -73,9 +74,18 @@ def time_extract(df: DataFrame) -> DataFrame:
     return dated.filter(F.col("review_date").isNotNull())
 
 
-def length_extract(
-    df: DataFrame, texts: Sequence[str] = ("description", "features", "title")
-) -> DataFrame:
+# The texts a length is taken from, in order of preference.
+TEXTS = ("description", "features", "title")
+
+
+def field_lengths(df: DataFrame, texts: Sequence[str] = TEXTS) -> DataFrame:
+    """``<text>_length`` for each text; 0 where it is null or its column is absent."""
+    return df.withColumns(
+        {f"{name}_length": text_length(F.col(name)) if name in df.columns else F.lit(0) for name in texts}
+    )
+
+
+def length_extract(df: DataFrame, texts: Sequence[str] = TEXTS) -> DataFrame:
     """Rows with any text; the length is that of the first non-empty one in ``texts``."""
     require(df, "product_id", "rating", "category")
     present = [F.col(name) for name in texts if name in df.columns]

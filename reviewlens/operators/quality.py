@@ -84,7 +84,7 @@ def validation_report(
     """One row per dataset: totals, missing values, rating and length statistics, status.
 
     All of it is one aggregate over one scan. A dataset named in ``expected``
-    without any row is reported as failed.
+    without any row is reported as failed; one that is not named is reported too.
     """
     columns = [c for c in df.columns if c != dataset_col]
     measures = [
@@ -97,7 +97,7 @@ def validation_report(
     report = df.groupBy(dataset_col).agg(*measures)
     if expected is not None:
         names = df.sparkSession.createDataFrame([(n,) for n in expected], f"{dataset_col} string")
-        report = names.join(report, dataset_col, "left").fillna(0, ["total_records"])
+        report = names.join(report, dataset_col, "full").fillna(0, ["total_records"])
     status = F.when(F.col("total_records") > 0, "Passed").otherwise("Failed")
     return report.withColumn("validation_status", status)
 

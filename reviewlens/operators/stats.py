@@ -42,6 +42,8 @@ def exact_quantiles(
     Counts per band of values tell which bands hold the wanted positions; only
     the values of those bands are put in order, each band on its own. What one
     task sees is the list of bands of a group, or the values of one band.
+    Choose ``band`` so that the range of values has some ten thousand bands;
+    the default suits ratings.
     """
     banded = counts.withColumn("_band", F.floor(F.col("rating") / F.lit(band)))
     along = Window.partitionBy(*by).orderBy("_band")

@@ -71,7 +71,7 @@ def preprocess(
     for name, path in inputs.items():
         try:
             # The harmonised rows keep the dataset's raw name as their category.
-            frames[name.lower()] = harmonise(read_raw_products(spark, path, name, partitions=partitions))
+            frames[name.lower().replace(" ", "_")] = harmonise(read_raw_products(spark, path, name, partitions=partitions))
         except AnalysisException as error:
             errors[name] = str(error).splitlines()[0]
     write_parquet(union_all(frames), output, ["dataset"])

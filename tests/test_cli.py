@@ -30,6 +30,8 @@ def test_raw_data_to_top_lists(spark, tmp_path, raw, capsys):
     pairs = f"electronics={tmp_path}/prepared/electronics_product_ratings"
     main(["top", pairs, "--pairs", "--output", f"{tmp_path}/top"], spark)
     assert "TOP_CATEGORIES_BY_RATING" in capsys.readouterr().out
+    main(["sample", table, "--output", f"{tmp_path}/sample"], spark)
+    assert spark.read.text(f"{tmp_path}/sample").count() <= 40
     outcome = main(["convert", table, f"gone={tmp_path}/gone", "--output", f"{tmp_path}/formats"], spark)
     assert outcome["gone"] == "missing" and spark.read.json(outcome["electronics_json"]).count() == 40
 
@@ -48,6 +50,17 @@ def test_analysis_of_datasets_and_their_combination(spark, tmp_path):
     assert {r[0] for r in report.select("dataset").distinct().collect()} == {"a", "b", "all_categories"}
 
 
+def test_stream_job_takes_up_where_it_stopped(spark, tmp_path, rows):
+    def arrive(rating, mode):
+        df = spark.sql(f"select 'p' product_id, {rating}D rating, timestamp'2024-01-01 10:00:00' timestamp")
+        df.write.mode(mode).parquet(f"{tmp_path}/in")
+        main(["stream", f"x={tmp_path}/in", "--output", f"{tmp_path}/out"], spark)
+        return rows(spark.read.parquet(f"{tmp_path}/out/x/daily"), "product_id", "avg_rating", "review_count")
+
+    assert arrive(4, "overwrite") == [("p", 4.0, 1)]
+    assert arrive(1, "append") == [("p", 2.5, 2)]
+
+
 def test_profile_and_inventory_print(spark, raw, capsys):
     main(["profile", f"x={raw}"], spark)
     main(["inventory", f"x={raw}"], spark)

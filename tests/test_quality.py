@@ -43,6 +43,11 @@ def test_report_and_rollup(data):
     assert tuple(rollup) == (3, 2, 1, 3)
 
 
+def test_unexpected_datasets_are_reported_too(data):
+    report = quality.validation_report(data, expected=["a", "c"])
+    assert {r.dataset: r.validation_status for r in report.collect()} == {"a": "Passed", "b": "Passed", "c": "Failed"}
+
+
 def test_report_without_length_column(data):
     assert "min_length" not in quality.validation_report(data.drop("review_length")).columns
 
