@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from reviewlens.operators.prepare import (
@@ -60,18 +61,22 @@ def preprocess(
     inputs: Mapping[str, str],
     output: str,
     partitions: int | None = None,
+    schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, str]:
     """Raw JSON datasets to one processed Parquet table partitioned by dataset.
 
-    Every input is scanned once: the combined table is the union of the
-    partitions, not a second pass. Returns the error of each dataset that
-    could not be read; the others are written.
+    The combined table is the union of the partitions, not a second pass.
+    ``schemas`` saves the inference pass for datasets whose fields are known.
+    Returns the error of each dataset that could not be read; the others are
+    written.
     """
     frames, errors = {}, {}
     for name, path in inputs.items():
         try:
             # The harmonised rows keep the dataset's raw name as their category.
-            frames[name.lower().replace(" ", "_")] = harmonise(read_raw_products(spark, path, name, partitions=partitions))
+            frames[name.lower().replace(" ", "_")] = harmonise(
+                read_raw_products(spark, path, name, (schemas or {}).get(name), partitions)
+            )
         except AnalysisException as error:
             errors[name] = str(error).splitlines()[0]
     write_parquet(union_all(frames), output, ["dataset"])

@@ -20,8 +20,8 @@ def _struct(**fields) -> StructType:
 
 RATING_PAIR = _struct(product_id=StringType(), rating=DoubleType())
 
-# Raw product metadata with every optional field of the known shapes.
-RAW_PRODUCT = _struct(
+# Types of the raw product metadata fields; no dataset has all of them.
+RAW_FIELDS = _struct(
     parent_asin=StringType(),
     asin=StringType(),
     title=StringType(),
@@ -37,6 +37,12 @@ RAW_PRODUCT = _struct(
     details=StringType(),
 )
 
+
+def raw_schema(*fields: str) -> StructType:
+    """Schema for a raw dataset that is known to have these fields."""
+    return StructType([RAW_FIELDS[name] for name in fields])
+
+
 # One fixed shape for every dataset after harmonising.
 PROCESSED = _struct(
     product_id=StringType(),

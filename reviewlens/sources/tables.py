@@ -11,7 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from reviewlens.functions import finite, is_rating, name_from_path, one_line, parse_rating
 from reviewlens.operators.prepare import with_category
-from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR, RAW_PRODUCT
+from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR
 
 _CORRUPT = "_corrupt_record"
 
@@ -20,14 +20,16 @@ def read_raw_products(
     spark: SparkSession,
     path: str | list[str],
     category: str,
-    schema: StructType | None = RAW_PRODUCT,
+    schema: StructType | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """JSON Lines (gz or plain) with a ``category`` column added where it is absent.
 
-    With a schema no inference pass runs; ``schema=None`` infers, which keeps a
-    file's own column set. One gz file is one task whatever its size, so
-    ``partitions`` spreads the rows before the work that follows.
+    Which columns a dataset has decides where its ids and ratings come from, so
+    by default they are inferred, at the price of a pass over the data. Give a
+    ``raw_schema`` of the fields the data has to save that pass. One gz file is
+    one task whatever its size, so ``partitions`` spreads the rows before the
+    work that follows.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = with_category(reader.json(path), category)

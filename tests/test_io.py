@@ -8,6 +8,7 @@ from reviewlens import sinks, sources
 from reviewlens.operators import prepare, ratings
 from reviewlens.plans.datasets import preprocess
 from reviewlens.plans.top_lists import top_job
+from reviewlens.schemas import raw_schema
 
 
 def text_of(path):
@@ -114,6 +115,22 @@ def test_preprocess_writes_what_it_can(spark, tmp_path, rows):
     assert rows(out, "dataset", "category", "product_id", "description") == [("toys_games", "Toys_Games", "p", "x y")]
 
 
+def test_ids_and_ratings_follow_the_columns_a_file_has(spark, tmp_path, rows):
+    (tmp_path / "old.json").write_text('{"asin": "b", "overall": 3, "price": 9.5}\n{"asin": "c"}\n')
+    (tmp_path / "both.json").write_text('{"asin": "x", "parent_asin": "p"}\n{"asin": "y", "parent_asin": null}\n')
+    (tmp_path / "bare.json").write_text('{"title": "t", "details": {"Date First Available": "May 1, 2020"}}\n')
+    inputs = {name: str(tmp_path / f"{name}.json") for name in ("old", "both", "bare")}
+    known = {"old": raw_schema("asin", "overall", "price")}
+    for schemas in (None, known):
+        assert not preprocess(spark, inputs, str(tmp_path / "out"), schemas=schemas)
+        out = spark.read.parquet(str(tmp_path / "out"))
+        assert rows(out, "dataset", "product_id", "rating") == sorted(
+            [("old", "b", 3.0), ("old", "c", None), ("both", "p", None), ("both", None, None), ("bare", "unknown", None)],
+            key=repr,
+        )
+        assert [str(r.review_date) for r in prepare.time_extract(out).collect()] == ["2020-05-01"]
+
+
 def test_json_profile(spark, tmp_path):
     (tmp_path / "lines.json").write_text('{"b": 1, "a": 2}\nbroken\n[1, 2, 3]\n{"c": 1}\n\n')
     row = sources.json_profile(spark, str(tmp_path / "lines.json")).first()
