@@ -16,6 +16,7 @@ from reviewlens.functions.ratings import (
     is_rating,
     parse_rating,
     percent,
+    rated,
     star,
     two_decimals,
 )
@@ -49,6 +50,7 @@ __all__ = [
     "one_line",
     "parse_rating",
     "percent",
+    "rated",
     "safe_corr",
     "slug",
     "star",

@@ -29,6 +29,11 @@ def is_rating(text: Column) -> Column:
     return F.coalesce(F.abs(_number(text)) < F.lit(float("inf")), F.lit(False))
 
 
+def rated(rating: Column) -> Column:
+    """Whether there is a rating: NaN is none, it would spoil every mean it enters."""
+    return rating.isNotNull() & ~F.isnan(rating)
+
+
 def two_decimals(mean: Column) -> Column:
     """Half-up to two decimals, stable against the order in which a mean was summed.
 

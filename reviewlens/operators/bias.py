@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, safe_corr, star
+from reviewlens.functions import (
+    LENGTH_EDGES,
+    LENGTH_LABELS,
+    length_bucket,
+    rated,
+    safe_corr,
+    star,
+)
 from reviewlens.operators.ratings import merge_partials, partial_ratings
 
 
@@ -20,7 +27,7 @@ def length_partials(
     labels: Sequence[str] = LENGTH_LABELS,
 ) -> DataFrame:
     """Partial state per length bucket and whole-star rating."""
-    measured = df.filter(F.col(length_col).isNotNull() & F.col(rating_col).isNotNull()).select(
+    measured = df.filter(F.col(length_col).isNotNull() & rated(F.col(rating_col))).select(
         *by,
         length_bucket(F.col(length_col), edges, labels).alias("length_bucket"),
         star(F.col(rating_col)).alias("rating_rounded"),
@@ -54,7 +61,8 @@ def length_correlation(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Pearson correlation; null where either column is constant."""
-    return df.groupBy(*by).agg(safe_corr(F.col(length_col), F.col(rating_col)).alias("correlation"))
+    rating = F.when(rated(F.col(rating_col)), F.col(rating_col))
+    return df.groupBy(*by).agg(safe_corr(F.col(length_col), rating).alias("correlation"))
 
 
 def length_bias(

@@ -16,6 +16,7 @@ from reviewlens.functions import (
     joined_text,
     one_line,
     parse_rating,
+    rated,
     text_length,
 )
 from reviewlens.schemas import PROCESSED
@@ -63,7 +64,8 @@ def harmonise(df: DataFrame) -> DataFrame:
 
 def rating_pairs(df: DataFrame) -> DataFrame:
     """Product id and rating, both present."""
-    return require(df, "product_id", "rating").select("product_id", "rating").dropna()
+    pairs = require(df, "product_id", "rating").select("product_id", "rating")
+    return pairs.filter(F.col("product_id").isNotNull() & rated(F.col("rating")))
 
 
 def time_extract(df: DataFrame) -> DataFrame:

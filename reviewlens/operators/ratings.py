@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import two_decimals
+from reviewlens.functions import rated, two_decimals
 from reviewlens.operators.prepare import dual_keys, truthy_pairs
 
 STATE = ("rating_sum", "review_count")
@@ -45,7 +45,8 @@ def finish(partials: DataFrame) -> DataFrame:
 
 def rating_stats(df: DataFrame, keys: Sequence[str], rating: str = "rating") -> DataFrame:
     """Mean and count per key; rows without a key or a rating do not count."""
-    return finish(partial_ratings(df.dropna(subset=[*keys, rating]), keys, rating))
+    present = df.filter(rated(F.col(rating))).dropna(subset=list(keys))
+    return finish(partial_ratings(present, keys, rating))
 
 
 def product_ratings(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def tagged_partials(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     shuffle of the scan.
     """
     combined = partial_ratings(
-        df.filter(F.col("rating").isNotNull()), [*by, "product_id", "category"]
+        df.filter(rated(F.col("rating"))), [*by, "product_id", "category"]
     )
     return merge_partials(dual_keys(combined, carry=[*by, *STATE]), [*by, "item_type", "item_key"])
 
@@ -90,7 +91,7 @@ def weighted_ratings(
     of the weights, not the row count.
     """
     value, times = F.col(rating).cast("double"), F.col(weight)
-    present = df.filter(value.isNotNull() & times.isNotNull())
+    present = df.filter(rated(value) & times.isNotNull())
     return present.groupBy(*keys).agg(
         F.try_divide(F.sum(value * times), F.sum(times)).alias("weighted_rating"),
         F.sum(times).alias("rating_number"),

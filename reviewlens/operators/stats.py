@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.functions import half_step, percent, star
+from reviewlens.functions import half_step, percent, rated, star
 from reviewlens.operators.joins import same_group_join
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -27,7 +27,7 @@ BAND = 0.0001
 
 def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct rating."""
-    present = df.filter(F.col(rating).isNotNull())
+    present = df.filter(rated(F.col(rating)))
     return present.groupBy(*by, F.col(rating).alias("rating")).agg(F.count("*").alias("count"))
 
 

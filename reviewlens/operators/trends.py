@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.functions import rated
 from reviewlens.operators.ratings import merge_partials, partial_ratings
 
 WINDOW_MONTHS = 3
@@ -19,7 +20,7 @@ WINDOW_MONTHS = 3
 def monthly_partials(
     df: DataFrame, date_col: str = "timestamp", rating_col: str = "rating", by: Sequence[str] = ()
 ) -> DataFrame:
-    dated = df.filter(F.col(date_col).isNotNull() & F.col(rating_col).isNotNull()).select(
+    dated = df.filter(F.col(date_col).isNotNull() & rated(F.col(rating_col))).select(
         *by, F.year(date_col).alias("year"), F.month(date_col).alias("month"), F.col(rating_col)
     )
     return partial_ratings(dated, [*by, "year", "month"], rating_col)

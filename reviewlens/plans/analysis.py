@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, star
+from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, rated, star
 from reviewlens.operators import bias, stats, trends
 from reviewlens.operators.ratings import merge_partials
 from reviewlens.session import written
@@ -39,7 +39,7 @@ def review_summary(
 ) -> DataFrame:
     """Partial state at the grain that all results share."""
     deviation = (F.col(length_col) - F.lit(LENGTH_CENTRE)).cast("double")
-    present = df.filter(F.col(rating_col).isNotNull()).select(
+    present = df.filter(rated(F.col(rating_col))).select(
         *by,
         F.year(date_col).alias("year"),
         F.month(date_col).alias("month"),

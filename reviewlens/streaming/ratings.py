@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from reviewlens.functions import rated
 from reviewlens.operators.ratings import finish, merge_partials
 
 DAY = "day"
@@ -44,7 +45,8 @@ def rating_updates(
     """
     zone = F.current_timezone()
     shown = F.from_utc_timestamp(F.col(time_col).cast("timestamp"), zone)
-    timed = events.withColumn("_ts", shown).withWatermark("_ts", lateness)
+    present = events.filter(rated(F.col(rating_col)))
+    timed = present.withColumn("_ts", shown).withWatermark("_ts", lateness)
     daily = timed.groupBy(*keys, F.window("_ts", "1 day").alias("_window")).agg(
         F.sum(rating_col).alias("rating_sum"), F.count(rating_col).alias("review_count")
     )

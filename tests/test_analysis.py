@@ -86,6 +86,18 @@ def test_bundle_agrees_with_the_single_analyses(data, rows):
             close(rows(result.filter("dataset = 'both'"), *columns), rows(whole[analysis][name], *columns))
 
 
+def test_nan_is_no_rating(spark, data, rows):
+    spoiled = data.unionByName(reviews(spark, [("a", float("nan"), "2020-01-05", 500)]))
+    for ours, theirs in ((rating_frames(spoiled), rating_frames(data)),):
+        for name, frame in ours.items():
+            assert rows(frame) == rows(theirs[name]), name
+    assert rows(analyze(spoiled, "dataset")["stats"]["basic_stats"]) == rows(analyze(data, "dataset")["stats"]["basic_stats"])
+
+
+def rating_frames(df):
+    return {**trends.rating_trends(df), **bias.length_bias(df), **stats.rating_distribution(df)}
+
+
 def test_constant_columns_have_no_correlation(spark):
     same = reviews(spark, [("a", 3.0, "2020-01-01", n) for n in (10, 20, 30)])
     assert analyze(same, "dataset")["bias"]["correlation"].first().correlation is None

@@ -208,6 +208,14 @@ def test_zero_ratings_count_except_in_the_sample_job(spark, rows):
     assert rows(ratings.sample_job(df), "product_id", "avg_rating", "review_count") == [("p", 4.0, 1)]
 
 
+def test_nan_does_not_spoil_a_mean(spark, rows):
+    df = spark.createDataFrame(
+        [("p", 4.0, "c"), ("p", float("nan"), "c")], "product_id string, rating double, category string"
+    )
+    assert rows(ratings.tagged_ratings(df), *SHOWN) == [("CATEGORY", "c", 4.0, 1), ("PRODUCT", "p", 4.0, 1)]
+    assert rows(prepare.rating_pairs(df)) == [("p", 4.0)]
+
+
 def test_weighted_mean(spark, rows):
     df = spark.createDataFrame(
         [("x", 5.0, 1), ("x", 1.0, 3), ("y", None, 9), ("z", 4.0, 0)], "k string, rating double, rating_number bigint"
