@@ -61,3 +61,17 @@ def op5_substring_dedup(spark, folder):
 
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, folder):
+    from reviewlens.llm.suffix_dedup import suffix_dedup
+
+    found = suffix_dedup(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -1,10 +1,10 @@
 """Where long strings repeat across documents: the part that substring dedup (words) and suffix-array
 dedup (bytes) share.
 
-A *window* is WIDTH consecutive symbols of one document. Within each window the smallest hash of its
-GRAM-symbol strings is its anchor; equal windows have equal anchors. A *block* is a run of consecutive
-windows with one anchor, so a text has one block for about every (WIDTH - GRAM) / 2 symbols. The work
-goes from few rows to few rows, without dropping a case:
+A *window* is WIDTH consecutive symbols of one document. Within each window the GRAM-symbol string with
+the smallest hash, the leftmost of several, is its anchor; equal windows have equal anchors at equal
+places. A *block* is a run of consecutive windows around one anchor, so a text has one block for about
+every (WIDTH - GRAM) / 2 symbols, and no two windows of a block are equal. The work goes from few rows to few rows, without dropping a case:
 
 1. blocks whose anchor occurs once in the corpus hold no repeated window;
 2. of equal blocks (same anchor, extent and content hash) all but the first are repeated as a whole;
@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
+from reviewlens.session import written
 
 KEYS = ["ah", "bh", "n"]
-_SPOT = ["ord", "tag", "p"]
 
 
 @dataclass(frozen=True)
@@ -43,8 +43,7 @@ def row_blocks(symbols: np.ndarray, offsets: np.ndarray, units: Units):
     """Anchor, row, first window and number of windows of every block; windows stay inside rows.
 
     Long rows are taken in slices that overlap by WIDTH - 1 symbols and are counted from the row's
-    start, so a row's blocks don't depend on the rows around it. A run of one anchor (a text that
-    repeats a short string) is cut every WIDTH windows.
+    start, so a row's blocks don't depend on the rows around it.
     """
     found = []
     for first, last in T.slices(offsets):
@@ -53,17 +52,16 @@ def row_blocks(symbols: np.ndarray, offsets: np.ndarray, units: Units):
         starts = range(low, max(high - units.width + 1, low), step) if last - first == 1 else [low]
         for start in starts:
             part = symbols[start : min(start + step + units.width - 1, high) if last - first == 1 else high]
-            lows = T.windows_min(T.windows_hash(part, units.gram), units.width - units.gram + 1)
+            grams = T.windows_hash(part, units.gram)
+            lows = T.windows_min(grams, units.width - units.gram + 1)
             if not len(lows):
                 continue
             spots = np.arange(len(lows)) + start
             row = np.searchsorted(offsets, spots, side="right") - 1
             inside = spots + units.width <= offsets[row + 1]
             fresh = np.ones(len(lows), dtype=bool)
-            fresh[1:] = (lows[1:] != lows[:-1]) | (row[1:] != row[:-1])
-            opened = np.flatnonzero(fresh)
-            age = np.arange(len(lows)) - np.repeat(opened, np.diff(np.append(opened, len(lows))))
-            fresh |= age % units.width == 0
+            left = grams[: len(lows) - 1] == lows[1:]  # the anchor of the window before began with it
+            fresh[1:] = (lows[1:] != lows[:-1]) | left | (row[1:] != row[:-1])
             fresh &= inside
             opened = np.flatnonzero(fresh)
             ends = np.append(opened[1:], len(lows))
@@ -90,62 +88,33 @@ def block_codes(symbols: np.ndarray, offsets: np.ndarray, units: Units, row, p,
     return out
 
 
-def _anchors(units: Units):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = T.texts(batch.column("text"))
-            ord_ = batch.column("ord").to_numpy()
-            for first, last in T.slices(offsets, 4 * T.SLICE):
-                symbols, bounds = units.symbols(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
-                anchor, row, p, _ = row_blocks(symbols, bounds, units)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(T.signed(anchor)), pa.array(ord_[first:last][row]), pa.array(p.astype(np.int32))],
-                    ["ah", "ord", "p"],
-                )
-
-    return run
-
-
 def _blocks(units: Units):
-    """Blocks of the rows' texts that start at one of the row's ``hits``."""
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = T.texts(batch.column("text"))
             ord_, tag = batch.column("ord").to_numpy(), batch.column("tag").to_numpy()
-            hits = batch.column("hits")
-            marks, hits = hits.offsets.to_numpy(), hits.values.to_numpy()
             for first, last in T.slices(offsets, 4 * T.SLICE):
-                symbols, bounds = units.symbols(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+                part = data[offsets[first] : offsets[last]]
+                symbols, bounds = units.symbols(part, offsets[first : last + 1] - offsets[first])
                 anchor, row, p, n = row_blocks(symbols, bounds, units)
-                rows = np.repeat(np.arange(last - first), np.diff(marks[first : last + 1]))
-                wanted = bounds[rows] + hits[marks[first] : marks[last]]
-                keep = np.isin(bounds[row] + p, wanted)
-                anchor, row, p, n = anchor[keep], row[keep], p[keep], n[keep]
                 code = block_codes(symbols, bounds, units, row, p, n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(T.signed(anchor)),
-                        pa.array(T.signed(code)),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(ord_[first:last][row]),
-                        pa.array(tag[first:last][row]),
-                        pa.array(p.astype(np.int32)),
-                    ],
-                    [*KEYS, *_SPOT],
-                )
+                columns = [T.signed(anchor), T.signed(code), n.astype(np.int32)]
+                columns += [ord_[first:last][row], tag[first:last][row], p.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*KEYS, "ord", "tag", "p"])
 
     return run
 
 
 def repeated_blocks(docs: DataFrame, units: Units) -> DataFrame:
-    """Every block whose anchor has another block somewhere: KEYS, ord, tag, p."""
-    anchors = docs.select("text", "ord").mapInArrow(_anchors(units), "ah bigint, ord bigint, p int")
-    twice = anchors.groupBy("ah").agg(F.count("*").alias("times")).filter("times > 1").select("ah")
-    hits = anchors.join(twice, "ah").groupBy("ord").agg(F.collect_list("p").alias("hits"))
-    return docs.join(hits, "ord").select("text", "ord", "tag", "hits").mapInArrow(
+    """Every block whose anchor has another block somewhere: KEYS, ord, tag, p.
+
+    Written once to the shared folder: a few hundredths of the texts' size, read several times.
+    """
+    blocks = docs.select("text", "ord", "tag").mapInArrow(
         _blocks(units), "ah bigint, bh bigint, n int, ord bigint, tag int, p int"
     )
+    twice = blocks.groupBy("ah").agg(F.count("*").alias("times")).filter("times > 1").select("ah")
+    return written(blocks.join(twice, "ah"), "blocks")
 
 
 def first_blocks(blocks: DataFrame, spot: list[str]) -> DataFrame:
@@ -158,16 +127,46 @@ def first_blocks(blocks: DataFrame, spot: list[str]) -> DataFrame:
     return first.join(versions, "ah")
 
 
-def covers(pieces: DataFrame) -> DataFrame:
-    """Per document, its covered stretches (start, length), in no order."""
-    return pieces.groupBy("ord", "tag").agg(F.collect_list(F.struct("start", "size")).alias("pieces"))
+def gathered(rows: DataFrame, name: str) -> DataFrame:
+    """All rows of each ``ord`` as one list. Every join with the texts is on ``ord`` alone and takes
+    the same columns of them, so that one query shuffles the texts once; ``own`` tells rows that share
+    an id apart."""
+    others = [column for column in rows.columns if column != "ord"]
+    return rows.groupBy("ord").agg(F.collect_list(F.struct(*others)).alias(name))
+
+
+def own(batch: pa.RecordBatch, name: str, i: int) -> pa.StructArray | None:
+    """Row i's entries of the list column that carry the row's tag."""
+    entries = batch.column(name)[i].values
+    if entries is None or not len(entries):
+        return None
+    same = entries.field("tag").to_numpy() == batch.column("tag")[i].as_py()
+    return entries if same.all() else entries.filter(pa.array(same))
+
+
+def merged(pieces: pa.StructArray | None) -> np.ndarray:
+    """The maximal stretches that the pieces cover: rows of (start, end), in order."""
+    if pieces is None or not len(pieces):
+        return np.empty((0, 2), dtype=np.int64)
+    start = pieces.field("start").to_numpy().astype(np.int64)
+    order = np.argsort(start)
+    start = start[order]
+    reach = np.maximum.accumulate(start + pieces.field("size").to_numpy()[order])
+    fresh = np.concatenate([[0], np.flatnonzero(start[1:] > reach[:-1]) + 1])
+    return np.stack([start[fresh], reach[np.append(fresh[1:], len(start)) - 1]], axis=1)
+
+
+def outside(stretches: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """What lies between the stretches."""
+    edges = [0, *stretches.ravel().tolist(), size]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def covered(pieces: pa.StructArray | None, size: int) -> np.ndarray:
-    """Mask of the symbols that the stretches cover."""
-    edges = np.zeros(size + 1, dtype=np.int64)
-    if pieces is not None and len(pieces):
-        start = np.asarray(pieces.field("start"))
-        np.add.at(edges, start, 1)
-        np.add.at(edges, start + np.asarray(pieces.field("size")), -1)
-    return np.cumsum(edges[:-1]) > 0
+def spans_column(found: list[np.ndarray]) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+    flat = np.concatenate(found) if found else np.empty((0, 2), dtype=np.int64)
+    spans = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(bounds), spans).cast(SPANS)

@@ -38,23 +38,26 @@ def _windows(units: repeats.Units):
             data, offsets = T.texts(batch.column("text"))
             ord_, tag = batch.column("ord").to_pylist(), batch.column("tag").to_pylist()
             for i in range(batch.num_rows):
+                blocks = repeats.own(batch, "opened", i)
+                if blocks is None:
+                    continue
                 piece = data[offsets[i] : offsets[i + 1]]
                 symbols, _ = units.symbols(piece, np.array([0, len(piece)]))
-                blocks = batch.column("opened")[i].values
-                for start, count in zip(blocks.field("p").to_numpy(), blocks.field("n").to_numpy(), strict=True):
-                    part = symbols[start : start + count + units.width - 1]
-                    one = T.windows_hash(part, units.width)
-                    two = T.windows_hash(part, units.width, T._SECOND)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(T.signed(one)),
-                            pa.array(T.signed(two)),
-                            pa.array(np.full(count, ord_[i], dtype=np.int64)),
-                            pa.array(np.full(count, tag[i], dtype=np.int32)),
-                            pa.array(np.arange(start, start + count, dtype=np.int32)),
-                        ],
-                        ["h1", "h2", "ord", "tag", "p"],
-                    )
+                p, n = blocks.field("p").to_numpy(), blocks.field("n").to_numpy()
+                parts = [symbols[a : a + b + units.width - 1] for a, b in zip(p.tolist(), n.tolist(), strict=True)]
+                one = np.concatenate([T.windows_hash(part, units.width) for part in parts])
+                two = np.concatenate([T.windows_hash(part, units.width, T._SECOND) for part in parts])
+                start = np.concatenate([np.arange(a, a + b, dtype=np.int32) for a, b in zip(p, n, strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(T.signed(one)),
+                        pa.array(T.signed(two)),
+                        pa.array(np.full(len(one), ord_[i], dtype=np.int64)),
+                        pa.array(np.full(len(one), tag[i], dtype=np.int32)),
+                        pa.array(start),
+                    ],
+                    ["h1", "h2", "ord", "tag", "p"],
+                )
 
     return run
 
@@ -74,47 +77,34 @@ def joined(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[p
 
 def opened_windows(docs: DataFrame, opened: DataFrame, units: repeats.Units) -> DataFrame:
     """h1, h2, ord, tag, p of every window in the opened blocks (ord, tag, p, n)."""
-    per_document = opened.groupBy("ord", "tag").agg(F.collect_list(F.struct("p", "n")).alias("opened"))
     run = _windows(units)
-    return (
-        docs.join(per_document, ["ord", "tag"])
-        .select("text", "ord", "tag", "opened")
-        .mapInArrow(lambda batches: joined(run(batches)), "h1 bigint, h2 bigint, ord bigint, tag int, p int")
+    return docs.join(repeats.gathered(opened, "opened"), "ord").mapInArrow(
+        lambda batches: joined(run(batches)), "h1 bigint, h2 bigint, ord bigint, tag int, p int"
     )
 
 
-def _finish(units: repeats.Units):
-    """Kept text of each document and the counts."""
-
-    def run(batches):
-        for batch in batches:
-            data, offsets = T.texts(batch.column("text"))
-            counts, removed, kept_texts, spans = [], [], [], []
-            pieces = batch.column("pieces")
-            for i in range(batch.num_rows):
-                whole = data[offsets[i] : offsets[i + 1]].tobytes()
-                words = whole.split()
-                counts.append(len(words))
-                gone = repeats.covered(pieces[i].values, len(words))
-                if gone.any():
-                    words = [word for word, out in zip(words, gone.tolist(), strict=True) if not out]
-                kept = b" ".join(words)
-                removed.append(int(gone.sum()))
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                spans.append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
-                kept_texts.append(kept.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(counts, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(kept_texts, pa.string()),
-                ],
-                ["doc_id", "n_words", "n_removed", "spans", "kept_text"],
-            )
-
-    return run
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, removed stretches and kept text of each document."""
+    for batch in batches:
+        data, offsets = T.texts(batch.column("text"))
+        counts, kept, spans = [], [], []
+        for i in range(batch.num_rows):
+            words = data[offsets[i] : offsets[i + 1]].tobytes().split()
+            counts.append(len(words))
+            spans.append(repeats.merged(repeats.own(batch, "pieces", i)))
+            left = [word for a, b in repeats.outside(spans[-1], len(words)) for word in words[a:b]]
+            kept.append(b" ".join(left).decode())
+        removed = [int((x[:, 1] - x[:, 0]).sum()) for x in spans]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(counts, pa.int64()),
+                pa.array(removed, pa.int64()),
+                repeats.spans_column(spans),
+                pa.array(kept, pa.string()),
+            ],
+            ["doc_id", "n_words", "n_removed", "spans", "kept_text"],
+        )
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -142,9 +132,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     single = windows.join(earliest.filter("times > 1"), ["h1", "h2"]).filter(here > F.col("first")).select(
         "ord", "tag", F.col("p").alias("start"), F.lit(width).alias("size")
     )
-    pieces = repeats.covers(whole.unionByName(single))
-    return docs.join(pieces, ["ord", "tag"], "left").select("doc_id", "text", "pieces").mapInArrow(
-        _finish(units),
+    pieces = repeats.gathered(whole.unionByName(single), "pieces")
+    return docs.join(pieces, "ord", "left").mapInArrow(
+        _finish,
         "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, "
         "kept_text string",
     )

@@ -50,7 +50,9 @@ def powers(base: np.uint64, count: int, inverse: bool = False) -> np.ndarray:
 
 
 def prefix(symbols: np.ndarray, base: np.uint64 = _BASE) -> np.ndarray:
-    """Prefix sums of symbol times power; entry i covers the first i symbols."""
+    """Prefix sums of symbol times power; entry i covers the first i symbols. Bytes count by their codes."""
+    if symbols.dtype == np.uint8:
+        symbols = BYTE_CODES[symbols]
     out = np.zeros(len(symbols) + 1, dtype=np.uint64)
     np.cumsum(symbols * powers(base, len(symbols)), out=out[1:])
     return out
@@ -132,7 +134,7 @@ def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     while first < len(start):
         base = start[first]
         last = max(int(np.searchsorted(end, base + SLICE, side="right")), first + 1)
-        sums = prefix(BYTE_CODES[data[base : end[last - 1]]])
+        sums = prefix(data[base : end[last - 1]])
         low, high = start[first:last] - base, end[first:last] - base
         out[first:last] = mix(spans_hash(sums, low, high) + (high - low).astype(np.uint64))
         first = last
