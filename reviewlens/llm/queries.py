@@ -75,3 +75,35 @@ def op1_suffix_dedup(spark, folder):
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark, folder):
+    """Ids of every text and whether decoding gives the text back."""
+    from reviewlens.llm import pieces
+
+    model, docs = pieces.read_model(pieces.MODEL), table(spark, folder, "documents")
+    return pieces.round_trip(docs, model).select("doc_id", "n_ids", "ids", "round_trip")
+
+
+@query("op8_simhash")
+def op8_simhash(spark, folder):
+    from reviewlens.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, folder, "documents"))
+
+
+@query("op9_quality")
+def op9_quality(spark, folder):
+    from reviewlens.llm import pieces, quality
+
+    return quality.quality_rules(table(spark, folder, "documents"), pieces.read_model(quality.MODEL))
+
+
+@query("op10_language")
+def op10_language(spark, folder):
+    from reviewlens.llm import language_id
+
+    docs = table(spark, folder, "documents")
+    found = language_id.identify(docs, language_id.fit(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
