@@ -107,3 +107,43 @@ def op10_language(spark, folder):
     docs = table(spark, folder, "documents")
     found = language_id.identify(docs, language_id.fit(docs))
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+#: Target weights of the mix; sources not named share one stream of weight 10.
+MIX = {"src0": 12, "src1": 6, "src2": 5, "src3": 4, "src4": 3, "src5": 2}
+MIX_OTHER = 10
+
+
+@query("op2_mixing")
+def op2_mixing(spark, folder):
+    from reviewlens.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, folder, "documents"), MIX, other=MIX_OTHER)
+
+
+@query(
+    "op6_topk",
+    """
+    with valid as (
+      select vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) as v
+      from embeddings
+      where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), scored as (
+      select q.vec_id as query_id, c.vec_id,
+        cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
+      from valid q join valid c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)
+    ), ranked as (
+      select query_id, vec_id, score,
+        cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
+      from scored
+    )
+    select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+)
+def op6_topk(spark, folder):
+    """The five best of all vectors for every vector whose id 50 divides."""
+    from reviewlens.llm.vector_search import quantized, top_k
+
+    vectors = quantized(table(spark, folder, "embeddings"))
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
