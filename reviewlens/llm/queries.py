@@ -147,3 +147,53 @@ def op6_topk(spark, folder):
 
     vectors = quantized(table(spark, folder, "embeddings"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+def _license_sql() -> str:
+    from reviewlens.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
+
+    def places(phrase: str) -> str:
+        parts = phrase.split()
+        same = " and ".join(f"w[i + {k + 1}] = '{part}'" for k, part in enumerate(parts))
+        return f"list_filter(range(0, len(w) - {len(parts) - 1}), lambda i: {same})"
+
+    phrases = list(PHRASES)
+    columns = ", ".join(f"{places(phrase)} as p{k}" for k, phrase in enumerate(phrases))
+    every = " || ".join(f"p{k}" for k in range(len(phrases)))
+    base = ", ".join(f"case when len(p{k}) > 0 then '{PHRASES[phrase]}' end" for k, phrase in enumerate(phrases))
+    sets = ", ".join(f"('{label}', {sorted(set(text.split()))!r})" for label, text in TEMPLATES.items())
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    part, whole = CONTAINMENT
+    return f"""
+    with lowered as (
+      select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+      from documents
+    ), words as (select doc_id, regexp_extract_all(t, '{word}') as w from lowered),
+    counted as (select doc_id, w, {columns} from words),
+    based as (
+      select doc_id, len(w) as n_words, {every} as places,
+        list_distinct(list_filter([{base}], lambda x: x is not null)) as base
+      from counted
+    ), templates(label, ws) as (values {sets}),
+    blocks as (
+      select doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{word}')) as b from lowered
+    ), hits as (
+      select doc_id, label, len(list_intersect(ws, b)) / len(ws) as containment
+      from blocks join templates on len(list_intersect(ws, b)) * {whole} >= {part} * len(ws)
+    ), matched as (
+      select doc_id, list(distinct label) as found, max(containment) as best from hits group by doc_id
+    )
+    select doc_id, cast(n_words as bigint) as n_words, cast(len(places) as bigint) as n_base,
+      cast(list_min(places) as bigint) as first_word, cast(list_max(places) as bigint) as last_word,
+      array_to_string(list_sort(base), ',') as base_labels,
+      array_to_string(list_sort(list_distinct(base || coalesce(found, []))), ',') as labels,
+      case when len(places) > 0 then 1.0::double else coalesce(best, 0.0)::double end as score
+    from based left join matched using (doc_id)
+    """
+
+
+@query("op4_license", _license_sql())
+def op4_license(spark, folder):
+    from reviewlens.llm.license_scan import license_scan
+
+    return license_scan(table(spark, folder, "documents"))
