@@ -197,3 +197,18 @@ def op4_license(spark, folder):
     from reviewlens.llm.license_scan import license_scan
 
     return license_scan(table(spark, folder, "documents"))
+
+
+@query("op3_line_dedup")
+def op3_line_dedup(spark, folder):
+    """Numbers of the lines that go, per document, and the digest of what stays."""
+    from reviewlens.llm.line_dedup import line_dedup
+
+    found = line_dedup(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("removed_lines").cast("bigint").alias("n_removed"),
+        "removed_lines",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
