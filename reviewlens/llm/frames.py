@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows without an id come after all others.
@@ -13,8 +15,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id, text, ord and tag, whatever else the input holds.
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """Columns doc_id, text, ord and tag, whatever else the input holds; with ``carry``, those columns as
+    one struct ``carried``.
 
     Documents are ordered by (ord, tag): the id, nulls last, then a hash of the text. So rows that
     repeat an id have a fixed order too, and rows equal in id and text are one document.
@@ -26,9 +29,5 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         text.alias("text"),
         F.coalesce(key, F.lit(LAST)).alias("ord"),
         F.hash(text).alias("tag"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
-
-
-def before(left: Column, right: Column) -> Column:
-    """Struct order, as Spark compares structs field by field."""
-    return left < right

@@ -184,6 +184,38 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
+def _predicted(frozen: Model, column: pa.Array) -> list[pa.Array]:
+    """Language, score and bits per byte of every text."""
+    data, offsets = T.texts(column)
+    texts = column.to_pylist()
+    known = np.array([bool(text) and _LETTER.search(text) is not None for text in texts], dtype=bool)
+    known &= bool(frozen.languages)
+    names, score, rate = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
+    if known.any():
+        bits = code_lengths(frozen, data, offsets)
+        least = bits.min(axis=1)
+        best = bits.argmin(axis=1).tolist()
+        likely = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+        names = [frozen.languages[b] if k else UNKNOWN for b, k in zip(best, known.tolist(), strict=True)]
+        score = np.where(known, likely, 0.0)
+        rate = np.where(known, least / np.maximum(np.diff(offsets), 1), np.nan)
+    return [pa.array(names, pa.string()), pa.array(score), pa.array(rate, from_pandas=True)]
+
+
+def identified_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """row (all columns of the input as a struct), lang_pred, score, bits_per_byte; see ``identify``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = _predicted(shared.value, batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "lang_pred", "score", "bits_per_byte"])
+
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double, bits_per_byte double")
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, lang_pred, score, bits_per_byte.
 
@@ -191,29 +223,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     Equal code lengths go to the first language by name. ``und`` with score 0 where the text is null or
     has no letter. Rows stay one to one; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frozen = shared.value
-        for batch in batches:
-            data, offsets = T.texts(batch.column("text"))
-            texts = batch.column("text").to_pylist()
-            known = np.array([bool(text) and _LETTER.search(text) is not None for text in texts], dtype=bool)
-            known &= bool(frozen.languages)
-            names, score, rate = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan)
-            if known.any():
-                bits = code_lengths(frozen, data, offsets)
-                best = bits.argmin(axis=1)
-                least = bits.min(axis=1)
-                with np.errstate(under="ignore"):
-                    likely = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-                names = [frozen.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)]
-                score = np.where(known, likely, 0.0)
-                rate = np.where(known, least / np.maximum(np.diff(offsets), 1), np.nan)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(rate, from_pandas=True)],
-                ["doc_id", "lang_pred", "score", "bits_per_byte"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double, bits_per_byte double")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return identified_rows(rows, model).select("row.doc_id", "lang_pred", "score", "bits_per_byte")

@@ -21,7 +21,7 @@ meet the rest. A line needs one earlier match, not all.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -279,34 +279,33 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, text in enumerate(texts):
             gone = repeats.own(batch, "lines", i)
             gone = sorted(gone.field("line").to_pylist()) if gone is not None else []
-            lines = (text or "").split("\n")
+            lines = text.split("\n") if text else []
             numbers.append(gone)
-            total.append(len(lines) if text else 0)
+            total.append(len(lines))
             out = set(gone)
             left.append("\n".join(line for n, line in enumerate(lines) if n not in out) if gone else text)
+        others = [name for name in batch.schema.names if name not in ("text", "lines")]
+        columns = [pa.array(total, pa.int64()), pa.array(numbers, pa.list_(pa.int32())), pa.array(left, pa.string())]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("ord"),
-                batch.column("tag"),
-                pa.array(total, pa.int64()),
-                pa.array(numbers, pa.list_(pa.int32())),
-                pa.array(left, pa.string()),
-            ],
-            ["doc_id", "ord", "tag", "n_lines", "removed_lines", "kept_text"],
+            [*(batch.column(name) for name in others), *columns], [*others, "n_lines", "removed_lines", "kept_text"]
         )
 
 
-def line_dedup(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, crowd: int = CROWD) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, crowd: int = CROWD, carry: Sequence[str] = ()
+) -> DataFrame:
     """Per document: doc_id, ord, tag (its place in the order), n_lines, removed_lines (numbers from 0),
-    kept_text (the other lines, joined by \\n).
+    kept_text (the other lines, joined by \\n); with ``carry``, those columns of the input as ``carried``.
 
     Null and empty texts have no lines and stay as they are. Of rows with equal ids the one with the
     smaller text hash counts as earlier; rows equal in id and text count as one document and get the same
     result each; a null id comes last. Other columns are ignored. No rows give no rows.
     """
-    docs = identified(docs)
-    gone = repeats.gathered(removed_lines(docs, similarity, crowd), "lines")
-    return docs.join(gone, "ord", "left").mapInArrow(
-        _keep, "doc_id bigint, ord bigint, tag int, n_lines bigint, removed_lines array<int>, kept_text string"
+    whole = identified(docs, carry=carry)
+    gone = repeats.gathered(removed_lines(identified(docs), similarity, crowd), "lines")
+    kinds = {f.name: f.dataType.simpleString() for f in whole.schema.fields if f.name != "text"}
+    head = ["ord", *(name for name in kinds if name != "ord")]
+    schema = ", ".join(f"{name} {kinds[name]}" for name in head)
+    return whole.join(gone, "ord", "left").mapInArrow(
+        _keep, f"{schema}, n_lines bigint, removed_lines array<int>, kept_text string"
     )

@@ -16,7 +16,7 @@ repeated. A phase is counted from its own first slot.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import gcd
 
@@ -108,9 +108,10 @@ def mix_sources(
     other: int = 1,
     id_col: str = "doc_id",
     source_col: str = "source",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per document: id_col, source_col, stream (the source, or ``(other)``), block, release, deadline,
-    slot, position (0-based place in the mix).
+    slot, position (0-based place in the mix); with ``carry``, those columns of the input as ``carried``.
 
     ``weights`` are positive integers by source. Sources without a weight, null included, form one stream
     together, with weight ``other``. Within a stream documents go by the md5 of their id as text (null
@@ -122,9 +123,11 @@ def mix_sources(
         raise ValueError("weights are positive integers, and (other) is no source's name")
     spark = docs.sparkSession
     named = F.col("source").isin(*weights) if weights else F.lit(False)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source")).select(
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), *carried).select(
         "id",
         "source",
+        *(["carried"] if carry else []),
         F.when(named, F.col("source")).otherwise(OTHER).alias("stream"),
         F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")).alias("key"),
     )
@@ -172,6 +175,7 @@ def mix_sources(
         (F.col("first_slot") + ends).alias("deadline"),
         "slot",
         (F.col("slot") * block + F.col("place") % block - missing).alias("position"),
+        *(["carried"] if carry else []),
     )
 
 

@@ -212,3 +212,11 @@ def op3_line_dedup(spark, folder):
         "removed_lines",
         F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("pipeline")
+def pipeline(spark, folder):
+    """All stages of corpus_pipeline over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
