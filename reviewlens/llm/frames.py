@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlens.session import written
+
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
 
@@ -31,3 +33,22 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.hash(text).alias("tag"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
+
+
+#: Bits of the map that ``flagged`` broadcasts, 2 MB as rows, whatever the input.
+SLOTS = 1 << 23
+
+
+def flagged(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` with a column ``flagged``, true where ``ord`` is in ``wanted`` and for perhaps a few more.
+
+    Texts that a later join on ``ord`` has nothing for need not be shuffled for it. The filter is a bit
+    map of fixed size over hashes; in a very large corpus it flags all, which costs the shuffle alone.
+    """
+    slot = F.pmod(F.xxhash64("ord"), F.lit(SLOTS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
+    words = wanted.groupBy(F.shiftright(slot, 6).alias("slot_word")).agg(F.bit_or(bit).alias("slot_bits"))
+    words = F.broadcast(written(words, "slots"))  # SLOTS / 64 rows at most
+    joined = docs.withColumn("slot_word", F.shiftright(slot, 6)).join(words, "slot_word", "left")
+    hit = F.coalesce(F.col("slot_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return joined.withColumn("flagged", hit).drop("slot_word", "slot_bits")

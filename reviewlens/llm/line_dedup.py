@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import identified
+from reviewlens.llm.frames import flagged, identified
 from reviewlens.llm.substring_dedup import joined
 from reviewlens.session import written
 
@@ -39,10 +39,6 @@ SIMILARITY = (4, 5)
 CROWD = 32
 PIVOTS = 4
 BUCKETS = 1 << 18
-#: Bits of the filter that picks documents whose lines are verified.
-SLOTS = 1 << 23
-
-
 #: Words of a line are told apart by this many bits of their hash.
 _BITS = 44
 _CODE = np.uint64((1 << _BITS) - 1)
@@ -155,41 +151,6 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["name", "ord", "tag", "line", "words"])
 
 
-def _held(slots):
-    """Rows whose ``ord`` is in the filter."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = slots.value
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            keep = (words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
-            batch = batch.filter(pa.array(keep.astype(bool)))
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("doc_id", "text", "ord", "tag")], ["doc_id", "text", "ord", "tag"])
-
-    return run
-
-
-def _slot(ord_: Column) -> Column:
-    return F.pmod(F.xxhash64(ord_), F.lit(SLOTS))
-
-
-def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The documents whose ``ord`` is in ``wanted``, and perhaps a few more: a bit map of fixed size keeps
-    most texts out of the shuffle that fetches the wanted ones."""
-    spark = docs.sparkSession
-    found = (
-        wanted.select(_slot(F.col("ord")).alias("slot"))
-        .groupBy(F.shiftright("slot", 6).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))).alias("bits"))
-        .toArrow()
-    )
-    words = np.zeros(SLOTS // 64, dtype=np.uint64)
-    words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(words)
-    slotted = docs.select("doc_id", "text", "ord", "tag", _slot(F.col("ord")).alias("slot"))
-    return slotted.mapInArrow(_held(shared), docs.select("doc_id", "text", "ord", "tag").schema)
-
-
 def _may_match(similarity: tuple[int, int]) -> Column:
     """Length filter, positional filter and bit maps, for postings x and y of one word."""
     top, bottom = similarity
@@ -211,7 +172,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: tu
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
     wanted = written(sets.join(names, "name", "left_semi").select("ord", "tag", "line", "name"), "wanted")
-    words = _only(docs, wanted).join(repeats.gathered(wanted, "wanted"), "ord").mapInArrow(
+    near = flagged(docs, wanted).filter("flagged").drop("flagged")
+    words = near.join(repeats.gathered(wanted, "wanted"), "ord").mapInArrow(
         joined_words, "name bigint, ord bigint, tag int, line int, words array<bigint>"
     )
     place = F.struct("ord", "tag", "line")

@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import identified
+from reviewlens.llm.frames import flagged, identified
 from reviewlens.llm.substring_dedup import joined, opened_windows
 from reviewlens.llm.suffix_sort import deep_shallow
 
 WIDTH = 100
 GRAM = 24
-CROWD = 1024
+CROWD = 1 << 14
 #: Bytes of surroundings that are sorted at a time, at least one anchor's.
 LOAD = 1 << 20
 
@@ -154,7 +154,9 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     blocks = repeats.repeated_blocks(docs, units)
     first = repeats.first_blocks(blocks, ["ord", "tag", "p"])
     here = F.struct("ord", "tag", "p")
-    marked = blocks.join(first, repeats.KEYS)
+    marked = blocks.join(first, repeats.KEYS).filter((here > F.col("first")) | (F.col("versions") > 1))
+    split = flagged(docs, marked)
+    docs = split.filter("flagged").drop("flagged")
     whole = marked.filter(here > F.col("first")).select(
         "ord", "tag", F.col("p").alias("start"), (F.col("n") + width - 1).alias("size")
     )
@@ -176,7 +178,9 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     )
 
     pieces = repeats.gathered(whole.unionByName(ends).unionByName(single), "pieces")
-    return docs.join(pieces, "ord", "left").mapInArrow(
+    touched = docs.join(pieces, "ord", "left")
+    others = split.filter("not flagged").drop("flagged").withColumn("pieces", F.lit(None).cast(pieces.schema["pieces"].dataType))
+    return touched.unionByName(others).mapInArrow(
         _finish,
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary",
     )
