@@ -130,20 +130,18 @@ def simhash_groups(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id, the smallest id reachable by links.
 
     Null, empty and wordless texts have fingerprint zero and link like others. Rows that repeat an id
-    each get a row and are linked by it. Ids are below 2**62. A null id is smaller than none, and a
-    component of null ids alone has a null component_id. Other columns are ignored. No rows give no rows.
+    each get a row by their own text. A null id is smaller than none, and a component of null ids alone
+    has a null component_id. Other columns are ignored. No rows give no rows.
     """
     marks = written(fingerprints(docs), "fingerprints")
-    # a node is its smallest id; without one, a number beyond all ids (two marks that differ in the
-    # last two bits share it, and link anyway)
-    beyond = F.lit(LAST) - F.shiftrightunsigned("mark", 2)
-    low = F.min("ord")
-    nodes = marks.groupBy("mark").agg(F.when(low < LAST, low).otherwise(beyond).alias("node"))
+    nodes = marks.groupBy("mark").agg(F.min("ord").alias("low")).withColumn("node", F.col("mark"))
     nodes = written(nodes, "nodes")
-    found = components(links(nodes, RADIUS, crowd))
-    of = nodes.join(found, "node", "left").select("mark", F.coalesce("component", "node").alias("component"))
-    return marks.join(of, "mark").select(
+    found = components(links(nodes.select("mark", "node"), RADIUS, crowd))
+    of = nodes.join(found, "node", "left").select("mark", "low", F.coalesce("component", "node").alias("component"))
+    lowest = of.groupBy("component").agg(F.min("low").alias("lowest"))
+    labels = of.join(lowest, "component").select("mark", "lowest")
+    return marks.join(labels, "mark").select(
         "doc_id",
         F.lpad(F.lower(F.hex("mark")), 16, "0").alias("fingerprint"),
-        F.when(F.col("component") < LAST >> 1, F.col("component")).alias("component_id"),
+        F.when(F.col("lowest") < LAST, F.col("lowest")).alias("component_id"),
     )
