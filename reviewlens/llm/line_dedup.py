@@ -31,12 +31,11 @@ from pyspark.sql import functions as F
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
 from reviewlens.llm.frames import flagged, identified
-from reviewlens.llm.substring_dedup import joined
 from reviewlens.session import written
 
 #: Similarity as a fraction.
 SIMILARITY = (4, 5)
-CROWD = 32
+CROWD = 1024
 PIVOTS = 4
 BUCKETS = 1 << 18
 #: Words of a line are told apart by this many bits of their hash.
@@ -137,18 +136,23 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word codes and places of the wanted lines."""
     for batch in batches:
         data, offsets = T.texts(batch.column("text"))
-        for i in range(batch.num_rows):
-            wanted = repeats.own(batch, "wanted", i)
-            if wanted is None:
-                continue
-            part = data[offsets[i] : offsets[i + 1]]
-            codes, heads, _, line = _line_words(part, np.array([0, len(part)]))
-            bounds = np.append(heads, len(codes))
-            at = np.searchsorted(line, wanted.field("line").to_numpy())
-            words = [T.signed(codes[bounds[k] : bounds[k + 1]]) for k in at.tolist()]
-            spot = [pa.array([batch.column(c)[i].as_py()] * len(at), kind) for c, kind in (("ord", pa.int64()), ("tag", pa.int32()))]
-            columns = [wanted.field("name"), *spot, wanted.field("line"), pa.array(words, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["name", "ord", "tag", "line", "words"])
+        ord_, tag = batch.column("ord").to_numpy(), batch.column("tag").to_numpy()
+        lists = batch.column("wanted")
+        marks, entries = lists.offsets.to_numpy(), lists.values
+        names, lines, tags = (entries.field(c).to_numpy() for c in ("name", "line", "tag"))
+        for first, last in T.slices(offsets, 4 * T.SLICE):
+            codes, heads, row, line = _line_words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+            low, high = marks[first], marks[last]
+            owner = np.repeat(np.arange(last - first), np.diff(marks[first : last + 1]))
+            own = tags[low:high] == tag[first:last][owner]
+            owner, name, number = owner[own], names[low:high][own], lines[low:high][own].astype(np.int64)
+            at = np.searchsorted(row << 32 | line, owner << 32 | number)
+            size = np.diff(np.append(heads, len(codes)))[at]
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            spots = np.repeat(heads[at] - bounds[:-1], size) + np.arange(bounds[-1])
+            columns = [name, ord_[first:last][owner], tag[first:last][owner], number.astype(np.int32)]
+            words = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(T.signed(codes[spots])))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), words], ["name", "ord", "tag", "line", "words"])
 
 
 def _may_match(similarity: tuple[int, int]) -> Column:
@@ -156,16 +160,19 @@ def _may_match(similarity: tuple[int, int]) -> Column:
     top, bottom = similarity
     m, n = F.col("x.size"), F.col("y.size")
     need = F.floor(((m + n) * top + (top + bottom - 1)) / (top + bottom))
-    differing = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     return (
         (m * bottom >= n * top)
         & (n * bottom >= m * top)
         & (F.col("x.at") <= m - need)
         & (F.col("y.at") <= n - need)
-        & (differing <= m + n - need * 2)
+        & (_differing() <= m + n - need * 2)
     )
 
 
+def _differing() -> Column:
+    return F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Names whose set is similar to that of an earlier place, among the pairs (a, b) of names."""
     top, bottom = similarity
@@ -174,7 +181,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: tu
     wanted = written(sets.join(names, "name", "left_semi").select("ord", "tag", "line", "name"), "wanted")
     near = flagged(docs, wanted).filter("flagged").drop("flagged")
     words = near.join(repeats.gathered(wanted, "wanted"), "ord").mapInArrow(
-        joined_words, "name bigint, ord bigint, tag int, line int, words array<bigint>"
+        _words_of, "name bigint, ord bigint, tag int, line int, words array<bigint>"
     )
     place = F.struct("ord", "tag", "line")
     left = words.select(F.col("name").alias("a"), F.col("words").alias("x"), place.alias("x_place"))
@@ -186,36 +193,41 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: tu
     return written(found, "alike")
 
 
-def joined_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return joined(_words_of(batches), 4096)
-
-
 def similar_sets(sets: DataFrame, docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, crowd: int = CROWD) -> DataFrame:
     """Names of the sets that have a similar set at an earlier place.
 
     ``sets`` has one row per distinct set: name, size, bits, ord, tag, line (its first place), rare.
+    A set that is later than several candidates is held against the likeliest first (the fewest differing
+    bits), and against the others only if that is not similar.
     """
-    posted = sets.select("name", "size", "bits", F.posexplode("rare").alias("at", "word"))
+    posted = sets.select("name", "size", "bits", "ord", F.posexplode("rare").alias("at", "word"))
     here = Window.partitionBy("word")
-    dealt = posted.select("word", "at", "size", "name", "bits").select(
-        "*", F.count("*").over(here).alias("n"), F.row_number().over(here.orderBy("name")).alias("turn")
+    dealt = posted.select("word", "at", "size", "name", "bits", "ord").select(
+        "*", F.count("*").over(here).alias("n"), F.row_number().over(here.orderBy("ord", "name")).alias("turn")
     )
+    dealt = dealt.filter("n > 1")
     same = (F.col("x.word") == F.col("y.word")) & _may_match(similarity)
     meets = (F.col("x.turn") > F.col("y.turn")) & ((F.col("x.n") <= crowd) | (F.col("y.turn") <= PIVOTS))
-    pairs = dealt.filter("n > 1").alias("x").join(dealt.filter("n > 1").alias("y"), same & meets)
-    pairs = pairs.select(F.col("x.name").alias("a"), F.col("y.name").alias("b"))
-    dense = dealt.filter(F.col("n") > crowd).drop("n", "turn")
-    empty = {"a": "bigint", "b": "bigint"}, dict(dense.dtypes)
-    met = pairs.select("a", "b", *[F.lit(None).cast(kind).alias(name) for name, kind in empty[1].items()]).unionByName(
-        dense.select(*[F.lit(None).cast(kind).alias(name) for name, kind in empty[0].items()], *dense.columns)
+    pairs = dealt.alias("x").join(dealt.alias("y"), same & meets).select(
+        F.col("x.name").alias("a"),
+        F.col("y.name").alias("b"),
+        _differing().alias("differing"),
+        (F.col("x.ord") == F.col("y.ord")).alias("tie"),  # of one document: which is later shows only with the lines
     )
+    dense = dealt.filter(F.col("n") > crowd).drop("n", "turn")
+    none = lambda frame: [F.lit(None).cast(kind).alias(name) for name, kind in frame.dtypes]
+    met = pairs.select("*", *none(dense)).unionByName(dense.select(*none(pairs), "*"))
     met = written(met, "met")  # one shuffle of all postings gives the pairs and the crowded words' postings
-    found = _verified(met.filter("a is not null").select("a", "b"), sets, docs, similarity)
-    dense = met.filter("word is not null").select(*dense.columns)
+    pairs, dense = met.filter("a is not null").select(*pairs.columns), met.filter("word is not null").select(*dense.columns)
+    likely = pairs.groupBy("a").agg(F.min(F.struct("differing", "b")).alias("first")).select("a", "first.b")
+    found = _verified(likely.unionByName(pairs.filter("tie").select("a", "b")), sets, docs, similarity)
+    gone = found.select(F.col("name").alias("a"))
+    others = pairs.filter("not tie").join(gone, "a", "left_anti").select("a", "b").distinct()
+    others = others.join(likely, ["a", "b"], "left_anti")
     left = dense.join(found, "name", "left_anti").alias("x")
-    rest = left.join(dense.alias("y"), same & (F.col("x.name") != F.col("y.name")))
+    rest = left.join(dense.alias("y"), same & (F.col("x.name") != F.col("y.name")) & (F.col("x.ord") >= F.col("y.ord")))
     rest = rest.select(F.col("x.name").alias("a"), F.col("y.name").alias("b"))
-    return found.unionByName(_verified(rest, sets, docs, similarity)).distinct()
+    return found.unionByName(_verified(others.unionByName(rest), sets, docs, similarity)).distinct()
 
 
 def removed_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, crowd: int = CROWD) -> DataFrame:
@@ -264,10 +276,14 @@ def line_dedup(
     result each; a null id comes last. Other columns are ignored. No rows give no rows.
     """
     whole = identified(docs, carry=carry)
-    gone = repeats.gathered(removed_lines(identified(docs), similarity, crowd), "lines")
+    gone = written(removed_lines(identified(docs), similarity, crowd), "lines")
+    split = flagged(whole, gone)
+    gone = repeats.gathered(gone, "lines")
+    near = split.filter("flagged").drop("flagged").join(gone, "ord", "left")
+    others = split.filter("not flagged").drop("flagged").withColumn("lines", F.lit(None).cast(gone.schema["lines"].dataType))
     kinds = {f.name: f.dataType.simpleString() for f in whole.schema.fields if f.name != "text"}
     head = ["ord", *(name for name in kinds if name != "ord")]
     schema = ", ".join(f"{name} {kinds[name]}" for name in head)
-    return whole.join(gone, "ord", "left").mapInArrow(
+    return near.unionByName(others).select(*head, "text", "lines").mapInArrow(
         _keep, f"{schema}, n_lines bigint, removed_lines array<int>, kept_text string"
     )
