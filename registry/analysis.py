@@ -82,7 +82,8 @@ def combined_stars(spark, folder):
 
 
 STATS_ROWS = " union all ".join(
-    f"select dataset, 'basic_stats' as analysis, '{m}' as metric, round(cast({c} as double), 6) as value from stats"
+    f"select dataset, 'basic_stats' as analysis, null as rank, null as item, '{m}' as measure, "
+    f"round(cast({c} as double), 6) as value from stats"
     for m, c in {
         "count": '"count"', "min": "min", "q1": "q1", "median": "median", "q3": "q3", "max": "max",
         "mean": "mean", "stddev": "stddev", "variance": "variance", "iqr": "iqr",
@@ -91,18 +92,19 @@ STATS_ROWS = " union all ".join(
 
 
 def _listed(title: str, item_type: str, order: str) -> str:
-    return f"""select dataset, '{title}' as analysis, printf('%04d', rank) || ':' || item_key as metric,
-               avg_rating as value from ({_list(item_type, order, 'dataset, ')})"""
+    listed = f"from ({_list(item_type, order, 'dataset, ')})"
+    return f"""select dataset, '{title}', rank, item_key, 'mean', avg_rating {listed}
+               union all select dataset, '{title}', rank, item_key, 'count', cast(review_count as double) {listed}"""
 
 
 @query(
     "integrated_report",
     f"""with {REVIEWS}, {BOTH}, stats as (select dataset, {STATS} from datasets group by 1), tagged as (
-      select category as dataset, 'PRODUCT' as item_type, product_id as item_key, {MEASURES}
-      from reviews group by category, product_id
-      union all select category, 'CATEGORY', store, {MEASURES} from reviews group by category, store)
+      select dataset, 'PRODUCT' as item_type, product_id as item_key, {MEASURES}
+      from datasets group by dataset, product_id
+      union all select dataset, 'CATEGORY', store, {MEASURES} from datasets group by dataset, store)
     {STATS_ROWS}
-    union all select dataset, 'bias', 'correlation', round(corr(review_length, rating), 6)
+    union all select dataset, 'bias', null, null, 'correlation', round(corr(review_length, rating), 6)
       from datasets group by 1
     union all {_listed('top_products_by_rating', 'PRODUCT', RATING_ORDER)}
     union all {_listed('top_products_by_popularity', 'PRODUCT', POPULARITY_ORDER)}
@@ -111,7 +113,7 @@ def _listed(title: str, item_type: str, order: str) -> str:
 )
 def integrated_report_query(spark, folder):
     lists = top_lists(
-        _datasets(spark, folder).withColumnRenamed("store", "category"), by=["dataset"]
+        _datasets(spark, folder).withColumnRenamed("store", "category"), by=["dataset"], combined=COMBINED
     )
     return integrated_report(lists, _analysis(spark, folder))
 

@@ -15,7 +15,6 @@ from reviewlens.sinks import (
 )
 from reviewlens.sources import (
     dataset_inventory,
-    file_inventory,
     first_readable,
     json_profile,
     preview,
@@ -164,13 +163,6 @@ def json_profile_query(spark, folder):
     )
 
 
-@query("file_inventory")
-def file_inventory_query(spark, folder):
-    return file_inventory(spark, f"{folder}/*.parquet", ["lineitem.parquet", "absent.parquet"]).select(
-        "name", "bytes", "present"
-    )
-
-
 @query(
     "dataset_inventory",
     """select 'lineitem' as dataset, true as readable, count(*) as row_count from lineitem
@@ -221,16 +213,32 @@ def export_formats(spark, folder):
     )
 
 
-@query("sample_file", f"with {RATINGS} select least(count(*), 1000) as n from ratings")
+PLAIN = "product_id, rating, cast(ts as varchar) as timestamp, review_length"
+
+
+@query(
+    "sample_file",
+    f"""with {RATINGS}, first as (
+      select {PLAIN} from ratings order by product_id, rating, timestamp, review_length limit 1000)
+    select product_id, round(rating, 6) as rating, timestamp, review_length from first""",
+)
 def sample_file(spark, folder):
-    path = scratch_path(spark, "sample")
-    write_sample(views.ratings(spark, folder), path)
-    return spark.read.text(path).agg(F.count("*").alias("n"))
+    """The first thousand rows, in order, through a JSON file."""
+    path, source = scratch_path(spark, "sample"), views.ratings(spark, folder)
+    write_sample(source, path)
+    return spark.read.schema(source.schema).json(path)
 
 
-@query("preview_rows")
+@query(
+    "preview_rows",
+    f"""with {REVIEWS}, first as (
+      select {PLAIN}, category, store, title from reviews
+      order by product_id, rating, timestamp, review_length, category, store, title limit 2)
+    select product_id, round(rating, 6) as rating, timestamp, review_length, category, store, title from first""",
+)
 def preview_rows(spark, folder):
-    return preview(views.reviews(spark, folder))
+    columns = ["product_id", "rating", "timestamp", "review_length", "category", "store", "title"]
+    return preview(_reviews(spark, folder).select(*columns))
 
 
 @query("rows_to_frame", f"with {RATINGS} select product_id, {MEASURES} from ratings group by product_id order by avg_rating desc, product_id desc limit 10")

@@ -24,7 +24,7 @@ def map_reduce_avg(spark, folder):
     add_up = mapreduce.reduce_by(["product_id"], {"rating_sum": "sum", "review_count": "sum"})
     pairs = views.ratings(spark, folder).select("product_id", "rating")
     schema = "product_id string, rating_sum double, review_count bigint"
-    return finish(mapreduce.map_reduce(pairs, to_state, ["product_id"], add_up, schema, reducers=5))
+    return finish(mapreduce.map_reduce(pairs, to_state, ["product_id"], add_up, schema))
 
 
 # Mapper: a count of one behind every pair. Reducer and combiner: add up sorted lines per key.
@@ -39,7 +39,7 @@ ADD_UP = (
 def piped_map_reduce_avg(spark, folder):
     """The same through external commands that read and write text lines."""
     lines = mapreduce.lines_of(views.ratings(spark, folder), ["product_id", "rating"])
-    out = mapreduce.piped_map_reduce(lines, ADD_ONE, ADD_UP, combiner=ADD_UP, reducers=5)
+    out = mapreduce.piped_map_reduce(lines, ADD_ONE, ADD_UP, combiner=ADD_UP)
     fields = F.split("line", "\t")
     return finish(
         out.select(
@@ -67,21 +67,17 @@ def strategy_check(spark, folder):
     return outcome.select("strategy", "row_count")
 
 
-@query("synthetic_columns")
-def synthetic_columns(spark, folder):
-    pairs = views.ratings(spark, folder).select("product_id", "rating")
-    return prepare.synthetic_columns(pairs, "2025-01-01").agg(
-        F.count("*").alias("n"),
-        F.min("review_length").alias("min_length"),
-        F.max("review_length").alias("max_length"),
-        F.min("timestamp").alias("first"),
-        F.max("timestamp").alias("last"),
-    )
-
-
-@query("sample_rows")
+@query(
+    "sample_rows",
+    f"""with {RATINGS}, drawn as (
+      select product_id, rating, cast(ts as varchar) as timestamp, review_length, cast('0x' || substr(md5(concat_ws('|',
+        '42', product_id, cast(ts as varchar), cast(review_length as varchar))), 1, 8) as bigint) as place from ratings)
+    select product_id, round(rating, 6) as rating, timestamp, review_length from drawn
+    where place < cast(floor(0.01 * 4294967296) as bigint)""",
+)
 def sample_rows(spark, folder):
-    return prepare.row_sample(views.ratings(spark, folder))
+    """A hundredth of the rows, drawn by a hash of their key from the whole table."""
+    return prepare.row_sample(views.ratings(spark, folder), key=["product_id", "timestamp", "review_length"])
 
 
 def _event_state(spark, folder):

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewlens.errors import UNREADABLE
 from reviewlens.operators import prepare as steps
 from reviewlens.operators.quality import (
     category_frequency,
@@ -21,7 +22,7 @@ from reviewlens.plans.analysis import COMBINED, analyze, save_analysis
 from reviewlens.plans.datasets import prepare, preprocess, union_all
 from reviewlens.plans.scripts import run_scripts
 from reviewlens.plans.top_lists import integrated_report, top_job, top_lists
-from reviewlens.session import build_session
+from reviewlens.session import build_session, scratch_path
 from reviewlens.sinks import export, write_json, write_parquet
 from reviewlens.sources import (
     file_inventory,
@@ -31,7 +32,7 @@ from reviewlens.sources import (
     read_rating_pairs,
 )
 from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
-from reviewlens.streaming.ratings import daily_ratings
+from reviewlens.streaming.ratings import compact, daily_ratings
 
 
 def _named(text: str) -> tuple[str, str]:
@@ -41,36 +42,43 @@ def _named(text: str) -> tuple[str, str]:
     return name, path
 
 
-def _processed(spark: SparkSession, args) -> DataFrame:
+def _processed(spark: SparkSession, args) -> tuple[DataFrame, dict[str, str]]:
+    """All readable datasets as one table, and the errors of the others."""
     frames, errors = read_processed(spark, dict(args.inputs))
     for name, error in errors.items():
         logging.error("%s: %s", name, error)
-    return union_all(frames, None)
+    return union_all(frames, None), errors
 
 
 def run_preprocess(spark, args):
-    return preprocess(spark, dict(args.inputs), args.output, args.partitions)
+    return {"errors": preprocess(spark, dict(args.inputs), args.output, args.partitions)}
 
 
 def run_validate(spark, args):
-    """Validation report as JSON; frequency tables and the roll-up on the console."""
-    processed = _processed(spark, args)
-    rating_frequency(processed, ["dataset"]).show(truncate=False)
+    """Validation report and whole frequency tables as JSON; a glance at them on the console."""
+    processed, errors = _processed(spark, args)
+    frequencies = {"rating_frequency": rating_frequency(processed, ["dataset"])}
     if "category" in processed.columns:
-        category_frequency(processed).show(truncate=False)
+        frequencies["category_frequency"] = category_frequency(processed)
+    for name, df in frequencies.items():
+        write_json(df, f"{args.output}_{name}")
+        spark.read.schema(df.schema).json(f"{args.output}_{name}").show(truncate=False)
     report = validation_report(processed, expected=[name for name, _ in args.inputs])
     write_json(report, args.output)
     validation_rollup(spark.read.schema(report.schema).json(args.output)).show(truncate=False)
+    return {"errors": errors}
 
 
 def run_prepare(spark, args):
     frames, errors = read_processed(spark, dict(args.inputs))
     counts = {name: prepare(df, f"{args.output}/{name}") for name, df in frames.items()}
-    return {**counts, **errors}
+    return {**counts, "errors": errors}
 
 
 def run_convert(spark, args):
-    return export(spark, dict(args.inputs), args.output)
+    outcome = export(spark, dict(args.inputs), args.output)
+    failed = {name: what for name, what in outcome.items() if what == "missing" or what.startswith("error: ")}
+    return {**outcome, "errors": failed}
 
 
 def run_top(spark, args):
@@ -79,23 +87,25 @@ def run_top(spark, args):
         frames = {name: read_rating_pairs(spark, path) for name, path in args.inputs}
         reviews = union_all(frames, "category")
     else:
-        reviews = steps.good_events(read_events(spark, [path for _, path in args.inputs]))
-    top_job(reviews, args.output, args.top, args.min_reviews).orderBy("section_no", "rank").show(
-        1000, truncate=False
-    )
+        events = read_events(spark, [path for _, path in args.inputs], args.multi_line)
+        reviews = steps.good_events(events)
+        write_json(steps.rejected_events(events), f"{args.output}/rejected")
+    top_job(reviews, args.output, args.top, args.min_reviews)
+    # the report itself holds all lines
+    spark.read.text(f"{args.output}/report").show(4 * args.top, truncate=False)
 
 
 def run_analyze(spark, args):
     """Analysis of each dataset and of all combined, with the integrated report."""
-    reviews = _processed(spark, args)
+    reviews, errors = _processed(spark, args)
     results = analyze(reviews, "dataset", COMBINED, args.date, args.length, args.rating)
-    errors = {}
-    for name in [*dict(args.inputs), COMBINED]:
-        errors.update(save_analysis(results, f"{args.output}/{name}", name))
+    for name in [*(name for name, _ in args.inputs if name not in errors), COMBINED]:
+        failed = save_analysis(results, f"{args.output}/{name}", name)
+        errors |= {f"{name}/{analysis}": error for analysis, error in failed.items()}
     if "category" in reviews.columns and "product_id" in reviews.columns:
-        report = integrated_report(top_lists(reviews, by=["dataset"]), results)
+        report = integrated_report(top_lists(reviews, by=["dataset"], combined=COMBINED), results)
         write_parquet(report, f"{args.output}/integrated_report")
-    return errors
+    return {"errors": errors}
 
 
 def run_mapreduce(spark, args):
@@ -107,8 +117,10 @@ def run_mapreduce(spark, args):
 
 
 def run_sample(spark, args):
-    """A repeatable sample of at most 1000 rows as JSON."""
-    write_json(steps.row_sample(_processed(spark, args)), args.output)
+    """A repeatable sample as JSON: a share of the rows, or a number of them."""
+    processed, errors = _processed(spark, args)
+    write_json(steps.row_sample(processed, args.fraction, rows=args.rows), args.output)
+    return {"errors": errors}
 
 
 def run_stream(spark, args):
@@ -118,18 +130,34 @@ def run_stream(spark, args):
         events = read_stream(spark, path, spark.read.parquet(path).schema)
         updates = rating_updates(events, ["product_id"], args.date, args.rating)
         run_available(updates, changes, f"{args.output}/{name}/checkpoint")
-        state = daily_ratings(latest_state(spark, changes, ["product_id"]))
-        write_parquet(state, f"{args.output}/{name}/daily")
+        state = f"{args.output}/{name}/state"
+        try:  # only batches after the last compaction are read again
+            base = state if spark.read.parquet(state).count() else None
+        except UNREADABLE:
+            base = None
+        newest = scratch_path(spark, "state")
+        compact(spark, changes, ["product_id"], newest, base)
+        write_parquet(spark.read.parquet(newest), state)
+        write_parquet(daily_ratings(latest_state(spark, changes, ["product_id"], state)), f"{args.output}/{name}/daily")
 
 
 def run_profile(spark, args):
-    for _, path in args.inputs:
-        json_profile(spark, path).show(truncate=False)
+    """The profile of every file, as JSON with ``--output``; a glance at it on the console."""
+    for name, path in args.inputs:
+        _shown(json_profile(spark, path), args, name)
 
 
 def run_inventory(spark, args):
-    for _, path in args.inputs:
-        file_inventory(spark, path).show(1000, truncate=False)
+    """Every file with its size, as JSON with ``--output``; a glance at it on the console."""
+    for name, path in args.inputs:
+        _shown(file_inventory(spark, path), args, name)
+
+
+def _shown(df: DataFrame, args, name: str) -> None:
+    if args.output:
+        write_json(df, f"{args.output}/{name}")
+        df = df.sparkSession.read.schema(df.schema).json(f"{args.output}/{name}")
+    df.show(truncate=False)
 
 
 JOBS = {
@@ -157,6 +185,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     parser.add_argument("--reducer", help="script for mapreduce")
     parser.add_argument("--combiner", help="script for mapreduce, same line format in and out")
     parser.add_argument("--pairs", action="store_true", help="inputs are tab-separated rating pairs")
+    parser.add_argument("--multi-line", action="store_true", help="event fields may hold line breaks")
+    parser.add_argument("--fraction", type=float, default=0.01, help="share of rows to sample")
+    parser.add_argument("--rows", type=int, help="number of rows to sample instead")
     parser.add_argument("--top", type=int, default=TOP)
     parser.add_argument("--min-reviews", type=int, default=MIN_REVIEWS)
     parser.add_argument("--date", default="timestamp", help="date column")
@@ -168,6 +199,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     if args.job == "mapreduce" and not (args.mapper and args.reducer):
         parser.error("--mapper and --reducer are needed")
     outcome = JOBS[args.job](spark or build_session(), args)
+    outcome = {key: value for key, value in (outcome or {}).items() if key != "errors" or value}
     if outcome:
         print(outcome)
     return outcome
@@ -175,4 +207,4 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
 
 if __name__ == "__main__":
     logging.basicConfig(level=logging.INFO, stream=sys.stderr)
-    main()
+    sys.exit(1 if main().get("errors") else 0)

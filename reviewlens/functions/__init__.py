@@ -22,12 +22,12 @@ from reviewlens.functions.ratings import (
 )
 from reviewlens.functions.text import (
     clean_key,
+    decoded,
     fixed,
     has_text,
     joined_text,
     name_from_path,
     one_line,
-    slug,
 )
 
 __all__ = [
@@ -36,6 +36,7 @@ __all__ = [
     "bucket_ordinal",
     "clean_key",
     "correlation_band",
+    "decoded",
     "finite",
     "first_available_date",
     "first_positive_length",
@@ -52,7 +53,6 @@ __all__ = [
     "percent",
     "rated",
     "safe_corr",
-    "slug",
     "star",
     "text_length",
     "two_decimals",

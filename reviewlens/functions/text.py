@@ -33,12 +33,15 @@ def joined_text(column: Column, data_type: DataType) -> Column:
     return column.cast("string")
 
 
-def slug(name: Column) -> Column:
-    return F.translate(F.lower(name), " ", "_")
+def fixed(value: Column, digits: int = 2, missing: str | None = None) -> Column:
+    """Text with ``digits`` decimals; a null becomes ``missing``."""
+    text = F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
+    return text if missing is None else F.coalesce(text, F.lit(missing))
 
 
-def fixed(value: Column, digits: int = 2) -> Column:
-    return F.format_string(f"%.{digits}f", value)
+def decoded(file_path: Column) -> Column:
+    """A scan's ``_metadata.file_path``, which is URL-encoded, as a plain path."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
 
 
 def name_from_path(path: Column, level: int = 1) -> Column:

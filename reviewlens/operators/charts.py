@@ -64,7 +64,7 @@ def stacked_chart(
 def correlation_chart(correlation: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     value = F.col("correlation")
     return correlation.select(
-        *by, value, fixed(value, 4).alias("label"), correlation_band(value).alias("band")
+        *by, value, fixed(value, 4, "undefined").alias("label"), correlation_band(value).alias("band")
     )
 
 
@@ -90,7 +90,7 @@ def box_chart(basic_stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         *numbers.values(),
         box.alias("box"),
         *[
-            F.concat(F.lit(f"{label}: "), fixed(F.col(name))).alias(f"{name}_label")
+            F.concat(F.lit(f"{label}: "), fixed(F.col(name), 2, "undefined")).alias(f"{name}_label")
             for label, name in numbers.items()
         ],
     )

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SALTS = 64
+#: One salt per map task.
+PER_TASK = 0
 
 Frames = Iterator[pd.DataFrame]
 
@@ -48,7 +49,7 @@ def map_reduce(
     reduce_fn: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     reducers: int | None = None,
-    salts: int | None = SALTS,
+    salts: int | None = PER_TASK,
 ) -> DataFrame:
     """``map_fn`` turns a batch of rows into rows of ``schema``; ``reduce_fn`` merges those.
 
@@ -56,9 +57,10 @@ def map_reduce(
     the same schema per key. It must be associative and commutative, since it
     runs on each map batch, then per (key, salt), then per key. The salt is
     the map task's number, which does not change when a task is retried: a key
-    that holds a third of all rows is spread over ``salts`` sorted runs, and at
-    most that many rows of it meet in the last step. ``salts=None`` leaves the
-    middle step out, for keys known to be even. ``reducers`` sets how many
+    that holds a third of all rows is spread over as many sorted runs as there
+    are map tasks (or over ``salts``, if given), and at most that many rows of it
+    meet in the last step. ``salts=None`` leaves the middle step out, for keys
+    known to be even. ``reducers`` sets how many
     tasks the last step has; without it adaptive execution decides.
     """
 
@@ -69,8 +71,9 @@ def map_reduce(
     combined = df.mapInPandas(mapped, schema)
     result = combined.schema
     merge = _sorted_merge(keys, combined.columns, reduce_fn)
-    if salts:
-        salted = combined.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    if salts is not None:
+        task = F.spark_partition_id()
+        salted = combined.withColumn("_salt", F.pmod(task, F.lit(salts)) if salts else task)
         runs = salted.repartition(*keys, "_salt").sortWithinPartitions(*keys)
         combined = runs.mapInPandas(merge, result)
     spread = combined.repartition(reducers, *keys) if reducers else combined.repartition(*keys)
@@ -78,18 +81,31 @@ def map_reduce(
 
 
 def _piped(lines: DataFrame, command: str) -> DataFrame:
-    """Each task's lines through one external command, as text in and text out."""
+    """Each task's lines through one external command, as text in and text out.
+
+    The command's pipe ends a field at U+0001, a record at a line break, and reads \\N as null. Lines that
+    hold one of these, on the way in or out, would come back changed: they are an error.
+    """
+    line = F.col("line")
+    unfit = line.contains("\x01") | line.contains("\n") | (line == "\\N")
+    lines = lines.filter(line.isNotNull()).select(
+        F.when(unfit, F.raise_error(F.lit("a line for a command holds U+0001, a line break or \\N"))).otherwise(line).alias("line")
+    )
     quoted = command.replace("\\", "\\\\").replace("'", "\\'").replace("{", "{{").replace("}", "}}")
-    return lines.sparkSession.sql(
+    out = lines.sparkSession.sql(
         f"""
         SELECT TRANSFORM (line)
           ROW FORMAT DELIMITED FIELDS TERMINATED BY '\\u0001'
-          USING '{quoted}' AS (line STRING)
+          USING '{quoted}' AS (line STRING, rest STRING)
           ROW FORMAT DELIMITED FIELDS TERMINATED BY '\\u0001'
         FROM {{lines}}
         """,
         lines=lines,
     )
+    whole = F.col("rest").isNull() & line.isNotNull()
+    return out.select(
+        F.when(whole, line).otherwise(F.raise_error(F.lit("a command gave a line with U+0001 or \\N"))).alias("line")
+    )
 
 
 def piped_map_reduce(

@@ -23,6 +23,7 @@ from reviewlens.schemas import PROCESSED
 
 # Where a processed column comes from: the first name the input has. The choice
 # is made once per dataset, not per row.
+# Source fields, the id of a product without one, the prefix of category keys.
 ORIGINS = {"product_id": ("parent_asin", "asin"), "rating": ("average_rating", "overall")}
 MISSING_ID = "unknown"
 
@@ -101,12 +102,16 @@ def _has_key() -> Column:
     return has_text(F.col("product_id")) | has_text(F.col("category"))
 
 
+def _short(events: DataFrame) -> Column:
+    return F.col("short") if "short" in events.columns else F.lit(False)
+
+
 def good_events(events: DataFrame) -> DataFrame:
-    """Text events with a number for a rating and a key, typed and trimmed."""
+    """Text events with a number for a rating and a key, typed and trimmed; short rows left out."""
     text = F.col("rating")
     return (
         require(events, "product_id", "rating", "category")
-        .filter(is_rating(text) & _has_key())
+        .filter(~_short(events) & is_rating(text) & _has_key())
         .select(
             clean_key(F.col("product_id")).alias("product_id"),
             parse_rating(text).alias("rating"),
@@ -120,12 +125,15 @@ def rejected_events(events: DataFrame) -> DataFrame:
     text = F.col("rating")
     return (
         require(events, "product_id", "rating", "category")
-        .filter(~is_rating(text) | ~_has_key())
+        .filter(_short(events) | ~is_rating(text) | ~_has_key())
         .select(
             clean_key(F.col("product_id")).alias("product_id"),
             text.alias("rating_text"),
             clean_key(F.col("category")).alias("category"),
-            F.when(is_rating(text), "no key").otherwise("rating is not a number").alias("reason"),
+            F.when(_short(events), "too few fields")
+            .when(is_rating(text), "no key")
+            .otherwise("rating is not a number")
+            .alias("reason"),
         )
     )
 
@@ -195,6 +203,20 @@ def synthetic_columns(df: DataFrame, anchor: str, seed: int = 42) -> DataFrame:
     )
 
 
-def row_sample(df: DataFrame, fraction: float = 0.01, seed: int = 42, rows: int = 1000) -> DataFrame:
-    """Bernoulli sample without replacement, then at most ``rows`` rows."""
-    return df.sample(False, fraction, seed).limit(rows)
+def row_sample(
+    df: DataFrame, fraction: float = 0.01, seed: int = 42, rows: int | None = None, key: Sequence[str] | None = None
+) -> DataFrame:
+    """A repeatable sample without replacement, drawn by a hash of each row's key (all columns by default).
+
+    Without ``rows``, the rows whose hash lies in the lowest ``fraction``; with ``rows``, that many with
+    the smallest hashes. Either way every part of the input is drawn from alike, and the sample is the
+    same in any layout. Rows with equal keys are drawn together.
+    """
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("\u0000")) for name in key or df.columns]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    drawn = df.withColumn("_drawn", F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"))
+    if rows is None:
+        drawn = drawn.filter(F.col("_drawn") < F.lit(int(fraction * 2**32)))
+    else:
+        drawn = drawn.orderBy("_drawn", *(key or df.columns)).limit(rows)
+    return drawn.drop("_drawn")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import rated, two_decimals
+from reviewlens.functions import clean_key, rated, two_decimals
 from reviewlens.operators.prepare import dual_keys, truthy_pairs
 
 STATE = ("rating_sum", "review_count")
@@ -50,12 +50,12 @@ def rating_stats(df: DataFrame, keys: Sequence[str], rating: str = "rating") ->
 
 
 def product_ratings(df: DataFrame) -> DataFrame:
-    """Per product. Ids count as they are: events are trimmed where they are read."""
-    return rating_stats(df.filter(F.col("product_id") != ""), ["product_id"])
+    """Per product; ids are trimmed, blank ones left out."""
+    return rating_stats(df.withColumn("product_id", clean_key(F.col("product_id"))), ["product_id"])
 
 
 def category_ratings(df: DataFrame) -> DataFrame:
-    return rating_stats(df.filter(F.col("category") != ""), ["category"])
+    return rating_stats(df.withColumn("category", clean_key(F.col("category"))), ["category"])
 
 
 def tagged_partials(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, rated, star
@@ -141,19 +141,22 @@ def analyze(
 
 
 def save_analysis(
-    results: Mapping[str, Mapping[str, DataFrame]], folder: str, dataset: str | None = None
+    results: Mapping[str, Mapping[str, DataFrame]],
+    folder: str,
+    dataset: str | None = None,
+    dataset_col: str = "dataset",
 ) -> dict[str, str]:
     """Write each analysis below ``folder``; one that fails does not stop the others.
 
-    ``dataset`` picks one dataset's rows out of grouped results. Returns the
-    errors by analysis.
+    ``dataset`` picks one dataset's rows out of grouped results, by the column
+    ``dataset_col``. Returns the errors by analysis.
     """
     errors = {}
     for analysis, frames in results.items():
         target = f"{folder}/{analysis}"
         try:
             chosen = {
-                name: df.filter(F.col("dataset") == dataset).drop("dataset") if dataset else df
+                name: df.filter(F.col(dataset_col) == dataset).drop(dataset_col) if dataset else df
                 for name, df in frames.items()
             }
             write_results(chosen, target)
@@ -165,38 +168,3 @@ def save_analysis(
             log.exception("%s failed", analysis)
             errors[analysis] = str(error).splitlines()[0]
     return errors
-
-
-# The calls of an analysis job, under the names its callers know.
-
-
-def analyze_rating_trends(
-    spark: SparkSession, df: DataFrame, date_col: str = "timestamp", rating_col: str = "rating"
-) -> dict[str, DataFrame]:
-    return trends.rating_trends(df, date_col, rating_col)
-
-
-def analyze_review_bias(
-    spark: SparkSession, df: DataFrame, description_col: str = "review_length", rating_col: str = "rating"
-) -> dict[str, DataFrame]:
-    return bias.length_bias(df, description_col, rating_col)
-
-
-def analyze_ratings_distribution(
-    spark: SparkSession, df: DataFrame, rating_col: str = "rating"
-) -> dict[str, DataFrame]:
-    return stats.rating_distribution(df, rating_col)
-
-
-def save_trend_analysis(results: Mapping[str, DataFrame], output_dir: str) -> None:
-    write_results(results, output_dir)
-
-
-def save_bias_analysis(results: Mapping[str, DataFrame], output_dir: str) -> None:
-    write_results(results, output_dir)
-    write_lines(correlation_line(results["correlation"]), f"{output_dir}/correlation")
-
-
-def save_stats_analysis(results: Mapping[str, DataFrame], output_dir: str) -> None:
-    write_results(results, output_dir)
-    write_lines(stats_lines(results["basic_stats"]), f"{output_dir}/basic_stats_summary")

@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
+from reviewlens.errors import UNREADABLE, brief
 from reviewlens.operators.prepare import (
     MissingColumns,
     harmonise,
@@ -18,6 +18,7 @@ from reviewlens.operators.prepare import (
     rating_pairs,
     time_extract,
 )
+from reviewlens.session import scratch_path
 from reviewlens.sinks import write_if_any, write_parquet, write_tsv
 from reviewlens.sources import read_raw_products
 
@@ -63,23 +64,26 @@ def preprocess(
     partitions: int | None = None,
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, str]:
-    """Raw JSON datasets to one processed Parquet table partitioned by dataset.
+    """Raw JSON datasets to one processed Parquet table with a folder per dataset.
 
-    The combined table is the union of the partitions, not a second pass.
+    The combined table is the union of the folders, not a second pass. Each
+    dataset is written on its own: one that cannot be read, at whatever row the
+    fault lies, stops no other and leaves what an earlier run wrote as it is.
     ``schemas`` saves the inference pass for datasets whose fields are known.
-    Returns the error of each dataset that could not be read; the others are
-    written.
+    Returns the error of each dataset that was not written.
     """
-    frames, errors = {}, {}
+    errors = {}
     for name, path in inputs.items():
+        folder = f"{output}/dataset={name.lower().replace(' ', '_')}"
+        attempt = scratch_path(spark, "preprocessed")
         try:
             # The harmonised rows keep the dataset's raw name as their category.
-            frames[name.lower().replace(" ", "_")] = harmonise(
-                read_raw_products(spark, path, name, (schemas or {}).get(name), partitions)
-            )
-        except AnalysisException as error:
-            errors[name] = str(error).splitlines()[0]
-    write_parquet(union_all(frames), output, ["dataset"])
+            rows = harmonise(read_raw_products(spark, path, name, (schemas or {}).get(name), partitions))
+            write_parquet(rows, attempt)
+            write_parquet(spark.read.schema(rows.schema).parquet(attempt), folder)
+        except UNREADABLE as error:
+            log.error("%s: %s", name, brief(error))
+            errors[name] = brief(error)
     return errors
 
 

@@ -7,17 +7,32 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.ratings import tagged_ratings
+from reviewlens.operators.ratings import finish, merge_partials, tagged_partials, tagged_ratings
 from reviewlens.operators.topk import MIN_REVIEWS, TOP, top_analysis
+from reviewlens.plans.analysis import with_combined
 from reviewlens.session import written
 from reviewlens.sinks import report_lines, write_aggregate_lines, write_lines
 
 
 def top_lists(
-    df: DataFrame, top: int = TOP, min_reviews: int = MIN_REVIEWS, by: Sequence[str] = ()
+    df: DataFrame,
+    top: int = TOP,
+    min_reviews: int = MIN_REVIEWS,
+    by: Sequence[str] = (),
+    combined: str | None = None,
 ) -> DataFrame:
-    """Ratings to ranked lists in one plan; ``by`` gives one set of lists per dataset."""
-    return top_analysis(tagged_ratings(df, by), top, min_reviews, by)
+    """Ratings to ranked lists in one plan; ``by`` gives one set of lists per dataset.
+
+    ``combined`` adds the lists of all datasets together, under that name in the first ``by`` column,
+    from the same partial sums.
+    """
+    if not combined:
+        return top_analysis(tagged_ratings(df, by), top, min_reviews, by)
+    if not by:
+        raise ValueError("combined lists need a dataset column")
+    partials = with_combined(tagged_partials(df, by), by[0], combined)
+    tagged = finish(merge_partials(partials, [*by, "item_type", "item_key"]))
+    return top_analysis(tagged, top, min_reviews, by)
 
 
 def top_job(
@@ -39,23 +54,35 @@ def integrated_report(
     results: Mapping[str, Mapping[str, DataFrame]],
     dataset_col: str = "dataset",
 ) -> DataFrame:
-    """Top lists, statistics and correlation of all datasets as long metric rows."""
+    """Top lists, statistics and correlation of all datasets as long rows.
+
+    ``analysis`` and ``measure`` name the value; ``rank`` and ``item`` are set in lists, where each item
+    has its mean and its count.
+    """
     ranked = lists.select(
         dataset_col,
         F.lower("section").alias("analysis"),
-        F.concat_ws(":", F.format_string("%04d", "rank"), "item_key").alias("metric"),
-        F.col("avg_rating").alias("value"),
+        "rank",
+        F.col("item_key").alias("item"),
+        F.inline(
+            F.array(
+                F.struct(F.lit("mean").alias("measure"), F.col("avg_rating").alias("value")),
+                F.struct(F.lit("count").alias("measure"), F.col("review_count").cast("double").alias("value")),
+            )
+        ),
     )
+    nothing = [F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("item")]
     measures = ["count", "min", "q1", "median", "q3", "max", "mean", "stddev", "variance", "iqr"]
     stats = results["stats"]["basic_stats"]
     stats = stats.select(dataset_col, *[F.col(m).cast("double") for m in measures])
-    stats = stats.unpivot([dataset_col], measures, "metric", "value").select(
-        dataset_col, F.lit("basic_stats").alias("analysis"), "metric", "value"
+    stats = stats.unpivot([dataset_col], measures, "measure", "value").select(
+        dataset_col, F.lit("basic_stats").alias("analysis"), *nothing, "measure", "value"
     )
     correlation = results["bias"]["correlation"].select(
         dataset_col,
         F.lit("bias").alias("analysis"),
-        F.lit("correlation").alias("metric"),
+        *nothing,
+        F.lit("correlation").alias("measure"),
         F.col("correlation").alias("value"),
     )
     return ranked.unionByName(stats).unionByName(correlation)

@@ -43,7 +43,7 @@ def report_lines(top: DataFrame) -> DataFrame:
             "\t",
             F.col("rank").cast("string"),
             "item_key",
-            fixed(F.col("avg_rating")),
+            fixed(F.col("avg_rating"), 2, ""),
             F.col("review_count").cast("string"),
         ).alias("value"),
     )
@@ -54,13 +54,13 @@ def stats_lines(basic_stats: DataFrame) -> DataFrame:
     """Statistics report: title, rule, one labelled line per measure."""
     lines = [F.lit(STATS_TITLE), F.lit("=" * 30)]
     for name, label in STATS_LABELS.items():
-        value = F.col(name).cast("string") if name == "count" else fixed(F.col(name))
+        value = F.col(name).cast("string") if name == "count" else fixed(F.col(name), 2, "undefined")
         lines.append(F.concat(F.lit(f"{label}: "), value))
     return basic_stats.select(F.posexplode(F.array(*lines)).alias("line_no", "value"))
 
 
 def correlation_line(correlation: DataFrame) -> DataFrame:
-    value = F.coalesce(fixed(F.col("correlation"), 4), F.lit("undefined"))
+    value = fixed(F.col("correlation"), 4, "undefined")
     return correlation.select(
         F.lit(0).alias("line_no"), F.concat(F.lit(f"{CORRELATION_LABEL}: "), value).alias("value")
     )

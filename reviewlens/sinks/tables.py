@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
-from pyspark.sql.utils import AnalysisException
 
+from reviewlens.errors import UNREADABLE, brief
 from reviewlens.functions import finite, fixed
 from reviewlens.operators.prepare import prefixed_key
 
@@ -25,13 +26,28 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 def _finite_deep(column, data_type):
     if isinstance(data_type, (DoubleType, FloatType)):
         return finite(column)
-    if isinstance(data_type, ArrayType) and isinstance(data_type.elementType, (DoubleType, FloatType)):
-        return F.transform(column, finite)
+    if isinstance(data_type, ArrayType) and _has_doubles(data_type):
+        return F.transform(column, lambda x: _finite_deep(x, data_type.elementType))
+    if isinstance(data_type, MapType) and _has_doubles(data_type.valueType):
+        return F.transform_values(column, lambda _, x: _finite_deep(x, data_type.valueType))
+    if isinstance(data_type, StructType) and _has_doubles(data_type):
+        fields = [_finite_deep(column[f.name], f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
     return column
 
 
+def _has_doubles(data_type) -> bool:
+    if isinstance(data_type, ArrayType):
+        return _has_doubles(data_type.elementType)
+    if isinstance(data_type, MapType):
+        return _has_doubles(data_type.valueType)
+    if isinstance(data_type, StructType):
+        return any(_has_doubles(field.dataType) for field in data_type.fields)
+    return isinstance(data_type, (DoubleType, FloatType))
+
+
 def json_ready(df: DataFrame) -> DataFrame:
-    """NaN and the infinities have no JSON form: they become null, inside arrays too."""
+    """NaN and the infinities have no JSON form: they become null, inside arrays, structs and map values too."""
     return df.select(*[_finite_deep(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
@@ -43,8 +59,9 @@ def write_json(df: DataFrame, path: str, compression: str | None = None) -> None
     writer.json(path)
 
 
-def write_sample(df: DataFrame, path: str, rows: int = 1000) -> None:
-    write_json(df.limit(rows), path)
+def write_sample(df: DataFrame, path: str, rows: int = 1000, order: Sequence[str] | None = None) -> None:
+    """The first ``rows`` rows in the order of ``order``, by default of all columns, as JSON Lines."""
+    write_json(df.orderBy(*(order or df.columns)).limit(rows), path)
 
 
 def delimited(df: DataFrame) -> DataFrame:
@@ -103,18 +120,23 @@ def export(
 ) -> dict[str, str]:
     """Each Parquet dataset in every format, at ``<folder>/<dataset>_<format>``.
 
-    Missing inputs are skipped. Returns the outcome per output.
+    Missing inputs are skipped, and one that fails does not stop the others.
+    Returns the outcome per output: its path, ``missing``, or the error.
     """
     outcome = {}
     for name, path in inputs.items():
         try:
             df = spark.read.parquet(path)
-        except AnalysisException as error:
-            log.warning("%s skipped: %s", name, str(error).splitlines()[0])
-            outcome[name] = "missing"
+        except UNREADABLE as error:
+            log.warning("%s skipped: %s", name, brief(error))
+            outcome[name] = "missing" if isinstance(error, AnalysisException) else f"error: {brief(error)}"
             continue
         for suffix, write in (formats or FORMATS).items():
             target = f"{folder}/{name}_{suffix}"
-            write(df, target)
-            outcome[f"{name}_{suffix}"] = target
+            try:
+                write(df, target)
+                outcome[f"{name}_{suffix}"] = target
+            except UNREADABLE as error:
+                log.warning("%s as %s failed: %s", name, suffix, brief(error))
+                outcome[f"{name}_{suffix}"] = f"error: {brief(error)}"
     return outcome

@@ -6,7 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from reviewlens.errors import UNREADABLE, brief
 
 
 def first_readable(candidates: Sequence[tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
@@ -19,6 +20,6 @@ def first_readable(candidates: Sequence[tuple[str, Callable[[], DataFrame]]]) ->
     for name, read in candidates:
         try:
             return read().withColumn("source", F.lit(name))
-        except AnalysisException as error:
-            errors.append(f"{name}: {str(error).splitlines()[0]}")
+        except UNREADABLE as error:
+            errors.append(f"{name}: {brief(error)}")
     raise ValueError("no readable source; " + "; ".join(errors))

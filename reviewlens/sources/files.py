@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from reviewlens.functions import name_from_path
+from reviewlens.errors import UNREADABLE, brief
+from reviewlens.functions import decoded, name_from_path
 
 
 def file_inventory(
@@ -46,7 +45,7 @@ def json_profile(spark: SparkSession, path: str) -> DataFrame:
     lines = (
         spark.read.text(path)
         .select(
-            meta["file_path"].alias("file"),
+            decoded(meta["file_path"]).alias("file"),
             meta["file_size"].alias("bytes"),
             F.struct(meta["file_block_start"], F.monotonically_increasing_id()).alias("position"),
             F.col("value"),
@@ -69,25 +68,19 @@ def json_profile(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dataset_inventory(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Per expected dataset: can it be read, how many rows, and if not, why."""
+    """Per expected dataset: can it be read to its end, how many rows, and if not, why.
 
-    def entry(name: str, path: str) -> DataFrame:
+    One count per dataset comes to the driver; a fault met while counting is that dataset's own.
+    """
+    rows = []
+    for name, path in paths.items():
         try:
-            counted = spark.read.parquet(path).agg(F.count("*").alias("row_count"))
-            error = None
-        except AnalysisException as failure:
-            counted = spark.range(1).select(F.lit(None).cast("bigint").alias("row_count"))
-            error = str(failure).splitlines()[0]
-        return counted.select(
-            F.lit(name).alias("dataset"),
-            F.lit(error is None).alias("readable"),
-            "row_count",
-            F.lit(error).cast("string").alias("error"),
-        )
-
-    return reduce(DataFrame.unionByName, [entry(name, path) for name, path in paths.items()])
+            rows.append((name, True, spark.read.parquet(path).count(), None))
+        except UNREADABLE as failure:
+            rows.append((name, False, None, brief(failure)))
+    return spark.createDataFrame(rows, "dataset string, readable boolean, row_count bigint, error string")
 
 
-def preview(df: DataFrame, rows: int = 2) -> DataFrame:
-    """The first rows of a frame; its schema is ``df.schema``."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 2, order: Sequence[str] | None = None) -> DataFrame:
+    """The first rows of a frame in the order of ``order``, by default of all its columns."""
+    return df.orderBy(*(order or df.columns)).limit(rows)

@@ -14,7 +14,7 @@ def read_report(spark: SparkSession, path: str, sections: list[str] | None = Non
     A line belongs to the last title above it in its folder, whose files are
     taken in name order. Titles are few: they become spans of line positions,
     to which each line is matched where it is read. Only lines that start with
-    a digit and have the four fields of a ranked row count.
+    a digit and have the fields of a ranked row count; without the fourth the count is null.
     """
     meta = F.col("_metadata")
     position = F.struct(meta["file_name"], meta["file_block_start"], F.monotonically_increasing_id())
@@ -32,7 +32,7 @@ def read_report(spark: SparkSession, path: str, sections: list[str] | None = Non
     if sections:
         spans = spans.filter(F.col("section").isin(*sections))
     fields = F.split("line", "\t")
-    rows = lines.filter(F.col("line").rlike(r"^[0-9]") & (F.size(fields) >= 4))
+    rows = lines.filter(F.col("line").rlike(r"^[0-9]") & (F.size(fields) >= 3))
     inside = (F.col("position") > F.col("start")) & (
         F.col("end").isNull() | (F.col("position") < F.col("end"))
     )
@@ -41,5 +41,5 @@ def read_report(spark: SparkSession, path: str, sections: list[str] | None = Non
         fields[0].try_cast("int").alias("rank"),
         fields[1].alias("item_key"),
         fields[2].try_cast("double").alias("avg_rating"),
-        fields[3].try_cast("bigint").alias("review_count"),
+        F.get(fields, F.lit(3)).try_cast("bigint").alias("review_count"),
     )

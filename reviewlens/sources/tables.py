@@ -7,9 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
 
-from reviewlens.functions import finite, is_rating, name_from_path, one_line, parse_rating
+from reviewlens.errors import UNREADABLE, brief
+from reviewlens.functions import decoded, finite, is_rating, name_from_path, one_line, parse_rating
 from reviewlens.operators.prepare import with_category
 from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR
 
@@ -44,8 +44,8 @@ def read_processed(
     for name, path in paths.items():
         try:
             frames[name] = spark.read.parquet(path).withColumn(dataset_col, F.lit(name))
-        except AnalysisException as error:
-            errors[name] = str(error).splitlines()[0]
+        except UNREADABLE as error:
+            errors[name] = brief(error)
     return frames, errors
 
 
@@ -59,11 +59,14 @@ def read_rating_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATING_PAIR).option("sep", "\t").csv(path)
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Review events from CSV with a header, columns taken by position.
 
-    Longer rows keep their first five fields; a row too short to have a
-    category is dropped whole. All fields stay text: see ``good_events``.
+    Longer rows keep their first five fields. A row too short to have a category
+    stays, marked ``short``: ``good_events`` leaves it out and ``rejected_events``
+    tells it. All fields stay text. With ``multi_line`` a quoted field may hold
+    line breaks, at the price of one task per file; without it, files are split
+    and the two halves of such a record come out as short rows.
     """
     schema = StructType([*EVENT_TEXT.fields, StructField(_CORRUPT, StringType())])
     # A parser that skips unused fields does not notice that a row is short.
@@ -73,14 +76,15 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("columnPruning", False)
+        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
     # Only rows of an unexpected width keep their text; commas in quotes do not count.
     unquoted = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*"', "")
     wide_enough = F.size(F.split(unquoted, ",")) >= len(EVENT_TEXT)
-    kept = F.col("category").isNotNull() | F.col(_CORRUPT).isNull() | wide_enough
-    return rows.filter(kept).drop(_CORRUPT)
+    whole = F.col("category").isNotNull() | F.col(_CORRUPT).isNull() | wide_enough
+    return rows.withColumn("short", ~whole).drop(_CORRUPT)
 
 
 def read_aggregate_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -117,7 +121,7 @@ def read_results(spark: SparkSession, path: str, level: int = 3, schema: StructT
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.json(path).select(
-        name_from_path(F.col("_metadata.file_path"), level).alias("dataset"), "*"
+        name_from_path(decoded(F.col("_metadata.file_path")), level).alias("dataset"), "*"
     )
 
 

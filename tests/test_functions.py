@@ -25,9 +25,8 @@ def test_clean_key(spark):
     assert values(spark, ["  a b ", "\t\n", "", None], fn.clean_key) == ["a b", None, None, None]
 
 
-def test_one_line_and_slug(spark):
+def test_one_line(spark):
     assert values(spark, ["a\tb\nc"], fn.one_line) == ["a b c"]
-    assert values(spark, ["Toys Games"], fn.slug) == ["toys_games"]
 
 
 def test_star_and_half_step(spark):

@@ -179,3 +179,68 @@ def test_files_of_a_folder_carry_their_names(spark, tmp_path):
     spark.range(0, 10, 1, 2).write.parquet(str(tmp_path / "in"))
     names = [r[0] for r in sources.read_parquet_dir(spark, str(tmp_path / "in")).select("file_name").distinct().collect()]
     assert len(names) == 2 and all(n.startswith("part-") for n in names)
+
+
+def broken(path):
+    path.mkdir()
+    (path / "x.parquet").write_bytes(b"not a table at all")
+    return str(path)
+
+
+def test_a_corrupt_file_stops_no_other_dataset(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    inputs = {"bad": broken(tmp_path / "bad"), "good": str(tmp_path / "good"), "gone": str(tmp_path / "gone")}
+    frames, errors = sources.read_processed(spark, inputs)
+    assert set(frames) == {"good"} and set(errors) == {"bad", "gone"}
+    found = {r.dataset: (r.readable, r.row_count) for r in sources.dataset_inventory(spark, inputs).collect()}
+    assert found == {"bad": (False, None), "good": (True, 3), "gone": (False, None)}
+    outcome = sinks.export(spark, inputs, str(tmp_path / "out"))
+    assert outcome["gone"] == "missing" and outcome["bad"].startswith("error") and "good_csv" in outcome
+    chosen = sources.first_readable([(name, lambda p=path: spark.read.parquet(p)) for name, path in inputs.items()])
+    assert chosen.first().source == "good"
+
+
+def test_a_failed_dataset_keeps_its_earlier_table(spark, tmp_path):
+    from reviewlens.plans.datasets import preprocess
+
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text('{"parent_asin": "p", "average_rating": 3}\n')
+    output, inputs = str(tmp_path / "out"), {name: str(tmp_path / f"{name}.json") for name in "ab"}
+    assert preprocess(spark, inputs, output) == {}
+    (tmp_path / "c.json.gz").write_bytes(b"junk, not gzip")
+    inputs |= {"b": str(tmp_path / "gone"), "c": str(tmp_path / "c.json.gz")}
+    assert set(preprocess(spark, inputs, output)) == {"b", "c"}
+    assert sorted(r.dataset for r in spark.read.parquet(output).collect()) == ["a", "b"]
+    assert set(preprocess(spark, {"b": str(tmp_path / "gone")}, output)) == {"b"}
+
+
+def test_numbers_that_json_lacks_become_null_at_any_depth(spark, tmp_path):
+    nan = "double('NaN')"
+    df = spark.sql(f"select struct({nan} as x, 1 as y) a, array(struct({nan} as z)) b, map('k', {nan}) c, array({nan}) d")
+    sinks.write_json(df, str(tmp_path / "out"))
+    text = spark.read.text(str(tmp_path / "out")).first().value
+    assert "NaN" not in text and text.count("null") == 4 and '"y":1' in text
+
+
+def test_undefined_measures_in_reports(spark):
+    row = spark.createDataFrame([(1, 2.0, None)], "count bigint, mean double, stddev double")
+    row = row.selectExpr("*", *[f"mean as {name}" for name in ("min", "max", "median", "q1", "q3", "iqr")])
+    lines = [r.value for r in sinks.stats_lines(row).orderBy("line_no").collect()]
+    assert "Standard Deviation: undefined" in lines and "Mean: 2.00" in lines
+    none = spark.createDataFrame([(None,)], "correlation double")
+    assert sinks.correlation_line(none).first().value.endswith(": undefined")
+    from reviewlens.operators.charts import correlation_chart
+
+    assert correlation_chart(none).first().label == "undefined"
+
+
+def test_dataset_names_with_spaces_and_plus(spark, tmp_path):
+    spark.range(1).write.json(str(tmp_path / "toys + games" / "stats" / "x_json"))
+    found = sources.read_results(spark, str(tmp_path / "*" / "stats" / "x_json"))
+    assert found.first().dataset == "toys + games"
+
+
+def test_report_rows_without_a_count(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("TOP_PRODUCTS_BY_RATING\n1\tp1\t4.50\n2\tp2\t4.00\t7\n")
+    rows = sources.read_report(spark, str(tmp_path)).orderBy("rank").collect()
+    assert [(r.item_key, r.review_count) for r in rows] == [("p1", None), ("p2", 7)]

@@ -54,6 +54,15 @@ def test_piped_commands(spark):
         assert sorted(r.line for r in out.collect()) == sorted(f"{w}\t{20 * c}" for w, c in Counter(WORDS).items())
 
 
+@pytest.mark.parametrize("line", ["a\tx\x01y", "\\N", "a\nb"])
+def test_lines_that_a_pipe_would_change_are_refused(spark, line):
+    lines = spark.createDataFrame([(line,), ("a\tb",)], "line string")
+    with pytest.raises(Exception, match="U\\+0001"):
+        mapreduce.piped_map_reduce(lines, "cat", "cat").collect()
+    with pytest.raises(Exception, match="U\\+0001"):
+        mapreduce.piped_map_reduce(lines.limit(0).union(spark.sql("select 'k'")), "printf 'a\\001b\\n'", "cat").collect()
+
+
 def test_failing_command_fails_the_job(spark):
     with pytest.raises(Exception):
         mapreduce.piped_map_reduce(spark.range(5).selectExpr("string(id) line"), "cat; exit 3", "cat").collect()

@@ -102,10 +102,17 @@ def test_synthetic_columns_are_repeatable_and_in_range(spark):
     assert all("2022-01-02" <= str(r.timestamp) <= "2025-01-01" for r in first)
 
 
-def test_sample_is_repeatable_and_limited(spark):
-    df = spark.range(0, 50_000, 1, 4)
-    assert prepare.row_sample(df).count() == prepare.row_sample(df).count() <= 1000
-    assert prepare.row_sample(df, rows=10).count() == 10
+def test_sample_covers_the_whole_input_in_any_layout(spark):
+    df = spark.range(0, 1_000_000, 1, 8)
+    drawn = [r.id for r in prepare.row_sample(df).orderBy("id").collect()]
+    assert 9_000 < len(drawn) < 11_000 and drawn[0] < 1_000 and drawn[-1] > 999_000
+    tenths = [sum(x // 100_000 == i for x in drawn) for i in range(10)]
+    assert min(tenths) > 800
+    assert [r.id for r in prepare.row_sample(df.repartition(3)).orderBy("id").collect()] == drawn
+    few = [r.id for r in prepare.row_sample(df, rows=1000).collect()]
+    assert len(few) == 1000 and set(few) <= set(drawn) and max(few) > 900_000
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "a string, b int")
+    assert prepare.row_sample(nulls, 1.0).count() == 2 and prepare.row_sample(nulls.limit(0), rows=5).count() == 0
 
 
 def test_union_matches_columns_by_name(spark, rows):
