@@ -30,8 +30,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
-#: Entries of a worker's caches (words, pairs of pieces), and the length of words that are cached.
-CACHE, PAIRS, CACHED = 300_000, 1_000_000, 48
+#: Entries of a worker's caches (words, pairs of pieces, word beginnings), and the length of words that
+#: are cached and of the beginnings that words share.
+CACHE, PAIRS, HEADS, CACHED, HEAD = 600_000, 1_000_000, 200_000, 48, 6
 #: Codes of pieces are their ids; those of characters outside the vocabulary start here.
 _CHAR, _NONE = 1 << 20, (1 << 22) - 1
 #: Parts of a text between which no piece stretches, for models that are so.
@@ -85,7 +86,14 @@ class Codec:
         #: No piece goes on over a word start or a line end, so all paths meet there.
         self.words_apart = not any(SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1) for p in self.ids)
         self.text = [bytes([int(p[1:-1], 16)]) if t == _BYTE else b"" if t == 3 else p.replace(SPACE, " ").encode() for p, _, t in rows]
+        #: The ends of all pieces; the id where an end is a piece itself, else -1.
+        self.ends: dict[str, int] = {}
+        for piece, i in self.ids.items():
+            for at in range(1, len(piece)):
+                self.ends.setdefault(piece[at:], -1)
+            self.ends[piece] = i
         self.known: dict[str, list[int]] = {}
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
         self.apart: dict[int, bool] = {}
         self.window = 0
 
@@ -121,26 +129,15 @@ class Codec:
 
     def stream(self, text: str) -> Iterator[str]:
         """Pieces of a text in order, each as soon as it is final."""
-        bpe, ids, longest = self.vocabulary.kind == BPE, self.ids, self.longest
-        apart, stay_apart = self.apart, self.stay_apart
+        bpe, longest = self.vocabulary.kind == BPE, self.longest
         held, back, best, codes = "", [0], [0.0], [_NONE]  # codes: the piece that ends at each boundary
         for char in text:
             held += char
             end = len(held)
             back.append(end - 1)
             if bpe:
-                for start in range(end - longest if end > longest else 0, end):
-                    code = ids.get(held[start:end])
-                    if code is None:
-                        if start < end - 1:
-                            continue
-                        code = _CHAR + ord(char)
-                    left = codes[start]
-                    answer = apart.get(left << 22 | code)
-                    if stay_apart(left, code) if answer is None else answer:
-                        back[end] = start
-                        codes.append(code)
-                        break
+                back[end], code = self.last(held, end, codes)
+                codes.append(code)
             else:
                 top = None
                 for start in range(max(0, end - longest), end):
@@ -159,6 +156,45 @@ class Codec:
                 best, codes = best[meet:], codes[meet:]
         yield from self.path(held, back, len(held))
 
+    def last(self, text: str, end: int, codes: list[int]) -> tuple[int, int]:
+        """Start and code of the last BPE piece of ``text[:end]``; ``codes`` has those of shorter prefixes."""
+        ends, apart, start, found = self.ends, self.apart, end - 1, []
+        while start >= 0:
+            code = ends.get(text[start:end])
+            if code is None:
+                break
+            if code >= 0:
+                found.append((start, code))
+            start -= 1
+        for start, code in reversed(found):
+            left = codes[start]
+            answer = apart.get(left << 22 | code)
+            if self.stay_apart(left, code) if answer is None else answer:
+                return start, code
+        return end - 1, _CHAR + ord(text[end - 1])
+
+    def short(self, word: str) -> list[int]:
+        """BPE ids of a short text: the same lattice, whose first columns words with one beginning share."""
+        state = self.heads.get(word[:HEAD]) if len(word) >= HEAD else None
+        back, codes = (state[0].copy(), state[1].copy()) if state else ([0], [_NONE])
+        for end in range(len(back), len(word) + 1):
+            start, code = self.last(word, end, codes)
+            back.append(start)
+            codes.append(code)
+            if end == HEAD:
+                if len(self.heads) >= HEADS:
+                    self.heads.clear()
+                self.heads[word[:HEAD]] = back.copy(), codes.copy()
+        out, end = [], len(word)
+        while end:
+            code = codes[end]
+            if code < _CHAR:
+                out.append(code)
+            else:
+                out.extend(self.bytes[byte] for byte in reversed(word[end - 1].encode()))
+            end = back[end]
+        return out[::-1]
+
     def meeting(self, back: list[int], end: int) -> int:
         """The last boundary on the paths of all boundaries that a piece can still start from."""
         live = set(range(max(0, end - self.longest + 1), end + 1))
@@ -203,7 +239,10 @@ class Codec:
         for word in _WORDS.findall(text):
             found = known.get(word)
             if found is None:
-                found = self._ids(self.stream(word))
+                if len(word) > CACHED or self.vocabulary.kind != BPE:
+                    found = self._ids(self.stream(word))
+                else:
+                    found = self.short(word)
                 if len(word) <= CACHED:
                     if len(known) >= CACHE:
                         known.clear()
