@@ -44,6 +44,9 @@ HEADLINES = [
     "star_distribution",
     "combined_monthly",
     "report_roundtrip",
+    "categories_by_rating",
+    "exact_quantiles",
+    "integrated_report",
     "map_reduce_avg",
     "piped_map_reduce_avg",
     "stream_daily_ratings",

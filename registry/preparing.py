@@ -162,6 +162,20 @@ def sanitise_ids(spark, folder):
     return prepare.sanitised_ids(documents)
 
 
+@query(
+    "column_guard",
+    f"""with {RAW}
+    select 'product_ratings' as extract, count(*) as row_count from raw
+    union all select 'time_analysis', 0 union all select 'review_length', 0""",
+)
+def column_guard(spark, folder):
+    """A dataset without details and category: only the extract whose columns are there is written."""
+    raw = prepare.with_category(views.raw_products(spark, folder), "Parts")
+    bare = prepare.harmonise(raw).drop("details", "category")
+    counts = datasets.prepare(bare, scratch_path(spark, "guarded"))
+    return spark.createDataFrame(list(counts.items()), "extract string, row_count bigint")
+
+
 @query("json_pairs", f"with {RAW} select product_id, rating from raw")
 def json_pairs(spark, folder):
     return read_json_pairs(spark, _raw_json(spark, folder))

@@ -50,6 +50,19 @@ def dual_keys(spark, folder):
     return emitted.groupBy("item_type", "item_key", "rating").agg(F.count("*").alias("emitted"))
 
 
+@query(
+    "nan_ratings",
+    f"""with {RATINGS}, numbers as (
+      select product_id, rating, tenths, row_number() over () as i from ratings where tenths <> 25)
+    select product_id, {MEASURES} from numbers group by product_id""",
+)
+def nan_ratings(spark, folder):
+    """A NaN is no rating: here, every rating of 2.5 is one."""
+    source = views.ratings(spark, folder)
+    value = F.when(F.round(F.col("rating") * 10) == 25, F.lit(float("nan"))).otherwise(F.col("rating"))
+    return ratings.product_ratings(source.withColumn("rating", value))
+
+
 @query(
     "partial_merge",
     f"with {RATINGS} select product_id, {MEASURES} from ratings group by product_id",

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from reviewlens import views
 from reviewlens.operators import bias, charts, stats, trends
 
@@ -143,7 +145,7 @@ def exact_quantiles(spark, folder):
     """Quartiles of a column with about as many distinct values as rows."""
     items = views.table(spark, folder, "lineitem")
     counts = stats.rating_counts(items, "l_extendedprice", ["l_returnflag"])
-    return stats.exact_quantiles(counts, by=["l_returnflag"], band=10.0)
+    return stats.exact_quantiles(counts, by=["l_returnflag"])
 
 
 @query(
@@ -156,9 +158,31 @@ def exact_quantiles_overall(spark, folder):
     return stats.exact_quantiles(stats.rating_counts(views.ratings(spark, folder)))
 
 
-@query("approx_stats")
+@query(
+    "approx_stats",
+    f"""with {RATINGS}
+    select count(*) as "count", round(min(rating), 6) as min, round(max(rating), 6) as max,
+           round(avg(rating), 6) as mean, round(stddev_samp(rating), 6) as stddev,
+           round(var_samp(rating), 6) as variance, true as q1, true as median, true as q3
+    from ratings""",
+)
 def approx_stats(spark, folder):
-    return stats.approx_stats(views.ratings(spark, folder))
+    """The sketched row; for each quartile, whether its rank is within the sketch's stated error."""
+    ratings = views.ratings(spark, folder)
+    row = stats.approx_stats(ratings, accuracy=1000)
+    one = F.pmod(F.hash("rating"), F.lit(1)).alias("one")  # the same in every row
+    ranks = ratings.select("rating", one).join(
+        row.select(*stats.QUARTILES, F.col("count").alias("n"), F.pmod(F.hash("count"), F.lit(1)).alias("one")), "one"
+    )
+    within = {}
+    for name, share in stats.QUARTILES.items():
+        wanted, slack = F.lit(share) * F.max("n"), F.max("n") / 1000 + 1
+        within[name] = (F.count_if(F.col("rating") < F.col(name)) <= wanted + slack) & (
+            F.count_if(F.col("rating") <= F.col(name)) >= wanted - slack
+        )
+    checked = ranks.agg(*[test.alias(name) for name, test in within.items()])
+    plain = row.select("count", "min", "max", "mean", "stddev", "variance", F.pmod(F.hash("count"), F.lit(1)).alias("one"))
+    return plain.join(checked.withColumn("one", F.pmod(F.hash("q1"), F.lit(1))), "one").drop("one")
 
 
 # A bucket of width 0.5 is five tenths wide.

@@ -1,0 +1,43 @@
+"""Cut groups into bands of similar size along an order, so that no task orders a whole group."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from reviewlens.operators.joins import same_group_join
+
+BANDS = 128
+
+
+def with_bands(
+    df: DataFrame,
+    by: Sequence[str],
+    place: str,
+    precedes: Callable[[Column, Column], Column],
+    bands: int = BANDS,
+) -> DataFrame:
+    """``df`` with ``_band``: how many of its group's splits precede the row's ``place``.
+
+    A group's splits are the places of the rows with the smallest hashes, ``bands`` of them: a uniform
+    sample, the same whenever the plan runs. Each band holds about a ``bands``-th of its group however
+    the places are spread. ``place`` tells rows of a group apart (or nearly); equal places share a band.
+    """
+    drawn = Window.partitionBy(*by).orderBy(F.xxhash64(place), place)
+    splits = (
+        df.select(*by, place)
+        .withColumn("_turn", F.row_number().over(drawn))
+        .filter(F.col("_turn") <= bands)
+        .groupBy(*by)
+        .agg(F.collect_list(place).alias("_splits"))
+    )
+    keys = list(by)
+    if not by:  # one group: an equi-join on a key that is the same in every row
+        keys = ["_all"]
+        df = df.withColumn("_all", F.pmod(F.hash(place), F.lit(1)))
+        splits = splits.withColumn("_all", F.pmod(F.hash("_splits"), F.lit(1)))
+    joined = same_group_join(df, splits, keys).drop("_all")
+    before = F.size(F.filter("_splits", lambda split: precedes(split, F.col(place))))
+    return joined.withColumn("_band", before).drop("_splits")

@@ -188,21 +188,6 @@ def longer_than(df: DataFrame, limit: int = 10_000, column: str = "review_length
     return df.filter(F.col(column) > limit)
 
 
-def synthetic_columns(df: DataFrame, anchor: str, seed: int = 42) -> DataFrame:
-    """Stand-in ``timestamp`` (up to three years before ``anchor``) and ``review_length`` (50..1049).
-
-    For inputs that have neither. Repeatable for one layout of the input only,
-    since each partition draws its own numbers.
-    """
-    days = (F.rand(seed) * 365 * 3).cast("int")
-    return df.withColumns(
-        {
-            "timestamp": F.date_sub(F.lit(anchor).cast("date"), days),
-            "review_length": (F.rand(seed + 1) * 1000 + 50).cast("int"),
-        }
-    )
-
-
 def row_sample(
     df: DataFrame, fraction: float = 0.01, seed: int = 42, rows: int | None = None, key: Sequence[str] | None = None
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions import half_step, percent, rated, star
+from reviewlens.operators.bands import with_bands
 from reviewlens.operators.joins import same_group_join
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -21,9 +22,6 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 # offsets would drown the spread.
 CENTRE = 3.0
 
-# Finest band in which ``exact_quantiles`` orders single values.
-BAND = 0.0001
-
 
 def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct rating."""
@@ -35,17 +33,14 @@ def exact_quantiles(
     counts: DataFrame,
     probabilities: dict[str, float] = QUARTILES,
     by: Sequence[str] = (),
-    band: float = BAND,
 ) -> DataFrame:
     """Interpolated quantiles of any number of distinct values, without gathering them.
 
-    Counts per band of values tell which bands hold the wanted positions; only
-    the values of those bands are put in order, each band on its own. What one
-    task sees is the list of bands of a group, or the values of one band.
-    Choose ``band`` so that the range of values has some ten thousand bands;
-    the default suits ratings.
+    Values are cut into bands of similar size along their order. Counts per band
+    tell which bands hold the wanted positions; only the values of those are put
+    in order, each band on its own.
     """
-    banded = counts.withColumn("_band", F.floor(F.col("rating") / F.lit(band)))
+    banded = with_bands(counts, by, "rating", lambda split, value: split <= value)
     along = Window.partitionBy(*by).orderBy("_band")
     bands = (
         banded.groupBy(*by, "_band")

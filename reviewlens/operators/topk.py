@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlens.operators.bands import with_bands
 from reviewlens.operators.joins import same_group_join
 from reviewlens.operators.prepare import CATEGORY, PRODUCT
 
@@ -94,21 +95,24 @@ def _top_of_lists(listed: DataFrame, by: Sequence[str], top: int) -> DataFrame:
 def _whole_lists(listed: DataFrame, by: Sequence[str]) -> DataFrame:
     """Number complete lists without putting a list into one task.
 
-    Scores fall into bands: hundredths of a rating, powers of two of a count.
-    An item's rank is the size of all higher bands plus its place in its own,
-    so one task orders one band, and only band sizes are added up in order.
+    A list is cut into bands of similar size along its order, ties included. An
+    item's rank is the size of all higher bands plus its place in its own, so
+    one task orders one band, and only band sizes are added up in order.
     """
-    keys = [*by, "section_no", "_band"]
-    band = F.when(F.col("section_no") % 2 == 1, F.round(F.col("score") * 100)).otherwise(
-        F.floor(F.log2("score"))
-    )
-    banded = listed.withColumn("_band", band.cast("bigint"))
-    higher = Window.partitionBy(*by, "section_no").orderBy(F.desc("_band"))
+    lists = [*by, "section_no"]
+    keys = [*lists, "_band"]
+    by_rating = F.col("section_no") % 2 == 1
+    score = F.when(by_rating, F.col("score")).otherwise(-F.col("score"))
+    placed = listed.withColumn("_at", F.struct(score.alias("score"), "item_key", "review_count"))
+    banded = with_bands(
+        placed, lists, "_at", lambda split, at: F.when(by_rating, split > at).otherwise(split < at)
+    ).drop("_at")
+    higher = Window.partitionBy(*lists).orderBy("_band")
     sizes = banded.groupBy(*keys).agg(F.count("*").alias("_size"))
     above = sizes.select(*keys, (F.sum("_size").over(higher) - F.col("_size")).alias("_above"))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_list_order()))
-    placed = same_group_join(banded.withColumn("_place", place), above, keys)
-    return placed.withColumn("rank", (F.col("_above") + F.col("_place")).cast("int"))
+    numbered = same_group_join(banded.withColumn("_place", place), above, keys)
+    return numbered.withColumn("rank", (F.col("_above") + F.col("_place")).cast("int"))
 
 
 def _whole_list(tagged: DataFrame, section: int, by: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="reviewlens-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

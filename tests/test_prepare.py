@@ -94,14 +94,6 @@ def test_routing_of_prefixed_keys(spark, rows):
     assert prepare.known_items(odd).count() == 1
 
 
-def test_synthetic_columns_are_repeatable_and_in_range(spark):
-    df = spark.range(0, 1000, 1, 4)
-    first, second = (prepare.synthetic_columns(df, "2025-01-01").orderBy("id").collect() for _ in range(2))
-    assert first == second
-    assert all(50 <= r.review_length <= 1049 for r in first)
-    assert all("2022-01-02" <= str(r.timestamp) <= "2025-01-01" for r in first)
-
-
 def test_sample_covers_the_whole_input_in_any_layout(spark):
     df = spark.range(0, 1_000_000, 1, 8)
     drawn = [r.id for r in prepare.row_sample(df).orderBy("id").collect()]
