@@ -50,8 +50,7 @@ def lower_ascii(text: Column) -> Column:
 
 def spaced(text: Column) -> Column:
     """The words of a text, each between single spaces: ' w1 w2 '; a space alone if there are none."""
-    inner = F.trim(F.regexp_replace(lower_ascii(text), _GAPS, " "))
-    return F.when(F.length(inner) == 0, F.lit(" ")).otherwise(F.concat(F.lit(" "), inner, F.lit(" ")))
+    return F.regexp_replace(F.concat(F.lit(" "), lower_ascii(text), F.lit(" ")), _GAPS, " ")
 
 
 def _split(words: Column) -> Column:
@@ -138,11 +137,16 @@ def license_scan(
     some = F.lit(False)
     for phrase in phrases:
         some |= F.col("words").contains(f" {phrase} ")
-    parts = _split(F.col("words"))
-    starts = {phrase: F.when(some, _places(parts, phrase)).otherwise(F.array().cast("array<int>")) for phrase in phrases}
-    counted = plain.select(
-        "doc_id", "ord", "tag", (gaps - 1).cast("bigint").alias("n_words"), *[s.alias(p) for p, s in starts.items()]
+    # the list of words is a column of its own, made once and only where a phrase stands
+    listed = plain.select(
+        "doc_id",
+        "ord",
+        "tag",
+        (gaps - 1).cast("bigint").alias("n_words"),
+        F.when(some, _split(F.col("words"))).otherwise(F.array().cast("array<string>")).alias("parts"),
     )
+    places = [_places(F.col("parts"), phrase).alias(phrase) for phrase in phrases]
+    counted = listed.select("doc_id", "ord", "tag", "n_words", *places)
     found = F.concat(*[F.col(f"`{phrase}`") for phrase in phrases])
     base = F.array_compact(
         F.array(*[F.when(F.size(f"`{phrase}`") > 0, F.lit(label)) for phrase, label in phrases.items()])
