@@ -11,6 +11,7 @@ from reviewlens.session import written
 
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
+TAG_BITS = 23
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +22,8 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Columns doc_id, text, ord and tag, whatever else the input holds; with ``carry``, those columns as
     one struct ``carried``.
 
-    Documents are ordered by (ord, tag): the id, nulls last, then a hash of the text. So rows that
-    repeat an id have a fixed order too, and rows equal in id and text are one document.
+    Documents are ordered by (ord, tag): the id, nulls last, then TAG_BITS of a hash of the text. So rows
+    that repeat an id have a fixed order too, and rows equal in id and text are one document.
     """
     text = F.col(text_col).cast("string")
     key = F.col(id_col).cast("bigint")
@@ -30,7 +31,7 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         key.alias("doc_id"),
         text.alias("text"),
         F.coalesce(key, F.lit(LAST)).alias("ord"),
-        F.hash(text).alias("tag"),
+        F.hash(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
 

@@ -20,13 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
 from reviewlens.session import written
 
-KEYS = ["ah", "bh", "n"]
+KEYS = ["ah", "bh"]
+#: Bits of the first window and of the number of windows where a block's place is packed into one long,
+#: below the document's tag: rows of blocks are most of what is shuffled.
+_P_BITS, _N_BITS = 31, 9
 
 
 @dataclass(frozen=True)
@@ -98,31 +101,44 @@ def _blocks(units: Units):
                 symbols, bounds = units.symbols(part, offsets[first : last + 1] - offsets[first])
                 anchor, row, p, n = row_blocks(symbols, bounds, units)
                 code = block_codes(symbols, bounds, units, row, p, n)
-                columns = [T.signed(anchor), T.signed(code), n.astype(np.int32)]
-                columns += [ord_[first:last][row], tag[first:last][row], p.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*KEYS, "ord", "tag", "p"])
+                spot = tag[first:last][row].astype(np.int64) << (_P_BITS + _N_BITS) | p << _N_BITS | n
+                columns = [T.signed(anchor), T.signed(code), ord_[first:last][row], spot]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*KEYS, "ord", "spot"])
 
     return run
 
 
 def repeated_blocks(docs: DataFrame, units: Units) -> DataFrame:
-    """Every block whose anchor has another block somewhere: KEYS, ord, tag, p.
+    """Every block whose anchor has another block somewhere: KEYS, ord, spot (see ``unpacked``).
 
-    Written once to the shared folder: a few hundredths of the texts' size, read several times.
+    Written once to the shared folder: a few tenths of the texts' size, read several times.
     """
+    if units.width - units.gram >= (1 << _N_BITS) - 1:
+        raise ValueError("gram is too short for this width")
     blocks = docs.select("text", "ord", "tag").mapInArrow(
-        _blocks(units), "ah bigint, bh bigint, n int, ord bigint, tag int, p int"
+        _blocks(units), "ah bigint, bh bigint, ord bigint, spot bigint"
     )
     twice = blocks.groupBy("ah").agg(F.count("*").alias("times")).filter("times > 1").select("ah")
     return written(blocks.join(twice, "ah"), "blocks")
 
 
-def first_blocks(blocks: DataFrame, spot: list[str]) -> DataFrame:
-    """One row per distinct block: its first spot, and in how many versions its anchor occurs.
+def tag_of(spot: str = "spot") -> Column:
+    return F.shiftright(spot, _P_BITS + _N_BITS).cast("int")
+
+
+def unpacked(blocks: DataFrame) -> DataFrame:
+    """``spot`` as tag, p (the first window) and n (how many)."""
+    p = F.shiftright("spot", _N_BITS).bitwiseAND(F.lit((1 << _P_BITS) - 1)).cast("int")
+    n = F.col("spot").bitwiseAND(F.lit((1 << _N_BITS) - 1)).cast("int")
+    return blocks.select("*", tag_of().alias("tag"), p.alias("p"), n.alias("n")).drop("spot")
+
+
+def first_blocks(blocks: DataFrame, place: Column) -> DataFrame:
+    """One row per distinct block: its first place, and in how many versions its anchor occurs.
 
     Copies are combined inside the tasks before the shuffle.
     """
-    first = blocks.groupBy(*KEYS).agg(F.min(F.struct(*spot)).alias("first"))
+    first = blocks.groupBy(*KEYS).agg(F.min(place).alias("first"))
     versions = first.groupBy("ah").agg(F.count("*").alias("versions"))
     return first.join(versions, "ah")
 

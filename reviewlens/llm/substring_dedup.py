@@ -120,9 +120,9 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     units = repeats.Units(width, gram, word_symbols)
     docs = identified(docs)
     blocks = repeats.repeated_blocks(docs, units)
-    first = repeats.first_blocks(blocks, ["ord", "tag"])
+    first = repeats.first_blocks(blocks, F.struct("ord", repeats.tag_of().alias("tag")))
     here = F.struct("ord", "tag")
-    marked = blocks.join(first, repeats.KEYS)
+    marked = repeats.unpacked(blocks.join(first, repeats.KEYS))
     whole = marked.filter(here > F.col("first")).select(
         "ord", "tag", F.col("p").alias("start"), (F.col("n") + width - 1).alias("size")
     )

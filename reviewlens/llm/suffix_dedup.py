@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import flagged, identified
+from reviewlens.llm.frames import identified
 from reviewlens.llm.substring_dedup import joined, opened_windows
 from reviewlens.llm.suffix_sort import deep_shallow
 
@@ -152,15 +152,14 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     units = repeats.Units(width, gram, byte_symbols)
     docs = identified(docs)
     blocks = repeats.repeated_blocks(docs, units)
-    first = repeats.first_blocks(blocks, ["ord", "tag", "p"])
-    here = F.struct("ord", "tag", "p")
-    marked = blocks.join(first, repeats.KEYS).filter((here > F.col("first")) | (F.col("versions") > 1))
-    split = flagged(docs, marked)
-    docs = split.filter("flagged").drop("flagged")
-    whole = marked.filter(here > F.col("first")).select(
+    place, here = F.struct("ord", "spot"), F.struct("ord", "tag", "p")
+    first = repeats.first_blocks(blocks, place)
+    marked = blocks.join(first, repeats.KEYS).withColumn("again", place > F.col("first")).drop("first")
+    marked = repeats.unpacked(marked)
+    whole = marked.filter("again").select(
         "ord", "tag", F.col("p").alias("start"), (F.col("n") + width - 1).alias("size")
     )
-    opened = marked.filter((here == F.col("first")) & (F.col("versions") > 1))
+    opened = marked.filter("not again and versions > 1")
 
     few = opened.filter(F.col("versions") <= crowd).select("ah", "ord", "tag", "p", "n")
     around = docs.join(repeats.gathered(few, "opened"), "ord").mapInArrow(_surroundings(width), _SPOTTED)
@@ -178,9 +177,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     )
 
     pieces = repeats.gathered(whole.unionByName(ends).unionByName(single), "pieces")
-    touched = docs.join(pieces, "ord", "left")
-    others = split.filter("not flagged").drop("flagged").withColumn("pieces", F.lit(None).cast(pieces.schema["pieces"].dataType))
-    return touched.unionByName(others).mapInArrow(
+    return docs.join(pieces, "ord", "left").mapInArrow(
         _finish,
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary",
     )
