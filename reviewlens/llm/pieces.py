@@ -32,7 +32,7 @@ UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 #: Entries of a worker's caches (words, pairs of pieces, word beginnings), and the length of words that
 #: are cached and of the beginnings that words share.
-CACHE, PAIRS, HEADS, CACHED, HEAD = 600_000, 1_000_000, 200_000, 48, 6
+CACHE, PAIRS, HEADS, CACHED, HEAD = 250_000, 500_000, 80_000, 48, 6
 #: Codes of pieces are their ids; those of characters outside the vocabulary start here.
 _CHAR, _NONE = 1 << 20, (1 << 22) - 1
 #: Parts of a text between which no piece stretches, for models that are so.
