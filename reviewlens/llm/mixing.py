@@ -115,18 +115,22 @@ def mix_sources(
 
     ``weights`` are positive integers by source. Sources without a weight, null included, form one stream
     together, with weight ``other``. Within a stream documents go by the md5 of their id as text (null
-    ids: of the empty text), then by id; which of the rows that repeat an id comes first is open. Ties
-    between sources go by name. Other columns are ignored. No rows give no rows. ``release`` and ``deadline`` count from the first slot of the phase, as slots of
-    the whole mix.
+    ids: of the empty text), then by id, source, and a hash of the columns in ``carry``, so rows that repeat
+    an id have a fixed order too as far as these columns tell them apart. Ties between sources go by name.
+    Other columns are ignored. No rows give no rows. ``release`` and ``deadline`` count from the first slot
+    of the phase, as slots of the whole mix.
     """
     if any(w < 1 for w in (*weights.values(), other)) or OTHER in weights:
         raise ValueError("weights are positive integers, and (other) is no source's name")
     spark = docs.sparkSession
     named = F.col("source").isin(*weights) if weights else F.lit(False)
     carried = [F.struct(*carry).alias("carried")] if carry else []
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), *carried).select(
+    # a hash skips nulls, so each column goes with whether it is one
+    parts = [part for name in carry for part in (F.col(name), F.col(name).isNull())]
+    rows = docs.select(F.col(id_col).alias("id"), (F.xxhash64(*parts) if parts else F.lit(0)).alias("tie"), F.col(source_col).cast("string").alias("source"), *carried).select(
         "id",
         "source",
+        "tie",
         *(["carried"] if carry else []),
         F.when(named, F.col("source")).otherwise(OTHER).alias("stream"),
         F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")).alias("key"),
@@ -139,7 +143,7 @@ def mix_sources(
     sizes = rows.groupBy("stream", "band").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("stream").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("stream", "band", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    within = Window.partitionBy("stream", "band").orderBy("key", "id")
+    within = Window.partitionBy("stream", "band").orderBy("key", "id", "source", "tie")
     numbered = (
         rows.withColumn("place", F.row_number().over(within))
         .join(offsets, ["stream", "band"])

@@ -19,7 +19,7 @@ Characters outside the vocabulary become byte pieces, or the unknown id without
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -321,9 +321,13 @@ def decode(encoded: DataFrame, model: bytes, ids_col: str = "ids", text_col: str
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(text_col, StringType())]))
 
 
-def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
     """Encode every text, decode its ids in the same pass, and tell whether the text came back: id_col,
-    n_ids, ids, window, round_trip (null texts have null ids and a null round_trip)."""
+    n_ids, ids, window, round_trip (null texts have null ids and a null round_trip); then the columns of
+    ``carry`` as they are."""
+    carry = list(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codecs(model)
@@ -340,10 +344,12 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
                     pa.array(ids, pa.list_(pa.int32())),
                     pa.array([codec.window] * len(ids), pa.int32()),
                     pa.array(same, pa.bool_()),
+                    *(part.column(2 + i) for i in range(len(carry))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, [id_col, "n_ids", "ids", "window", "round_trip"])
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "n_ids", "ids", "window", "round_trip", *carry])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_ids bigint, ids array<int>, window int, round_trip boolean"
+    kinds = {name: docs.schema[name].dataType.simpleString() for name in (id_col, *carry)}
+    others = "".join(f", `{name}` {kinds[name]}" for name in carry)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *carry).mapInArrow(
+        run, f"`{id_col}` {kinds[id_col]}, n_ids bigint, ids array<int>, window int, round_trip boolean{others}"
     )
