@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.session import written
@@ -18,7 +18,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+def identified(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str | Column] = ()
+) -> DataFrame:
     """Columns doc_id, text, ord and tag, whatever else the input holds; with ``carry``, those columns as
     one struct ``carried``.
 

@@ -2,8 +2,12 @@
 
 A public vocabulary (a SentencePiece model with byte fallback, whose path is a parameter) measures each
 text: characters per token, the share of tokens that are fallback bytes, and the entropy of the text's
-tokens. Each has a band of accepted values for the text's main script; the base rules on words come
-first. Everything is per document, so the work is one pass over the texts without a shuffle.
+tokens. Each has a band of accepted values; the base rules on words come first. One pass over the texts
+measures them without a shuffle.
+
+``quality_rules`` takes fixed bands per script. They are wide: they hold for any corpus, and reject little
+but text that the vocabulary cannot spell. ``fitted_rules`` takes the bands from the corpus itself, per
+language and script: robust deviations around the median of the documents that pass the base rules.
 """
 
 from __future__ import annotations
@@ -13,10 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
 from reviewlens.llm.frames import identified
+from reviewlens.session import written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MIN_WORDS = 50
@@ -92,7 +98,18 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _measure(model: bytes, bands: dict[str, Band]):
+#: Fitted bands: so many deviations on either side of the median, from so many documents at least. A
+#: deviation is the distance to the quartile on that side as a normal distribution has it, and at least a
+#: hundredth of the median and LEAST_STEP, so that where most documents are equal no band is empty.
+DEVIATIONS = 4
+FIT_DOCS = 100
+LEAST_STEP = 0.005
+_QUARTILE = 0.6745
+#: Measures with a fitted band, and whether it has a lower end.
+FITTED = {"chars_per_token": True, "byte_share": False, "token_entropy": True}
+
+
+def _measure(model: bytes, bands: dict[str, Band], carry: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
@@ -140,8 +157,9 @@ def _measure(model: bytes, bands: dict[str, Band]):
                         pa.array(per_token, pa.float64()),
                         pa.array(shares, pa.float64()),
                         pa.array(entropy, pa.float64()),
+                        *(batch.column(name).slice(first, rows) for name in carry),
                     ],
-                    COLUMNS,
+                    [*COLUMNS, *carry],
                 )
 
     return run
@@ -151,6 +169,8 @@ COLUMNS = (
     "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept "
     "script n_tokens chars_per_token byte_share token_entropy"
 ).split()
+_KINDS = ["bigint"] * 6 + ["boolean"] * 2 + ["string", "bigint"] + ["double"] * 3
+SCHEMA = ", ".join(f"{name} {kind}" for name, kind in zip(COLUMNS, _KINDS, strict=True))
 
 
 def quality_rules(docs: DataFrame, model: bytes, bands: dict[str, Band] = BANDS) -> DataFrame:
@@ -161,6 +181,51 @@ def quality_rules(docs: DataFrame, model: bytes, bands: dict[str, Band] = BANDS)
     three measures within the band of the text's main script. Null texts count as empty (no words, failed).
     Rows stay one to one, with repeated and null ids; other columns are ignored.
     """
-    kinds = ["bigint"] * 6 + ["boolean"] * 2 + ["string", "bigint"] + ["double"] * 3
-    schema = ", ".join(f"{name} {kind}" for name, kind in zip(COLUMNS, kinds, strict=True))
-    return identified(docs).select("doc_id", "text").mapInArrow(_measure(model, bands), schema)
+    return identified(docs).select("doc_id", "text").mapInArrow(_measure(model, bands), SCHEMA)
+
+
+def fitted_bands(measured: DataFrame, deviations: float = DEVIATIONS, least_docs: int = FIT_DOCS) -> DataFrame:
+    """lang, script, and per measure x its ends low_x and high_x, of the groups with ``least_docs`` documents
+    that pass the base rules. Values are rounded to three decimals, so a quartile's state has a bounded
+    number of values, whatever the corpus, and no retry changes it."""
+    quartiles = F.lit([0.25, 0.5, 0.75])
+    found = measured.filter("not base_failed").groupBy("lang", "script").agg(
+        F.count("*").alias("n"), *[F.percentile(F.round(x, 3), quartiles).alias(x) for x in FITTED]
+    )
+
+    def end(x: str, side: int) -> Column:
+        middle = F.col(x)[1]
+        step = F.greatest((F.col(x)[1 + side] - middle) * side / _QUARTILE, middle / 100, F.lit(LEAST_STEP))
+        return middle + step * (side * deviations)
+
+    ends = [end(x, 1).alias(f"high_{x}") for x in FITTED]
+    ends += [end(x, -1).alias(f"low_{x}") for x, low in FITTED.items() if low]
+    return found.filter(F.col("n") >= least_docs).select("lang", "script", *ends)
+
+
+def fitted_rules(
+    docs: DataFrame,
+    model: bytes,
+    lang_col: str = "lang",
+    deviations: float = DEVIATIONS,
+    least_docs: int = FIT_DOCS,
+    bands: dict[str, Band] = BANDS,
+) -> DataFrame:
+    """The columns of ``quality_rules``; ``kept`` needs the measures to be within the fitted bands of the
+    text's language (a label, null is one of its own) and script too. A group with too few documents has
+    only the fixed bands. Every text is measured once."""
+    rows = identified(docs, carry=[F.col(lang_col).cast("string").alias("lang")])
+    rows = rows.select("doc_id", "text", F.col("carried.lang").alias("lang"))
+    measured = written(rows.mapInArrow(_measure(model, bands, ("lang",)), f"{SCHEMA}, lang string"), "measures")
+    ends = fitted_bands(measured, deviations, least_docs)
+    ends = ends.withColumnsRenamed({"lang": "of_lang", "script": "of_script"})
+    inside = F.lit(True)
+    for x, low in FITTED.items():
+        value = F.round(x, 3)
+        inside &= value <= F.col(f"high_{x}")
+        if low:
+            inside &= value >= F.col(f"low_{x}")
+    same = F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("script") == F.col("of_script"))
+    # one row per language and script of at least least_docs documents
+    joined = measured.join(F.broadcast(ends), same, "left")
+    return joined.withColumn("kept", F.col("kept") & F.coalesce(inside, F.lit(True))).select(*COLUMNS)

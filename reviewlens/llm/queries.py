@@ -97,7 +97,7 @@ def op8_simhash(spark, folder):
 def op9_quality(spark, folder):
     from reviewlens.llm import pieces, quality
 
-    return quality.quality_rules(table(spark, folder, "documents"), pieces.read_model(quality.MODEL))
+    return quality.fitted_rules(table(spark, folder, "documents"), pieces.read_model(quality.MODEL))
 
 
 @query("op10_language")

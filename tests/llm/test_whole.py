@@ -1,8 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
+import base64
+import random
+
 from pyspark.sql import functions as F
 
-from reviewlens.llm import mixing, pieces
+from reviewlens.llm import mixing, pieces, quality
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,3 +25,20 @@ def test_pipeline_returns_the_place_in_the_mix(spark, tmp_path, monkeypatch):
     encode = pieces.Codec(pieces.read_vocabulary(pieces.read_model(pieces.MODEL))).encode
     assert [r["position"] for r in got] == list(range(len(order)))
     assert [(r["doc_id"], r["ids"]) for r in got] == [(r["doc_id"], encode(r["carried"]["text"])) for r in order]
+
+
+def test_quality_rejects_what_only_the_vocabulary_shows(spark):
+    pick = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [" ".join("".join(pick.choices(letters, k=6)) for _ in range(200)) for _ in range(5)]
+    junk += [" ".join(base64.b64encode(pick.randbytes(9)).decode() for _ in range(200)) for _ in range(5)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(10**6 + i, text, "en") for i, text in enumerate(junk)] + [(2 * 10**6, junk[0], "qq")]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    got = {r["doc_id"]: r for r in quality.fitted_rules(both, pieces.read_model(pieces.MODEL)).collect()}
+    assert not any(got[10**6 + i]["base_failed"] or got[10**6 + i]["kept"] for i in range(len(junk)))
+    assert got[2 * 10**6]["kept"], "a language of one document has no band of its own"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    gone = lambda label: [not r["kept"] for i, r in got.items() if labels.get(i) == label and not r["base_failed"]]
+    assert sum(gone(0)) > 0.3 * len(gone(0)) and sum(gone(1)) < 0.05 * len(gone(1))
+    assert len(got) == both.count()
