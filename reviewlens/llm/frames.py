@@ -11,7 +11,8 @@ from reviewlens.session import written
 
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
-TAG_BITS = 23
+#: What tells documents apart; rows are grouped and joined on both, so null ids are spread too.
+IDENTITY = ["ord", "tag"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,8 +25,9 @@ def identified(
     """Columns doc_id, text, ord and tag, whatever else the input holds; with ``carry``, those columns as
     one struct ``carried``.
 
-    Documents are ordered by (ord, tag): the id, nulls last, then TAG_BITS of a hash of the text. So rows
-    that repeat an id have a fixed order too, and rows equal in id and text are one document.
+    Documents are ordered by (ord, tag): the id, nulls last, then a 64-bit hash of the text. So rows
+    that repeat an id have a fixed order too, and rows equal in id and text are one document. Among a
+    million different texts of one id, two share a tag with a chance of 3 in 100 million.
     """
     text = F.col(text_col).cast("string")
     key = F.col(id_col).cast("bigint")
@@ -33,7 +35,7 @@ def identified(
         key.alias("doc_id"),
         text.alias("text"),
         F.coalesce(key, F.lit(LAST)).alias("ord"),
-        F.hash(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
+        F.xxhash64(text).alias("tag"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
 
@@ -43,12 +45,12 @@ SLOTS = 1 << 23
 
 
 def flagged(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``docs`` with a column ``flagged``, true where ``ord`` is in ``wanted`` and for perhaps a few more.
+    """``docs`` with a column ``flagged``, true where (ord, tag) is in ``wanted`` and for perhaps a few more.
 
-    Texts that a later join on ``ord`` has nothing for need not be shuffled for it. The filter is a bit
+    Texts that a later join on IDENTITY has nothing for need not be shuffled for it. The filter is a bit
     map of fixed size over hashes; in a very large corpus it flags all, which costs the shuffle alone.
     """
-    slot = F.pmod(F.xxhash64("ord"), F.lit(SLOTS))
+    slot = F.pmod(F.xxhash64(*IDENTITY), F.lit(SLOTS))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
     words = wanted.groupBy(F.shiftright(slot, 6).alias("slot_word")).agg(F.bit_or(bit).alias("slot_bits"))
     words = F.broadcast(written(words, "slots"))  # SLOTS / 64 rows at most

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import flagged, identified
+from reviewlens.llm.frames import IDENTITY, flagged, identified
 from reviewlens.session import written
 
 #: Similarity as a fraction.
@@ -139,13 +139,12 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ord_, tag = batch.column("ord").to_numpy(), batch.column("tag").to_numpy()
         lists = batch.column("wanted")
         marks, entries = lists.offsets.to_numpy(), lists.values
-        names, lines, tags = (entries.field(c).to_numpy() for c in ("name", "line", "tag"))
+        names, lines = (entries.field(c).to_numpy() for c in ("name", "line"))
         for first, last in T.slices(offsets, 4 * T.SLICE):
             codes, heads, row, line = _line_words(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
             low, high = marks[first], marks[last]
             owner = np.repeat(np.arange(last - first), np.diff(marks[first : last + 1]))
-            own = tags[low:high] == tag[first:last][owner]
-            owner, name, number = owner[own], names[low:high][own], lines[low:high][own].astype(np.int64)
+            name, number = names[low:high], lines[low:high].astype(np.int64)
             at = np.searchsorted(row << 32 | line, owner << 32 | number)
             size = np.diff(np.append(heads, len(codes)))[at]
             bounds = np.concatenate([[0], np.cumsum(size)])
@@ -180,8 +179,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, similarity: tu
     names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
     wanted = written(sets.join(names, "name", "left_semi").select("ord", "tag", "line", "name"), "wanted")
     near = flagged(docs, wanted).filter("flagged").drop("flagged")
-    words = near.join(repeats.gathered(wanted, "wanted"), "ord").mapInArrow(
-        _words_of, "name bigint, ord bigint, tag int, line int, words array<bigint>"
+    words = near.join(repeats.gathered(wanted, "wanted"), IDENTITY).mapInArrow(
+        _words_of, "name bigint, ord bigint, tag bigint, line int, words array<bigint>"
     )
     place = F.struct("ord", "tag", "line")
     left = words.select(F.col("name").alias("a"), F.col("words").alias("x"), place.alias("x_place"))
@@ -235,7 +234,7 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, cro
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
     lines = docs.select("text", "ord", "tag").mapInArrow(
         _sets(counts, similarity),
-        "name bigint, size int, bits bigint, ord bigint, tag int, line int, rare array<int>",
+        "name bigint, size int, bits bigint, ord bigint, tag bigint, line int, rare array<int>",
     )
     first = F.min(F.struct("ord", "tag", "line", "rare")).alias("first")
     sets = written(lines.groupBy("name", "size", "bits").agg(first).select("name", "size", "bits", "first.*"), "sets")
@@ -279,7 +278,7 @@ def line_dedup(
     gone = written(removed_lines(identified(docs), similarity, crowd), "lines")
     split = flagged(whole, gone)
     gone = repeats.gathered(gone, "lines")
-    near = split.filter("flagged").drop("flagged").join(gone, "ord", "left")
+    near = split.filter("flagged").drop("flagged").join(gone, IDENTITY, "left")
     others = split.filter("not flagged").drop("flagged").withColumn("lines", F.lit(None).cast(gone.schema["lines"].dataType))
     kinds = {f.name: f.dataType.simpleString() for f in whole.schema.fields if f.name != "text"}
     head = ["ord", *(name for name in kinds if name != "ord")]

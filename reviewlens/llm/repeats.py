@@ -24,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
+from reviewlens.llm.frames import IDENTITY
 from reviewlens.session import written
 
 KEYS = ["ah", "bh"]
-#: Bits of the first window and of the number of windows where a block's place is packed into one long,
-#: below the document's tag: rows of blocks are most of what is shuffled.
-_P_BITS, _N_BITS = 31, 9
+#: Bits of the number of windows where a block's place is packed into one long, below the first window:
+#: rows of blocks are most of what is shuffled.
+_N_BITS = 9
 
 
 @dataclass(frozen=True)
@@ -101,36 +102,31 @@ def _blocks(units: Units):
                 symbols, bounds = units.symbols(part, offsets[first : last + 1] - offsets[first])
                 anchor, row, p, n = row_blocks(symbols, bounds, units)
                 code = block_codes(symbols, bounds, units, row, p, n)
-                spot = tag[first:last][row].astype(np.int64) << (_P_BITS + _N_BITS) | p << _N_BITS | n
-                columns = [T.signed(anchor), T.signed(code), ord_[first:last][row], spot]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*KEYS, "ord", "spot"])
+                columns = [T.signed(anchor), T.signed(code), ord_[first:last][row], tag[first:last][row], p << _N_BITS | n]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [*KEYS, *IDENTITY, "spot"])
 
     return run
 
 
 def repeated_blocks(docs: DataFrame, units: Units) -> DataFrame:
-    """Every block whose anchor has another block somewhere: KEYS, ord, spot (see ``unpacked``).
+    """Every block whose anchor has another block somewhere: KEYS, ord, tag, spot (see ``unpacked``).
 
     Written once to the shared folder: a few tenths of the texts' size, read several times.
     """
     if units.width - units.gram >= (1 << _N_BITS) - 1:
         raise ValueError("gram is too short for this width")
     blocks = docs.select("text", "ord", "tag").mapInArrow(
-        _blocks(units), "ah bigint, bh bigint, ord bigint, spot bigint"
+        _blocks(units), "ah bigint, bh bigint, ord bigint, tag bigint, spot bigint"
     )
     twice = blocks.groupBy("ah").agg(F.count("*").alias("times")).filter("times > 1").select("ah")
     return written(blocks.join(twice, "ah"), "blocks")
 
 
-def tag_of(spot: str = "spot") -> Column:
-    return F.shiftright(spot, _P_BITS + _N_BITS).cast("int")
-
-
 def unpacked(blocks: DataFrame) -> DataFrame:
-    """``spot`` as tag, p (the first window) and n (how many)."""
-    p = F.shiftright("spot", _N_BITS).bitwiseAND(F.lit((1 << _P_BITS) - 1)).cast("int")
+    """``spot`` as p (the first window) and n (how many)."""
+    p = F.shiftright("spot", _N_BITS).cast("int")
     n = F.col("spot").bitwiseAND(F.lit((1 << _N_BITS) - 1)).cast("int")
-    return blocks.select("*", tag_of().alias("tag"), p.alias("p"), n.alias("n")).drop("spot")
+    return blocks.select("*", p.alias("p"), n.alias("n")).drop("spot")
 
 
 def first_blocks(blocks: DataFrame, place: Column) -> DataFrame:
@@ -144,20 +140,16 @@ def first_blocks(blocks: DataFrame, place: Column) -> DataFrame:
 
 
 def gathered(rows: DataFrame, name: str) -> DataFrame:
-    """All rows of each ``ord`` as one list. Every join with the texts is on ``ord`` alone and takes
-    the same columns of them, so that one query shuffles the texts once; ``own`` tells rows that share
-    an id apart."""
-    others = [column for column in rows.columns if column != "ord"]
-    return rows.groupBy("ord").agg(F.collect_list(F.struct(*others)).alias(name))
+    """All rows of each document as one list. Every join with the texts is on IDENTITY and takes the same
+    columns of them, so that one query shuffles the texts once."""
+    others = [column for column in rows.columns if column not in IDENTITY]
+    return rows.groupBy(*IDENTITY).agg(F.collect_list(F.struct(*others)).alias(name))
 
 
 def own(batch: pa.RecordBatch, name: str, i: int) -> pa.StructArray | None:
-    """Row i's entries of the list column that carry the row's tag."""
+    """Row i's entries of the list column."""
     entries = batch.column(name)[i].values
-    if entries is None or not len(entries):
-        return None
-    same = entries.field("tag").to_numpy() == batch.column("tag")[i].as_py()
-    return entries if same.all() else entries.filter(pa.array(same))
+    return entries if entries is not None and len(entries) else None
 
 
 def merged(pieces: pa.StructArray | None) -> np.ndarray:

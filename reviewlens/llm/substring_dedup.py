@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import identified
+from reviewlens.llm.frames import IDENTITY, identified
 
 WIDTH = 50
 GRAM = 20
@@ -53,7 +53,7 @@ def _windows(units: repeats.Units):
                         pa.array(T.signed(one)),
                         pa.array(T.signed(two)),
                         pa.array(np.full(len(one), ord_[i], dtype=np.int64)),
-                        pa.array(np.full(len(one), tag[i], dtype=np.int32)),
+                        pa.array(np.full(len(one), tag[i], dtype=np.int64)),
                         pa.array(start),
                     ],
                     ["h1", "h2", "ord", "tag", "p"],
@@ -78,8 +78,8 @@ def joined(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[p
 def opened_windows(docs: DataFrame, opened: DataFrame, units: repeats.Units) -> DataFrame:
     """h1, h2, ord, tag, p of every window in the opened blocks (ord, tag, p, n)."""
     run = _windows(units)
-    return docs.join(repeats.gathered(opened, "opened"), "ord").mapInArrow(
-        lambda batches: joined(run(batches)), "h1 bigint, h2 bigint, ord bigint, tag int, p int"
+    return docs.join(repeats.gathered(opened, "opened"), IDENTITY).mapInArrow(
+        lambda batches: joined(run(batches)), "h1 bigint, h2 bigint, ord bigint, tag bigint, p int"
     )
 
 
@@ -120,7 +120,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     units = repeats.Units(width, gram, word_symbols)
     docs = identified(docs)
     blocks = repeats.repeated_blocks(docs, units)
-    first = repeats.first_blocks(blocks, F.struct("ord", repeats.tag_of().alias("tag")))
+    first = repeats.first_blocks(blocks, F.struct("ord", "tag"))
     here = F.struct("ord", "tag")
     marked = repeats.unpacked(blocks.join(first, repeats.KEYS))
     whole = marked.filter(here > F.col("first")).select(
@@ -133,7 +133,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
         "ord", "tag", F.col("p").alias("start"), F.lit(width).alias("size")
     )
     pieces = repeats.gathered(whole.unionByName(single), "pieces")
-    return docs.join(pieces, "ord", "left").mapInArrow(
+    return docs.join(pieces, IDENTITY, "left").mapInArrow(
         _finish,
         "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, "
         "kept_text string",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import repeats
 from reviewlens.llm import text as T
-from reviewlens.llm.frames import identified
+from reviewlens.llm.frames import IDENTITY, identified
 from reviewlens.llm.substring_dedup import joined, opened_windows
 from reviewlens.llm.suffix_sort import deep_shallow
 
@@ -37,7 +37,7 @@ def byte_symbols(data: np.ndarray, offsets: np.ndarray):
     return data, offsets
 
 
-_SPOTTED = "ah bigint, ord bigint, tag int, p int, around binary"
+_SPOTTED = "ah bigint, ord bigint, tag bigint, p int, around binary"
 
 
 def _surroundings(width: int):
@@ -59,7 +59,7 @@ def _surroundings(width: int):
                     [
                         blocks.field("ah"),
                         pa.array(np.full(len(start), ord_[i], dtype=np.int64)),
-                        pa.array(np.full(len(start), tag[i], dtype=np.int32)),
+                        pa.array(np.full(len(start), tag[i], dtype=np.int64)),
                         blocks.field("p"),
                         pa.array(around, pa.binary()),
                     ],
@@ -152,7 +152,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     units = repeats.Units(width, gram, byte_symbols)
     docs = identified(docs)
     blocks = repeats.repeated_blocks(docs, units)
-    place, here = F.struct("ord", "spot"), F.struct("ord", "tag", "p")
+    place, here = F.struct("ord", "tag", "spot"), F.struct("ord", "tag", "p")
     first = repeats.first_blocks(blocks, place)
     marked = blocks.join(first, repeats.KEYS).withColumn("again", place > F.col("first")).drop("first")
     marked = repeats.unpacked(marked)
@@ -162,11 +162,11 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     opened = marked.filter("not again and versions > 1")
 
     few = opened.filter(F.col("versions") <= crowd).select("ah", "ord", "tag", "p", "n")
-    around = docs.join(repeats.gathered(few, "opened"), "ord").mapInArrow(_surroundings(width), _SPOTTED)
+    around = docs.join(repeats.gathered(few, "opened"), IDENTITY).mapInArrow(_surroundings(width), _SPOTTED)
     ends = (
         around.repartition("ah")
         .sortWithinPartitions("ah")
-        .mapInArrow(_sorted_repeats(width), "ord bigint, tag int, start int, size int")
+        .mapInArrow(_sorted_repeats(width), "ord bigint, tag bigint, start int, size int")
     )
 
     crowded = opened.filter(F.col("versions") > crowd).select("ord", "tag", "p", "n")
@@ -177,7 +177,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     )
 
     pieces = repeats.gathered(whole.unionByName(ends).unionByName(single), "pieces")
-    return docs.join(pieces, "ord", "left").mapInArrow(
+    return docs.join(pieces, IDENTITY, "left").mapInArrow(
         _finish,
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary",
     )

@@ -6,6 +6,10 @@ import random
 from pyspark.sql import functions as F
 
 from reviewlens.llm import mixing, pieces, quality
+from reviewlens.llm.license_scan import license_scan
+from reviewlens.llm.line_dedup import line_dedup
+from reviewlens.llm.substring_dedup import substring_dedup
+from reviewlens.llm.suffix_dedup import suffix_dedup
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -42,3 +46,22 @@ def test_quality_rejects_what_only_the_vocabulary_shows(spark):
     gone = lambda label: [not r["kept"] for i, r in got.items() if labels.get(i) == label and not r["base_failed"]]
     assert sum(gone(0)) > 0.3 * len(gone(0)) and sum(gone(1)) < 0.05 * len(gone(1))
     assert len(got) == both.count()
+
+
+def test_texts_without_ids_are_told_apart_by_more_than_23_bits(spark):
+    """Two texts whose 32-bit hashes agree in 23 bits, without ids, next to many other such rows."""
+    tail = " ".join(f"w{i}" for i in range(60))
+    texts = spark.range(30000).select(F.concat(F.col("id").cast("string"), F.lit(" cc by " + tail)).alias("text"))
+    plain = spark.range(30000, 60000).select(F.concat(F.lit("only "), "id").alias("text"))
+    bits = lambda frame, name: frame.select(F.col("text").alias(name), F.hash("text").bitwiseAND((1 << 23) - 1).alias("t"))
+    long, short = bits(texts, "long").join(bits(plain, "short"), "t").select("long", "short").orderBy("long").first()
+    other = long.split(" ", 1)[1]
+    rows = [(None, long), (None, short), (1, "first " + other)] + [(None, f"filler {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for operator, kept in ((substring_dedup, "kept_text"), (suffix_dedup, "kept"), (line_dedup, "kept_text")):
+        found = operator(docs).collect()
+        left = sorted(bytes(r[kept]).decode() if kept == "kept" else r[kept] for r in found if r["doc_id"] is None)
+        assert len(left) == 302 and short in left and long not in left, operator.__name__
+        assert sum(text.startswith("filler") for text in left) == 300
+    labels = [r["base_labels"] for r in license_scan(docs).collect() if r["doc_id"] is None]
+    assert sorted(labels) == [""] * 301 + ["cc-by"]
