@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
 from reviewlens.llm.components import components
-from reviewlens.llm.frames import LAST, identified
+from reviewlens.llm.frames import IDENTITY, LAST, identified
 from reviewlens.session import written
 
 SHINGLE = 3
@@ -62,8 +62,9 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, offsets = T.texts(batch.column("text"))
         marks = [fingerprint(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         marks = np.array(marks, dtype=np.uint64)
+        others = [name for name in batch.schema.names if name != "text"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("ord"), pa.array(T.signed(marks))], ["doc_id", "ord", "mark"]
+            [*(batch.column(name) for name in others), pa.array(T.signed(marks))], [*others, "mark"]
         )
 
 
@@ -126,6 +127,14 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
     return listed.select(F.col("node").alias("a"), "b").unionByName(stars).filter("a <> b")
 
 
+def _labelled(marks: DataFrame, low: Column, crowd: int) -> DataFrame:
+    """mark, low (the smallest of its rows), component per distinct fingerprint."""
+    nodes = marks.groupBy("mark").agg(F.min(low).alias("low")).withColumn("node", F.col("mark"))
+    nodes = written(nodes, "nodes")
+    found = components(links(nodes.select("mark", "node"), RADIUS, crowd))
+    return nodes.join(found, "node", "left").select("mark", "low", F.coalesce("component", "node").alias("component"))
+
+
 def simhash_groups(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id, the smallest id reachable by links.
 
@@ -134,10 +143,7 @@ def simhash_groups(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     has a null component_id. Other columns are ignored. No rows give no rows.
     """
     marks = written(fingerprints(docs), "fingerprints")
-    nodes = marks.groupBy("mark").agg(F.min("ord").alias("low")).withColumn("node", F.col("mark"))
-    nodes = written(nodes, "nodes")
-    found = components(links(nodes.select("mark", "node"), RADIUS, crowd))
-    of = nodes.join(found, "node", "left").select("mark", "low", F.coalesce("component", "node").alias("component"))
+    of = _labelled(marks, F.col("ord"), crowd)
     lowest = of.groupBy("component").agg(F.min("low").alias("lowest"))
     labels = of.join(lowest, "component").select("mark", "lowest")
     return marks.join(labels, "mark").select(
@@ -145,3 +151,24 @@ def simhash_groups(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         F.lpad(F.lower(F.hex("mark")), 16, "0").alias("fingerprint"),
         F.when(F.col("lowest") < LAST, F.col("lowest")).alias("component_id"),
     )
+
+
+def first_of_groups(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """One whole row of each component: the smallest id's, null ids last; of rows with that id the one with
+    the smallest text hash, then the smallest hash of the other columns. No other row goes.
+
+    ``docs`` has columns doc_id and text; their other columns come along.
+    """
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    # a hash skips nulls, so each column goes with whether it is one
+    parts = [part for name in others for part in (F.col(f"carried.{name}"), F.col(f"carried.{name}").isNull())]
+    rest = F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
+    whole = identified(docs, carry=others).withColumn("rest", rest)
+    place = [*IDENTITY, "rest"]
+    marks = whole.select(*place, "text").mapInArrow(
+        _fingerprints, "ord bigint, tag bigint, rest bigint, mark bigint"
+    )
+    of = _labelled(written(marks, "fingerprints"), F.struct(*place), crowd)
+    first = of.groupBy("component").agg(F.min("low").alias("low")).select("low.*")
+    kept = whole.join(first, place, "left_semi").dropDuplicates(place)  # rows equal in all columns
+    return kept.select("doc_id", "text", *[f"carried.{name}" for name in others])

@@ -65,3 +65,14 @@ def test_texts_without_ids_are_told_apart_by_more_than_23_bits(spark):
         assert sum(text.startswith("filler") for text in left) == 300
     labels = [r["base_labels"] for r in license_scan(docs).collect() if r["doc_id"] is None]
     assert sorted(labels) == [""] * 301 + ["cc-by"]
+
+
+def test_pipeline_keeps_one_row_of_each_group_and_drops_nothing_else(spark):
+    import corpus_pipeline as corpus
+
+    lone, copied, third = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(5, lone), (5, copied), (2, copied), (None, copied), (None, third), (None, third), (9, lone), (9, "other words here")]
+    docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus.drop_near_copies(spark, docs.repartition(3), FOLDER).collect()
+    want = [(5, lone), (2, copied), (None, third), (9, "other words here")]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
