@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.operators.bands import with_bands
-from reviewlens.operators.joins import same_group_join
+from reviewlens.operators.places import numbered
 from reviewlens.operators.prepare import CATEGORY, PRODUCT
 
 # Section titles in report order.
@@ -93,26 +92,8 @@ def _top_of_lists(listed: DataFrame, by: Sequence[str], top: int) -> DataFrame:
 
 
 def _whole_lists(listed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Number complete lists without putting a list into one task.
-
-    A list is cut into bands of similar size along its order, ties included. An
-    item's rank is the size of all higher bands plus its place in its own, so
-    one task orders one band, and only band sizes are added up in order.
-    """
-    lists = [*by, "section_no"]
-    keys = [*lists, "_band"]
-    by_rating = F.col("section_no") % 2 == 1
-    score = F.when(by_rating, F.col("score")).otherwise(-F.col("score"))
-    placed = listed.withColumn("_at", F.struct(score.alias("score"), "item_key", "review_count"))
-    banded = with_bands(
-        placed, lists, "_at", lambda split, at: F.when(by_rating, split > at).otherwise(split < at)
-    ).drop("_at")
-    higher = Window.partitionBy(*lists).orderBy("_band")
-    sizes = banded.groupBy(*keys).agg(F.count("*").alias("_size"))
-    above = sizes.select(*keys, (F.sum("_size").over(higher) - F.col("_size")).alias("_above"))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_list_order()))
-    numbered = same_group_join(banded.withColumn("_place", place), above, keys)
-    return numbered.withColumn("rank", (F.col("_above") + F.col("_place")).cast("int"))
+    """Number complete lists without putting a list into one task."""
+    return numbered(listed, _list_order(), [*by, "section_no"]).withColumn("rank", F.col("rank").cast("int"))
 
 
 def _whole_list(tagged: DataFrame, section: int, by: Sequence[str]) -> DataFrame:
@@ -131,7 +112,10 @@ def categories_by_popularity(tagged: DataFrame, by: Sequence[str] = ()) -> DataF
 def top_analysis(
     tagged: DataFrame, top: int = TOP, min_reviews: int = MIN_REVIEWS, by: Sequence[str] = ()
 ) -> DataFrame:
-    """All four lists as one table, keyed by ``section_no`` and ``rank``."""
+    """All four lists as one table, keyed by ``section_no`` and ``rank``.
+
+    Reads ``tagged`` for the products and for the categories, so it should be a written table.
+    """
     supported = minimum_support(tagged, min_reviews)
     products = _listed(supported.filter(F.col("item_type") == PRODUCT), [1, 2], by)
     categories = _listed(supported.filter(F.col("item_type") == CATEGORY), [3, 4], by)

@@ -21,17 +21,19 @@ def top_lists(
     by: Sequence[str] = (),
     combined: str | None = None,
 ) -> DataFrame:
-    """Ratings to ranked lists in one plan; ``by`` gives one set of lists per dataset.
+    """Ratings to ranked lists; ``by`` gives one set of lists per dataset.
+
+    The aggregated ratings, a row per product and category, are written once; the reviews are read once.
 
     ``combined`` adds the lists of all datasets together, under that name in the first ``by`` column,
     from the same partial sums.
     """
     if not combined:
-        return top_analysis(tagged_ratings(df, by), top, min_reviews, by)
+        return top_analysis(written(tagged_ratings(df, by), "tagged"), top, min_reviews, by)
     if not by:
         raise ValueError("combined lists need a dataset column")
     partials = with_combined(tagged_partials(df, by), by[0], combined)
-    tagged = finish(merge_partials(partials, [*by, "item_type", "item_key"]))
+    tagged = written(finish(merge_partials(partials, [*by, "item_type", "item_key"])), "tagged")
     return top_analysis(tagged, top, min_reviews, by)
 
 
@@ -40,11 +42,12 @@ def top_job(
 ) -> DataFrame:
     """Both stages with their outputs kept: aggregate lines, then the report text.
 
-    The aggregated ratings are written once and both outputs read that table.
+    The aggregated ratings are written once and both outputs read that table; the lists are written once
+    too, for the report and the caller.
     """
     tagged = written(tagged_ratings(df), "tagged")
     write_aggregate_lines(tagged, f"{folder}/aggregates")
-    lists = top_analysis(tagged, top, min_reviews)
+    lists = written(top_analysis(tagged, top, min_reviews), "lists")
     write_lines(report_lines(lists), f"{folder}/report")
     return lists
 
