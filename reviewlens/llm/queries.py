@@ -214,6 +214,70 @@ def op3_line_dedup(spark, folder):
     )
 
 
+#: CRC-32 in SQL: the table of its bytes, and the steps over a text's bytes (``{}``) from its hex digits.
+_CRC_TABLE = """crc_table as (
+      select list(list_reduce(list_prepend(n, range(8)),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as t
+      from range(256) r(n))"""
+_CRC = """xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(regexp_extract_all(hex({}), '..'), lambda h: ('0x' || h)::bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+
+@query(
+    "op11_resampling",
+    rf"""
+    with {_CRC_TABLE}, texts as (
+      select true as own, doc_id as id, text from documents
+      union all select false, item_id, text from benchmark
+    ), words as (
+      select own, id, row_number() over () as r, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+      from texts
+    ), features as (
+      select own, r, unnest(list_concat(w,
+        list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f
+      from words
+    ), placed as (
+      select f, {_CRC.format("f")} % 10000 as bucket from (select distinct f from features), crc_table
+    ), counted as (
+      select own, r, bucket, count(*) as n from features join placed using (f) group by all
+    ), totals as (
+      select bucket, coalesce(sum(n) filter (own), 0)::double as s, coalesce(sum(n) filter (not own), 0)::double as t
+      from counted group by bucket
+    ), gains as (
+      select bucket,
+        floor(1000 * ln((t + 1) * (sum(s) over () + 10000) / ((s + 1) * (sum(t) over () + 10000))))::bigint as gain
+      from totals
+    ), weights as (
+      select r, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+      from counted join gains using (bucket) where own group by r
+    ), scored as (
+      select id as doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln(
+          (('0x' || substr(sha256('42:' || coalesce(id::varchar, '')), 1, 8))::bigint + 0.5::double)
+          / 4294967296)))::bigint as score
+      from words left join weights using (r) where own
+    ), ranked as (
+      select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place,
+        count(*) filter (n_words >= 20) over () as eligible
+      from scored
+    )
+    select doc_id, n_features, weight, score,
+      case when n_words >= 20 and place <= 5 * eligible // 100 then place end as rank
+    from ranked
+    """,
+)
+def op11_resampling(spark, folder):
+    """Five in a hundred of the documents drawn towards the benchmark's texts; every document's weight."""
+    from reviewlens.llm.resampling import resample
+
+    found = resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     """All stages of corpus_pipeline over documents."""
