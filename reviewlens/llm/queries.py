@@ -278,6 +278,72 @@ def op11_resampling(spark, folder):
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query(
+    "op13_spelling",
+    rf"""
+    with {_CRC_TABLE}, runs as (
+      select doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) as run
+      from documents
+    ), distinct_runs as (
+      select doc_id, run, count(*) as times from runs group by all
+    ), hashed as (
+      select run, times, {_CRC.format("coalesce(doc_id::varchar, '') || ':' || run")} as h from distinct_runs, crc_table
+    ), words as (
+      select case when h % 199 = 0 then run[:(h % length(run))] || run[(h % length(run)) + 2:] else run end as word,
+        sum(times)::bigint as n
+      from hashed group by 1 having length(word) >= 6 and sum(times) >= 5
+    ), places as (
+      select word, n, unnest(range(1, length(word) + 1)) as i from words
+    ), cut as (
+      select word, n, i, word[:i - 1] as head, word[i + 1:] as tail from places
+    ), near as (
+      select a.word, a.n, b.word as other, b.n as other_n
+      from cut a join cut b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+      union
+      select a.word, a.n, b.word, b.n from cut a join words b on a.head || a.tail = b.word
+      union
+      select b.word, b.n, a.word, a.n from cut a join words b on a.head || a.tail = b.word
+    ), best as (
+      select word, n, count(*) as n_near,
+        arg_max(other, (other_n, -ord)) as top, max(other_n) as top_n
+      from (select *, row_number() over (order by encode(other)) as ord from near) group by word, n
+    ), formed as (
+      select w.word, w.n, coalesce(n_near, 0) as n_near, case when top_n >= 5 * w.n then top end as form,
+        case when top_n >= 5 * w.n then top_n end as form_n
+      from words w left join best b on w.word = b.word
+    ), steps(word, root) as (
+      select word, word from formed
+      union all
+      select s.word, f.form from (select * from steps) s join formed f on s.root = f.word where f.form is not null
+    ), ends as (
+      select s.word, s.root from steps s join formed f on s.root = f.word where f.form is null
+    )
+    select word, form, root, n, n_near, form_n from formed join ends using (word)
+    """.replace("with crc_table", "with recursive crc_table", 1),
+)
+def op13_spelling(spark, folder):
+    """Words of the documents, with one misspelled in about 199, and the words they are variants of."""
+    from reviewlens.llm.spelling import spelling_groups
+
+    found = spelling_groups(table(spark, folder, "documents"), typo_every=199)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_pii")
+def op12_pii(spark, folder):
+    """Personal data of every document: base spans by pattern, and those that the field adds."""
+    from reviewlens.llm.personal_data import KINDS, fit, personal_data, written_out
+
+    docs = table(spark, folder, "documents")
+    found = personal_data(docs, fit(docs)).withColumn("held", F.filter("spans", lambda s: s["base"]))
+    counts = [F.size(F.filter("held", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(written_out(F.col("held")), 256).alias("base_sha256"), written_out(F.col("spans")).alias("spans")
+    )
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     """All stages of corpus_pipeline over documents."""
