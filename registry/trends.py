@@ -144,8 +144,7 @@ def basic_stats_by_category(spark, folder):
 def exact_quantiles(spark, folder):
     """Quartiles of a column with about as many distinct values as rows."""
     items = views.table(spark, folder, "lineitem")
-    counts = stats.rating_counts(items, "l_extendedprice", ["l_returnflag"])
-    return stats.exact_quantiles(counts, by=["l_returnflag"])
+    return stats.exact_quantiles(items, by=["l_returnflag"], value="l_extendedprice")
 
 
 @query(
@@ -155,7 +154,44 @@ def exact_quantiles(spark, folder):
            round(quantile_cont(rating, 0.75), 6) as q3 from ratings""",
 )
 def exact_quantiles_overall(spark, folder):
-    return stats.exact_quantiles(stats.rating_counts(views.ratings(spark, folder)))
+    return stats.exact_quantiles(views.ratings(spark, folder))
+
+
+PRICES = STATS.replace("rating", "l_extendedprice")
+
+
+@query(
+    "exact_stats",
+    f"""select l_returnflag, {STATS_6.replace("round(variance, 6)", "round(variance / 1e6, 6)")} from (
+      select l_returnflag, {PRICES} from lineitem group by l_returnflag)""",
+)
+def exact_stats(spark, folder):
+    """The statistics row of a column without a scale, quartiles exact."""
+    items = views.table(spark, folder, "lineitem")
+    found = stats.exact_stats(items, "l_extendedprice", ["l_returnflag"], centre=50_000.0)
+    return found.withColumn("variance", F.col("variance") / 1e6)
+
+
+@query(
+    "continuous_stats",
+    f"""select l_returnflag, "count", round(min, 6) as min, round(max, 6) as max, round(mean, 6) as mean,
+           round(stddev, 6) as stddev, true as q1_near, true as median_near, true as q3_near,
+           true as bounded
+    from (select l_returnflag, {PRICES} from lineitem group by l_returnflag)""",
+)
+def continuous_stats(spark, folder):
+    """The same from the state of fixed size; for each quartile, whether its value is within the stated
+    error of the exact one, and whether there are as few bands as stated."""
+    items = views.table(spark, folder, "lineitem")
+    by = ["l_returnflag"]
+    bands = stats.rating_counts(items, "l_extendedprice", by, centre=50_000.0)
+    exact = stats.exact_quantiles(items, by=by, value="l_extendedprice")
+    row = stats.basic_stats(bands, by, centre=50_000.0)
+    # values from 512 to 131072 span eight powers of two
+    few = bands.groupBy(*by).agg((F.count("*") <= 8 * 4096).alias("bounded"))
+    both = row.join(exact.withColumnsRenamed({q: f"exact_{q}" for q in stats.QUARTILES}), "l_returnflag").join(few, "l_returnflag")
+    near = [(F.abs(F.col(q) - F.col(f"exact_{q}")) <= F.col(f"exact_{q}") / 4096).alias(f"{q}_near") for q in stats.QUARTILES]
+    return both.select("l_returnflag", "count", "min", "max", "mean", "stddev", *near, "bounded")
 
 
 @query(
@@ -170,19 +206,17 @@ def approx_stats(spark, folder):
     """The sketched row; for each quartile, whether its rank is within the sketch's stated error."""
     ratings = views.ratings(spark, folder)
     row = stats.approx_stats(ratings, accuracy=1000)
-    one = F.pmod(F.hash("rating"), F.lit(1)).alias("one")  # the same in every row
-    ranks = ratings.select("rating", one).join(
-        row.select(*stats.QUARTILES, F.col("count").alias("n"), F.pmod(F.hash("count"), F.lit(1)).alias("one")), "one"
-    )
+    one = row.first()  # three numbers to hold the ratings against
     within = {}
     for name, share in stats.QUARTILES.items():
-        wanted, slack = F.lit(share) * F.max("n"), F.max("n") / 1000 + 1
-        within[name] = (F.count_if(F.col("rating") < F.col(name)) <= wanted + slack) & (
-            F.count_if(F.col("rating") <= F.col(name)) >= wanted - slack
+        wanted, slack = share * one["count"], one["count"] / 1000 + 1
+        within[name] = (F.count_if(F.col("rating") < one[name]) <= wanted + slack) & (
+            F.count_if(F.col("rating") <= one[name]) >= wanted - slack
         )
-    checked = ranks.agg(*[test.alias(name) for name, test in within.items()])
-    plain = row.select("count", "min", "max", "mean", "stddev", "variance", F.pmod(F.hash("count"), F.lit(1)).alias("one"))
-    return plain.join(checked.withColumn("one", F.pmod(F.hash("q1"), F.lit(1))), "one").drop("one")
+    checked = ratings.agg(*[test.alias(name) for name, test in within.items()])
+    plain = row.select("count", "min", "max", "mean", "stddev", "variance")
+    both = plain.unionByName(checked, allowMissingColumns=True)
+    return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
 # A bucket of width 0.5 is five tenths wide.

@@ -10,6 +10,7 @@ from reviewlens.functions.lengths import (
     length_bucket,
     text_length,
 )
+from reviewlens.functions.order import BAND_BITS, band, order_code
 from reviewlens.functions.ratings import (
     finite,
     half_step,
@@ -31,8 +32,10 @@ from reviewlens.functions.text import (
 )
 
 __all__ = [
+    "BAND_BITS",
     "LENGTH_EDGES",
     "LENGTH_LABELS",
+    "band",
     "bucket_ordinal",
     "clean_key",
     "correlation_band",
@@ -49,6 +52,7 @@ __all__ = [
     "month_start",
     "name_from_path",
     "one_line",
+    "order_code",
     "parse_rating",
     "percent",
     "rated",

@@ -1,122 +1,99 @@
 """Distribution of ratings: summary statistics, histogram, stars.
 
-The input is reduced to one row per distinct rating first, inside the map
-tasks and then across them. On a star scale that leaves a few dozen rows, from
-which everything else follows.
+The input is reduced to one row per band of ratings first, inside the map tasks and then across them. A
+band holds one value on any scale of up to three significant digits, and there is a bounded number of
+bands whatever the values; everything else follows from those rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.functions import half_step, percent, rated, star
-from reviewlens.operators.bands import with_bands
-from reviewlens.operators.joins import same_group_join
-
-QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+from reviewlens.functions import band, half_step, percent, rated, star
+from reviewlens.operators.quantiles import QUARTILES, banded_quantiles, exact_quantiles
 
 # Deviations are taken from a point inside the rating scale: squares of large
 # offsets would drown the spread.
 CENTRE = 3.0
 
 
-def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct rating."""
-    present = df.filter(rated(F.col(rating)))
-    return present.groupBy(*by, F.col(rating).alias("rating")).agg(F.count("*").alias("count"))
+def band_measures(rating: str = "rating", centre: float = CENTRE) -> list[Column]:
+    """Aggregates over rows with a rating that make up the state of a band."""
+    deviation = F.col(rating) - F.lit(centre)
+    return [
+        F.count("*").alias("count"),
+        F.min(rating).alias("low"),
+        F.max(rating).alias("high"),
+        F.sum(deviation).alias("deviation"),
+        F.sum(deviation * deviation).alias("squares"),
+    ]
+
+
+def rating_counts(df: DataFrame, rating: str = "rating", by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
+    """The state of every band with ratings: band, count, low, high, deviation, squares."""
+    # adding zero makes one value of both zeros
+    present = df.filter(rated(F.col(rating))).select(*by, (F.col(rating).cast("double") + F.lit(0.0)).alias("rating"))
+    return present.groupBy(*by, band(F.col("rating")).alias("band")).agg(*band_measures("rating", centre))
+
+
+def merged_bands(bands: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """States of equal bands added up: coarser groups, or several parts of one table."""
+    return bands.groupBy(*by, "band").agg(
+        F.sum("count").alias("count"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("deviation").alias("deviation"),
+        F.sum("squares").alias("squares"),
+    )
 
 
-def exact_quantiles(
-    counts: DataFrame,
-    probabilities: dict[str, float] = QUARTILES,
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Interpolated quantiles of any number of distinct values, without gathering them.
+_STATS = ["count", "min", "q1", "median", "q3", "max", "mean", "stddev", "variance", "iqr"]
 
-    Values are cut into bands of similar size along their order. Counts per band
-    tell which bands hold the wanted positions; only the values of those are put
-    in order, each band on its own.
-    """
-    banded = with_bands(counts, by, "rating", lambda split, value: split <= value)
-    along = Window.partitionBy(*by).orderBy("_band")
-    bands = (
-        banded.groupBy(*by, "_band")
-        .agg(F.sum("count").alias("_n"))
-        .withColumn("_below", F.sum("_n").over(along) - F.col("_n"))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
-    )
-    positions = F.array(
-        *[
-            F.struct(F.lit(name).alias("_name"), (F.lit(p) * (F.col("_total") - 1)).alias("_position"))
-            for name, p in probabilities.items()
-        ]
-    )
-    ends = F.explode(F.array(F.floor("_position"), F.ceil("_position"))).alias("_index")
-    wanted = (
-        bands.select(*by, "_band", "_n", "_below", F.inline(positions))
-        .select(*by, "_band", "_n", "_below", "_name", "_position", ends)
-        .distinct()
-        .filter((F.col("_index") >= F.col("_below")) & (F.col("_index") < F.col("_below") + F.col("_n")))
-    )
-    inside = Window.partitionBy(*by, "_band").orderBy("rating")
-    chosen = same_group_join(banded, wanted.select(*by, "_band").distinct(), [*by, "_band"], "left_semi")
-    ordered = chosen.withColumn("_before", F.sum("count").over(inside) - F.col("count"))
-    index = F.col("_index") - F.col("_below")
-    found = same_group_join(ordered, wanted, [*by, "_band"]).filter(
-        (index >= F.col("_before")) & (index < F.col("_before") + F.col("count"))
-    )
-    at = found.groupBy(*by, "_name").agg(
-        F.min_by("rating", "_index").alias("_low"),
-        F.max_by("rating", "_index").alias("_high"),
-        F.max(F.col("_position") - F.floor("_position")).alias("_share"),
+
+def _stats(moments: DataFrame, quartiles: DataFrame, by: Sequence[str], centre: float) -> DataFrame:
+    """One row per group from its moments and its quartiles, which come as rows of their own."""
+    both = moments.unionByName(quartiles, allowMissingColumns=True)
+    columns = [c for c in both.columns if c not in by]
+    n = F.col("count")
+    spread = F.col("squares") - F.col("deviation") * F.col("deviation") / n
+    return (
+        both.groupBy(*by)
+        .agg(*[F.max(c).alias(c) for c in columns])
+        .filter(F.col("count").isNotNull())
+        .withColumn("mean", F.lit(centre) + F.col("deviation") / n)
+        .withColumn("variance", F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
+        .withColumn("stddev", F.sqrt("variance"))
+        .withColumn("iqr", F.col("q3") - F.col("q1"))
+        .select(*by, *_STATS)
     )
-    value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")
-    return at.groupBy(*by).agg(
-        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in probabilities]
+
+
+def _moments(bands: DataFrame, by: Sequence[str]) -> DataFrame:
+    return bands.groupBy(*by).agg(
+        F.sum("count").alias("count"),
+        F.min("low").alias("min"),
+        F.max("high").alias("max"),
+        F.sum("deviation").alias("deviation"),
+        F.sum("squares").alias("squares"),
     )
 
 
 def basic_stats(counts: DataFrame, by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
-    """One row from rating counts: count, five-number summary, mean, spread.
+    """One row per group from the state of ``rating_counts``: count, five-number summary, mean, spread.
 
-    The quartiles keep one counter per distinct rating. A star scale bounds
-    those; for values without such a bound take ``exact_quantiles``.
+    Quartiles are exact on scales of up to three significant digits, else within one part in 4096 of the
+    value (see ``banded_quantiles``); all else is exact. ``exact_stats`` has exact quartiles of anything.
     """
-    rating, times = F.col("rating"), F.col("count")
-    deviation = rating - F.lit(centre)
-    n = F.col("count")
-    spread = F.col("_squares") - F.col("_deviation") * F.col("_deviation") / n
-    quartiles = F.array(*[F.lit(p) for p in QUARTILES.values()])
-    return (
-        counts.groupBy(*by)
-        .agg(
-            F.sum(times).alias("count"),
-            F.min(rating).alias("min"),
-            F.max(rating).alias("max"),
-            F.sum(deviation * times).alias("_deviation"),
-            F.sum(deviation * deviation * times).alias("_squares"),
-            F.percentile(rating, quartiles, times).alias("_q"),
-        )
-        .withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES)})
-        .withColumn("mean", F.lit(centre) + F.col("_deviation") / n)
-        .withColumn("variance", F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
-        .select(
-            *by,
-            "count",
-            "min",
-            "q1",
-            "median",
-            "q3",
-            "max",
-            "mean",
-            F.sqrt("variance").alias("stddev"),
-            "variance",
-            (F.col("q3") - F.col("q1")).alias("iqr"),
-        )
-    )
+    return _stats(_moments(counts, by), banded_quantiles(counts, by=by), by, centre)
+
+
+def exact_stats(df: DataFrame, rating: str = "rating", by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
+    """The same row with exact quartiles, whatever the values; rounds of counting run at once."""
+    moments = _moments(rating_counts(df, rating, by, centre), by)
+    return _stats(moments, exact_quantiles(df, by=by, value=rating), by, centre)
 
 
 def approx_stats(
@@ -147,11 +124,11 @@ def _distribution(counts: DataFrame, bucket: Column, name: str, by: Sequence[str
 
 
 def histogram(counts: DataFrame, by: Sequence[str] = (), width: float = 0.5) -> DataFrame:
-    return _distribution(counts, half_step(F.col("rating"), width), "rating_bucket", by)
+    return _distribution(counts, half_step(F.col("low"), width), "rating_bucket", by)
 
 
 def star_distribution(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return _distribution(counts, star(F.col("rating")), "star_rating", by)
+    return _distribution(counts, star(F.col("low")), "star_rating", by)
 
 
 def rating_distribution(

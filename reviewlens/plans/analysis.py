@@ -1,9 +1,10 @@
 """Analysis bundles over one dataset, several, or all combined.
 
 The bundle reads the reviews once, into a summary with a row per (dataset,
-month, length bucket, rating) that is written to the shared folder. Trends,
-bias and distribution results of every dataset, and of all combined, derive
-from that table. On a rating scale it stays small whatever the input's size.
+month, length bucket, band of ratings) that is written to the shared folder.
+Trends, bias and distribution results of every dataset, and of all combined,
+derive from that table. Bands are bounded in number, so it stays small whatever
+the input's size and however many distinct ratings there are.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, length_bucket, rated, star
+from reviewlens.functions import LENGTH_EDGES, LENGTH_LABELS, band, length_bucket, rated, star
 from reviewlens.operators import bias, stats, trends
 from reviewlens.operators.ratings import merge_partials
 from reviewlens.session import written
@@ -37,24 +38,27 @@ def review_summary(
     edges: Sequence[int] = LENGTH_EDGES,
     labels: Sequence[str] = LENGTH_LABELS,
 ) -> DataFrame:
-    """Partial state at the grain that all results share."""
+    """Partial state at the grain that all results share; ``stats.band_measures`` and lengths per band."""
     deviation = (F.col(length_col) - F.lit(LENGTH_CENTRE)).cast("double")
     present = df.filter(rated(F.col(rating_col))).select(
         *by,
         F.year(date_col).alias("year"),
         F.month(date_col).alias("month"),
         length_bucket(F.col(length_col), edges, labels).alias("length_bucket"),
-        F.col(rating_col).alias("rating"),
+        (F.col(rating_col).cast("double") + F.lit(0.0)).alias("rating"),
         F.col(length_col).alias("length"),
-        deviation.alias("deviation"),
+        deviation.alias("length_deviation"),
     )
-    return present.groupBy(*by, "year", "month", "length_bucket", "rating").agg(
+    banded = present.groupBy(*by, "year", "month", "length_bucket", band(F.col("rating")).alias("band"))
+    return banded.agg(
         F.sum("rating").alias("rating_sum"),
         F.count("*").alias("review_count"),
+        *stats.band_measures("rating"),
         F.min("length").alias("min_length"),
         F.max("length").alias("max_length"),
-        F.sum("deviation").alias("length_deviation"),
-        F.sum(F.col("deviation") * F.col("deviation")).alias("length_squares"),
+        F.sum("length_deviation").alias("length_deviation"),
+        F.sum(F.col("length_deviation") * F.col("length_deviation")).alias("length_squares"),
+        F.sum((F.col("rating") - F.lit(stats.CENTRE)) * F.col("length_deviation")).alias("shared"),
     )
 
 
@@ -67,7 +71,6 @@ def with_combined(summary: DataFrame, dataset_col: str, name: str = COMBINED) ->
 def summary_correlation(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of length and rating; null where either is constant."""
     n = F.col("n")
-    rating = F.col("rating") - F.lit(stats.CENTRE)
     sums = (
         summary.filter(F.col("length_bucket").isNotNull())
         .groupBy(*by)
@@ -75,12 +78,10 @@ def summary_correlation(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame
             F.sum("review_count").alias("n"),
             F.sum("length_deviation").alias("x"),
             F.sum("length_squares").alias("xx"),
-            F.sum(rating * F.col("review_count")).alias("y"),
-            F.sum(rating * rating * F.col("review_count")).alias("yy"),
-            F.sum(rating * F.col("length_deviation")).alias("xy"),
-            (
-                (F.min("min_length") < F.max("max_length")) & (F.min("rating") < F.max("rating"))
-            ).alias("varied"),
+            F.sum("deviation").alias("y"),
+            F.sum("squares").alias("yy"),
+            F.sum("shared").alias("xy"),
+            ((F.min("min_length") < F.max("max_length")) & (F.min("low") < F.max("high"))).alias("varied"),
         )
     )
     spread_x = F.col("xx") - F.col("x") * F.col("x") / n
@@ -94,11 +95,11 @@ def from_summary(summary: DataFrame, by: Sequence[str] = ()) -> dict[str, dict[s
     months = merge_partials(summary.filter(F.col("year").isNotNull()), [*by, "year", "month"])
     lengths = merge_partials(
         summary.filter(F.col("length_bucket").isNotNull()).withColumn(
-            "rating_rounded", star(F.col("rating"))
+            "rating_rounded", star(F.col("low"))  # no band reaches over a half
         ),
         [*by, "length_bucket", "rating_rounded"],
     )
-    counts = summary.groupBy(*by, "rating").agg(F.sum("review_count").alias("count"))
+    counts = stats.merged_bands(summary, by)
     return {
         "trends": {
             "monthly": trends.monthly(months),
