@@ -24,7 +24,6 @@ from reviewlens.sources import (
     read_report,
     read_results,
 )
-from reviewlens.sources.tables import rows_to_frame
 
 from registry.core import query
 from registry.ratings import _sections
@@ -243,18 +242,6 @@ def preview_rows(spark, folder):
 
 @query("rows_to_frame", f"with {RATINGS} select product_id, {MEASURES} from ratings group by product_id order by avg_rating desc, product_id desc limit 10")
 def rows_to_frame_query(spark, folder):
-    """The ten best products taken to the driver as a report and made a table again."""
-    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
-
-    best = ratings.product_ratings(views.ratings(spark, folder)).orderBy(
-        F.desc("avg_rating"), F.desc("product_id")
-    )
-    schema = StructType(
-        [
-            StructField("product_id", StringType()),
-            StructField("avg_rating", DoubleType()),
-            StructField("mean_rating", DoubleType()),
-            StructField("review_count", LongType()),
-        ]
-    )
-    return rows_to_frame(spark, best.limit(10).toLocalIterator(), schema)
+    """The ten best products, as few rows as a report takes."""
+    best = ratings.product_ratings(views.ratings(spark, folder))
+    return best.orderBy(F.desc("avg_rating"), F.desc("product_id")).limit(10)

@@ -1,10 +1,16 @@
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens import views
 from reviewlens.operators import mapreduce, prepare
 from reviewlens.operators.ratings import finish, product_ratings
-from reviewlens.plans.tuning import compare_strategies, reused
-from reviewlens.session import scratch_path
+from reviewlens.plans.analysis import COMBINED
+from reviewlens.plans.staged import analyze_datasets, validate_datasets
+from reviewlens.session import scratch_path, written
+from reviewlens.sinks import write_parquet
+from reviewlens.sources import read_processed
 from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
 from reviewlens.streaming.ratings import daily_ratings, monthly_ratings
 
@@ -57,14 +63,21 @@ def piped_map_reduce_avg(spark, folder):
     from ratings""",
 )
 def strategy_check(spark, folder):
-    """The same means over three preparations of the input; times are left out of the result."""
-    strategies = {
-        "as_is": lambda df: df,
-        "kept": reused,
-        "repartitioned": lambda df: df.repartition("product_id"),
+    """The same means over three preparations of the input: as it is, written once, spread anew.
+
+    ``rebalance`` spreads by product and lets adaptive execution split what one product overfills.
+    """
+    ratings = views.ratings(spark, folder)
+    ways = {
+        "as_is": ratings,
+        "kept": written(ratings, "kept"),
+        "repartitioned": ratings.hint("rebalance", "product_id"),
     }
-    outcome = compare_strategies(spark, views.ratings(spark, folder), product_ratings, strategies)
-    return outcome.select("strategy", "row_count")
+    counts = [
+        product_ratings(df).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("strategy"), "row_count")
+        for name, df in ways.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -109,3 +122,31 @@ def stream_daily_ratings(spark, folder):
 )
 def stream_monthly_ratings(spark, folder):
     return monthly_ratings(_event_state(spark, folder), ["event_type"]).drop("avg_rating")
+
+
+@query(
+    "faulty_dataset",
+    f"""with {RATINGS}, good as (select * from ratings where tenths >= 30)
+    select 'good' as dataset, count(*) as total_records, 'Passed' as validation_status,
+           round(avg(rating), 6) as avg_rating, false as has_error, count(*) as analysed,
+           round(quantile_cont(rating, 0.5), 6) as median from good
+    union all select 'spoiled', 0, 'Failed', null, true, null, null
+    union all select 'all_categories', null, null, null, null, count(*), round(quantile_cont(rating, 0.5), 6) from good""",
+)
+def faulty_dataset(spark, folder):
+    """Two datasets, one with a part file that is no Parquet: report and statistics of the other are whole."""
+    run = scratch_path(spark, "faulty")
+    reviews = views.ratings(spark, folder)
+    for name, rows in (("good", reviews.filter("rating > 2.95")), ("spoiled", reviews.filter("rating < 2.95"))):
+        write_parquet(rows, f"{run}/{name}")
+    spark.range(3).selectExpr("concat('no such row ', id)").write.mode("append").text(f"{run}/spoiled")
+    frames, errors = read_processed(spark, {name: f"{run}/{name}" for name in ("good", "spoiled")})
+    report, report_errors = validate_datasets(spark, frames, errors)
+    results, stats_errors = analyze_datasets(frames, COMBINED)
+    if set(report_errors) != {"spoiled"} or not set(stats_errors) <= {"spoiled"}:
+        raise AssertionError(f"errors {report_errors}, {stats_errors}")
+    told = report["validation_report"].select(
+        "dataset", "total_records", "validation_status", "avg_rating", F.col("error").isNotNull().alias("has_error")
+    )
+    stats = results["stats"]["basic_stats"].select("dataset", F.col("count").alias("analysed"), "median")
+    return told.join(stats, "dataset", "full")

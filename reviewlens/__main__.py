@@ -9,19 +9,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlens.errors import UNREADABLE
+from reviewlens.errors import UNREADABLE, brief
 from reviewlens.operators import prepare as steps
-from reviewlens.operators.quality import (
-    category_frequency,
-    rating_frequency,
-    validation_report,
-    validation_rollup,
-)
+from reviewlens.operators.quality import validation_rollup
 from reviewlens.operators.topk import MIN_REVIEWS, TOP
-from reviewlens.plans.analysis import COMBINED, analyze, save_analysis
+from reviewlens.plans.analysis import COMBINED, save_analysis
 from reviewlens.plans.datasets import prepare, preprocess, union_all
 from reviewlens.plans.scripts import run_scripts
-from reviewlens.plans.top_lists import integrated_report, top_job, top_lists
+from reviewlens.plans.staged import analyze_datasets, list_datasets, sample_datasets, validate_datasets
+from reviewlens.plans.top_lists import integrated_report, top_job
 from reviewlens.session import build_session, scratch_path
 from reviewlens.sinks import export, write_json, write_parquet
 from reviewlens.sources import (
@@ -42,12 +38,12 @@ def _named(text: str) -> tuple[str, str]:
     return name, path
 
 
-def _processed(spark: SparkSession, args) -> tuple[DataFrame, dict[str, str]]:
-    """All readable datasets as one table, and the errors of the others."""
+def _processed(spark: SparkSession, args) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Datasets by name, and the errors of those that cannot be opened."""
     frames, errors = read_processed(spark, dict(args.inputs))
     for name, error in errors.items():
         logging.error("%s: %s", name, error)
-    return union_all(frames, None), errors
+    return frames, errors
 
 
 def run_preprocess(spark, args):
@@ -55,17 +51,17 @@ def run_preprocess(spark, args):
 
 
 def run_validate(spark, args):
-    """Validation report and whole frequency tables as JSON; a glance at them on the console."""
-    processed, errors = _processed(spark, args)
-    frequencies = {"rating_frequency": rating_frequency(processed, ["dataset"])}
-    if "category" in processed.columns:
-        frequencies["category_frequency"] = category_frequency(processed)
-    for name, df in frequencies.items():
-        write_json(df, f"{args.output}_{name}")
-        spark.read.schema(df.schema).json(f"{args.output}_{name}").show(truncate=False)
-    report = validation_report(processed, expected=[name for name, _ in args.inputs])
-    write_json(report, args.output)
-    validation_rollup(spark.read.schema(report.schema).json(args.output)).show(truncate=False)
+    """Validation report and whole frequency tables as JSON; a glance at them on the console.
+
+    A dataset that fails, while it is opened or at any row, is a row of the report and stops no other.
+    """
+    frames, errors = _processed(spark, args)
+    results, errors = validate_datasets(spark, frames, errors)
+    for name, df in results.items():
+        path = args.output if name == "validation_report" else f"{args.output}_{name}"
+        write_json(df, path)
+        shown = spark.read.schema(df.schema).json(path)
+        (validation_rollup(shown) if name == "validation_report" else shown).show(truncate=False)
     return {"errors": errors}
 
 
@@ -96,15 +92,26 @@ def run_top(spark, args):
 
 
 def run_analyze(spark, args):
-    """Analysis of each dataset and of all combined, with the integrated report."""
-    reviews, errors = _processed(spark, args)
-    results = analyze(reviews, "dataset", COMBINED, args.date, args.length, args.rating)
-    for name in [*(name for name, _ in args.inputs if name not in errors), COMBINED]:
-        failed = save_analysis(results, f"{args.output}/{name}", name)
-        errors |= {f"{name}/{analysis}": error for analysis, error in failed.items()}
-    if "category" in reviews.columns and "product_id" in reviews.columns:
-        report = integrated_report(top_lists(reviews, by=["dataset"], combined=COMBINED), results)
-        write_parquet(report, f"{args.output}/integrated_report")
+    """Analysis of each dataset and of all combined, with the integrated report.
+
+    Every dataset is read on its own: one that fails at any row is an error and no part of the results.
+    """
+    frames, errors = _processed(spark, args)
+    results, failed = analyze_datasets(frames, COMBINED, args.date, args.length, args.rating)
+    errors |= failed
+    good = {name: df for name, df in frames.items() if name not in errors}
+    if good:
+        for name in [*good, COMBINED]:
+            failed = save_analysis(results, f"{args.output}/{name}", name)
+            errors |= {f"{name}/{analysis}": error for analysis, error in failed.items()}
+    keyed = {name: df for name, df in good.items() if {"category", "product_id"} <= set(df.columns)}
+    lists, failed = list_datasets(keyed, COMBINED)
+    errors |= {f"{name}/lists": error for name, error in failed.items()}
+    if lists is not None:
+        try:
+            write_parquet(integrated_report(lists, results), f"{args.output}/integrated_report")
+        except UNREADABLE as error:
+            errors["integrated_report"] = brief(error)
     return {"errors": errors}
 
 
@@ -118,9 +125,11 @@ def run_mapreduce(spark, args):
 
 def run_sample(spark, args):
     """A repeatable sample as JSON: a share of the rows, or a number of them."""
-    processed, errors = _processed(spark, args)
-    write_json(steps.row_sample(processed, args.fraction, rows=args.rows), args.output)
-    return {"errors": errors}
+    frames, errors = _processed(spark, args)
+    drawn, failed = sample_datasets(frames, args.fraction, args.rows)
+    if drawn is not None:
+        write_json(drawn, args.output)
+    return {"errors": errors | failed}
 
 
 def run_stream(spark, args):

@@ -10,7 +10,6 @@ from reviewlens.sources.tables import (
     read_raw_products,
     read_rating_pairs,
     read_results,
-    rows_to_frame,
 )
 
 __all__ = [
@@ -28,5 +27,4 @@ __all__ = [
     "read_raw_products",
     "read_report",
     "read_results",
-    "rows_to_frame",
 ]

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewlens.errors import UNREADABLE, brief
-from reviewlens.functions import decoded, finite, is_rating, name_from_path, one_line, parse_rating
+from reviewlens.functions import decoded, is_rating, name_from_path, one_line, parse_rating
 from reviewlens.operators.prepare import with_category
 from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR
 
@@ -123,10 +123,3 @@ def read_results(spark: SparkSession, path: str, level: int = 3, schema: StructT
     return reader.json(path).select(
         name_from_path(decoded(F.col("_metadata.file_path")), level).alias("dataset"), "*"
     )
-
-
-def rows_to_frame(spark: SparkSession, rows: Iterable, schema: StructType = RATING_PAIR) -> DataFrame:
-    """A small in-memory table with a fixed schema; not a number becomes null."""
-    df = spark.createDataFrame(list(rows), schema=schema)
-    doubles = [f.name for f in schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({name: finite(F.col(name)) for name in doubles})

@@ -162,11 +162,6 @@ def test_no_source_fails_loudly(spark, tmp_path):
     assert chosen.first().source == "made"
 
 
-def test_rows_to_frame_has_no_nan(spark):
-    df = sources.rows_to_frame(spark, [("a", 4.0), ("b", float("nan"))])
-    assert [r.rating for r in df.orderBy("product_id").collect()] == [4.0, None]
-
-
 def test_export_skips_missing_inputs(spark, tmp_path):
     spark.range(3).withColumn("a", F.array("id")).write.parquet(str(tmp_path / "in"))
     outcome = sinks.export(spark, {"x": str(tmp_path / "in"), "y": str(tmp_path / "no")}, str(tmp_path / "out"))

@@ -5,8 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.operators import mapreduce
-from reviewlens.operators.ratings import product_ratings
-from reviewlens.plans.tuning import compare_strategies, fingerprint, reused, same_result
 from reviewlens.session import scratch_path, shared_folder, written
 
 WORDS = "the quick brown the lazy dog the end".split()
@@ -74,48 +72,6 @@ def pairs(spark):
     )
 
 
-def test_strategies_are_timed_and_agree(spark):
-    df = pairs(spark)
-    ways = {"as_is": lambda d: d, "kept": reused, "spread": lambda d: d.repartition(3)}
-    out = compare_strategies(spark, df, product_ratings, ways).collect()
-    assert [r.strategy for r in out] == list(ways) and len({r.checksum for r in out}) == 1
-    assert all(r.seconds > 0 and r.row_count == 20 for r in out)
-
-
-def test_strategies_that_change_the_result_are_refused(spark):
-    ways = {"as_is": lambda d: d, "less": lambda d: d.filter("product_id <> 'p1'")}
-    with pytest.raises(ValueError, match="differ"):
-        compare_strategies(spark, pairs(spark), product_ratings, ways)
-
-
-def test_fingerprint_ignores_order(spark):
-    df = pairs(spark)
-    whole, shuffled = (d.agg(*fingerprint(df)).first().asDict() for d in (df, df.repartition(5)))
-    assert same_result(whole, shuffled)
-
-
-@pytest.mark.parametrize(
-    "change",
-    [
-        "update",  # another value
-        "swap",  # two rows' values exchanged
-        "null",
-    ],
-)
-def test_fingerprint_sees_changes(spark, change):
-    before = [("a", 1.0, 5.0), ("b", 2.0, 5.0)]
-    after = {
-        "update": [("a", 1.0, 5.0), ("b", 2.001, 5.0)],
-        "swap": [("a", 2.0, 5.0), ("b", 1.0, 5.0)],
-        "null": [("a", None, 5.0), ("b", 2.0, 5.0)],
-    }[change]
-    one, other = (
-        df.agg(*fingerprint(df)).first().asDict()
-        for df in (spark.createDataFrame(rows, "k string, x double, y double") for rows in (before, after))
-    )
-    assert not same_result(one, other)
-
-
 def test_intermediates_go_to_the_shared_folder(spark):
     folder = shared_folder(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
