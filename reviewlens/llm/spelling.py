@@ -5,9 +5,10 @@ are ordered by how many words of the vocabulary hold them, rarest first. One cha
 bigrams, so a word's three rarest occurrences (its prefix, with all that tie with the third) hold two that
 do not overlap (its pivots; dynamic programming takes the pair with the fewest postings), of which a near
 word keeps one, in its own prefix where that reaches at least as far down the order. Hence of two near words
-one has a pivot in the other's prefix, moved by one place at most, and by none where the lengths are equal.
-The join is on (bigram, place, length); letters that the words do not share are counted next, and the
-survivors are verified.
+one has a pivot in the other's prefix, with all that stands before it the same, at the same place, or all
+that stands behind it, at the same place from the end. The join is on the bigram, that place, a hash of that
+part and the length, which differs by one at most; reach and letters are compared next, and the survivors
+verified.
 
 Only counts of words come from the texts; all else is joins over the vocabulary, and nothing of it meets
 the driver but the bigrams' counts, which the alphabet bounds (90 letters, 8100 bigrams).
@@ -31,6 +32,7 @@ MIN_LENGTH, MIN_COUNT = 6, 5
 RATIO = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GRAM, _PREFIX = 2, 3
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
 
 
 def with_typos(word: Column, doc_id: Column, every: int) -> Column:
@@ -87,45 +89,65 @@ def prefix_and_pivots(word: str, rank: dict[str, int], cost: list[int]) -> tuple
     return prefix, list(best[2][-1][1]), reach
 
 
+def _parts(word: str) -> list[int]:
+    """Hash of every beginning of a word, by its length."""
+    out, code = [0], 0
+    for char in word:
+        code = (code * _BASE + ord(char)) % _PRIME
+        out.append(code)
+    return out
+
+
 def _postings(counts: dict[str, int]):
     order = sorted(counts, key=lambda gram: (counts[gram], gram))
     rank = {gram: i for i, gram in enumerate(order)}
     cost = [counts[gram] for gram in order]
 
+    def rows_of(key: int, word: str) -> Iterator[tuple]:
+        prefix, pivots, reach = prefix_and_pivots(word, rank, cost)
+        letters, size = 0, len(word)
+        for char in set(word):
+            letters |= 1 << (ord(char) % 63)
+        before, behind = _parts(word), _parts(word[::-1])
+        for pivot, grams in ((False, prefix), (True, pivots)):
+            for gram, at in grams:
+                rest = size - at - _GRAM
+                for length in (size - 1, size, size + 1) if pivot else (size,):
+                    yield key, letters, reach, pivot, hash((gram, 0, at, before[at], length))
+                    yield key, letters, reach, pivot, hash((gram, 1, rest, behind[rest], length))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "letters", "reach", "pivot", "gram", "at", "length"]
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _KINDS, strict=True)], _NAMES)
+
         for batch in batches:
             rows: list[tuple] = []
             for key, word in zip(batch.column("id").to_pylist(), batch.column("word").to_pylist(), strict=True):
-                prefix, pivots, reach = prefix_and_pivots(word, rank, cost)
-                letters = 0
-                for char in set(word):
-                    letters |= 1 << (ord(char) % 63)
-                size = len(word)
-                rows += [(key, letters, reach, False, gram, at, size) for gram, at in prefix]
-                for gram, at in pivots:
-                    for place, length in ((at, size), (at, size + 1), (at + 1, size + 1), (at, size - 1), (at - 1, size - 1)):
-                        rows.append((key, letters, reach, True, gram, place, length))
+                rows.extend(rows_of(key, word))
                 if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                    yield batch_of(rows)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+                yield batch_of(rows)
 
     return run
 
 
+_NAMES = ["id", "letters", "reach", "pivot", "place"]
+_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
+_SCHEMA = "id bigint, letters bigint, reach int, pivot boolean, place bigint"
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """a, b, n_a, n_b for every two near words of ``words`` (word, n), both ways round.
 
     ``words`` holds each word once, of three letters at least. No words, no rows.
     """
     words = written(words.select("word", "n").withColumn("id", F.monotonically_increasing_id()), "words")
-    schema = "id bigint, letters bigint, reach int, pivot boolean, gram int, at int, length int"
-    postings = written(words.select("id", "word").mapInArrow(_cast(_postings(gram_counts(words)), schema), schema), "postings")
-    held = postings.filter("not pivot").select("gram", "at", "length", F.col("id").alias("b"), F.col("letters").alias("lb"), F.col("reach").alias("rb"))
-    asked = postings.filter("pivot").select("gram", "at", "length", F.col("id").alias("a"), "letters", "reach")
-    met = asked.join(held, ["gram", "at", "length"]).filter(
+    postings = written(words.select("id", "word").mapInArrow(_postings(gram_counts(words)), _SCHEMA), "postings")
+    held = postings.filter("not pivot").select("place", F.col("id").alias("b"), F.col("letters").alias("lb"), F.col("reach").alias("rb"))
+    asked = postings.filter("pivot").select("place", F.col("id").alias("a"), "letters", "reach")
+    met = asked.join(held, "place").filter(
         (F.col("a") != F.col("b")) & (F.col("reach") <= F.col("rb")) & (F.bit_count(F.col("letters").bitwiseXOR(F.col("lb"))) <= 2)
     )
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -135,18 +157,6 @@ def near_words(words: DataFrame) -> DataFrame:
     return checked.select(both)
 
 
-def _cast(run, schema: str):
-    """Arrow columns of the kinds that ``schema`` names."""
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
-    fields = [part.split() for part in schema.split(", ")]
-
-    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in run(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(name).cast(kinds[kind]) for name, kind in fields], [name for name, _ in fields])
-
-    return cast
-
-
 def roots(forms: DataFrame) -> DataFrame:
     """word, root from rows (word, form): where following the forms ends.
 
