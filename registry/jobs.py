@@ -1,3 +1,5 @@
+import os
+import sys
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -8,6 +10,7 @@ from reviewlens.operators import mapreduce, prepare
 from reviewlens.operators.ratings import finish, product_ratings
 from reviewlens.plans.analysis import COMBINED
 from reviewlens.plans.staged import analyze_datasets, validate_datasets
+from reviewlens.plans.scripts import run_scripts
 from reviewlens.session import scratch_path, written
 from reviewlens.sinks import write_parquet
 from reviewlens.sources import read_processed
@@ -15,7 +18,7 @@ from reviewlens.streaming import latest_state, rating_updates, read_stream, run_
 from reviewlens.streaming.ratings import daily_ratings, monthly_ratings
 
 from registry.core import query
-from registry.sql import MEASURES, RATINGS
+from registry.sql import MEASURES, RATINGS, REVIEWS
 
 MAP_REDUCE_SQL = f"with {RATINGS} select product_id, {MEASURES} from ratings group by product_id"
 
@@ -150,3 +153,31 @@ def faulty_dataset(spark, folder):
     )
     stats = results["stats"]["basic_stats"].select("dataset", F.col("count").alias("analysed"), "median")
     return told.join(stats, "dataset", "full")
+
+
+@query(
+    "scripts",
+    f"""with {REVIEWS}, named as (
+      select case when cast(product_id as bigint) % 3 = 0 then 'every third' else store end as category, tenths from reviews)
+    select category, round(cast(sum(tenths) as double) / 10, 6) as rating_sum, count(*) as review_count
+    from named group by category""",
+)
+def scripts(spark, folder):
+    """Script files as mapper and reducer over text files in which one key holds a third of the lines; the
+    reducer has no combiner, so that key is split and reduced twice."""
+    run = scratch_path(spark, "scripts")
+    reviews = views.reviews(spark, folder)
+    third = F.when(F.pmod(F.col("product_id").cast("bigint"), F.lit(3)) == 0, "every third").otherwise(F.col("store"))
+    write_lines_of = mapreduce.lines_of(reviews.select(third.alias("category"), "rating"), ["category", "rating"])
+    write_lines_of.write.text(f"{run}/in")
+    here = os.path.join(os.path.dirname(os.path.abspath(__file__)), "scripts")
+    statistics = run_scripts(
+        spark, f"{here}/category_map.py", f"{here}/category_reduce.py", f"{run}/in", f"{run}/out",
+        reducers=8, interpreter=sys.executable, hot="split",
+    )
+    if statistics.filter("output_lines > 0 and input_lines >= output_lines").isEmpty():
+        raise AssertionError("statistics of the job are missing")
+    fields = F.split("value", "\t")
+    return spark.read.text(f"{run}/out").select(
+        fields[0].alias("category"), fields[1].cast("double").alias("rating_sum"), fields[2].cast("bigint").alias("review_count")
+    )

@@ -119,7 +119,8 @@ def run_mapreduce(spark, args):
     """Mapper and reducer scripts over each input's text lines."""
     for name, path in args.inputs:
         run_scripts(
-            spark, args.mapper, args.reducer, path, f"{args.output}/{name}", args.combiner, args.partitions
+            spark, args.mapper, args.reducer, path, f"{args.output}/{name}", args.combiner, args.partitions,
+            hot=args.hot_keys,
         ).show(truncate=False)
 
 
@@ -193,6 +194,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     parser.add_argument("--mapper", help="script for mapreduce")
     parser.add_argument("--reducer", help="script for mapreduce")
     parser.add_argument("--combiner", help="script for mapreduce, same line format in and out")
+    parser.add_argument("--hot-keys", default="whole", choices=("whole", "refuse", "split"), help="keys with very many lines")
     parser.add_argument("--pairs", action="store_true", help="inputs are tab-separated rating pairs")
     parser.add_argument("--multi-line", action="store_true", help="event fields may hold line breaks")
     parser.add_argument("--fraction", type=float, default=0.01, help="share of rows to sample")

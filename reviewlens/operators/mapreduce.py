@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reviewlens.session import written
+
 #: One salt per map task.
 PER_TASK = 0
 
@@ -108,30 +110,78 @@ def _piped(lines: DataFrame, command: str) -> DataFrame:
     )
 
 
+class HotKey(ValueError):
+    """A key with more lines than one reducer should get."""
+
+
+def hot_keys(keyed: DataFrame, share: float, key: str = "key") -> dict[str, int]:
+    """Keys of more than ``share`` of the rows, with their exact numbers of rows.
+
+    Frequent-item counters of fixed size, kept per task and merged, name all that can have so many rows;
+    those few are then counted. At most 1 / ``share`` keys come to the driver.
+    """
+    most = max(int(1 / share), 1)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(2 * most), F.lit(max(16 * most, 64)))
+    row = keyed.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    names = [item["item"] for item in row["top"] or []]
+    if not names:
+        return {}
+    counts = keyed.filter(F.col(key).isin(names)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return {r[key]: r["n"] for r in counts.filter(F.col("n") > share * row["n"]).collect()}
+
+
 def piped_map_reduce(
     lines: DataFrame,
     mapper: str,
     reducer: str,
     combiner: str | None = None,
     reducers: int | None = None,
+    hot: str = "whole",
 ) -> DataFrame:
     """Existing mapper and reducer commands over text lines (column ``line``).
 
     The text before the first tab is the key. Each reducer command sees its
-    keys whole and sorted. A key's lines all go to one command, so give a
-    ``combiner`` (same line format in and out) where a key may be hot: it runs
-    on each map task's sorted output and leaves one line per key and task.
+    keys whole and sorted. With a ``combiner`` (same line format in and out)
+    that runs on each map task's sorted output, a hot key leaves one line per
+    map task.
+
+    Without one, ``hot`` says what becomes of keys with more lines than an even
+    share of a reducer: ``whole`` gives all lines of one to one reducer;
+    ``refuse`` raises ``HotKey`` before anything is reduced; ``split`` deals
+    their lines out evenly over all reducers, and reduces what these give for
+    such a key once more, which takes a reducer that reads its own output. All
+    other keys go through one shuffle. The last two write the mapped lines once.
     """
+    if hot not in ("whole", "refuse", "split"):
+        raise ValueError(f"hot: {hot}")
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("key", F.substring_index("line", "\t", 1))
 
+    def reduced(df: DataFrame) -> DataFrame:
+        return _piped(df.sortWithinPartitions("key", "line").select("line"), reducer)
+
     mapped = _piped(lines.select("line"), mapper)
     if combiner:
         mapped = _piped(keyed(mapped).sortWithinPartitions("key", "line").select("line"), combiner)
+    elif hot != "whole":
+        mapped = written(mapped, "mapped")
+        tasks = reducers or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = hot_keys(keyed(mapped), 1 / tasks)
+        if found and hot == "refuse":
+            told = ", ".join(f"{k} ({n} lines)" for k, n in sorted(found.items(), key=lambda item: -item[1])[:10])
+            raise HotKey(f"more lines than a {tasks}th of all on one key: {told}")
+        if found:
+            is_hot = F.col("key").isin(list(found))
+            # a row's number in its file split is the same when a task is run again
+            turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(tasks))
+            task = F.when(is_hot, turn).otherwise(F.pmod(F.xxhash64("key"), F.lit(tasks))).cast("int")
+            first = keyed(written(reduced(keyed(mapped).repartitionById(tasks, task)), "reduced"))
+            again = reduced(first.filter(is_hot).repartition(tasks, "key"))
+            return first.filter(~is_hot).select("line").unionByName(again)
     shuffled = keyed(mapped)
     shuffled = shuffled.repartition(reducers, "key") if reducers else shuffled.repartition("key")
-    return _piped(shuffled.sortWithinPartitions("key", "line").select("line"), reducer)
+    return reduced(shuffled)
 
 
 def reduce_by(

@@ -20,9 +20,12 @@ def run_scripts(
     combiner: str | None = None,
     reducers: int | None = None,
     interpreter: str = "python3",
+    hot: str = "whole",
 ) -> DataFrame:
     """Map, sort by key and reduce the lines of ``input_path`` with script files.
 
+    ``hot`` says what becomes of keys with very many lines (see ``piped_map_reduce``).
+
     The scripts are sent to every executor and read standard input there.
     Output lines go to ``output_path`` as text. Returns one row of job
     statistics; line counts are observed during the job itself.
@@ -38,7 +41,7 @@ def run_scripts(
     lines = spark.read.text(input_path).select(F.col("value").alias("line"))
     lines = lines.observe(read, F.count(F.lit(1)).alias("n"))
     start = time.perf_counter()
-    result = piped_map_reduce(lines, command(mapper), command(reducer), command(combiner), reducers)
+    result = piped_map_reduce(lines, command(mapper), command(reducer), command(combiner), reducers, hot)
     result.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("overwrite").text(output_path)
     seconds = time.perf_counter() - start
     return spark.createDataFrame(

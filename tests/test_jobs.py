@@ -82,3 +82,44 @@ def test_intermediates_go_to_the_shared_folder(spark):
     df = written(pairs(spark), "pairs")
     assert df.count() == 1000
     assert all(os.path.dirname(f).replace("file://", "").startswith(folder) for f in df.inputFiles())
+
+
+WORD_ONE = """awk '{print $1 "\\t1"}'"""
+SUM_UP = """awk -F'\\t' 'NR > 1 && $1 != k {print k "\\t" n; n = 0} {k = $1; n += $2} END {if (NR) print k "\\t" n}'"""
+
+
+def hot_lines(spark):
+    """A third of 12,000 lines on one key, the same line every time; a null and an empty line too."""
+    word = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400))
+    return spark.range(0, 12000, 1, 6).select(word.alias("line")).union(spark.sql("select null union all select ''"))
+
+
+def test_hot_keys_are_found_and_counted(spark):
+    keyed = hot_lines(spark).filter("line <> ''").withColumnRenamed("line", "key")
+    assert mapreduce.hot_keys(keyed, 1 / 8) == {"hot": 4000}
+    assert mapreduce.hot_keys(keyed, 0.5) == {} == mapreduce.hot_keys(keyed.limit(0), 1 / 8)
+
+
+def test_a_hot_key_without_a_combiner_is_split_or_refused(spark):
+    lines = hot_lines(spark)
+    plain = sorted(r.line for r in mapreduce.piped_map_reduce(lines, WORD_ONE, SUM_UP, reducers=8).collect())
+    split = mapreduce.piped_map_reduce(lines, WORD_ONE, SUM_UP, reducers=8, hot="split")
+    assert sorted(r.line for r in split.collect()) == plain and "hot\t4000" in plain
+    with pytest.raises(mapreduce.HotKey, match="hot .4000 lines"):
+        mapreduce.piped_map_reduce(lines, WORD_ONE, SUM_UP, reducers=8, hot="refuse")
+    even = lines.filter("line <> 'hot'")
+    assert mapreduce.piped_map_reduce(even, WORD_ONE, SUM_UP, reducers=8, hot="refuse").count() == 401
+    with pytest.raises(ValueError):
+        mapreduce.piped_map_reduce(lines, WORD_ONE, SUM_UP, hot="some")
+
+
+def test_no_reducer_gets_twice_its_share(spark):
+    """The reducer prints how many lines it read: one number per reducer of the first pass."""
+    count = """awk -F'\\t' '{n += $2} END {if (NR) print "lines\\t" n}'"""
+    lines = hot_lines(spark).filter("line <> ''")
+    whole = [int(r.line.split("\t")[1]) for r in mapreduce.piped_map_reduce(lines, WORD_ONE, count, reducers=8).collect()]
+    split = [
+        int(r.line.split("\t")[1])
+        for r in mapreduce.piped_map_reduce(lines, WORD_ONE, count, reducers=8, hot="split").collect()
+    ]
+    assert sum(whole) == sum(split) == 12000 and max(whole) > 4000 and max(split) <= 2 * 12000 / 8
