@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 from reviewlens import views
 from reviewlens.operators import prepare
 from reviewlens.plans import datasets
+from reviewlens.schemas import LENGTH_EXTRACT, RATING_PAIR, TIME_EXTRACT
 from reviewlens.session import scratch_path
-from reviewlens.sinks import write_csv, write_json
+from reviewlens.sinks import write_csv, write_json, write_json_or_reject
 from reviewlens.sources import read_events, read_json_pairs, read_raw_products
 
 from registry.core import query
@@ -213,15 +214,45 @@ def preprocess_job(spark, folder):
 @query(
     "prepare_job",
     f"""with {RAW}
-    select 'product_ratings' as extract, count(*) as n from raw
-    union all select 'time_analysis', count(*) from raw where p_size <= 35
-    union all select 'review_length', count(*) from raw""",
+    select 'product_ratings' as extract, product_id, rating, null as review_date, null as review_length, null as category from raw
+    union all select 'time_analysis', product_id, rating, cast(available as varchar), null, 'Parts' from raw where p_size <= 35
+    union all select 'review_length', product_id, rating, null, cast(length(description) as int), 'Parts' from raw""",
 )
 def prepare_job(spark, folder):
-    """All extracts of a processed dataset written as TSV, then counted from the files."""
+    """All extracts of a processed dataset written as TSV from one scan, then read from the files."""
     target = scratch_path(spark, "prepared")
     raw = prepare.with_category(views.raw_products(spark, folder), "Parts")
-    datasets.prepare(prepare.harmonise(raw), target)
-    return datasets.union_all(
-        {name: spark.read.text(f"{target}_{name}") for name in datasets.EXTRACTS}, "extract"
-    ).groupBy("extract").agg(F.count("*").alias("n"))
+    counts = datasets.prepare(prepare.harmonise(raw), target)
+    kinds = {"product_ratings": RATING_PAIR, "time_analysis": TIME_EXTRACT, "review_length": LENGTH_EXTRACT}
+    read = {
+        name: spark.read.schema(kind).option("sep", "\t").csv(f"{target}_{name}") for name, kind in kinds.items()
+    }
+    if counts != {name: df.count() for name, df in read.items()}:
+        raise AssertionError(f"counts differ from the files: {counts}")
+    return datasets.union_all(read, "extract")
+
+
+@query(
+    "json_rejects",
+    """select doc_id, case when doc_id % 50 = 3 then 'lang, text' when doc_id % 50 = 0 then 'text' end as error,
+              case when doc_id % 50 not in (0, 3) then md5(text) end as digest from documents""",
+)
+def json_rejects(spark, folder):
+    """Documents as gz JSON, of which one in 25 holds text that is no UTF-8: those come out as rejects."""
+    broken = F.concat(F.unhex(F.lit("C328")), F.lit("x")).cast("string")
+    turn = F.col("doc_id") % 50
+    documents = views.table(spark, folder, "documents").select(
+        "doc_id",
+        F.when(turn == 3, broken).otherwise(F.col("lang")).alias("lang"),
+        F.when(turn.isin(0, 3), F.concat(F.col("text"), broken)).otherwise(F.col("text")).alias("text"),
+    )
+    path = scratch_path(spark, "rejects")
+    counts = write_json_or_reject(documents, f"{path}/good", f"{path}/bad")
+    good = spark.read.schema("doc_id bigint, lang string, text string").json(f"{path}/good")
+    bad = spark.read.schema("error string, row struct<doc_id: string>").json(f"{path}/bad")
+    rows = good.select("doc_id", F.lit(None).cast("string").alias("error"), F.md5("text").alias("digest")).unionByName(
+        bad.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "error"), allowMissingColumns=True
+    )
+    if sum(counts.values()) != documents.count():
+        raise AssertionError(f"rows are missing: {counts}")
+    return rows

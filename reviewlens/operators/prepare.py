@@ -63,18 +63,34 @@ def harmonise(df: DataFrame) -> DataFrame:
     return df.select(*[column(field.name, field.dataType) for field in PROCESSED.fields])
 
 
+#: What an extract takes of a row (columns), and whether it takes the row at all.
+Taken = tuple[list[Column], Column]
+
+
+def _extracted(df: DataFrame, taken: Taken) -> DataFrame:
+    columns, keep = taken
+    return df.filter(keep).select(*columns)
+
+
+def pair_parts(df: DataFrame) -> Taken:
+    require(df, "product_id", "rating")
+    return [F.col("product_id"), F.col("rating")], F.col("product_id").isNotNull() & rated(F.col("rating"))
+
+
 def rating_pairs(df: DataFrame) -> DataFrame:
     """Product id and rating, both present."""
-    pairs = require(df, "product_id", "rating").select("product_id", "rating")
-    return pairs.filter(F.col("product_id").isNotNull() & rated(F.col("rating")))
+    return _extracted(df, pair_parts(df))
+
+
+def time_parts(df: DataFrame) -> Taken:
+    require(df, "product_id", "rating", "category", "details")
+    date = first_available_date(F.col("details"))
+    return [F.col("product_id"), date.alias("review_date"), F.col("rating"), F.col("category")], date.isNotNull()
 
 
 def time_extract(df: DataFrame) -> DataFrame:
     """Rows whose details name a first-available date."""
-    dated = require(df, "product_id", "rating", "category", "details").select(
-        "product_id", first_available_date(F.col("details")).alias("review_date"), "rating", "category"
-    )
-    return dated.filter(F.col("review_date").isNotNull())
+    return _extracted(df, time_parts(df))
 
 
 # The texts a length is taken from, in order of preference.
@@ -88,14 +104,16 @@ def field_lengths(df: DataFrame, texts: Sequence[str] = TEXTS) -> DataFrame:
     )
 
 
+def length_parts(df: DataFrame, texts: Sequence[str] = TEXTS) -> Taken:
+    require(df, "product_id", "rating", "category")
+    length = first_positive_length([F.col(name) for name in texts if name in df.columns])
+    columns = [F.col("product_id"), length.alias("review_length"), F.col("rating"), F.col("category")]
+    return columns, F.coalesce(length > 0, F.lit(False))
+
+
 def length_extract(df: DataFrame, texts: Sequence[str] = TEXTS) -> DataFrame:
     """Rows with any text; the length is that of the first non-empty one in ``texts``."""
-    require(df, "product_id", "rating", "category")
-    present = [F.col(name) for name in texts if name in df.columns]
-    measured = df.select(
-        "product_id", first_positive_length(present).alias("review_length"), "rating", "category"
-    )
-    return measured.filter(F.col("review_length") > 0)
+    return _extracted(df, length_parts(df, texts))
 
 
 def _has_key() -> Column:

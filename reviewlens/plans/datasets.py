@@ -13,22 +13,22 @@ from pyspark.sql.types import StructType
 from reviewlens.errors import UNREADABLE, brief
 from reviewlens.operators.prepare import (
     MissingColumns,
+    Taken,
     harmonise,
-    length_extract,
-    rating_pairs,
-    time_extract,
+    length_parts,
+    pair_parts,
+    time_parts,
 )
-from reviewlens.session import scratch_path
-from reviewlens.sinks import write_if_any, write_parquet, write_tsv
+from reviewlens.sinks import replace, write_parquet, write_parts
 from reviewlens.sources import read_raw_products
 
 log = logging.getLogger(__name__)
 
 # The extracts and the suffix their folders carry.
-EXTRACTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "product_ratings": rating_pairs,
-    "time_analysis": time_extract,
-    "review_length": length_extract,
+EXTRACTS: dict[str, Callable[[DataFrame], Taken]] = {
+    "product_ratings": pair_parts,
+    "time_analysis": time_parts,
+    "review_length": length_parts,
 }
 
 
@@ -67,20 +67,19 @@ def preprocess(
     """Raw JSON datasets to one processed Parquet table with a folder per dataset.
 
     The combined table is the union of the folders, not a second pass. Each
-    dataset is written on its own: one that cannot be read, at whatever row the
-    fault lies, stops no other and leaves what an earlier run wrote as it is.
-    ``schemas`` saves the inference pass for datasets whose fields are known.
+    dataset is written once, aside, and renamed into its place: one that cannot
+    be read, at whatever row the fault lies, stops no other and leaves what an
+    earlier run wrote as it is. ``schemas`` names the fields of datasets whose
+    fields are known; without it they are noted while the JSON is read.
     Returns the error of each dataset that was not written.
     """
     errors = {}
     for name, path in inputs.items():
         folder = f"{output}/dataset={name.lower().replace(' ', '_')}"
-        attempt = scratch_path(spark, "preprocessed")
         try:
             # The harmonised rows keep the dataset's raw name as their category.
             rows = harmonise(read_raw_products(spark, path, name, (schemas or {}).get(name), partitions))
-            write_parquet(rows, attempt)
-            write_parquet(spark.read.schema(rows.schema).parquet(attempt), folder)
+            replace(rows, folder, write_parquet)
         except UNREADABLE as error:
             log.error("%s: %s", name, brief(error))
             errors[name] = brief(error)
@@ -90,17 +89,19 @@ def preprocess(
 def prepare(df: DataFrame, folder: str) -> dict[str, int]:
     """The three extracts of a processed dataset as headerless TSV; rows written per extract.
 
-    Each extract is one column-pruned scan of the processed table. An extract
-    whose columns are missing, or that has no rows, is left out.
+    One scan of the table feeds all of them: a row gives a line for each extract that takes it, and lines
+    go to their extract's files. An extract whose columns are missing, or that has no rows, is left out.
     """
-    counts = {}
-    for name, extract in EXTRACTS.items():
+    lines, counts = [], dict.fromkeys(EXTRACTS, 0)
+    for name, taken in EXTRACTS.items():
         try:
-            rows = extract(df)
+            columns, keep = taken(df)
         except MissingColumns as error:
             log.error("%s: %s", name, error)
-            counts[name] = 0
             continue
-        target = f"{folder}_{name}"
-        counts[name] = write_if_any(rows, lambda out, path=target: write_tsv(out, path), name)
+        line = F.to_csv(F.struct(*columns), {"sep": "\t"})
+        lines.append(F.struct(F.lit(name).alias("part"), F.when(keep, line).alias("line")))
+    if lines:
+        rows = df.select(F.inline(F.array(*lines))).filter(F.col("line").isNotNull())
+        counts |= write_parts(rows, {name: f"{folder}_{name}" for name in counts})
     return counts

@@ -1,3 +1,4 @@
+from reviewlens.sinks.folders import current, replace, write_parts
 from reviewlens.sinks.reports import (
     correlation_line,
     report_lines,
@@ -13,6 +14,7 @@ from reviewlens.sinks.tables import (
     write_csv,
     write_if_any,
     write_json,
+    write_json_or_reject,
     write_parquet,
     write_results,
     write_sample,
@@ -22,17 +24,21 @@ from reviewlens.sinks.tables import (
 __all__ = [
     "FORMATS",
     "correlation_line",
+    "current",
     "delimited",
     "export",
     "json_ready",
+    "replace",
     "report_lines",
     "stats_lines",
     "write_aggregate_lines",
     "write_csv",
     "write_if_any",
     "write_json",
+    "write_json_or_reject",
     "write_lines",
     "write_parquet",
+    "write_parts",
     "write_results",
     "write_sample",
     "write_tsv",

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructT
 from reviewlens.errors import UNREADABLE, brief
 from reviewlens.functions import finite, fixed
 from reviewlens.operators.prepare import prefixed_key
+from reviewlens.sinks.folders import unfit, write_parts
 
 log = logging.getLogger(__name__)
 
@@ -59,6 +60,30 @@ def write_json(df: DataFrame, path: str, compression: str | None = None) -> None
     writer.json(path)
 
 
+def write_json_or_reject(
+    df: DataFrame, path: str, rejects: str, compression: str | None = "gzip"
+) -> dict[str, int]:
+    """JSON Lines at ``path``; rows without a JSON form at ``rejects``, with the reason, and how many of each.
+
+    Both come from one job. A rejected row is written as JSON of ``error`` and its values as text, with
+    bytes that are no UTF-8 replaced, so that it can be found again.
+    """
+    error = unfit(df)
+    options = {"ignoreNullFields": "false"}
+    texts = [F.make_valid_utf8(F.col(f"row.{c}").cast("string")).alias(c) for c in df.columns]
+    rows = json_ready(df).select(error.alias("error"), F.struct("*").alias("row"))
+    whole = F.to_json("row", options)
+    told = F.to_json(F.struct("error", F.struct(*texts).alias("row")), options)
+    lines = rows.select(
+        F.when(F.col("error").isNull(), "written").otherwise("skipped").alias("part"),
+        F.when(F.col("error").isNull(), whole).otherwise(told).alias("line"),
+    )
+    counts = write_parts(lines, {"written": path, "skipped": rejects}, compression)
+    if counts["skipped"]:
+        log.warning("%d of %d rows skipped, see %s", counts["skipped"], sum(counts.values()), rejects)
+    return counts
+
+
 def write_sample(df: DataFrame, path: str, rows: int = 1000, order: Sequence[str] | None = None) -> None:
     """The first ``rows`` rows in the order of ``order``, by default of all columns, as JSON Lines."""
     write_json(df.orderBy(*(order or df.columns)).limit(rows), path)

@@ -12,6 +12,7 @@ from reviewlens.errors import UNREADABLE, brief
 from reviewlens.functions import decoded, is_rating, name_from_path, one_line, parse_rating
 from reviewlens.operators.prepare import with_category
 from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR
+from reviewlens.sinks import current
 
 _CORRUPT = "_corrupt_record"
 
@@ -39,11 +40,14 @@ def read_raw_products(
 def read_processed(
     spark: SparkSession, paths: Mapping[str, str], dataset_col: str = "dataset"
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Processed Parquet tables by dataset, and the error of each unreadable one."""
+    """Processed Parquet tables by dataset, and the error of each that cannot be opened.
+
+    A table whose replacement was cut off is read in its last whole version.
+    """
     frames, errors = {}, {}
     for name, path in paths.items():
         try:
-            frames[name] = spark.read.parquet(path).withColumn(dataset_col, F.lit(name))
+            frames[name] = spark.read.parquet(current(spark, path)).withColumn(dataset_col, F.lit(name))
         except UNREADABLE as error:
             errors[name] = brief(error)
     return frames, errors
