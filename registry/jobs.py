@@ -15,7 +15,7 @@ from reviewlens.session import scratch_path, written
 from reviewlens.sinks import write_parquet
 from reviewlens.sources import read_processed
 from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
-from reviewlens.streaming.ratings import daily_ratings, monthly_ratings
+from reviewlens.streaming.ratings import daily_ratings, monthly_ratings, read_state, update_state
 
 from registry.core import query
 from registry.sql import MEASURES, RATINGS, REVIEWS
@@ -181,3 +181,27 @@ def scripts(spark, folder):
     return spark.read.text(f"{run}/out").select(
         fields[0].alias("category"), fields[1].cast("double").alias("rating_sum"), fields[2].cast("bigint").alias("review_count")
     )
+
+
+@query(
+    "stream_three_runs",
+    """select event_type, cast(cast(ts as date) as varchar) as day, round(avg(value), 6) as mean_rating,
+              count(*) as review_count from events group by 1, 2""",
+)
+def stream_three_runs(spark, folder):
+    """The events in three deliveries by time, each followed by a run that updates the days it changed; a
+    fourth brings one row of the first day again, too late to count."""
+    run = scratch_path(spark, "runs")
+    events = views.table(spark, folder, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    third = F.least(F.floor((at - first) * 3 / (last - first + 1)), F.lit(2))
+    parts = [events.filter(third == number) for number in range(3)]
+    parts.append(events.orderBy("ts", "event_id" if "event_id" in events.columns else "value").limit(1))
+    for number, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(f"{run}/in")
+        stream = read_stream(spark, f"{run}/in", events.schema)
+        run_available(rating_updates(stream, ["event_type"], "ts", "value"), f"{run}/changes", f"{run}/checkpoint")
+        if not update_state(spark, f"{run}/changes", ["event_type"], f"{run}/state") and number < 3:
+            raise AssertionError("a delivery changed nothing")
+    return daily_ratings(read_state(spark, f"{run}/state")).drop("avg_rating")

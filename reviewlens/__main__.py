@@ -18,8 +18,8 @@ from reviewlens.plans.datasets import prepare, preprocess, union_all
 from reviewlens.plans.scripts import run_scripts
 from reviewlens.plans.staged import analyze_datasets, list_datasets, sample_datasets, validate_datasets
 from reviewlens.plans.top_lists import integrated_report, top_job
-from reviewlens.session import build_session, scratch_path
-from reviewlens.sinks import export, write_json, write_parquet
+from reviewlens.session import build_session
+from reviewlens.sinks import export, replace, write_json, write_parquet
 from reviewlens.sources import (
     file_inventory,
     json_profile,
@@ -27,8 +27,8 @@ from reviewlens.sources import (
     read_processed,
     read_rating_pairs,
 )
-from reviewlens.streaming import latest_state, rating_updates, read_stream, run_available
-from reviewlens.streaming.ratings import compact, daily_ratings
+from reviewlens.streaming import rating_updates, read_stream, run_available
+from reviewlens.streaming.ratings import daily_ratings, read_state, update_state
 
 
 def _named(text: str) -> tuple[str, str]:
@@ -141,14 +141,8 @@ def run_stream(spark, args):
         updates = rating_updates(events, ["product_id"], args.date, args.rating)
         run_available(updates, changes, f"{args.output}/{name}/checkpoint")
         state = f"{args.output}/{name}/state"
-        try:  # only batches after the last compaction are read again
-            base = state if spark.read.parquet(state).count() else None
-        except UNREADABLE:
-            base = None
-        newest = scratch_path(spark, "state")
-        compact(spark, changes, ["product_id"], newest, base)
-        write_parquet(spark.read.parquet(newest), state)
-        write_parquet(daily_ratings(latest_state(spark, changes, ["product_id"], state)), f"{args.output}/{name}/daily")
+        update_state(spark, changes, ["product_id"], state)
+        replace(daily_ratings(read_state(spark, state)), f"{args.output}/{name}/daily", write_parquet)
 
 
 def run_profile(spark, args):

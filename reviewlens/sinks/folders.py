@@ -20,6 +20,10 @@ class Folders:
     def exists(self, path: str) -> bool:
         return self._system.exists(self._path(path))
 
+    def names(self, path: str) -> list[str]:
+        """Names of what lies in a folder; none if it is not there."""
+        return [s.getPath().getName() for s in self._system.listStatus(self._path(path))] if self.exists(path) else []
+
     def remove(self, path: str) -> None:
         self._system.delete(self._path(path), True)
 

@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 
 from reviewlens.functions import rated
 from reviewlens.operators.ratings import finish, merge_partials
+from reviewlens.session import written
+from reviewlens.sinks.folders import Folders, current, replace
 
 DAY = "day"
 
@@ -114,6 +116,46 @@ def compact(
     newest.withColumn("compacted_to", F.lit(last)).write.mode("overwrite").parquet(target)
 
 
+def update_state(spark: SparkSession, output: str, keys: Sequence[str], state: str, keep: int = 10) -> int:
+    """Bring the table at ``state``, a folder per day, up to the newest batch; returns the batches taken in.
+
+    Only batches that came since the last call are read, and only the days they changed are written anew,
+    so a call costs what came, not what there is. The days are put together aside first and then replaced
+    day by day. A call that is cut off is made good by the next: taking a batch in twice changes nothing.
+    All but the last ``keep`` of the batches taken in are removed. Days without an updated key stay as they
+    are; none is ever dropped.
+    """
+    folders, mark = Folders(spark, output), f"{state}/_taken"
+    numbers = sorted(int(name[6:]) for name in folders.names(output) if name.startswith("batch="))
+    at = current(spark, mark)
+    done = spark.read.parquet(at).first()["batch"] if folders.exists(at) else -1
+    new = [number for number in numbers if number > done]
+    if new:
+        reader = spark.read.option("basePath", output)
+        changes = reader.parquet(*[f"{output}/batch={number}" for number in new])
+        newest = changes
+        if any(name.startswith(f"{DAY}=") for name in folders.names(state)):
+            held = spark.read.schema(_state_schema(changes)).parquet(state)
+            newest = changes.unionByName(held.join(changes.select(DAY).distinct(), DAY, "left_semi"))
+        whole = written(_newest(newest, keys), "days")
+        writer = whole.repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(DAY).parquet(state)
+        replace(spark.createDataFrame([(new[-1],)], "batch bigint"), mark, lambda df, to: df.write.parquet(to))
+    for number in numbers[:-keep]:
+        if number <= done:
+            folders.remove(f"{output}/batch={number}")
+    return len(new)
+
+
+def _state_schema(changes: DataFrame) -> StructType:
+    return StructType([*(f for f in changes.schema.fields if f.name != DAY), changes.schema[DAY]])
+
+
+def read_state(spark: SparkSession, state: str) -> DataFrame:
+    """The table that ``update_state`` keeps: keys, day, rating_sum, review_count."""
+    return spark.read.parquet(state).drop("batch")
+
+
 def daily_ratings(state: DataFrame) -> DataFrame:
     return finish(state)
 

@@ -3,7 +3,7 @@ import datetime
 import pytest
 
 from reviewlens.streaming import compact, latest_state, rating_updates, read_stream, run_available
-from reviewlens.streaming.ratings import daily_ratings, monthly_ratings
+from reviewlens.streaming.ratings import daily_ratings, monthly_ratings, read_state, update_state
 
 SCHEMA = "product_id string, rating double, ts timestamp_ntz"
 
@@ -82,3 +82,52 @@ def test_compacted_state_equals_the_whole_history(spark, folder, rows):
     assert rows(later) == whole
     plan = later._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch" in plan
+
+
+def test_a_run_rewrites_only_the_days_that_changed(spark, folder, rows):
+    output, state = str(folder.path / "out"), str(folder.path / "state")
+
+    def files():
+        return {day.name: sorted(part.name for part in day.glob("part-*")) for day in (folder.path / "state").glob("day=*")}
+
+    folder("a", [("p", 4.0, "2024-01-01T10:00:00"), ("q", 3.0, "2024-01-01T10:00:00"), ("p", 1.0, "2024-01-02T10:00:00")])
+    run(spark, folder.path)
+    assert update_state(spark, output, ["product_id"], state) > 0
+    before = files()
+    assert update_state(spark, output, ["product_id"], state) == 0 and files() == before
+    folder("b", [("p", 2.0, "2024-01-02T12:00:00"), (None, 5.0, "2024-01-03T00:00:00")])
+    whole = rows(run(spark, folder.path))
+    update_state(spark, output, ["product_id"], state)
+    after = files()
+    assert after["day=2024-01-01"] == before["day=2024-01-01"] and after["day=2024-01-02"] != before["day=2024-01-02"]
+    assert rows(read_state(spark, state), "product_id", "day", "rating_sum", "review_count") == whole
+    folder("c", [("late", 1.0, "2024-01-01T00:00:00"), ("p", 3.0, "2024-01-05T12:00:00")])
+    whole = rows(run(spark, folder.path))
+    folder("d", [("late", 1.0, "2024-01-01T00:00:00"), ("p", 3.0, "2024-01-05T13:00:00")])
+    assert len(rows(run(spark, folder.path))) == len(whole), "a row behind the watermark is dropped"
+    assert rows(run(spark, folder.path)) == rows(finish_state(spark, output, state))
+
+
+def finish_state(spark, output, state):
+    update_state(spark, output, ["product_id"], state, keep=1)
+    return read_state(spark, state).select("product_id", "day", "rating_sum", "review_count")
+
+
+def test_a_run_cut_off_before_its_mark_is_made_good(spark, folder, rows, monkeypatch):
+    from reviewlens.streaming import ratings as module
+
+    output, state = str(folder.path / "out"), str(folder.path / "state")
+    folder("a", [("p", 4.0, "2024-01-01T10:00:00")])
+    run(spark, folder.path)
+
+    def crash(*args):
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(module, "replace", crash)
+    with pytest.raises(RuntimeError):
+        update_state(spark, output, ["product_id"], state)
+    monkeypatch.undo()
+    folder("b", [("p", 2.0, "2024-01-01T12:00:00")])
+    whole = rows(run(spark, folder.path))
+    assert update_state(spark, output, ["product_id"], state) >= 2
+    assert rows(read_state(spark, state), "product_id", "day", "rating_sum", "review_count") == whole
