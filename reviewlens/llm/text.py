@@ -128,15 +128,27 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit code per word; bytes are taken in slices, so a long row needs little memory."""
+    """A 64-bit code per word: the sum of its eight-byte parts, each mixed with its place, mixed with the length.
+
+    No polynomial of the bytes, so words that collide modulo a power of two whatever the base have codes of
+    their own. Bytes are taken in slices, so a long row needs little memory beyond its longest word.
+    """
     out = np.empty(len(start), dtype=np.uint64)
     first = 0
     while first < len(start):
         base = start[first]
         last = max(int(np.searchsorted(end, base + SLICE, side="right")), first + 1)
-        sums = prefix(data[base : end[last - 1]])
-        low, high = start[first:last] - base, end[first:last] - base
-        out[first:last] = mix(spans_hash(sums, low, high) + (high - low).astype(np.uint64))
+        part = np.concatenate([data[base : end[last - 1]], np.zeros(8, dtype=np.uint8)])
+        eights = np.ndarray((len(part) - 7,), dtype="<u8", buffer=part.data, strides=(1,))
+        low, size = start[first:last] - base, end[first:last] - start[first:last]
+        many = (size + 7) // 8
+        opens = np.cumsum(many) - many
+        place = np.arange(many.sum()) - np.repeat(opens, many)
+        held = eights[np.repeat(low, many) + 8 * place]
+        left = np.repeat(size, many) - 8 * place  # bytes of the word from here on
+        held = np.where(left < 8, held & ((np.uint64(1) << (8 * np.minimum(left, 7)).astype(np.uint64)) - np.uint64(1)), held)
+        mixed = mix(held ^ mix(place.astype(np.uint64) * _BASE + _SECOND))
+        out[first:last] = mix(np.add.reduceat(mixed, opens) + size.astype(np.uint64))
         first = last
     return out
 

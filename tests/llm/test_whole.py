@@ -76,3 +76,36 @@ def test_pipeline_keeps_one_row_of_each_group_and_drops_nothing_else(spark):
     got = corpus.drop_near_copies(spark, docs.repartition(3), FOLDER).collect()
     want = [(5, lone), (2, copied), (None, third), (9, "other words here")]
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+
+
+def thue_morse(size: int, letters: str = "ab") -> str:
+    return "".join(letters[i.bit_count() & 1] for i in range(size))
+
+
+def test_words_that_collide_under_any_odd_base_are_told_apart(spark):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64."""
+    same = [f"w{i}" for i in range(49)]
+    word, other = thue_morse(1024), thue_morse(1024, "ba")
+    docs = spark.createDataFrame([(1, " ".join([*same, word])), (2, " ".join([*same, other]))], "doc_id bigint, text string")
+    assert all(r["n_removed"] == 0 for r in substring_dedup(docs).collect())
+    lines = spark.createDataFrame([(1, f"{word}\n{other}"), (2, f"{other} {word} x y z")], "doc_id bigint, text string")
+    assert all(r["removed_lines"] == [] for r in line_dedup(lines).collect())
+    texts = [f"{word} a b {other} a b " + " ".join(same)]
+    got = quality.quality_rules(spark.createDataFrame(list(enumerate(texts)), docs.schema), pieces.read_model(pieces.MODEL))
+    assert got.first()["n_repeat_words"] == 0
+
+
+def test_word_codes_depend_on_the_bytes_of_the_word_alone():
+    import numpy as np
+
+    from reviewlens.llm import text as T
+
+    pick = random.Random(3)
+    words = ["".join(pick.choice("abé") for _ in range(pick.randint(1, 40))) for _ in range(3000)] + ["x" * 9, "x" * 8, "x" * 16, "xy" * 300_000]
+    codes = {}
+    for join in (" ", "\n  "):
+        data = np.frombuffer(join.join(pick.sample(words, len(words))).encode(), dtype=np.uint8)
+        start, end, _ = T.words(data, np.array([0, len(data)]))
+        for a, b, code in zip(start, end, T.word_codes(data, start, end).tolist(), strict=True):
+            assert codes.setdefault(data[a:b].tobytes(), code) == code
+    assert len(set(codes.values())) == len(codes) == len(set(words))
