@@ -162,6 +162,46 @@ def json_profile_query(spark, folder):
     )
 
 
+@query(
+    "json_profile_whole",
+    """select 'array' as format, cast(0 as bigint) as object_lines, count(*) as array_items,
+              'doc_id,lang,text' as first_keys from documents where doc_id % 2 = 0
+       union all select 'lines', count(*), null, 'doc_id,lang,text' from documents where doc_id % 2 = 1
+       union all select 'object', 0, null, 'made,rows' """,
+)
+def json_profile_whole(spark, folder):
+    """One file that is an array over many lines, one object over many lines, and JSON Lines."""
+    path = scratch_path(spark, "profile")
+    documents = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
+    even = documents.filter(F.col("doc_id") % 2 == 0)
+    # a file that is one value is made by one task, which is what the case is about
+    item = F.concat(F.when(F.col("doc_id") == even.agg(F.min("doc_id")).first()[0], "[").otherwise(","), F.lit("\n  "), F.to_json(F.struct("*")))
+    lines = even.select("doc_id", item.alias("value")).unionByName(spark.sql(f"select {2**62} doc_id, ']' value"))
+    lines.repartition(1).sortWithinPartitions("doc_id").select("value").write.text(f"{path}/array")
+    write_json(documents.filter(F.col("doc_id") % 2 == 1), f"{path}/lines")
+    spark.sql("select '{\n  \"made\": true,\n  \"rows\": [1,\n 2]\n}' value").write.text(f"{path}/object")
+    found = json_profile(spark, f"{path}/*")
+    return found.groupBy("format").agg(
+        F.sum("object_lines").alias("object_lines"),
+        F.sum("array_items").alias("array_items"),
+        F.array_join(F.min("first_keys"), ",").alias("first_keys"),
+    )
+
+
+@query(
+    "first_whole_source",
+    f"""with {RATINGS} select product_id, rating, 'second' as source from ratings""",
+)
+def first_whole_source(spark, folder):
+    """The first table has a part file that is no Parquet, which shows only when it is read."""
+    path, rows = scratch_path(spark, "chain"), views.ratings(spark, folder).select("product_id", "rating")
+    for name in ("first", "second"):
+        write_parquet(rows, f"{path}/{name}")
+    spark.range(1).selectExpr("'no such row'").write.mode("append").text(f"{path}/first")
+    readers = [(n, lambda n=n: spark.read.schema(rows.schema).parquet(f"{path}/{n}")) for n in ("first", "second")]
+    return first_readable(readers)
+
+
 @query(
     "dataset_inventory",
     """select 'lineitem' as dataset, true as readable, count(*) as row_count from lineitem

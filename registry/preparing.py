@@ -1,12 +1,13 @@
 from pyspark.sql import functions as F
 
 from reviewlens import views
+from reviewlens.functions import days_before, megabytes, slug
 from reviewlens.operators import prepare
 from reviewlens.plans import datasets
 from reviewlens.schemas import LENGTH_EXTRACT, RATING_PAIR, TIME_EXTRACT
 from reviewlens.session import scratch_path
 from reviewlens.sinks import write_csv, write_json, write_json_or_reject
-from reviewlens.sources import read_events, read_json_pairs, read_raw_products
+from reviewlens.sources import read_events, read_json_pairs, read_raw_once, read_raw_products
 
 from registry.core import query
 from registry.sql import RAW, TEXT_PRODUCTS
@@ -30,7 +31,18 @@ def _raw_json(spark, folder):
            features, categories, {DETAILS}, 'Parts' as category from raw""",
 )
 def harmonise_arrays(spark, folder):
-    """gz JSON Lines with array columns, read back and brought to the processed schema."""
+    """gz JSON Lines with array columns, read once and brought to the processed schema."""
+    return prepare.harmonise(read_raw_once(spark, _raw_json(spark, folder), "Parts"))
+
+
+@query(
+    "harmonise_inferred",
+    f"""with {RAW}
+    select product_id, title, rating, rating_number, price, main_category, store, description,
+           features, categories, {DETAILS}, 'Parts' as category from raw""",
+)
+def harmonise_inferred(spark, folder):
+    """The same with Spark's own inference of all columns."""
     return prepare.harmonise(read_raw_products(spark, _raw_json(spark, folder), "Parts"))
 
 
@@ -129,12 +141,26 @@ def good_events(spark, folder):
 
 @query(
     "rejected_events",
-    f"""with {EVENTS}
+    f"""with {EVENTS}, short as (
+      select cast(l_partkey as varchar) as product_id, l_linenumber from lineitem where l_linenumber in (1, 2))
     select product_id, category, 'bad' as rating_text, 'rating is not a number' as reason, count(*) as events
-    from events_text where rating is null group by all""",
+    from events_text where rating is null group by all
+    union all
+    select product_id, null, null, 'too few fields', count(*) from short where l_linenumber = 1 group by all
+    union all
+    select null, null, '4.0', 'no key', count(*) from short where l_linenumber = 2""",
 )
 def rejected_events(spark, folder):
-    rejected = prepare.rejected_events(views.review_events(spark, folder))
+    """Events that are left out, for each of the three reasons, from CSV files: bad ratings, rows cut off
+    after two fields, rows with neither id nor category."""
+    path = scratch_path(spark, "rejected_csv")
+    write_csv(views.review_events(spark, folder), path)
+    rows = views.table(spark, folder, "lineitem")
+    cut = rows.filter("l_linenumber = 1").select(F.concat(F.lit("r,"), F.col("l_partkey").cast("string")))
+    blank = rows.filter("l_linenumber = 2").select(F.lit('r," ",u,4.0,"\t"'))
+    cut.unionByName(blank.toDF(*cut.columns)).write.option("lineSep", "\n").text(f"{path}-more")
+    whole, more = read_events(spark, path), read_events(spark, f"{path}-more", header=False)
+    rejected = prepare.rejected_events(whole.unionByName(more))
     return rejected.groupBy("product_id", "category", "rating_text", "reason").agg(
         F.count("*").alias("events")
     )
@@ -256,3 +282,38 @@ def json_rejects(spark, folder):
     if sum(counts.values()) != documents.count():
         raise AssertionError(f"rows are missing: {counts}")
     return rows
+
+
+@query(
+    "days_before",
+    """select l_orderkey, l_linenumber,
+              cast(cast(l_shipdate as date) - cast(floor(l_quantity) as int) as varchar) as ordered,
+              cast(null as varchar) as never from lineitem""",
+)
+def days_before_query(spark, folder):
+    """Dates a number of days before an anchor of each row."""
+    rows = views.table(spark, folder, "lineitem")
+    anchor = F.col("l_shipdate").cast("date")
+    return rows.select(
+        "l_orderkey", "l_linenumber",
+        days_before(anchor, F.floor("l_quantity")).alias("ordered"),
+        days_before(anchor, F.lit(None)).alias("never"),
+    )
+
+
+@query("slugs", "select p_partkey, replace(lower(p_type), ' ', '_') as slug, replace(lower(p_name), ' ', '_') as name from part")
+def slugs(spark, folder):
+    parts = views.table(spark, folder, "part")
+    return parts.select("p_partkey", slug(F.col("p_type")).alias("slug"), slug(F.col("p_name")).alias("name"))
+
+
+@query(
+    "megabytes",
+    """select source, round(sum(octet_length(encode(coalesce(text, '')))) / 1048576.0::double, 6) as megabytes
+       from documents group by source""",
+)
+def megabytes_query(spark, folder):
+    """Sizes of the texts of each source."""
+    documents = views.table(spark, folder, "documents")
+    size = F.sum(F.octet_length(F.coalesce("text", F.lit(""))))
+    return documents.groupBy("source").agg(megabytes(size).alias("megabytes"))

@@ -1,7 +1,7 @@
 """Column functions: everything here builds JVM-side expressions only."""
 
 from reviewlens.functions.correlation import correlation_band, safe_corr
-from reviewlens.functions.dates import first_available_date, month_start
+from reviewlens.functions.dates import days_before, first_available_date, month_start
 from reviewlens.functions.lengths import (
     LENGTH_EDGES,
     LENGTH_LABELS,
@@ -27,8 +27,10 @@ from reviewlens.functions.text import (
     fixed,
     has_text,
     joined_text,
+    megabytes,
     name_from_path,
     one_line,
+    slug,
 )
 
 __all__ = [
@@ -39,6 +41,7 @@ __all__ = [
     "bucket_ordinal",
     "clean_key",
     "correlation_band",
+    "days_before",
     "decoded",
     "finite",
     "first_available_date",
@@ -49,6 +52,7 @@ __all__ = [
     "is_rating",
     "joined_text",
     "length_bucket",
+    "megabytes",
     "month_start",
     "name_from_path",
     "one_line",
@@ -57,6 +61,7 @@ __all__ = [
     "percent",
     "rated",
     "safe_corr",
+    "slug",
     "star",
     "text_length",
     "two_decimals",

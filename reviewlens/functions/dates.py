@@ -17,3 +17,8 @@ def first_available_date(details: Column) -> Column:
 
 def month_start(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
+
+
+def days_before(anchor: Column, days: Column) -> Column:
+    """The date so many days before ``anchor``; null if either is null, after it for negative days."""
+    return F.date_sub(anchor, days.cast("int"))

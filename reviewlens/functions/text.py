@@ -47,3 +47,13 @@ def decoded(file_path: Column) -> Column:
 def name_from_path(path: Column, level: int = 1) -> Column:
     """Folder name ``level`` steps above the file (1 = the folder holding it)."""
     return F.element_at(F.split(path, "/"), -(level + 1))
+
+
+def slug(name: Column) -> Column:
+    """A name as part of a path: lower case, blanks as underscores."""
+    return F.translate(F.lower(name), " ", "_")
+
+
+def megabytes(size: Column) -> Column:
+    """Bytes as units of 1024 * 1024."""
+    return size / F.lit(1024.0 * 1024.0)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reviewlens.errors import UNREADABLE, brief
+from reviewlens.functions import slug
 from reviewlens.operators.prepare import (
     MissingColumns,
     Taken,
@@ -20,7 +21,7 @@ from reviewlens.operators.prepare import (
     time_parts,
 )
 from reviewlens.sinks import replace, write_parquet, write_parts
-from reviewlens.sources import read_raw_products
+from reviewlens.sources import read_raw_once, read_raw_products
 
 log = logging.getLogger(__name__)
 
@@ -74,11 +75,17 @@ def preprocess(
     Returns the error of each dataset that was not written.
     """
     errors = {}
+    named = spark.createDataFrame([(name,) for name in inputs], "name string")
+    folders = {r["name"]: f"{output}/dataset={r['slug']}" for r in named.select("name", slug(F.col("name")).alias("slug")).collect()}
     for name, path in inputs.items():
-        folder = f"{output}/dataset={name.lower().replace(' ', '_')}"
+        folder = folders[name]
         try:
             # The harmonised rows keep the dataset's raw name as their category.
-            rows = harmonise(read_raw_products(spark, path, name, (schemas or {}).get(name), partitions))
+            if name in (schemas or {}):
+                raw = read_raw_products(spark, path, name, schemas[name], partitions)
+            else:
+                raw = read_raw_once(spark, path, name, partitions)
+            rows = harmonise(raw)
             replace(rows, folder, write_parquet)
         except UNREADABLE as error:
             log.error("%s: %s", name, brief(error))

@@ -7,6 +7,7 @@ from reviewlens.sources.tables import (
     read_json_pairs,
     read_parquet_dir,
     read_processed,
+    read_raw_once,
     read_raw_products,
     read_rating_pairs,
     read_results,
@@ -24,6 +25,7 @@ __all__ = [
     "read_parquet_dir",
     "read_processed",
     "read_rating_pairs",
+    "read_raw_once",
     "read_raw_products",
     "read_report",
     "read_results",

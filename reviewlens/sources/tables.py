@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from reviewlens.errors import UNREADABLE, brief
 from reviewlens.functions import decoded, is_rating, name_from_path, one_line, parse_rating
-from reviewlens.operators.prepare import with_category
-from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, RATING_PAIR
+from reviewlens.operators.prepare import ORIGINS, with_category
+from reviewlens.schemas import AGGREGATE_LINE, EVENT_TEXT, PROCESSED, RATING_PAIR, RAW_FIELDS
+from reviewlens.session import written
 from reviewlens.sinks import current
 
 _CORRUPT = "_corrupt_record"
@@ -26,9 +27,10 @@ def read_raw_products(
 ) -> DataFrame:
     """JSON Lines (gz or plain) with a ``category`` column added where it is absent.
 
-    Which columns a dataset has decides where its ids and ratings come from, so
-    by default they are inferred, at the price of a pass over the data. Give a
-    ``raw_schema`` of the fields the data has to save that pass. One gz file is
+    Which columns a dataset has decides where its ids and ratings come from.
+    Give a ``raw_schema`` of the fields the data has; without one they are
+    inferred, at the price of a pass over the data, all fields included.
+    ``read_raw_once`` notes the known fields in the pass that reads them. One gz file is
     one task whatever its size, so ``partitions`` spreads the rows before the
     work that follows.
     """
@@ -37,6 +39,46 @@ def read_raw_products(
     return df.repartition(partitions) if partitions else df
 
 
+#: Fields of raw records that anything is made of.
+_RAW_NAMES = list(
+    dict.fromkeys([*RAW_FIELDS.fieldNames(), *PROCESSED.fieldNames(), *(n for names in ORIGINS.values() for n in names)])
+)
+
+
+def _raw_column(record: Column, name: str) -> Column:
+    """A field of a VARIANT record in the type its processed column has; what does not fit it is null."""
+    target = next((to for to, origins in ORIGINS.items() if name in origins), name)
+    kind = PROCESSED[target].dataType if target in PROCESSED.names else StringType()
+    path = f"$.{name}"
+    if kind != StringType():
+        return F.try_variant_get(record, path, kind.simpleString())
+    # elements that are null are skipped; objects and nested arrays come as JSON
+    words = F.array_join(F.try_variant_get(record, path, "array<string>"), " ")
+    return F.coalesce(words, F.try_variant_get(record, path, "string"))
+
+
+def read_raw_once(spark: SparkSession, path: str | list[str], category: str, partitions: int | None = None) -> DataFrame:
+    """Raw metadata of any shape as ``read_raw_products`` gives it, from one pass over the JSON.
+
+    Each line is parsed once, into a VARIANT; the fields that a processed table can be made of are taken out
+    in its types and written as columns, and the same job notes which of them occur at all. Columns that
+    never do are left out, so that origins are settled over the written table. A field may have another
+    type in every record. A line that is no JSON object is a row of nulls; empty lines are skipped.
+    """
+    lines = spark.read.text(path).filter(F.length(F.btrim("value")) > 0)
+    if partitions:
+        lines = lines.repartition(partitions)
+    records = lines.select(F.try_parse_json("value").alias("record"))
+    there = {n: F.try_variant_get("record", f"$.{n}", "variant").isNotNull() for n in _RAW_NAMES}
+    seen = Observation("fields")
+    watched = records.observe(seen, *[F.count_if(test).alias(name) for name, test in there.items()])
+    table = written(watched.select(*[_raw_column(F.col("record"), n).alias(n) for n in _RAW_NAMES]), "raw")
+    found = [name for name in _RAW_NAMES if seen.get[name]]
+    if not found:  # rows without any field that is known
+        return with_category(table.select(F.lit(None).cast("string").alias("title")), category)
+    return with_category(table.select(*found), category)
+
+
 def read_processed(
     spark: SparkSession, paths: Mapping[str, str], dataset_col: str = "dataset"
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
@@ -63,8 +105,10 @@ def read_rating_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RATING_PAIR).option("sep", "\t").csv(path)
 
 
-def read_events(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Review events from CSV with a header, columns taken by position.
+def read_events(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, header: bool = True
+) -> DataFrame:
+    """Review events from CSV, by default with a header, columns taken by position.
 
     Longer rows keep their first five fields. A row too short to have a category
     stays, marked ``short``: ``good_events`` leaves it out and ``rejected_events``
@@ -76,7 +120,7 @@ def read_events(spark: SparkSession, path: str | list[str], multi_line: bool = F
     # A parser that skips unused fields does not notice that a row is short.
     rows = (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("columnPruning", False)
