@@ -1,11 +1,13 @@
 """License scans with an exact set-similarity join, in DataFrame functions only.
 
-Templates are short license texts. A text block (a line) matches a template when it holds at least
-``CONTAINMENT`` of the template's distinct words. Words of templates are ordered by how many documents
-hold them, rarest first. A block that holds ``need`` of a template's n words must hold one of its
-n - need + 1 rarest (prefix filter), have ``need`` distinct words (length filter), and the places of the
-shared word in both ordered sets must leave room for ``need`` (positional filter). What passes is
-verified word by word. Only the template side is broadcast; the parameters bound it.
+Templates are short license texts. A text block is a run of consecutive words, over line breaks too, half as
+long again as the template (the whole text where that is shorter); it matches when it holds at least
+``CONTAINMENT`` of the template's distinct words, among them those that tell it from its kin (a version, a
+clause). Every block of every text counts. Words of templates are ordered by how many documents hold
+them, rarest first. A block that holds ``need`` of a template's n words must hold one of its n - need + 1
+rarest (prefix filter); where that one is the rarest it holds, the words behind it in the order must supply
+the others (positional filter), within the block's length on either side (length filter). What passes is
+verified block by block. Only the template side is broadcast; the parameters bound it.
 
 Next to it stand fixed phrases, which are counted as consecutive words.
 """
@@ -36,6 +38,24 @@ TEMPLATES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
 
+#: Words without which a template is not matched, whatever else a block holds.
+REQUIRED = {
+    "apache-2.0": "apache 2",
+    "cc-by-4.0": "attribution",
+    "cc-by-nc-4.0": "cc by nc",
+    "cc-by-sa-4.0": "cc by sa",
+    "gpl-3.0": "gnu 3",
+    "gpl-2.0": "gnu 2",
+    "mpl-2.0": "mozilla 2",
+}
+
+
+def block_length(template: str) -> int:
+    """Words of a block that is held against a template."""
+    size = len(template.split())
+    return size + (size + 1) // 2
+
+
 #: Runs of characters that are in no word, after A-Z went to lower case.
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,9 +106,13 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
 
 
 def template_matches(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: tuple[int, int] = CONTAINMENT
+    docs: DataFrame,
+    templates: dict[str, str] = TEMPLATES,
+    containment: tuple[int, int] = CONTAINMENT,
+    required: dict[str, str] = REQUIRED,
 ) -> DataFrame:
-    """ord, tag, label, containment of every (block, template) at or above the threshold, perhaps repeated."""
+    """ord, tag, label, containment of every template that a block matches, with the best block around each
+    of its rare words; perhaps repeated."""
     spark = docs.sparkSession
     part, whole = containment
     sets = {label: sorted(set(text.split())) for label, text in templates.items()}
@@ -98,23 +122,39 @@ def template_matches(
     for label, words in sets.items():
         words = sorted(words, key=place.__getitem__)
         need = -(-part * len(words) // whole)
-        postings += [(word, at, label, need, words) for at, word in enumerate(words[: len(words) - need + 1])]
-    prefix = spark.createDataFrame(postings, "word string, at int, label string, need int, words array<string>")
-    rare = sorted({row[0] for row in postings})
-    candidates = docs.filter(F.arrays_overlap(_split(spaced(F.col("text"))), _literal(rare)))
-    blocks = candidates.select("ord", "tag", F.explode(F.split("text", "\n", -1)).alias("block")).select(
-        "ord", "tag", F.array_distinct(_split(spaced(F.col("block")))).alias("block")
-    )
-    blocks = blocks.select(
-        "ord", "tag", F.size("block").alias("block_size"), F.array_intersect(_literal(order), "block").alias("held")
+        must = sorted(set(required.get(label, "").split()))
+        for at, word in enumerate(words[: len(words) - need + 1]):
+            postings.append((word, label, need, block_length(templates[label]), words, words[at + 1 :], must))
+    prefix = spark.createDataFrame(
+        postings, "word string, label string, need int, length int, words array<string>, behind array<string>, must array<string>"
     )
-    hits = blocks.select("ord", "tag", "block_size", "held", F.posexplode("held").alias("spot", "word"))
-    room = F.least("at", "spot") + 1 + F.least(F.size("words") - F.col("at"), F.size("held") - F.col("spot")) - 1
-    joined = hits.join(F.broadcast(prefix), "word").filter((F.col("block_size") >= F.col("need")) & (room >= F.col("need")))
-    shared = F.size(F.array_intersect("words", "held"))
-    return joined.filter(shared >= F.col("need")).select(
-        "ord", "tag", "label", (shared / F.size("words")).alias("containment")
+    rare_words = sorted({row[0] for row in postings})
+    rare = _literal(rare_words)
+    longest = max(row[3] for row in postings)
+    listed = docs.select("ord", "tag", _split(spaced(F.col("text"))).alias("list"))
+    # the words around each rare word are cut out of the list before rows are made, so no row holds the list
+    spots = F.filter(F.transform("list", lambda word, i: F.struct(i.alias("spot"), word.alias("word"))), lambda x: x["word"].isin(rare_words))
+
+    def cut(x: Column) -> Column:
+        low = F.greatest(x["spot"] - longest + 1, F.lit(0))
+        return F.struct(x["spot"].alias("spot"), x["word"].alias("word"), low.alias("low"), F.slice("list", low + 1, 2 * longest - 1).alias("around"))
+
+    around = listed.filter(F.arrays_overlap("list", rare)).select(
+        "ord", "tag", F.size("list").alias("size"), F.inline(F.transform(spots, cut))
     )
+    joined = around.join(F.broadcast(prefix), "word").filter(F.size(F.array_intersect("behind", "around")) >= F.col("need") - 1)
+    # starts of the blocks that hold the rare word, as places in ``around``
+    last = F.greatest(F.least(F.col("spot"), F.col("size") - F.col("length")), F.lit(0))
+    first = F.least(F.greatest(F.col("spot") - F.col("length") + 1, F.lit(0)), last)
+    starts = F.sequence(first - F.col("low"), last - F.col("low"))
+
+    def shared(start: Column) -> Column:
+        block = F.slice("around", start + 1, F.col("length"))
+        whole_ = F.size(F.array_intersect("must", block)) == F.size("must")
+        return F.when(whole_, F.size(F.array_intersect("words", block))).otherwise(0)
+
+    best = joined.select("ord", "tag", "label", "need", F.size("words").alias("n"), F.array_max(F.transform(starts, shared)).alias("shared"))
+    return best.filter(F.col("shared") >= F.col("need")).select("ord", "tag", "label", (F.col("shared") / F.col("n")).alias("containment"))
 
 
 def license_scan(
@@ -122,6 +162,7 @@ def license_scan(
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, str] = TEMPLATES,
     containment: tuple[int, int] = CONTAINMENT,
+    required: dict[str, str] = REQUIRED,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_base (places of all phrases), first_word and last_word (smallest and
     largest start of a phrase, or null), base_labels, labels (with those of templates), score.
@@ -162,7 +203,7 @@ def license_scan(
         F.array_distinct(base).alias("base"),
     )
     matched = (
-        template_matches(docs, templates, containment)
+        template_matches(docs, templates, containment, required)
         .groupBy("ord", "tag")
         .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     )

@@ -150,7 +150,7 @@ def op6_topk(spark, folder):
 
 
 def _license_sql() -> str:
-    from reviewlens.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
+    from reviewlens.llm.license_scan import CONTAINMENT, PHRASES, REQUIRED, TEMPLATES
 
     def places(phrase: str) -> str:
         parts = phrase.split()
@@ -161,7 +161,12 @@ def _license_sql() -> str:
     columns = ", ".join(f"{places(phrase)} as p{k}" for k, phrase in enumerate(phrases))
     every = " || ".join(f"p{k}" for k in range(len(phrases)))
     base = ", ".join(f"case when len(p{k}) > 0 then '{PHRASES[phrase]}' end" for k, phrase in enumerate(phrases))
-    sets = ", ".join(f"('{label}', {sorted(set(text.split()))!r})" for label, text in TEMPLATES.items())
+    # size of a block: the template's words and half as many again, rounded up
+    sets = ", ".join(
+        f"('{label}', {sorted(set(text.split()))!r}, {len(text.split()) + -(-len(text.split()) // 2)}, "
+        f"{sorted(REQUIRED.get(label, '').split())!r}::varchar[])"
+        for label, text in TEMPLATES.items()
+    )
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     part, whole = CONTAINMENT
     return f"""
@@ -174,12 +179,18 @@ def _license_sql() -> str:
       select doc_id, len(w) as n_words, {every} as places,
         list_distinct(list_filter([{base}], lambda x: x is not null)) as base
       from counted
-    ), templates(label, ws) as (values {sets}),
-    blocks as (
-      select doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{word}')) as b from lowered
+    ), templates(label, ws, size, must) as (values {sets}),
+    candidates as (
+      select doc_id, w, label, ws, size, must from words join templates
+        on len(list_intersect(ws, list_distinct(w))) * {whole} >= {part} * len(ws)
+    ), blocks as (
+      select doc_id, label, ws, must, unnest(list_transform(
+        range(1, greatest(len(w) - size, 0) + 2), lambda i: list_distinct(w[i:i + size - 1]))) as b
+      from candidates
     ), hits as (
       select doc_id, label, len(list_intersect(ws, b)) / len(ws) as containment
-      from blocks join templates on len(list_intersect(ws, b)) * {whole} >= {part} * len(ws)
+      from blocks
+      where len(list_intersect(ws, b)) * {whole} >= {part} * len(ws) and len(list_intersect(must, b)) = len(must)
     ), matched as (
       select doc_id, list(distinct label) as found, max(containment) as best from hits group by doc_id
     )

@@ -130,7 +130,7 @@ def quality(text: str | None) -> tuple:
     return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(twice), failed
 
 
-def licenses(text: str | None, phrases: dict, templates: dict) -> tuple:
+def licenses(text: str | None, phrases: dict, templates: dict, required: dict) -> tuple:
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     words, starts, base, labels, best = pattern.findall(text), [], set(), set(), 0.0
@@ -139,11 +139,11 @@ def licenses(text: str | None, phrases: dict, templates: dict) -> tuple:
         found = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
         starts += found
         base |= {label} if found else set()
-    for block in text.split("\n"):
-        held = set(pattern.findall(block))
-        for label, template in templates.items():
-            wanted = set(template.split())
-            if 5 * len(held & wanted) >= 4 * len(wanted):
+    for label, template in templates.items():
+        wanted, length = set(template.split()), -(-3 * len(template.split()) // 2)
+        for i in range(max(len(words) - length, 0) + 1):
+            held = set(words[i : i + length])
+            if 5 * len(held & wanted) >= 4 * len(wanted) and set(required.get(label, "").split()) <= held:
                 labels.add(label)
                 best = max(best, len(held & wanted) / len(wanted))
     ends = (min(starts), max(starts)) if starts else (None, None)

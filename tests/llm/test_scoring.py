@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlens.llm import language_id, mixing, pieces, quality
-from reviewlens.llm.license_scan import PHRASES, TEMPLATES, license_scan
+from reviewlens.llm.license_scan import PHRASES, REQUIRED, TEMPLATES, license_scan
 from reviewlens.llm.vector_search import quantized, top_k
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,7 +37,29 @@ def test_licenses(spark):
     texts += ["K", "all rightsé reserved", texts[-1]]
     got = license_scan(frame(spark, texts, words=1, ord=2, label=3, tag=4)).collect()
     have = {r["doc_id"]: tuple(r)[1:] for r in got}
-    assert have == {i: plain.licenses(text, PHRASES, TEMPLATES) for i, text in enumerate(texts)}
+    assert have == {i: plain.licenses(text, PHRASES, TEMPLATES, REQUIRED) for i, text in enumerate(texts)}
+
+
+def test_license_headers_are_found_over_line_breaks_and_versions_apart(spark):
+    texts = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+        "documentation files (the \"Software\"), to deal\nin the Software without restriction, including": "mit",
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+        "the following conditions\nare met:": "bsd",
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy": "mpl-2.0",
+        "   Licensed under the Apache License,\n   Version 2.0 (the \"License\");": "apache-2.0",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl,gpl-2.0",
+        "This work is licensed under the GNU General Public License,\nversion 3.": "gpl,gpl-3.0",
+        "Licensed under CC BY-NC 4.0.": "cc-by,cc-by-nc-4.0",
+        "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa-4.0",
+        "licensed " + "x " * 20 + "under the apache " + "y " * 20 + "license version 2 0": "",
+    }
+    got = license_scan(frame(spark, list(texts))).collect()
+    assert [r["labels"] for r in sorted(got, key=lambda r: r["doc_id"])] == list(texts.values())
+
+
+def test_licenses_of_no_rows(spark):
+    assert license_scan(frame(spark, ["cc by"]).filter("false")).collect() == []
 
 
 def test_licenses_run_no_python(spark):
