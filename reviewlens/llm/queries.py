@@ -109,9 +109,10 @@ def op10_language(spark, folder):
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
-#: Target weights of the mix; sources not named share one stream of weight 10.
-MIX = {"src0": 12, "src1": 6, "src2": 5, "src3": 4, "src4": 3, "src5": 2}
-MIX_OTHER = 10
+#: Target weights of the mix: six sources by name, one each for the others of the corpus. Rows without a
+#: source, or of one that is not named, share one stream.
+MIX = {"src0": 12, "src1": 6, "src2": 5, "src3": 4, "src4": 3, "src5": 2} | {f"src{i}": 1 for i in range(6, 20)}
+MIX_OTHER = 1
 
 
 @query("op2_mixing")
