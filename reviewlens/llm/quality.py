@@ -98,12 +98,16 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-#: Fitted bands: so many deviations on either side of the median, from so many documents at least. A
-#: deviation is the distance to the quartile on that side as a normal distribution has it, and at least a
-#: hundredth of the median and LEAST_STEP, so that where most documents are equal no band is empty.
+#: Fitted bands: so many deviations on either side of the median. A deviation is the distance to the
+#: quartile on that side as a normal distribution has it, and at least a hundredth of the median and
+#: LEAST_STEP, so that where most documents are equal no band is empty.
 DEVIATIONS = 4
-FIT_DOCS = 100
 LEAST_STEP = 0.005
+#: The band of a wider group (a script for a language in it, the fixed bands for a script) weighs as much as
+#: this many documents of the group itself.
+PRIOR_DOCS = 20
+#: Entropy of any text at most, in bits: the fixed bands have no upper end of it.
+_MOST_ENTROPY = 16.0
 _QUARTILE = 0.6745
 #: Measures with a fitted band, and whether it has a lower end.
 FITTED = {"chars_per_token": True, "byte_share": False, "token_entropy": True}
@@ -184,14 +188,10 @@ def quality_rules(docs: DataFrame, model: bytes, bands: dict[str, Band] = BANDS)
     return identified(docs).select("doc_id", "text").mapInArrow(_measure(model, bands), SCHEMA)
 
 
-def fitted_bands(measured: DataFrame, deviations: float = DEVIATIONS, least_docs: int = FIT_DOCS) -> DataFrame:
-    """lang, script, and per measure x its ends low_x and high_x, of the groups with ``least_docs`` documents
-    that pass the base rules. Values are rounded to three decimals, so a quartile's state has a bounded
-    number of values, whatever the corpus, and no retry changes it."""
+def _ends(passed: DataFrame, by: list[str], deviations: float) -> DataFrame:
+    """``by``, n, and per measure x its ends high_x and low_x around the median of the group's documents."""
     quartiles = F.lit([0.25, 0.5, 0.75])
-    found = measured.filter("not base_failed").groupBy("lang", "script").agg(
-        F.count("*").alias("n"), *[F.percentile(F.round(x, 3), quartiles).alias(x) for x in FITTED]
-    )
+    found = passed.groupBy(*by).agg(F.count("*").alias("n"), *[F.percentile(F.round(x, 3), quartiles).alias(x) for x in FITTED])
 
     def end(x: str, side: int) -> Column:
         middle = F.col(x)[1]
@@ -200,7 +200,48 @@ def fitted_bands(measured: DataFrame, deviations: float = DEVIATIONS, least_docs
 
     ends = [end(x, 1).alias(f"high_{x}") for x in FITTED]
     ends += [end(x, -1).alias(f"low_{x}") for x, low in FITTED.items() if low]
-    return found.filter(F.col("n") >= least_docs).select("lang", "script", *ends)
+    return found.select(*by, "n", *ends)
+
+
+ENDS = [f"high_{x}" for x in FITTED] + [f"low_{x}" for x, low in FITTED.items() if low]
+
+
+def _fixed(band: Band) -> dict[str, float]:
+    return {
+        "high_chars_per_token": band.most_chars,
+        "low_chars_per_token": band.least_chars,
+        "high_byte_share": band.byte_share,
+        "high_token_entropy": _MOST_ENTROPY,
+        "low_token_entropy": band.entropy,
+    }
+
+
+def fitted_bands(
+    measured: DataFrame, deviations: float = DEVIATIONS, prior_docs: float = PRIOR_DOCS, bands: dict[str, Band] = BANDS
+) -> DataFrame:
+    """lang, script, and per measure x its ends low_x and high_x, of every group with documents that pass the
+    base rules.
+
+    An end is the mean of the group's own, weighed by its documents, and its script's, weighed by
+    ``prior_docs``; a script's end is that of its documents and the fixed band's in the same way. So a small
+    group has nearly its script's band, and no band changes by leaps as a group grows. Values are
+    rounded to three decimals, so a quartile's state has a bounded number of values, whatever the corpus,
+    and no retry changes it.
+    """
+    passed = measured.filter("not base_failed")
+
+    def towards(wide: dict[str, Column]) -> list[Column]:
+        total = F.col("n") + F.lit(float(prior_docs))
+        return [((F.col(end) * F.col("n") + wide[end] * F.lit(float(prior_docs))) / total).alias(end) for end in ENDS]
+
+    def fixed(end: str) -> Column:
+        pairs = [F.lit(x) for script, band in bands.items() for x in (script, _fixed(band)[end])]
+        return F.element_at(F.create_map(*pairs), F.col("script"))
+
+    scripts = _ends(passed, ["script"], deviations).select("script", *towards({end: fixed(end) for end in ENDS}))
+    wide = scripts.withColumnsRenamed({end: f"script_{end}" for end in ENDS})
+    groups = _ends(passed, ["lang", "script"], deviations).join(wide, "script")
+    return groups.select("lang", "script", *towards({end: F.col(f"script_{end}") for end in ENDS}))
 
 
 def fitted_rules(
@@ -208,16 +249,19 @@ def fitted_rules(
     model: bytes,
     lang_col: str = "lang",
     deviations: float = DEVIATIONS,
-    least_docs: int = FIT_DOCS,
+    prior_docs: float = PRIOR_DOCS,
     bands: dict[str, Band] = BANDS,
 ) -> DataFrame:
     """The columns of ``quality_rules``; ``kept`` needs the measures to be within the fitted bands of the
-    text's language (a label, null is one of its own) and script too. A group with too few documents has
-    only the fixed bands. Every text is measured once."""
+    text's language (a label, null is one of its own) and script too. Every text is measured once.
+
+    Equal texts of one language have equal rows, and repeated rows count in the bands as often as they
+    stand; null and empty texts fail the base rules and have no part in the bands. No rows give no rows.
+    """
     rows = identified(docs, carry=[F.col(lang_col).cast("string").alias("lang")])
     rows = rows.select("doc_id", "text", F.col("carried.lang").alias("lang"))
     measured = written(rows.mapInArrow(_measure(model, bands, ("lang",)), f"{SCHEMA}, lang string"), "measures")
-    ends = fitted_bands(measured, deviations, least_docs)
+    ends = fitted_bands(measured, deviations, prior_docs, bands)
     ends = ends.withColumnsRenamed({"lang": "of_lang", "script": "of_script"})
     inside = F.lit(True)
     for x, low in FITTED.items():
@@ -226,6 +270,5 @@ def fitted_rules(
         if low:
             inside &= value >= F.col(f"low_{x}")
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("script") == F.col("of_script"))
-    # one row per language and script of at least least_docs documents
-    joined = measured.join(F.broadcast(ends), same, "left")
+    joined = measured.join(ends, same, "left")
     return joined.withColumn("kept", F.col("kept") & F.coalesce(inside, F.lit(True))).select(*COLUMNS)

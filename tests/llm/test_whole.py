@@ -37,11 +37,10 @@ def test_quality_rejects_what_only_the_vocabulary_shows(spark):
     junk = [" ".join("".join(pick.choices(letters, k=6)) for _ in range(200)) for _ in range(5)]
     junk += [" ".join(base64.b64encode(pick.randbytes(9)).decode() for _ in range(200)) for _ in range(5)]
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
-    rows = [(10**6 + i, text, "en") for i, text in enumerate(junk)] + [(2 * 10**6, junk[0], "qq")]
+    rows = [(10**6 + i, text, "en") for i, text in enumerate(junk)]
     both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
     got = {r["doc_id"]: r for r in quality.fitted_rules(both, pieces.read_model(pieces.MODEL)).collect()}
     assert not any(got[10**6 + i]["base_failed"] or got[10**6 + i]["kept"] for i in range(len(junk)))
-    assert got[2 * 10**6]["kept"], "a language of one document has no band of its own"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     gone = lambda label: [not r["kept"] for i, r in got.items() if labels.get(i) == label and not r["base_failed"]]
     assert sum(gone(0)) > 0.3 * len(gone(0)) and sum(gone(1)) < 0.05 * len(gone(1))
@@ -109,3 +108,63 @@ def test_word_codes_depend_on_the_bytes_of_the_word_alone():
         for a, b, code in zip(start, end, T.word_codes(data, start, end).tolist(), strict=True):
             assert codes.setdefault(data[a:b].tobytes(), code) == code
     assert len(set(codes.values())) == len(codes) == len(set(words))
+
+
+def plain_kept(rows, deviations=4, prior=20):
+    """Verdicts from rows (lang, script, base_failed, in fixed band, chars, share, entropy), by numpy."""
+    import numpy as np
+
+    def ends(values, low_too):
+        q1, middle, q3 = np.percentile(np.round(values, 3), [25, 50, 75])
+        step = lambda quartile: max(abs(quartile - middle) / 0.6745, middle / 100, 0.005)
+        return middle - deviations * step(q1) if low_too else -np.inf, middle + deviations * step(q3)
+
+    passed = [r for r in rows if not r[2]]
+    blend = lambda own, wide, n: tuple((o * n + w * prior) / (n + prior) if np.isfinite(o) else o for o, w in zip(own, wide, strict=True))
+
+    def band(lang, script):
+        b = quality.BANDS[script]
+        fixed = [(b.least_chars, b.most_chars), (0.0, b.byte_share), (b.entropy, 16.0)]
+        of_script = [r for r in passed if r[1] == script]
+        own = [r for r in of_script if r[0] == lang]
+        out = []
+        for i in range(3):
+            wide = blend(ends([r[4 + i] for r in of_script], i != 1), fixed[i], len(of_script))
+            out.append(blend(ends([r[4 + i] for r in own], i != 1), wide, len(own)))
+        return out
+
+    bands = {key: band(*key) for key in {(r[0], r[1]) for r in passed}}
+    return [
+        r[3] and not r[2] and all(low <= round(r[4 + i], 3) <= high for i, (low, high) in enumerate(bands[r[0], r[1]]))
+        for r in rows
+    ]
+
+
+def test_fitted_bands_against_the_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(10**6, None, "en"), (10**6 + 1, "", None), (10**6 + 2, "Ёжик и другие слова " * 30, "ru"), (None, "some words here and there " * 20, None)]
+    both = docs.unionByName(spark.createDataFrame(odd + odd[2:], docs.schema)).withColumns({"kept": F.lit(1), "script": F.lit("x")})
+    model = pieces.read_model(pieces.MODEL)
+    langs = both.select("doc_id", F.col("lang").alias("label"))
+    fixed = quality.quality_rules(both, model).select("doc_id", "n_words", F.col("kept").alias("within"))
+    key = lambda r: (str(r["doc_id"]), r["n_words"])
+    within = {key(r): r["within"] for r in fixed.collect()}
+    label = {str(r["doc_id"]): r["label"] for r in langs.collect()}
+    got = quality.fitted_rules(both.repartition(5), model).collect()
+    rows = [(label[str(r["doc_id"])], r["script"], r["base_failed"], within[key(r)], r["chars_per_token"], r["byte_share"], r["token_entropy"]) for r in got]
+    assert [r["kept"] for r in got] == plain_kept(rows)
+    assert len(got) == 1006 and 0 < sum(r["kept"] for r in got) < 1000
+    assert quality.fitted_rules(both.filter("false"), model).collect() == []
+
+
+def test_a_verdict_does_not_turn_on_the_size_of_its_group(spark):
+    """The ends of a band move by little from 50 documents of a language to 150."""
+    rows = spark.range(1000).select(
+        F.lit("en").alias("lang"), F.lit("latin").alias("script"), F.lit(False).alias("base_failed"),
+        (3.0 + F.col("id") % 100 / 500).alias("chars_per_token"), F.lit(0.01).alias("byte_share"), (7 + F.col("id") % 50 / 100).alias("token_entropy"),
+    )
+    highs = []
+    for n in (50, 99, 100, 101, 150):
+        small = rows.limit(n).withColumn("lang", F.lit("xx")).withColumn("chars_per_token", F.col("chars_per_token") - 1)
+        highs.append(quality.fitted_bands(rows.unionByName(small)).filter("lang = 'xx'").first()["high_chars_per_token"])
+    assert abs(highs[1] - highs[2]) < 0.02 and abs(highs[2] - highs[3]) < 0.02 and highs[0] > highs[4] > 2.2
