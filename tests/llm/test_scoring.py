@@ -273,11 +273,11 @@ def test_registered():
     import __spark_entry__ as entry
     from reviewlens.llm.queries import QUERIES, SQL
 
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
     assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", ["op4_license", "op5_substring_dedup", "op6_topk"])
+@pytest.mark.parametrize("name", ["op4_license", "op5_substring_dedup", "op6_topk", "op11_resampling", "op13_spelling"])
 def test_sql(spark, name):
     from compare import difference, duck
 
