@@ -188,9 +188,9 @@ def continuous_stats(spark, folder):
     exact = stats.exact_quantiles(items, by=by, value="l_extendedprice")
     row = stats.basic_stats(bands, by, centre=50_000.0)
     # values from 512 to 131072 span eight powers of two
-    few = bands.groupBy(*by).agg((F.count("*") <= 8 * 4096).alias("bounded"))
+    few = bands.groupBy(*by).agg((F.count("*") <= 8 * 8192).alias("bounded"))
     both = row.join(exact.withColumnsRenamed({q: f"exact_{q}" for q in stats.QUARTILES}), "l_returnflag").join(few, "l_returnflag")
-    near = [(F.abs(F.col(q) - F.col(f"exact_{q}")) <= F.col(f"exact_{q}") / 4096).alias(f"{q}_near") for q in stats.QUARTILES]
+    near = [(F.abs(F.col(q) - F.col(f"exact_{q}")) <= F.col(f"exact_{q}") / 8192).alias(f"{q}_near") for q in stats.QUARTILES]
     return both.select("l_returnflag", "count", "min", "max", "mean", "stddev", *near, "bounded")
 
 

@@ -10,7 +10,7 @@ from reviewlens.functions.lengths import (
     length_bucket,
     text_length,
 )
-from reviewlens.functions.order import BAND_BITS, band, order_code
+from reviewlens.functions.order import BAND_BITS, band, rounded
 from reviewlens.functions.ratings import (
     finite,
     half_step,
@@ -56,10 +56,10 @@ __all__ = [
     "month_start",
     "name_from_path",
     "one_line",
-    "order_code",
     "parse_rating",
     "percent",
     "rated",
+    "rounded",
     "safe_corr",
     "slug",
     "star",

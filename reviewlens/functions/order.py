@@ -1,42 +1,42 @@
-"""Whole numbers in the order of doubles, and bands of doubles."""
+"""Doubles rounded to fewer bits, and bands of doubles: keys in the order of the values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_MANTISSA = 52
-#: Bits of a band: sign, eleven of the exponent, twelve of the mantissa.
-BAND_BITS = 24
+#: Significant bits of the number in the middle of two bands.
+BAND_BITS = 13
+_BITS = 53
+_FAR, _SCALE = 2.0**900, 2.0**64
 
 
-def order_code(value: Column) -> Column:
-    """A bigint per double, in the same order; both zeros give 0. For doubles other than NaN.
+def rounded(value: Column, bits: int) -> Column:
+    """A double rounded to its first ``bits`` significant bits, in the order of the values.
 
-    For a positive number these are its 64 bits: the exponent, then the mantissa. The exponent comes from
-    a logarithm, which may be one off and is set right by comparing; scaling by a power of two is exact.
+    Two subtractions around a product drop the rest, exactly (Veltkamp's splitting); numbers that the
+    product would carry out of range are scaled by a power of two. For doubles other than NaN.
     """
-    size = F.abs(value)
-    tiny, infinite = F.lit(2.0**-1022), F.lit(float("inf"))
-    guess = F.least(F.floor(F.log2(size)).cast("double"), F.lit(1023.0))
-    power = F.pow(F.lit(2.0), guess)
-    exponent = F.when(power > size, guess - 1).when(size / power >= 2, guess + 1).otherwise(guess)
-    scale = F.when(power > size, power / 2).when(size / power >= 2, power * 2).otherwise(power)
-    mantissa = ((size / scale - 1) * F.lit(2.0**_MANTISSA)).cast("bigint")
-    normal = F.shiftleft((exponent + 1023).cast("bigint"), _MANTISSA) + mantissa
-    code = (
-        F.when(size == infinite, F.lit(0x7FF << _MANTISSA))
-        .when(size >= tiny, normal)
-        .otherwise((size / F.lit(2.0**-1074)).cast("bigint"))
-    )
-    return F.when(value < 0, -code).otherwise(code)
-
-
-def band(value: Column, bits: int = BAND_BITS) -> Column:
-    """Number of the band that a double falls in: bands follow one another in the order of their values.
-
-    With 24 bits a band's values differ by less than one part in 4096, and no band reaches over a multiple
-    of a half below 4096 or holds two numbers of three significant digits. There are 2**24 bands at most,
-    whatever the values, and 4096 between one power of two and the next.
+    if bits >= _BITS:
+        return value
+    factor = F.lit(2.0 ** (_BITS - bits) + 1)
+
+    def split(x: Column) -> Column:
+        return x * factor - (x * factor - x)
+
+    far = F.abs(value) > F.lit(_FAR)
+    infinite = F.abs(value) == F.lit(float("inf"))
+    scaled = F.when(infinite, value).otherwise(split(value / F.lit(_SCALE)) * F.lit(_SCALE))
+    return F.when(far, scaled).otherwise(split(value))
+
+
+def band(value: Column) -> Column:
+    """Key of the band that a double falls in: bands follow one another in the order of their values.
+
+    Values on either side of a number of 13 significant bits that is nearest to them make two bands. A
+    band's values differ by less than one part in 8192, and no band reaches over a multiple of a half
+    below 4096 or holds two numbers of three significant digits. Between one power of two and the next there
+    are 8192 bands, whatever the values.
     """
-    return F.shiftright(order_code(value), 64 - bits)
+    middle = rounded(value, BAND_BITS)
+    return F.when(value >= middle, middle).otherwise(middle - F.abs(middle) * F.lit(2.0**-14))

@@ -7,13 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from reviewlens.functions.order import order_code
+from reviewlens.functions.order import rounded
 from reviewlens.operators.joins import same_group_join
 from reviewlens.session import written
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-#: Bits that each round has looked at when it ends.
-ROUNDS = (16, 32, 48, 64)
+#: Significant bits that each round has looked at when it ends.
+ROUNDS = (7, 24, 40, 53)
 
 
 def _wanted(counters: DataFrame, probabilities: Mapping[str, float], by: Sequence[str]) -> DataFrame:
@@ -61,11 +61,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per group of any number of distinct values, without ordering or gathering them.
 
-    Radix selection over the bits of the doubles in their order: a round counts, inside the map tasks and
-    then across them, the rows by their next 16 bits, and the counts tell which cells hold the wanted places;
-    the next round looks at the rows of those cells only. A cell with one value ends the search there, so a
-    star scale takes one round, and no values more than four. Only counters are shuffled, 65,536 per cell
-    at most. Each round reads ``df`` once more and runs at once; it is best a scan or a written table.
+    Radix selection over the bits of the doubles: a round counts, inside the map tasks and then across them,
+    the rows by their values rounded to so many bits, and the counts tell which cells hold the wanted places;
+    the next round looks at the rows of those cells only, with more bits. A cell with one value ends the
+    search there, so a star scale takes one round, and no values more than four. Only counters are shuffled:
+    64 between one power of two and the next in the first round, 2**17 per cell at most in the others. Each
+    round reads ``df`` once more and runs at once; it is best a scan or a written table.
 
     Null and NaN values are left out, groups without values too. ``weight`` names a column with how often
     a row counts.
@@ -73,17 +74,17 @@ def exact_quantiles(
     times = F.col(weight) if weight else F.lit(1)
     x = F.col(value).cast("double")
     rows = df.filter(x.isNotNull() & ~F.isnan(x)).select(
-        *by, (x + F.lit(0.0)).alias("_value"), order_code(x).alias("_code"), times.cast("bigint").alias("_times")
+        *by, (x + F.lit(0.0)).alias("_value"), times.cast("bigint").alias("_times")
     )
     measures = [F.sum("_times").alias("n"), F.min("_value").alias("low"), F.max("_value").alias("high")]
     done, open_ = None, None
     for bits in ROUNDS:
-        cell = F.shiftright("_code", 64 - bits).alias("cell")
+        cell = rounded(F.col("_value"), bits).alias("cell")
         if open_ is None:
             hits = _wanted(rows.groupBy(*by, cell).agg(*measures), probabilities, by)
         else:
             keys = [*by, "_cell"]
-            left = rows.withColumn("_cell", F.shiftright("_code", 64 - last))
+            left = rows.withColumn("_cell", rounded(F.col("_value"), last))
             left = same_group_join(left, open_.select(*by, F.col("cell").alias("_cell")).distinct(), keys, "left_semi")
             hits = _narrowed(left.groupBy(*keys, cell).agg(*measures), open_, keys)
         still = Observation("open")  # counted by the job that writes
@@ -113,7 +114,7 @@ def banded_quantiles(
 
     Exact where the bands that hold a quantile have one value each, as on every scale of up to three
     significant digits; elsewhere values are taken as evenly spread within their band, so a quantile is off
-    by less than the band's width, one part in 4096 of the value.
+    by less than the band's width, one part in 8192 of the value.
     """
     counters = bands.select(*by, F.col("band").alias("cell"), F.col("count").alias("n"), "low", "high")
     step = (F.col("high") - F.col("low")) * F.try_divide(F.col("index"), F.col("n") - 1)

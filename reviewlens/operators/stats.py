@@ -84,7 +84,7 @@ def _moments(bands: DataFrame, by: Sequence[str]) -> DataFrame:
 def basic_stats(counts: DataFrame, by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
     """One row per group from the state of ``rating_counts``: count, five-number summary, mean, spread.
 
-    Quartiles are exact on scales of up to three significant digits, else within one part in 4096 of the
+    Quartiles are exact on scales of up to three significant digits, else within one part in 8192 of the
     value (see ``banded_quantiles``); all else is exact. ``exact_stats`` has exact quartiles of anything.
     """
     return _stats(_moments(counts, by), banded_quantiles(counts, by=by), by, centre)

@@ -1,5 +1,6 @@
-"""Order codes, bands and quantiles by radix selection."""
+"""Rounding, bands and quantiles by radix selection."""
 
+import math
 import random
 import re
 import statistics
@@ -8,7 +9,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from reviewlens.functions import band, order_code
+from reviewlens.functions import band, rounded
 from reviewlens.operators import stats
 from reviewlens.operators.quantiles import exact_quantiles
 from reviewlens.plans.analysis import analyze, review_summary
@@ -24,11 +25,18 @@ def doubles(seed, count):
     return [x for x in odd if x == x]
 
 
-def test_codes_are_the_bits_in_order(spark):
+@pytest.mark.parametrize("bits", [7, 13, 24, 53])
+def test_rounding_keeps_the_order_and_the_first_bits(spark, bits):
     rows = spark.createDataFrame([(x,) for x in doubles(1, 5000)], "x double")
-    for r in rows.select("x", order_code(F.col("x")).alias("code")).collect():
-        bits = struct.unpack("q", struct.pack("d", abs(r.x)))[0]
-        assert r.code == (-bits if r.x < 0 else bits), r.x
+    got = sorted((r.x, r.t) for r in rows.select("x", rounded(F.col("x"), bits).alias("t")).collect())
+    assert all(a[1] <= b[1] for a, b in zip(got, got[1:], strict=False))
+    for x, t in got:
+        if math.isinf(x) or math.isinf(t):
+            assert x == t or abs(x) > 2.0**1023
+            continue
+        mantissa, exponent = math.frexp(x)
+        assert abs(t - x) <= math.ldexp(0.5, exponent - bits) or abs(x) < 2.0**-1000, (x, t)
+        assert math.frexp(t)[0] * 2**bits % 1 == 0 or abs(x) < 2.0**-1000, (x, t)
 
 
 def test_bands_keep_short_decimals_and_halves_apart(spark):
@@ -88,7 +96,7 @@ def test_statistics_of_continuous_ratings_from_a_state_of_fixed_size(spark):
     both = analyze(df)
     row, same = both["stats"]["basic_stats"].first(), stats.exact_stats(df).first()
     assert [same.q1, same.median, same.q3] == pytest.approx(exact)
-    assert [row.q1, row.median, row.q3] == pytest.approx(exact, rel=1 / 4096)
+    assert [row.q1, row.median, row.q3] == pytest.approx(exact, rel=1 / 8192)
     assert (row["count"], row.min, row.max) == (6000, min(ratings), max(ratings))
     assert row.stddev == pytest.approx(statistics.stdev(ratings)) and same.mean == pytest.approx(statistics.fmean(ratings))
     got = both["bias"]["correlation"].first().correlation
@@ -97,7 +105,7 @@ def test_statistics_of_continuous_ratings_from_a_state_of_fixed_size(spark):
     assert halves == {k / 2: sum(int(2 * r) == k for r in ratings) for k in range(2, 10)}
     stars = {r.star_rating: r["count"] for r in both["stats"]["star_distribution"].collect()}
     assert stars == {k: sum(int(r + 0.5) == k for r in ratings) for k in range(1, 6)}
-    # two and a third powers of two at 4096 bands each, however many ratings
+    # two and a third powers of two at 8192 bands each, however many ratings
     tenfold = df.withColumn("rating", F.explode(F.array([F.col("rating") * (1 - k / 1e6) for k in range(10)])))
-    assert stats.rating_counts(tenfold).count() <= 3 * 4096
+    assert stats.rating_counts(tenfold).count() <= 3 * 8192
     assert review_summary(tenfold).columns == review_summary(df).columns
