@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from reviewlens.functions.order import rounded
@@ -108,15 +108,31 @@ def _narrowed(counters: DataFrame, open_: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def banded_quantiles(
-    bands: DataFrame, probabilities: Mapping[str, float] = QUARTILES, by: Sequence[str] = ()
+    bands: DataFrame,
+    probabilities: Mapping[str, float] = QUARTILES,
+    by: Sequence[str] = (),
+    others: Sequence[Column] = (),
 ) -> DataFrame:
     """The same from a state with one row per band (``band``, ``count``, ``low``, ``high``), lazily.
 
     Exact where the bands that hold a quantile have one value each, as on every scale of up to three
     significant digits; elsewhere values are taken as evenly spread within their band, so a quantile is off
-    by less than the band's width, one part in 8192 of the value.
+    by less than the band's width, one part in 8192 of the value. ``others`` are aggregates of the same
+    groups that come along in the one pass over the state.
     """
-    counters = bands.select(*by, F.col("band").alias("cell"), F.col("count").alias("n"), "low", "high")
-    step = (F.col("high") - F.col("low")) * F.try_divide(F.col("index"), F.col("n") - 1)
-    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + step)
-    return _interpolated(_wanted(counters, probabilities, by).withColumn("value", value), probabilities, by)
+    group = Window.partitionBy(*by)
+    placed = bands.withColumn("_below", F.sum("count").over(group.orderBy("band")) - F.col("count"))
+    placed = placed.withColumn("_total", F.sum("count").over(group))
+    step = F.coalesce(F.try_divide(F.col("high") - F.col("low"), F.col("count") - 1), F.lit(0.0))
+    held, columns = [], []
+    for name, p in probabilities.items():
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        for end, index in (("low", F.floor(at)), ("high", F.ceil(at))):
+            inside = index - F.col("_below")
+            value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + step * inside)
+            held.append(F.max(F.when((inside >= 0) & (inside < F.col("count")), value)).alias(f"_{name}_{end}"))
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+        columns.append(F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at))).alias(name))
+    found = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *held, *others)
+    kept = [c for c in found.columns if c not in by and not c.startswith("_")]
+    return found.select(*by, *columns, *kept)

@@ -53,16 +53,12 @@ def merged_bands(bands: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 _STATS = ["count", "min", "q1", "median", "q3", "max", "mean", "stddev", "variance", "iqr"]
 
 
-def _stats(moments: DataFrame, quartiles: DataFrame, by: Sequence[str], centre: float) -> DataFrame:
-    """One row per group from its moments and its quartiles, which come as rows of their own."""
-    both = moments.unionByName(quartiles, allowMissingColumns=True)
-    columns = [c for c in both.columns if c not in by]
+def _finished(sums: DataFrame, by: Sequence[str], centre: float) -> DataFrame:
+    """Mean and spread from the sums of deviations, next to the quartiles; groups without ratings are left out."""
     n = F.col("count")
     spread = F.col("squares") - F.col("deviation") * F.col("deviation") / n
     return (
-        both.groupBy(*by)
-        .agg(*[F.max(c).alias(c) for c in columns])
-        .filter(F.col("count").isNotNull())
+        sums.filter(n.isNotNull())
         .withColumn("mean", F.lit(centre) + F.col("deviation") / n)
         .withColumn("variance", F.try_divide(F.greatest(spread, F.lit(0.0)), n - 1))
         .withColumn("stddev", F.sqrt("variance"))
@@ -71,14 +67,14 @@ def _stats(moments: DataFrame, quartiles: DataFrame, by: Sequence[str], centre:
     )
 
 
-def _moments(bands: DataFrame, by: Sequence[str]) -> DataFrame:
-    return bands.groupBy(*by).agg(
+def _moments() -> list[Column]:
+    return [
         F.sum("count").alias("count"),
         F.min("low").alias("min"),
         F.max("high").alias("max"),
         F.sum("deviation").alias("deviation"),
         F.sum("squares").alias("squares"),
-    )
+    ]
 
 
 def basic_stats(counts: DataFrame, by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
@@ -87,13 +83,15 @@ def basic_stats(counts: DataFrame, by: Sequence[str] = (), centre: float = CENTR
     Quartiles are exact on scales of up to three significant digits, else within one part in 8192 of the
     value (see ``banded_quantiles``); all else is exact. ``exact_stats`` has exact quartiles of anything.
     """
-    return _stats(_moments(counts, by), banded_quantiles(counts, by=by), by, centre)
+    return _finished(banded_quantiles(counts, by=by, others=_moments()), by, centre)
 
 
 def exact_stats(df: DataFrame, rating: str = "rating", by: Sequence[str] = (), centre: float = CENTRE) -> DataFrame:
     """The same row with exact quartiles, whatever the values; rounds of counting run at once."""
-    moments = _moments(rating_counts(df, rating, by, centre), by)
-    return _stats(moments, exact_quantiles(df, by=by, value=rating), by, centre)
+    moments = rating_counts(df, rating, by, centre).groupBy(*by).agg(*_moments())
+    both = moments.unionByName(exact_quantiles(df, by=by, value=rating), allowMissingColumns=True)
+    one = both.groupBy(*by).agg(*[F.max(c).alias(c) for c in both.columns if c not in by])
+    return _finished(one, by, centre)
 
 
 def approx_stats(
