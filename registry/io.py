@@ -1,3 +1,4 @@
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from reviewlens import views
@@ -170,17 +171,19 @@ def json_profile_query(spark, folder):
        union all select 'object', 0, null, 'made,rows' """,
 )
 def json_profile_whole(spark, folder):
-    """One file that is an array over many lines, one object over many lines, and JSON Lines."""
+    """Files that are an array over many lines, one object over many lines, and JSON Lines."""
     path = scratch_path(spark, "profile")
     documents = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    even = documents.filter(F.col("doc_id") % 2 == 0)
-    # a file that is one value is made by one task, which is what the case is about
-    item = F.concat(F.when(F.col("doc_id") == even.agg(F.min("doc_id")).first()[0], "[").otherwise(","), F.lit("\n  "), F.to_json(F.struct("*")))
-    lines = even.select("doc_id", item.alias("value")).unionByName(spark.sql(f"select {2**62} doc_id, ']' value"))
-    lines.repartition(1).sortWithinPartitions("doc_id").select("value").write.text(f"{path}/array")
+    # a file that is one value is written by one task: one for every 2**17 ids, more than a split of the scan each
+    even = documents.filter(F.col("doc_id") % 2 == 0).withColumn("file", F.floor(F.col("doc_id") / (1 << 17)))
+    here = Window.partitionBy("file").orderBy("doc_id")
+    opening = F.when(F.row_number().over(here) == 1, "[").otherwise(",")
+    closing = F.when(F.lead(F.lit(1)).over(here).isNull(), "\n]").otherwise("")
+    value = F.concat(opening, F.lit("\n  "), F.to_json(F.struct("doc_id", "lang", "text")), closing)
+    even.select("file", value.alias("value")).write.partitionBy("file").text(f"{path}/array")
     write_json(documents.filter(F.col("doc_id") % 2 == 1), f"{path}/lines")
     spark.sql("select '{\n  \"made\": true,\n  \"rows\": [1,\n 2]\n}' value").write.text(f"{path}/object")
-    found = json_profile(spark, f"{path}/*")
+    found = json_profile(spark, [f"{path}/array/file=*", f"{path}/lines", f"{path}/object"])
     return found.groupBy("format").agg(
         F.sum("object_lines").alias("object_lines"),
         F.sum("array_items").alias("array_items"),

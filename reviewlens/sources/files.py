@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewlens.errors import UNREADABLE, brief
 from reviewlens.functions import decoded, megabytes, name_from_path
 from reviewlens.session import written
+from reviewlens.sources.json_values import whole_values
 
 
 def file_inventory(
@@ -47,14 +48,13 @@ def _is_json(value: Column) -> Column:
     return F.try_parse_json(value).isNotNull() & ends
 
 
-def json_profile(spark: SparkSession, path: str) -> DataFrame:
+def json_profile(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Per file: format, bytes, lines by kind, the first record's fields, items of arrays.
 
     ``format`` is ``lines`` for JSON Lines, and ``array`` or ``object`` for a file that is one value over many
     lines; ``invalid`` if it begins like one, is none, and has no record. Files are read line by line, so one of
     any size spreads over many tasks. Those whose first line is no JSON by itself but opens an array or an
-    object, and most of whose lines are no records, are read once more, each as a whole in one task: such
-    a value cannot be split.
+    object, and most of whose lines are no records, are read again, by stretches too (``json_values``).
     """
     meta = F.col("_metadata")
     lines = (
@@ -92,14 +92,8 @@ def json_profile(spark: SparkSession, path: str) -> DataFrame:
     shown = ["file", "format", "bytes", "line_count", "object_lines", "array_lines", "invalid_lines", "first_keys", "array_items"]
     if not whole:
         return by_line.withColumn("format", F.lit("lines")).select(*shown)
-    text = F.btrim("value", F.lit(_BLANKS))
-    value = spark.read.text([_literal(name) for name in whole], wholetext=True).select(
-        decoded(meta["file_path"]).alias("file"),
-        _is_json(text).alias("valid"),
-        F.json_array_length(text).alias("whole_items"),
-        F.coalesce(F.json_object_keys(text), F.json_object_keys(F.get_json_object(text, "$[0]"))).alias("whole_keys"),
-    )
-    both = by_line.join(value, "file", "left")
+    value = whole_values(spark, [_literal(name) for name in whole]).withColumn("valid", F.lit(True))
+    both = by_line.join(value, "path", "left")
     one = F.coalesce(F.col("valid"), F.lit(False))
     kind = F.when(one & F.col("whole_items").isNotNull(), "array").when(one, "object")
     kind = F.coalesce(kind, F.when(opens & (F.col("object_lines") == 0), "invalid"), F.lit("lines"))

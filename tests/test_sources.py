@@ -1,6 +1,7 @@
 """Raw JSON read once, files that are one JSON value, sources with faults, small functions."""
 
 import json
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from reviewlens import sources
 from reviewlens.functions import days_before, megabytes, slug
 from reviewlens.operators.prepare import harmonise
 from reviewlens.sources.choose import reads_whole
+from reviewlens.sources.json_values import whole_values
 
 RECORDS = [
     {"parent_asin": "a", "average_rating": 4.5, "description": ["x", None, "y"], "price": 9.5, "rating_number": 3},
@@ -82,6 +84,56 @@ def test_profiles_of_files_that_are_one_value(spark, tmp_path):
     assert got["array.json"].invalid_lines == 0 and got["spoiled.json"].invalid_lines == 1 and got["cut*.json"].invalid_lines == 3
 
 
+def test_one_value_of_any_size_is_profiled_by_stretches(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    line = json.dumps({"k": "x" * (1 << 20), "l": [1]})
+    with open(tmp_path / "in" / "large.json", "w") as out:  # more than a VARIANT or a row of a whole file may have
+        out.write("[\n" + ",\n".join([line] * 140) + "\n]\n")
+    row = sources.json_profile(spark, f"{tmp_path}/in").first()
+    assert (row.format, row.object_lines, row.array_items, row.first_keys) == ("array", 0, 140, ["k", "l"])
+
+
+def _made(random, depth):
+    kind = random.randrange(7 if depth else 4)
+    if kind < 4:
+        return [random.randrange(-9, 99), random.choice([True, None, -1.5e-3]), "a]\u00e4\"{", ""][kind]
+    if kind < 6:
+        return [_made(random, depth - 1) for _ in range(random.randrange(4))]
+    return {f"k{i}\n": _made(random, depth - 1) for i in range(random.randrange(4))}
+
+
+def test_stretches_of_one_value_give_what_the_whole_gives(spark, tmp_path):
+    random = Random(3)
+    (tmp_path / "in").mkdir()
+    texts = {}
+    for i in range(60):
+        value = [[_made(random, 4) for _ in range(6)], {f"f{j}": _made(random, 4) for j in range(6)}][i % 2]
+        text = json.dumps(value, indent=1, ensure_ascii=i % 3 == 0)
+        if i >= 30:  # one character lost, doubled or another
+            at = random.randrange(2, len(text))
+            text = text[: at - random.randrange(2)] + random.choice(["", text[at], *'[]{},:"1']) + text[at + 1 :]
+        texts[f"v{i:02}.json"] = text
+        (tmp_path / "in" / f"v{i:02}.json").write_text(text, encoding="utf-8")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 40)
+        files = [f"{tmp_path}/in/{name}" for name in texts]
+        got = {r.path.rsplit("/", 1)[1]: (r.whole_items, r.whole_keys) for r in whole_values(spark, files).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    want = {}
+    for name, text in texts.items():
+        try:
+            value = json.loads(text)
+        except ValueError:
+            continue
+        first = value[0] if isinstance(value, list) and value else value
+        pairs = json.loads(text, object_pairs_hook=lambda pairs: [k for k, _ in pairs]) if isinstance(first, dict) else None
+        keys = (pairs[0] if isinstance(value, list) else pairs) if pairs is not None else None
+        want[name] = (len(value) if isinstance(value, list) else None, keys)
+    assert got == want and 30 <= len(want) < 60
+
+
 def test_a_source_with_a_fault_is_passed_over(spark, tmp_path):
     good, bad = f"{tmp_path}/good", f"{tmp_path}/bad"
     for path in (good, bad):
