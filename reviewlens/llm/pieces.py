@@ -19,9 +19,11 @@ Characters outside the vocabulary become byte pieces, or the unknown id without
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +33,16 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 #: Entries of a worker's caches (words, pairs of pieces, word beginnings), and the length of words that
-#: are cached and of the beginnings that words share.
-CACHE, PAIRS, HEADS, CACHED, HEAD = 250_000, 500_000, 80_000, 48, 6
+#: are cached and of the beginnings that words share. Words stand for the parts of a text that no piece leaves.
+CACHE, PAIRS, HEADS, CACHED, HEAD = 200_000, 400_000, 40_000, 48, 6
 #: Codes of pieces are their ids; those of characters outside the vocabulary start here.
 _CHAR, _NONE = 1 << 20, (1 << 22) - 1
 #: Parts of a text between which no piece stretches, for models that are so.
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+#: The same for models in which letters and other characters never share a piece.
+_RAISED = "\u00b2\u00b3\u00b9\u00bc-\u00be\u2070-\u2079\u2080-\u2089"
+_LETTER = re.compile(rf"[^\W\d_{_RAISED}]")
+_PARTS = re.compile(f"{SPACE}*{_LETTER.pattern}+|{SPACE}*(?:[^\\w{SPACE}\n]++|[\\d_{_RAISED}]++)++|{SPACE}+|\n")
 
 
 @dataclass(frozen=True)
@@ -73,6 +79,24 @@ def read_vocabulary(model: bytes) -> Vocabulary:
     )
 
 
+class _Memo(dict):
+    """Answers of a function by key, ``size`` at most, half of them those asked for last; none for which ``keep`` is not."""
+
+    def __init__(self, answer: Callable, size: int, keep: Callable = lambda key: True) -> None:
+        self.answer, self.size, self.keep, self.older = answer, size // 2, keep, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.answer(key)
+        if self.keep(key):
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class Codec:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
@@ -86,19 +110,55 @@ class Codec:
         #: No piece goes on over a word start or a line end, so all paths meet there.
         self.words_apart = not any(SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1) for p in self.ids)
         self.text = [bytes([int(p[1:-1], 16)]) if t == _BYTE else b"" if t == 3 else p.replace(SPACE, " ").encode() for p, _, t in rows]
-        #: The ends of all pieces; the id where an end is a piece itself, else -1.
-        self.ends: dict[str, int] = {}
-        for piece, i in self.ids.items():
-            for at in range(1, len(piece)):
-                self.ends.setdefault(piece[at:], -1)
-            self.ends[piece] = i
-        self.known: dict[str, list[int]] = {}
-        self.heads: dict[str, tuple[list[int], list[int]]] = {}
-        self.apart: dict[int, bool] = {}
+        letters_apart = not any(
+            bool(_LETTER.match(a)) != bool(_LETTER.match(b)) for p in map(self.bare, self.ids) for a, b in zip(p, p[1:])
+        )
+        self.parts = _PARTS if letters_apart else _WORDS
+        if vocabulary.kind == BPE:
+            self.plant()
+        self.known = _Memo(self.word, CACHE, lambda word: len(word) <= CACHED)
+        self.heads = _Memo(self.head, HEADS)
+        self.apart = _Memo(self.stay_apart, PAIRS)
         self.window = 0
 
     # segmentation
 
+    @staticmethod
+    def bare(piece: str) -> str:
+        return piece.lstrip(SPACE)
+
+    def plant(self) -> None:
+        """An Aho-Corasick automaton: a state is the longest beginning of a piece that the text read ends with, and
+        ``ending`` has the (length, id) of the pieces that it ends with, the longest first."""
+        self.trie: dict[int, int] = {}
+        own: dict[int, tuple[int, int]] = {}
+        rows: list[list[tuple[int, int, int]]] = [[] for _ in range(self.longest + 1)]
+        for piece, i in self.ids.items():
+            state = 0
+            for depth, char in enumerate(piece, 1):
+                key = state << 21 | ord(char)
+                if key not in self.trie:
+                    self.trie[key] = len(self.trie) + 1
+                    rows[depth].append((state, ord(char), self.trie[key]))
+                state = self.trie[key]
+            own[state] = len(piece), i
+        self.shorter = [0] * (len(self.trie) + 1)
+        self.ending: list[tuple[tuple[int, int], ...]] = [()] * (len(self.trie) + 1)
+        self.steps = _Memo(self.step, len(self.trie) + PAIRS)
+        for depth, row in enumerate(rows):
+            for parent, char, state in row:
+                if depth > 1:
+                    self.shorter[state] = self.step(self.shorter[parent] << 21 | char)
+                others = self.ending[self.shorter[state]]
+                self.ending[state] = (own[state], *others) if state in own else others
+
+    def step(self, key: int) -> int:
+        """The state after one more character, given with the state before in one number."""
+        state, char = key >> 21, key & (1 << 21) - 1
+        while (found := self.trie.get(state << 21 | char)) is None and state:
+            state = self.shorter[state]
+        return found or 0
+
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging the best pair, the leftmost of equals, again and again."""
         parts, scores = list(text), self.scores
@@ -113,16 +173,11 @@ class Codec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stay_apart(self, left: int, right: int) -> bool:
-        """Whether merging the text of two pieces, given by their codes, leaves just the two."""
-        key = left << 22 | right
-        answer = self.apart.get(key)
-        if answer is None:
-            if len(self.apart) >= PAIRS:
-                self.apart.clear()
-            pair = [self.spelled(left), self.spelled(right)] if left != _NONE else [self.spelled(right)]
-            answer = self.apart[key] = self.merged("".join(pair)) == pair
-        return answer
+    def stay_apart(self, key: int) -> bool:
+        """Whether merging the text of two pieces, given by their codes in one number, leaves just the two."""
+        left, right = key >> 22, key & _NONE
+        pair = [self.spelled(left), self.spelled(right)] if left != _NONE else [self.spelled(right)]
+        return self.merged("".join(pair)) == pair
 
     def spelled(self, code: int) -> str:
         return chr(code - _CHAR) if code >= _CHAR else self.vocabulary.pieces[code]
@@ -130,16 +185,15 @@ class Codec:
     def stream(self, text: str) -> Iterator[str]:
         """Pieces of a text in order, each as soon as it is final."""
         bpe, longest = self.vocabulary.kind == BPE, self.longest
-        held, back, best, codes = "", [0], [0.0], [_NONE]  # codes: the piece that ends at each boundary
+        held, back, best, codes, state = "", [0], [0.0], [_NONE], 0  # codes: the piece that ends at each boundary
         for char in text:
             held += char
             end = len(held)
-            back.append(end - 1)
             if bpe:
-                back[end], code = self.last(held, end, codes)
-                codes.append(code)
+                state = self.grow(char, back, codes, state)
             else:
                 top = None
+                back.append(end - 1)
                 for start in range(max(0, end - longest), end):
                     score = self.scores.get(held[start:end])
                     if score is None:
@@ -156,35 +210,33 @@ class Codec:
                 best, codes = best[meet:], codes[meet:]
         yield from self.path(held, back, len(held))
 
-    def last(self, text: str, end: int, codes: list[int]) -> tuple[int, int]:
-        """Start and code of the last BPE piece of ``text[:end]``; ``codes`` has those of shorter prefixes."""
-        ends, apart, start, found = self.ends, self.apart, end - 1, []
-        while start >= 0:
-            code = ends.get(text[start:end])
-            if code is None:
-                break
-            if code >= 0:
-                found.append((start, code))
-            start -= 1
-        for start, code in reversed(found):
-            left = codes[start]
-            answer = apart.get(left << 22 | code)
-            if self.stay_apart(left, code) if answer is None else answer:
-                return start, code
-        return end - 1, _CHAR + ord(text[end - 1])
+    def grow(self, more: str, back: list[int], codes: list[int], state: int) -> int:
+        """Carry the BPE lattice on over the characters of ``more``: start and code of the last piece at each
+        boundary. Gives the automaton's state behind them."""
+        steps, ending, apart, end = self.steps, self.ending, self.apart, len(back) - 1
+        for char in more:
+            end += 1
+            code = ord(char)
+            state = steps[state << 21 | code]
+            for size, code in ending[state]:
+                if apart[codes[end - size] << 22 | code]:
+                    break
+            else:
+                size, code = 1, _CHAR + ord(char)
+            back.append(end - size)
+            codes.append(code)
+        return state
+
+    def head(self, word: str) -> tuple[list[int], list[int], int]:
+        back, codes = [0], [_NONE]
+        state = self.grow(word, back, codes, 0)
+        return back, codes, state
 
     def short(self, word: str) -> list[int]:
         """BPE ids of a short text: the same lattice, whose first columns words with one beginning share."""
-        state = self.heads.get(word[:HEAD]) if len(word) >= HEAD else None
-        back, codes = (state[0].copy(), state[1].copy()) if state else ([0], [_NONE])
-        for end in range(len(back), len(word) + 1):
-            start, code = self.last(word, end, codes)
-            back.append(start)
-            codes.append(code)
-            if end == HEAD:
-                if len(self.heads) >= HEADS:
-                    self.heads.clear()
-                self.heads[word[:HEAD]] = back.copy(), codes.copy()
+        back, codes, state = self.heads[word[:HEAD]]
+        back, codes = back.copy(), codes.copy()
+        self.grow(word[HEAD:], back, codes, state)
         out, end = [], len(word)
         while end:
             code = codes[end]
@@ -229,26 +281,23 @@ class Codec:
                 lost = True
         return out
 
-    def encode(self, text: str) -> list[int]:
+    def word(self, word: str) -> bytes:
+        """Ids of a part of a text, four bytes each."""
+        whole = len(word) > CACHED or self.vocabulary.kind != BPE
+        return array("i", self._ids(self.stream(word)) if whole else self.short(word)).tobytes()
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text, four bytes each."""
         if not text:
-            return []
+            return b""
         text = (SPACE if self.vocabulary.dummy_prefix else "") + text.replace(" ", SPACE)
         if not self.words_apart or not self.vocabulary.byte_fallback:
-            return self._ids(self.stream(text))
-        known, out = self.known, []
-        for word in _WORDS.findall(text):
-            found = known.get(word)
-            if found is None:
-                if len(word) > CACHED or self.vocabulary.kind != BPE:
-                    found = self._ids(self.stream(word))
-                else:
-                    found = self.short(word)
-                if len(word) <= CACHED:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[word] = found
-            out += found
-        return out
+            return array("i", self._ids(self.stream(text))).tobytes()
+        known = self.known
+        return b"".join([known[word] for word in self.parts.findall(text)])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype=np.intc).tolist()
 
     def decode(self, ids: list[int]) -> str:
         whole = b"".join(map(self.text.__getitem__, ids))
@@ -269,6 +318,14 @@ def _codecs(model: bytes) -> Codec:
 _HELD: dict[bytes, Codec] = {}
 
 
+def _lists(packed: list[bytes | None]) -> pa.Array:
+    """Lists of ids; a null for None."""
+    ends = np.cumsum([0, *(len(ids or b"") // 4 for ids in packed)]).astype(np.int32)
+    nulls = np.array([*(ids is None for ids in packed), False])
+    values = np.frombuffer(b"".join([ids or b"" for ids in packed]), dtype=np.intc)
+    return pa.ListArray.from_arrays(pa.array(ends, mask=nulls), pa.array(values))
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -288,11 +345,11 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 codec.window = 0
-                ids = [None if text is None else codec.encode(text) for text in part.column("text").to_pylist()]
+                ids = [None if text is None else codec.packed(text) for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
-                        pa.array(ids, pa.list_(pa.int32())),
+                        _lists(ids),
                         pa.array([codec.window] * len(ids), pa.int32()),
                     ],
                     [id_col, "ids", "window"],
@@ -336,13 +393,15 @@ def round_trip(
                 part = batch.slice(at, 256)
                 codec.window = 0
                 texts = part.column("text").to_pylist()
-                ids = [None if text is None else codec.encode(text) for text in texts]
-                same = [None if x is None else codec.decode(x) == text for x, text in zip(ids, texts, strict=True)]
+                packed = [None if text is None else codec.packed(text) for text in texts]
+                ids = _lists(packed)
+                back = [None if x is None else np.frombuffer(x, dtype=np.intc).tolist() for x in packed]
+                same = [None if x is None else codec.decode(x) == text for x, text in zip(back, texts, strict=True)]
                 columns = [
                     part.column("id"),
-                    pa.array([None if x is None else len(x) for x in ids], pa.int64()),
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([codec.window] * len(ids), pa.int32()),
+                    pa.array([None if x is None else len(x) // 4 for x in packed], pa.int64()),
+                    ids,
+                    pa.array([codec.window] * len(packed), pa.int32()),
                     pa.array(same, pa.bool_()),
                     *(part.column(2 + i) for i in range(len(carry))),
                 ]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from fractions import Fraction
 
@@ -237,6 +238,27 @@ def test_bpe_ids_are_the_librarys(model):
     assert codec.window <= 3 * codec.longest, "ids come out as paths meet, whatever the text's length"
 
 
+def test_letters_are_segmented_once_whatever_stands_beside_them(model):
+    codec = pieces.Codec(pieces.read_vocabulary(model))
+    codec.encode("Stadt Stadt, Stadt. Stadt!! Stadt?) (Stadt) Stadt2")
+    assert {word for word in codec.known if "t" in word} == {"▁Stadt", "Stadt"}
+
+
+def test_a_memo_holds_no_more_than_its_size_and_keeps_what_is_asked_for():
+    asked = []
+    memo = pieces._Memo(lambda key: asked.append(key) or -key, 20, lambda key: key < 1000)
+    for key in range(200):
+        assert (memo[key], memo[0], memo[2000]) == (-key, 0, -2000)
+        assert len(memo) + len(memo.older) <= 20
+    assert asked.count(0) == 1 and asked.count(2000) == 200
+
+
+def test_a_text_goes_to_the_workers_once(spark):
+    docs = frame(spark, ["one", None, "zwei"]).selectExpr("*", "'de' lang")
+    found = language_id.identified_rows(docs, language_id.fit(docs))
+    assert re.search(r"MapInArrow run\(row#\d+\)", found._jdf.queryExecution().analyzed().toString())
+
+
 def test_unigram_ids_have_the_best_score():
     pick = random.Random(2)
     rows = {"".join(pick.choice("▁abc") for _ in range(pick.randint(1, 4))): -pick.random() * 9 for _ in range(90)}
