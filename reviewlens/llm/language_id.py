@@ -29,6 +29,8 @@ FIT_DOCS = 3000
 #: Entries of the frozen table at most: contexts x bytes x languages.
 CELLS = 1 << 22
 MIN_COUNT = 8
+#: Rows of a batch that are scored at once.
+ROWS = 256
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _PAD = 0x0A
@@ -205,13 +207,18 @@ def _predicted(frozen: Model, column: pa.Array) -> list[pa.Array]:
 def identified_rows(docs: DataFrame, model: Model) -> DataFrame:
     """row (all columns of the input as a struct), lang_pred, score, bits_per_byte; see ``identify``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at_text = [name.lower() for name in docs.columns].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = _predicted(shared.value, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", "lang_pred", "score", "bits_per_byte"])
-
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.column("row").slice(at, ROWS)
+                text = rows.flatten()[at_text] if batch.num_columns == 1 else batch.column("text").slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([rows, *_predicted(shared.value, text)], ["row", "lang_pred", "score", "bits_per_byte"])
+
+    # a text goes to the workers once, in its row, if it is a string there
+    apart = [] if dict(docs.dtypes)[docs.columns[at_text]] == "string" else [F.col("text").cast("string").alias("text")]
+    rows = docs.select(F.struct("*").alias("row"), *apart)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double, bits_per_byte double")
 
