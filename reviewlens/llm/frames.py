@@ -44,13 +44,13 @@ def identified(
 SLOTS = 1 << 23
 
 
-def flagged(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``docs`` with a column ``flagged``, true where (ord, tag) is in ``wanted`` and for perhaps a few more.
+def flagged(docs: DataFrame, wanted: DataFrame, on: Sequence[str] = IDENTITY) -> DataFrame:
+    """``docs`` with a column ``flagged``, true where (ord, tag), or ``on``, is in ``wanted`` and for perhaps a few more.
 
     Texts that a later join on IDENTITY has nothing for need not be shuffled for it. The filter is a bit
     map of fixed size over hashes; in a very large corpus it flags all, which costs the shuffle alone.
     """
-    slot = F.pmod(F.xxhash64(*IDENTITY), F.lit(SLOTS))
+    slot = F.pmod(F.xxhash64(*on), F.lit(SLOTS))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
     words = wanted.groupBy(F.shiftright(slot, 6).alias("slot_word")).agg(F.bit_or(bit).alias("slot_bits"))
     words = F.broadcast(written(words, "slots"))  # SLOTS / 64 rows at most

@@ -3,8 +3,13 @@
 import base64
 import random
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
+from reviewlens import session
+from reviewlens.llm import line_dedup as lines
 from reviewlens.llm import mixing, pieces, quality
 from reviewlens.llm.license_scan import license_scan
 from reviewlens.llm.line_dedup import line_dedup
@@ -168,3 +173,52 @@ def test_a_verdict_does_not_turn_on_the_size_of_its_group(spark):
         small = rows.limit(n).withColumn("lang", F.lit("xx")).withColumn("chars_per_token", F.col("chars_per_token") - 1)
         highs.append(quality.fitted_bands(rows.unionByName(small)).filter("lang = 'xx'").first()["high_chars_per_token"])
     assert abs(highs[1] - highs[2]) < 0.02 and abs(highs[2] - highs[3]) < 0.02 and highs[0] > highs[4] > 2.2
+
+
+def _scattered_lines() -> list[tuple[int, str]]:
+    """Long lines of common words, two of each sharing a word that no other has; the last resembles the first."""
+    pick = random.Random(11)
+    lines = [pick.sample([f"w{i}" for i in range(600)], 120) + [f"rare{n // 2}"] for n in range(40)]
+    lines.append(lines[0][:-4] + ["x1", "x2", "x3"])
+    return [(i, " ".join(line)) for i, line in enumerate(lines)]
+
+
+def test_long_lines_are_not_held_against_all_that_share_a_rare_word(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    docs = spark.createDataFrame(_scattered_lines(), "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["removed_lines"] for r in line_dedup(docs).collect()}
+    assert got == {i: [0] if i == 40 else [] for i in range(41)}
+    (met,) = tmp_path.glob("**/met-*")
+    assert spark.read.parquet(str(met)).filter("a is not null").select("a", "b").distinct().count() == 1
+
+
+@pytest.mark.parametrize(("hold", "crowd"), [(1 << 20, 1024), (1, 1024), (7, 3), (1, 0), (1 << 20, 2)])
+def test_postings_meet_however_few_are_held(monkeypatch, hold, crowd):
+    monkeypatch.setattr(lines, "HOLD", hold)
+    monkeypatch.setattr(lines, "AT_ONCE", 8)
+    pick = random.Random(hold + crowd)
+    base = [pick.sample(range(300), 30) for _ in range(6)]
+    sets = [sorted({*pick.sample(pick.choice(base), 28), pick.randrange(300)}) for _ in range(60)]
+    sets = [[w * 7919 << 8 for w in words] for words in sets]
+    code = lambda word, half: 1 << (word // 2027264 * 37 + half) % 64
+    parity = lambda words, half: np.bitwise_xor.reduce([np.uint64(code(w, half)) for w in words]).view(np.int64)
+    columns = {
+        "id": pa.array([8 * i for i in range(60)], pa.int64()),
+        "size": pa.array([len(x) for x in sets], pa.int32()),
+        "ord": pa.array([i % 20 for i in range(60)], pa.int64()),
+        "low": pa.array([parity(x, 0) for x in sets], pa.int64()),
+        "high": pa.array([0] * 60, pa.int64()),
+        "rare": pa.array([np.array(x[: len(x) - -(-4 * len(x) // 5) + 1], dtype="<u4").tobytes() for x in sets], pa.binary()),
+    }
+    table = pa.Table.from_pydict(columns)
+    blocks = pa.Table.from_batches(lines._post(6)(iter(table.to_batches(max_chunksize=9)))).sort_by("part")
+    met = pa.Table.from_batches(lines._meet(lines.SIMILARITY, crowd)(iter(blocks.to_batches(max_chunksize=5)))).to_pylist()
+    pairs = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in met if r["a"] is not None}
+    dense = {}
+    for r in met:
+        if r["word"] is not None:
+            dense.setdefault(r["word"], set()).add(r["id"])
+    alike = [(8 * i, 8 * j) for i in range(60) for j in range(i + 1, 60) if 5 * len({*sets[i]} & {*sets[j]}) >= 4 * len({*sets[i]} | {*sets[j]})]
+    assert len(alike) > 50
+    assert all((a, b) in pairs or any(a in ids and b in ids for ids in dense.values()) for a, b in alike)
+    assert bool(dense) == (crowd < 1024)
