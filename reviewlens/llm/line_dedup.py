@@ -45,9 +45,9 @@ PIVOTS = 4
 BUCKETS = 1 << 18
 #: Postings of a range, about, and those that a task holds before it looks for crowded words.
 RANGE = 1 << 17
-HOLD = 1 << 20
+HOLD = 1 << 19
 #: Pairs of postings that are compared at a time.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 #: A word at a place of a set's order, with what tells whether the set may resemble another.
 POSTING = np.dtype(
     [("word", "u4"), ("at", "u4"), ("size", "u4"), ("ord", "i8"), ("id", "i8"), ("low", "u8"), ("high", "u8")]
@@ -300,7 +300,8 @@ def _meet(similarity: tuple[int, int], crowd: int):
         none = np.empty(0, dtype=POSTING)
         part, held, total, limit, pivots = None, [none], 0, HOLD, none
         for batch in batches:
-            for now, n, block in zip(*(batch.column(name).to_pylist() for name in ("part", "n", "posts")), strict=True):
+            blocks = batch.column("posts")
+            for i, (now, n) in enumerate(zip(batch.column("part").to_pylist(), batch.column("n").to_pylist(), strict=True)):
                 if now != part or total >= limit:
                     posts = np.concatenate(held)
                     many, pivots = crowded(posts, pivots)
@@ -310,7 +311,7 @@ def _meet(similarity: tuple[int, int], crowd: int):
                     if now != part:
                         yield from _all_pairs(posts, similarity)
                         part, held, total, limit, pivots = now, [none], 0, HOLD, none
-                held.append(_unpacked(block, n))
+                held.append(_unpacked(blocks[i].as_py(), n))
                 total += n
         posts = np.concatenate(held)
         many, pivots = crowded(posts, pivots)
@@ -433,8 +434,12 @@ def removed_lines(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY, cro
     return lines.filter("not first").select(*place).unionByName(gone.select(*place))
 
 
+#: Rows whose lines are handled at a time; a batch of long texts would take several times its size otherwise.
+_ROWS = 256
+
+
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (whole.slice(first, _ROWS) for whole in batches for first in range(0, len(whole), _ROWS)):
         texts, numbers, left, total = batch.column("text").to_pylist(), [], [], []
         for i, text in enumerate(texts):
             gone = repeats.own(batch, "lines", i)
