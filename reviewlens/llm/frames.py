@@ -40,6 +40,12 @@ def identified(
     )
 
 
+def unsized(df: DataFrame) -> DataFrame:
+    """``df`` for a join that broadcasts neither side. Spark takes rows that ``explode`` made to be as large as those
+    before it, and so may send a table of many times its threshold through the driver."""
+    return df.hint("merge")
+
+
 #: Bits of the map that ``flagged`` broadcasts, 2 MB as rows, whatever the input.
 SLOTS = 1 << 23
 

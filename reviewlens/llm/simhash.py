@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reviewlens.llm import text as T
 from reviewlens.llm.components import components
-from reviewlens.llm.frames import IDENTITY, LAST, identified
+from reviewlens.llm.frames import IDENTITY, LAST, identified, unsized
 from reviewlens.session import written
 
 SHINGLE = 3
@@ -123,7 +123,7 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
         .filter("b is not null and n > 1")
         .select("point", "b")
     )
-    stars = points.join(centre, "point").select(F.col("node").alias("a"), "b")
+    stars = unsized(points).join(centre, "point").select(F.col("node").alias("a"), "b")
     return listed.select(F.col("node").alias("a"), "b").unionByName(stars).filter("a <> b")
 
 

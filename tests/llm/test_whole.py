@@ -2,6 +2,7 @@
 
 import base64
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from reviewlens import session
 from reviewlens.llm import line_dedup as lines
-from reviewlens.llm import mixing, pieces, quality
+from reviewlens.llm import mixing, pieces, quality, simhash
+from reviewlens.llm.components import components
 from reviewlens.llm.license_scan import license_scan
 from reviewlens.llm.line_dedup import line_dedup
 from reviewlens.llm.substring_dedup import substring_dedup
@@ -222,3 +224,17 @@ def test_postings_meet_however_few_are_held(monkeypatch, hold, crowd):
     assert len(alike) > 50
     assert all((a, b) in pairs or any(a in ids and b in ids for ids in dense.values()) for a, b in alike)
     assert bool(dense) == (crowd < 1024)
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_points_around_crowded_fingerprints_are_not_broadcast(spark):
+    """Each makes 2145 points, whose size Spark takes for that of the fingerprint."""
+    bit = F.expr("shiftleft(1L, cast(id as int))")
+    found = simhash.links(spark.range(40).select(bit.alias("mark"), bit.alias("node")), crowd=2)
+    plan = _final_plan(found)
+    assert re.search(r"SortMergeJoin \[point", plan) and not re.search(r"BroadcastHashJoin \[point", plan)
+    assert {r["node"] for r in components(found).collect()} == {1 << i for i in range(1, 40)}
