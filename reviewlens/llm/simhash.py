@@ -112,7 +112,7 @@ def links(marks: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFra
     probes = _segments(marks, 1)
     other = held.join(crowded, "key", "left_anti").select("key", F.col("mark").alias("other"), F.col("node").alias("b"))
     apart = F.bit_count(F.col("mark").bitwiseXOR(F.col("other")))
-    listed = probes.alias("p").join(
+    listed = unsized(probes).alias("p").join(
         other.alias("o"), (F.col("p.key") == F.col("o.key")) & (F.col("mark") < F.col("other")) & (apart <= radius)
     )
     dense = written(probes.join(crowded, "key", "left_semi").select("mark", "node").distinct(), "crowded")

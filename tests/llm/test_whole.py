@@ -238,3 +238,12 @@ def test_points_around_crowded_fingerprints_are_not_broadcast(spark):
     plan = _final_plan(found)
     assert re.search(r"SortMergeJoin \[point", plan) and not re.search(r"BroadcastHashJoin \[point", plan)
     assert {r["node"] for r in components(found).collect()} == {1 << i for i in range(1, 40)}
+
+
+@pytest.mark.parametrize("operator", [simhash.simhash_groups])
+def test_segments_looked_up_are_not_broadcast(spark, monkeypatch, operator):
+    """Each fingerprint makes 66 rows, whose size Spark takes for that of the fingerprint."""
+    plans = []
+    monkeypatch.setattr(simhash, "components", lambda edges: plans.append(_final_plan(edges)) or components(edges))
+    operator(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")).collect()
+    assert re.search(r"SortMergeJoin \[key", plans[0]) and not re.search(r"BroadcastHashJoin \[key[^\n]* Inner", plans[0])
