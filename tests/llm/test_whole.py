@@ -240,7 +240,7 @@ def test_points_around_crowded_fingerprints_are_not_broadcast(spark):
     assert {r["node"] for r in components(found).collect()} == {1 << i for i in range(1, 40)}
 
 
-@pytest.mark.parametrize("operator", [simhash.simhash_groups])
+@pytest.mark.parametrize("operator", [simhash.simhash_groups, simhash.first_of_groups])
 def test_segments_looked_up_are_not_broadcast(spark, monkeypatch, operator):
     """Each fingerprint makes 66 rows, whose size Spark takes for that of the fingerprint."""
     plans = []
